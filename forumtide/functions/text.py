@@ -1,0 +1,128 @@
+"""Text normal forms and markup removal.
+
+Spark has no NFKC, case folding or HTML decoding, so these need Python for some
+rows. Each function first proves with a JVM regex that a row needs nothing of the
+kind and handles it natively; only the remaining rows cross to Python, in Arrow
+batches. Null goes over in place of every row already handled.
+"""
+
+from __future__ import annotations
+
+import html
+import re
+import unicodedata
+from html.parser import HTMLParser
+
+import pandas as pd
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+from pyspark.sql.functions import pandas_udf
+
+# Characters that NFKC keeps, that are visible or plain line whitespace, and that
+# never combine with a neighbour.
+STABLE_CHARS = (
+    r"\n\t\r\x20-\x7E"
+    r"¡-§©«¬®°±¶·»¿-ÿ"
+    r"–—‘’“”"
+    r"ぁ-ゖァ-ヺ一-鿿가-힣"
+)
+# What Python's str.strip and \s treat as whitespace, as a Java character class.
+SPACE = r"[\s\x1c-\x1f]"
+
+_SKIPPED_TAGS = ("script", "style", "template")
+
+
+def is_stable(text: Column) -> Column:
+    """True when NFKC leaves the text alone and it has no invisible characters."""
+    return ~text.rlike(f"[^{STABLE_CHARS}]")
+
+
+def collapse_space(text: Column) -> Column:
+    return F.trim(F.regexp_replace(text, f"(?U){SPACE}+", " "))
+
+
+def strip(text: Column) -> Column:
+    return F.regexp_replace(text, rf"(?U)^{SPACE}+|{SPACE}+\z", "")
+
+
+def fold(text: str) -> str:
+    """Matching form of one string, used for lexicon terms and inside tasks."""
+    return re.sub(r"\s+", " ", unicodedata.normalize("NFKC", text)).casefold().strip()
+
+
+@pandas_udf("string")
+def _fold_batch(texts: pd.Series) -> pd.Series:
+    return pd.Series([None if t is None else fold(t) for t in texts], dtype=object)
+
+
+@pandas_udf("string")
+def _nfkc_batch(texts: pd.Series) -> pd.Series:
+    return pd.Series(
+        [None if t is None else unicodedata.normalize("NFKC", t) for t in texts], dtype=object
+    )
+
+
+def normal_form(text: Column) -> Column:
+    """NFKC, collapsed whitespace, case folded, stripped."""
+    stable = is_stable(text)
+    native = F.replace(
+        F.lower(F.trim(F.regexp_replace(text, r"[ \t\n\r]+", " "))), F.lit("ß"), F.lit("ss")
+    )
+    return F.when(stable, native).otherwise(_fold_batch(F.when(~stable, text)))
+
+
+def nfkc(text: Column) -> Column:
+    stable = is_stable(text)
+    return F.when(stable, text).otherwise(_nfkc_batch(F.when(~stable, text)))
+
+
+class _TextOnly(HTMLParser):
+    """Collects visible text nodes."""
+
+    def __init__(self) -> None:
+        super().__init__(convert_charrefs=True)
+        self.parts: list[str] = []
+        self.skipping = 0
+
+    def handle_starttag(self, tag, attrs):
+        self.parts.append("\x00")
+        self.skipping += tag in _SKIPPED_TAGS
+
+    def handle_endtag(self, tag):
+        self.parts.append("\x00")
+        if tag in _SKIPPED_TAGS and self.skipping:
+            self.skipping -= 1
+
+    def handle_startendtag(self, tag, attrs):
+        self.parts.append("\x00")
+
+    def handle_data(self, data):
+        if not self.skipping:
+            self.parts.append(data.replace("\x00", ""))
+
+
+def strip_markup(value: str) -> str:
+    """Text of one markup fragment whose entities may be escaped twice."""
+    decoded = html.unescape(html.unescape(value)).replace("\xa0", " ")
+    parser = _TextOnly()
+    parser.feed(decoded)
+    parser.close()
+    return re.sub(r"\s+", " ", "".join(parser.parts).replace("\x00", " ")).strip()
+
+
+@pandas_udf("string")
+def _strip_markup_batch(values: pd.Series) -> pd.Series:
+    return pd.Series([None if v is None else strip_markup(v) for v in values], dtype=object)
+
+
+def plain_text(markup: Column) -> Column:
+    """Visible text of markup: entities decoded, tags replaced by spaces, spaces collapsed."""
+    has_markup = markup.rlike("[<&\\x00]")
+    return F.when(~has_markup, collapse_space(markup)).otherwise(
+        _strip_markup_batch(F.when(has_markup, markup))
+    )
+
+
+def digest(text: Column) -> Column:
+    """SHA-256 of the UTF-8 text, lowercase hex."""
+    return F.sha2(text.cast("binary"), 256)
