@@ -16,6 +16,7 @@ from html.parser import HTMLParser
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.functions import pandas_udf
 
 # Characters that NFKC keeps, that are visible or plain line whitespace, and that
@@ -50,12 +51,12 @@ def fold(text: str) -> str:
     return re.sub(r"\s+", " ", unicodedata.normalize("NFKC", text)).casefold().strip()
 
 
-@pandas_udf("string")
+@pandas_udf(T.StringType())
 def _fold_batch(texts: pd.Series) -> pd.Series:
     return pd.Series([None if t is None else fold(t) for t in texts], dtype=object)
 
 
-@pandas_udf("string")
+@pandas_udf(T.StringType())
 def _nfkc_batch(texts: pd.Series) -> pd.Series:
     return pd.Series(
         [None if t is None else unicodedata.normalize("NFKC", t) for t in texts], dtype=object
@@ -110,7 +111,7 @@ def strip_markup(value: str) -> str:
     return re.sub(r"\s+", " ", "".join(parser.parts).replace("\x00", " ")).strip()
 
 
-@pandas_udf("string")
+@pandas_udf(T.StringType())
 def _strip_markup_batch(values: pd.Series) -> pd.Series:
     return pd.Series([None if v is None else strip_markup(v) for v in values], dtype=object)
 

@@ -36,13 +36,15 @@ def collapse_observations(rows: DataFrame, keys: tuple[str, ...] = POST_KEY) ->
     )
 
 
-def upsert_posts(existing: DataFrame, batch: DataFrame) -> DataFrame:
+def upsert_posts(existing: DataFrame, batch: DataFrame | None = None) -> DataFrame:
     """Latest state per post: newest ``last_seen_at`` wins, equal times by greatest tuple."""
     columns = (
         "board_id", "post_id", "last_seen_at", "published_at", "title", "analysis_unit", "category",
         "source_url", "is_notice", "is_ad",
     )
-    both = existing.select(*columns).unionByName(batch.select(*columns))
+    both = existing.select(*columns)
+    if batch is not None:
+        both = both.unionByName(batch.select(*columns))
     rank = F.struct(
         "last_seen_at", "published_at", "title", "analysis_unit",
         F.coalesce("category", F.lit("")).alias("_category"), "source_url", "is_notice", "is_ad",

@@ -138,7 +138,7 @@ SNAPSHOT_TABLE = SNAPSHOT + ", slot_date DATE"
 
 
 def post_table(spark: SparkSession, root: str) -> MergeTable:
-    return MergeTable(spark, root, POST, lambda rows: upsert_posts(rows, rows.limit(0)))
+    return MergeTable(spark, root, POST, upsert_posts)
 
 
 def snapshot_table(spark: SparkSession, root: str) -> MergeTable:
