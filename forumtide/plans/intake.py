@@ -15,7 +15,8 @@ from forumtide.functions.values import (
 )
 from forumtide.operators import ranking
 from forumtide.plans import tables as t
-from forumtide.plans.catalog import query
+from forumtide.plans import merging  # noqa: F401  (registers a query whose SQL is shared)
+from forumtide.plans.catalog import QUERIES, query
 from forumtide.registry import SELECTION_POLICY
 from forumtide.session import scratch_path
 from forumtide.sources import artifact, bundle, comments, contracts, pages
@@ -507,38 +508,119 @@ def artifact_roundtrip(spark, folder):
 
 
 _EVENT = "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING"
+_LINE = (
+    "l_orderkey BIGINT, l_linenumber INT, l_quantity DOUBLE, l_extendedprice DOUBLE, "
+    "l_returnflag STRING, l_shipdate TIMESTAMP_NTZ"
+)
+_DOCUMENT = "doc_id BIGINT, text STRING, lang STRING"
 
 
-def _event_stream(spark, folder):
+def _stream(spark, folder, name, schema):
+    """One of the supplied tables as a file stream."""
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
     return (
-        spark.readStream.schema(_EVENT).option("pathGlobFilter", "events.parquet").parquet(folder)
+        spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet").parquet(folder)
     )
 
 
 @query(
-    "STR-1 STR-4",
+    "STR-1",
     f"""SELECT {t.SLOT} AS slot, user_id, CAST(floor(max(value)) AS BIGINT) AS views,
        CAST(floor(max(value * 2)) AS BIGINT) AS recommendations,
        CAST(floor(max(value * 3)) AS BIGINT) AS comments
 FROM events GROUP BY ALL""",
 )
 def slot_stream(spark, folder):
-    """Slot snapshots of the event stream, driven over all available input.
+    """Slot snapshots of the event stream in update mode, merged on read.
 
-    Every event is sent twice; replays within the watermark are dropped.
+    State is bounded by the watermark; the last slots need no later event to appear.
     """
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
-    events = _event_stream(spark, folder).withColumn("copy", F.explode(F.array(F.lit(1), F.lit(2))))
-    timed = slots.with_event_time(events, "ts", "40 days")
-    once = slots.suppress_replays(timed, ("event_id",)).select(
+    timed = slots.with_event_time(_stream(spark, folder, "events", _EVENT), "ts", "2 days")
+    counted = timed.select(
         "ts", "user_id", F.floor("value").cast("bigint").alias("views"),
         F.floor(F.col("value") * 2).cast("bigint").alias("recommendations"),
         F.floor(F.col("value") * 3).cast("bigint").alias("comments"),
     )
-    snapshots = slots.slot_snapshots(once, "ts", ("user_id",))
-    path, state = scratch_path(spark, "slots"), scratch_path(spark, "slots-state")
-    done = slots.run_to_folder(snapshots, path, state, "append")
-    return spark.read.parquet(done).select(
-        F.col("slot").cast("timestamp_ntz").alias("slot"), "user_id", "views", "recommendations",
-        "comments",
+    snapshots = slots.slot_snapshots(counted, "ts", ("user_id",))
+    path = scratch_path(spark, "slots")
+    slots.run_to_folder(snapshots, path, scratch_path(spark, "slots-state"), "update")
+    return slots.read_slots(spark, path, ("user_id",))
+
+
+@query("STR-4", "SELECT event_id, user_id, event_type FROM events")
+def replay_stream(spark, folder):
+    """Every event sent three times; the copies are dropped within the watermark."""
+    events = _stream(spark, folder, "events", _EVENT).withColumn(
+        "copy", F.explode(F.array(F.lit(1), F.lit(2), F.lit(3)))
+    )
+    once = slots.suppress_replays(slots.with_event_time(events, "ts", "2 days"), ("event_id",))
+    path = scratch_path(spark, "replays")
+    slots.run_to_folder(
+        once.select("event_id", "user_id", "event_type"), path,
+        scratch_path(spark, "replays-state"), "append",
+    )
+    return spark.read.parquet(path).select("event_id", "user_id", "event_type")
+
+
+def _observation_stream(spark, folder):
+    """Line items as a stream of observations, joined to the posts as a static table."""
+    lines = _stream(spark, folder, "lineitem", _LINE).select(
+        F.col("l_orderkey").alias("post_id"), F.col("l_shipdate").alias("slot"),
+        (F.col("l_shipdate") + F.make_dt_interval(F.lit(0), F.col("l_linenumber"))).alias("observed_at"),
+        F.floor("l_extendedprice").cast("bigint").alias("views"),
+        F.floor("l_quantity").cast("bigint").alias("recommendations"),
+        (F.col("l_linenumber") - 1).cast("bigint").alias("comments"), "l_returnflag",
+    )
+    return lines.join(t.posts(spark, folder), "post_id").withColumn(
+        "title", F.concat("title", F.lit(" "), "l_returnflag")
+    ).withColumn("config_version", F.lit(t.VERSION)).drop("l_returnflag")
+
+
+def _upserted(spark, folder):
+    posts = slots.post_table(spark, scratch_path(spark, "posts"))
+    snapshots = slots.snapshot_table(spark, scratch_path(spark, "snapshots"))
+    query_ = slots.upsert_stream(
+        _observation_stream(spark, folder), posts, snapshots, scratch_path(spark, "upsert-state")
     )
+    query_.awaitTermination()
+    return posts, snapshots
+
+
+@query("STR-2", QUERIES["canonical_posts"].sql)
+def upsert_stream_posts(spark, folder):
+    """The post table a stream of observations leaves behind."""
+    posts, _ = _upserted(spark, folder)
+    posts.compact()
+    return posts.read()
+
+
+@query(
+    "STR-2",
+    f"""WITH {t.OBSERVATIONS}
+SELECT board_id, post_id, slot, max(observed_at) AS observed_at, max(views) AS views,
+       max(recommendations) AS recommendations, max(comments) AS comments
+FROM observations GROUP BY ALL""",
+)
+def upsert_stream_snapshots(spark, folder):
+    """The snapshot table a stream of observations leaves behind."""
+    _, snapshots = _upserted(spark, folder)
+    return snapshots.read().drop("config_version", "slot_month")
+
+
+@query(
+    "STR-5",
+    """SELECT doc_id, lang, regexp_matches(text, '(?i)licensed under (?:the )?[a-z-]+')
+  OR regexp_matches(text, '(?i)token = "[0-9a-f]{8,}"') AS quarantined FROM documents""",
+)
+def screened_stream(spark, folder):
+    """Documents screened as they stream in, safe and quarantined branches stored apart."""
+    documents = _stream(spark, folder, "documents", _DOCUMENT)
+    safe, held = slots.split_screened(documents, "text", t.SAMPLE_RULES, 60)
+    stored = []
+    for name, branch, flag in (("safe", safe, False), ("held", held, True)):
+        path = scratch_path(spark, f"screened-{name}")
+        slots.run_to_folder(
+            branch.select("doc_id", "lang"), path, scratch_path(spark, f"{name}-state"), "append"
+        )
+        stored.append(spark.read.parquet(path).select("doc_id", "lang", F.lit(flag).alias("quarantined")))
+    return stored[0].unionByName(stored[1])

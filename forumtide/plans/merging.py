@@ -301,12 +301,14 @@ reached AS (
   SELECT *, prior IS NULL OR coalesce(pages_read >= boundary_page + 1, false) AS boundary_reached
   FROM stops),
 status AS (
-  SELECT s.source_key, s.pages_read, s.boundary_reached,
-         CASE WHEN s.boundary_reached THEN max(r.post_id) FILTER (NOT is_notice AND NOT is_ad)
+  SELECT s.source_key, any_value(s.pages_read) AS pages_read,
+         bool_and(s.boundary_reached) AS boundary_reached,
+         CASE WHEN bool_and(s.boundary_reached)
+              THEN max(r.post_id) FILTER (NOT is_notice AND NOT is_ad)
               ELSE any_value(s.prior) END AS high_water,
-         CASE WHEN s.boundary_reached THEN 'succeeded' ELSE 'partial' END AS status
+         CASE WHEN bool_and(s.boundary_reached) THEN 'succeeded' ELSE 'partial' END AS status
   FROM reached s JOIN page_rows r ON r.source_key = s.source_key AND r.page BETWEEN 1 AND s.pages_read
-  GROUP BY ALL)"""
+  GROUP BY s.source_key)"""
 
 
 def _status(spark, folder):

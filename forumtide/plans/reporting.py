@@ -179,9 +179,9 @@ found AS (
       WHEN 'signup' THEN NULL
       ELSE (SELECT CASE WHEN c > here THEN c - INTERVAL 1 DAY ELSE c END
             FROM (SELECT try_strptime(strftime(here, '%Y-%m-%d') || ' ' || cell,
-                                      '%Y-%m-%d %H:%M') AS c)) END AS at
+                                      '%Y-%m-%d %H:%M') AS c)) END AS found_at
   FROM cells)
-SELECT event_id, cell, at - INTERVAL 9 HOURS AS published_at FROM found""",
+SELECT event_id, cell, found_at - INTERVAL 9 HOURS AS published_at FROM found""",
 )
 def relative_times(spark, folder):
     """Source date cells built from event times, read back against the event time."""

@@ -15,6 +15,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from forumtide.functions.time import slot_window
 from forumtide.operators.merge import (
+    COUNTERS,
     POST_KEY,
     SNAPSHOT_KEY,
     merge_snapshots,
@@ -97,9 +98,12 @@ class MergeTable:
         return sorted(int(s.getPath().getParent().getName()[2:]) for s in found)
 
     def _write(self, rows: DataFrame, kind: str, number: int) -> None:
-        writer = rows.write.mode("overwrite")
+        # Rebalancing gives each partition value few files and splits a large one.
         if self.partition:
-            writer = writer.partitionBy(self.partition)
+            writer = rows.hint("rebalance", self.partition).write.partitionBy(self.partition)
+        else:
+            writer = rows.hint("rebalance").write
+        writer = writer.mode("overwrite")
         writer.parquet(f"{self.root}/{kind}/n={number}")
 
     def append(self, rows: DataFrame, number: int) -> None:
@@ -134,7 +138,7 @@ class MergeTable:
             self._write(self.read(batches[-1] + 1), "base", batches[-1])
 
 
-SNAPSHOT_TABLE = SNAPSHOT + ", slot_date DATE"
+SNAPSHOT_TABLE = SNAPSHOT + ", slot_month DATE"
 
 
 def post_table(spark: SparkSession, root: str) -> MergeTable:
@@ -142,14 +146,14 @@ def post_table(spark: SparkSession, root: str) -> MergeTable:
 
 
 def snapshot_table(spark: SparkSession, root: str) -> MergeTable:
-    """Snapshots partitioned by the date of their slot."""
+    """Snapshots partitioned by the month of their slot."""
 
     def merged(rows: DataFrame) -> DataFrame:
-        return merge_snapshots_strict(rows.drop("slot_date")).withColumn(
-            "slot_date", F.to_date("slot")
+        return merge_snapshots_strict(rows.drop("slot_month")).withColumn(
+            "slot_month", F.trunc("slot", "month")
         )
 
-    return MergeTable(spark, root, SNAPSHOT_TABLE, merged, "slot_date")
+    return MergeTable(spark, root, SNAPSHOT_TABLE, merged, "slot_month")
 
 
 def upsert_stream(
@@ -166,13 +170,13 @@ def upsert_stream(
         batch.persist()
         try:
             fresh = merge_snapshots_strict(batch.select(*SNAPSHOT_COLUMNS)).withColumn(
-                "slot_date", F.to_date("slot")
+                "slot_month", F.trunc("slot", "month")
             )
-            # A micro-batch spans few slots, so its dates are a short list.
-            dates = [r[0] for r in batch.select(F.to_date("slot")).distinct().collect()]
-            stored = snapshots.rows(number).where(F.col("slot_date").isin(dates))
+            # The months of a batch are a short list, at most twelve a year of history.
+            months = [r[0] for r in batch.select(F.trunc("slot", "month")).distinct().collect()]
+            stored = snapshots.rows(number).where(F.col("slot_month").isin(months))
             same_keys = stored.join(fresh.select(*SNAPSHOT_KEY), list(SNAPSHOT_KEY), "left_semi")
-            both = fresh.unionByName(same_keys).drop("slot_date")
+            both = fresh.unionByName(same_keys).drop("slot_month")
             if merge_snapshots(both)[1].take(1):
                 raise ValueError("snapshot slot belongs to another configuration")
             seen = batch.withColumn("last_seen_at", F.col("observed_at"))
@@ -189,17 +193,15 @@ def upsert_stream(
     )
 
 
-def run_to_folder(rows: DataFrame, path: str, checkpoint: str, mode: str) -> str:
-    """Drive a stream over everything available; returns the folder of the last batch.
+def run_to_folder(rows: DataFrame, path: str, checkpoint: str, mode: str) -> None:
+    """Drive a stream over everything available, one folder per micro-batch.
 
-    In complete mode that folder holds the whole result. The stream has finished when
-    this returns, so the folder is stable to read.
+    A batch delivered twice overwrites its own folder. In update mode a key may appear in
+    several folders; read those with a merge.
     """
-    last: list[int] = []
 
     def save(batch: DataFrame, number: int) -> None:
         batch.write.mode("overwrite").parquet(f"{path}/n={number}")
-        last.append(number)
 
     query = (
         rows.writeStream.outputMode(mode).foreachBatch(save)
@@ -208,7 +210,15 @@ def run_to_folder(rows: DataFrame, path: str, checkpoint: str, mode: str) -> str
         .start()
     )
     query.awaitTermination()
-    return f"{path}/n={last[-1]}"
+
+
+def read_slots(spark: SparkSession, path: str, keys: Sequence[str] = POST_KEY) -> DataFrame:
+    """Slot snapshots stored by an update-mode stream, greatest value of each counter."""
+    return (
+        spark.read.parquet(path)
+        .groupBy(F.col("slot").cast("timestamp_ntz").alias("slot"), *keys)
+        .agg(*[F.max(name).alias(name) for name in COUNTERS])
+    )
 
 
 def on_new_release(
