@@ -11,6 +11,7 @@ from __future__ import annotations
 import html
 import re
 import unicodedata
+from collections.abc import Callable
 from html.parser import HTMLParser
 
 import pandas as pd
@@ -33,6 +34,14 @@ SPACE = r"[\s\x1c-\x1f]"
 _SKIPPED_TAGS = ("script", "style", "template")
 
 
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once, however often ``use`` mentions it.
+
+    Inside a lambda over array elements Spark does not share common subexpressions.
+    """
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def is_stable(text: Column) -> Column:
     """True when NFKC leaves the text alone and it has no invisible characters."""
     return ~text.rlike(f"[^{STABLE_CHARS}]")

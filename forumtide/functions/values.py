@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from forumtide.functions.text import SPACE, strip
+from forumtide.functions.text import SPACE, let, strip
 
 # Integer text format and limits of list pages.
 GROUPED_INTEGER = r"^(?:[0-9]+|[0-9]{1,3}(?:,[0-9]{3})+)\z"
@@ -24,9 +24,12 @@ FORMULA_PREFIX = r"^[=+\-@\t\r]"
 
 def grouped_integer(value: Column) -> Column:
     """Non-negative integer with optional well-formed thousands commas, else null."""
-    compact = strip(value)
-    fits = (F.char_length(compact) <= MAX_INTEGER_TEXT) & compact.rlike(GROUPED_INTEGER)
-    return F.when(fits, F.replace(compact, F.lit(","), F.lit("")).try_cast("bigint"))
+
+    def read(compact: Column) -> Column:
+        fits = (F.char_length(compact) <= MAX_INTEGER_TEXT) & compact.rlike(GROUPED_INTEGER)
+        return F.when(fits, F.replace(compact, F.lit(","), F.lit("")).try_cast("bigint"))
+
+    return let(strip(value), read)
 
 
 @dataclass(frozen=True)
@@ -59,37 +62,50 @@ def article_identity(href: Column, board_id: Column, site: Site) -> Column:
         rf"^(?:(?i:https)://(?i:{host})(?::0*443|:)?)?"
         rf"{re.escape(site.board_path)}/([0-9]+)/([0-9]+)(?:\?([^#]*))?\z"
     )
-    clean = (
-        href.isNotNull()
-        & F.char_length(href).between(1, MAX_HREF)
-        & ~href.rlike(f"(?U){SPACE}")
-        & ~href.contains("#")
+    clean = F.coalesce(
+        F.char_length(href).between(1, MAX_HREF)
+        & ~href.contains("#") & ~href.rlike(f"(?U){SPACE}"),
+        F.lit(False),
     )
     query = F.regexp_extract(href, shape, 3)
-    pair = F.split(query, "=", 2)
-    name = F.try_url_decode(F.get(pair, F.lit(0)))
-    text = F.try_url_decode(F.get(pair, F.lit(1)))
-    page = F.when(text.rlike(r"^[0-9]+\z"), text.try_cast("bigint"))
-    known = (name == "p") & page.between(1, site.max_page)
-    if site.category is not None:
-        known = known | ((name == "category") & (text == site.category))
-    query_ok = ~href.contains("?") | (~query.contains("&") & F.coalesce(known, F.lit(False)))
-    board = F.regexp_extract(href, shape, 1).try_cast("bigint")
-    post = F.regexp_extract(href, shape, 2).try_cast("bigint")
-    reason = (
-        F.when(~clean | href.isNull(), "malformed")
-        .when(~href.rlike(shape), "foreign")
-        .when(~query_ok, "query")
-        .when(board.isNull() | (board != board_id), "board")
-        .when(post.isNull() | (post < 1), "post")
+
+    def known(pair: Column) -> Column:
+        name, text = F.try_url_decode(F.get(pair, F.lit(0))), F.try_url_decode(F.get(pair, F.lit(1)))
+        page = F.when(text.rlike(r"^[0-9]+\z"), text.try_cast("bigint"))
+        found = (name == "p") & page.between(1, site.max_page)
+        if site.category is not None:
+            found = found | ((name == "category") & (text == site.category))
+        return F.coalesce(found, F.lit(False))
+
+    query_ok = ~href.contains("?") | (
+        ~query.contains("&") & let(F.split(query, "=", 2), known)
     )
-    accepted = reason.isNull()
-    return F.struct(
-        F.when(accepted, post).alias("post_id"),
-        F.when(accepted, site.article_url(board_id, post)).alias("url"),
-        reason.alias("reason"),
+    parts = F.struct(
+        (clean & href.rlike(shape)).alias("ours"),
+        F.regexp_extract(href, shape, 1).try_cast("bigint").alias("board"),
+        F.regexp_extract(href, shape, 2).try_cast("bigint").alias("post"),
     )
 
+    def judged(part: Column) -> Column:
+        reason = (
+            F.when(~clean, "malformed")
+            .when(~part["ours"], "foreign")
+            .when(~query_ok, "query")
+            .when(part["board"].isNull() | (part["board"] != board_id), "board")
+            .when(part["post"].isNull() | (part["post"] < 1), "post")
+        )
+        return F.struct(part["post"].alias("post"), part["board"].alias("board"), reason.alias("reason"))
+
+    def shown(found: Column) -> Column:
+        accepted = found["reason"].isNull()
+        return F.struct(
+            F.when(accepted, found["post"]).alias("post_id"),
+            F.when(accepted, site.article_url(found["board"], found["post"])).alias("url"),
+            found["reason"].alias("reason"),
+        )
+
+    return let(let(parts, judged), shown)
+
 
 def safe_cell(value: Column) -> Column:
     """Neutralise a string cell that a spreadsheet would run as a formula."""

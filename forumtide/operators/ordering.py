@@ -13,6 +13,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from forumtide.session import materialize
+
 # Bits resolved per level: at most 2**16 buckets meet in one window.
 LEVEL_BITS = 16
 
@@ -30,15 +32,17 @@ def unit_bucket(value: Column) -> Column:
 def ranked_values(rows: DataFrame, keys: Sequence[str], value: str, bucket: Column) -> DataFrame:
     """Distinct values per key with ``n`` copies, rows ``before`` and rows in ``total``.
 
-    ``bucket`` must not decrease as the value grows.
+    ``bucket`` must not decrease as the value grows. The counted values are stored once,
+    since all three levels read them; this runs a job.
     """
     keys = list(keys)
-    counted = (
+    counted = materialize(
         rows.where(F.col(value).isNotNull())
         .groupBy(*keys, value)
         .agg(F.count(F.lit(1)).alias("n"))
         .withColumn("_b0", bucket)
-        .withColumn("_b1", F.shiftright("_b0", LEVEL_BITS))
+        .withColumn("_b1", F.shiftright("_b0", LEVEL_BITS)),
+        "values",
     )
 
     def earlier(partition: list[str], order: str) -> Column:
@@ -49,13 +53,9 @@ def ranked_values(rows: DataFrame, keys: Sequence[str], value: str, bucket: Colu
 
     fine = counted.groupBy(*keys, "_b1", "_b0").agg(F.sum("n").alias("n"))
     coarse = fine.groupBy(*keys, "_b1").agg(F.sum("n").alias("n"))
-    whole = Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))
     top = coarse.select(
-        *keys, "_b1",
-        earlier(keys, "_b1").alias("_above") if keys else F.coalesce(
-            F.sum("n").over(Window.partitionBy(F.lit(0)).orderBy("_b1").rowsBetween(
-                Window.unboundedPreceding, -1)), F.lit(0).cast("bigint")).alias("_above"),
-        F.sum("n").over(whole).alias("total"),
+        *keys, "_b1", earlier(keys, "_b1").alias("_above"),
+        F.sum("n").over(Window.partitionBy(*keys)).alias("total"),
     )
     middle = fine.select(
         *keys, "_b1", "_b0", earlier([*keys, "_b1"], "_b0").alias("_mid")

@@ -17,6 +17,7 @@ from forumtide.operators.ordering import (
     unit_bucket,
 )
 from forumtide.params import RisingSpec
+from forumtide.session import materialize
 
 RISING_METRICS = ("recommendations", "comments", "views")
 P90 = 0.90
@@ -85,12 +86,13 @@ def rising_scores(
     """Score valid posts within comparable groups.
 
     Percentiles are taken on the deltas themselves: ``log1p`` keeps their order. All six
-    delta columns are ranked together as one long column.
+    delta columns are ranked together as one long column. Deltas and paces are read by
+    several steps and stored once each; this runs jobs.
     """
     columns = [f"{p}{m}_delta" for p in ("", "prior_") for m in RISING_METRICS]
     ids = list(dict.fromkeys([*POST_KEY, *group]))
     valid = deltas.where(F.col("sample_state") == "valid").select(*ids, *columns)
-    long = valid.unpivot(ids, columns, "measure", "delta")
+    long = materialize(valid, "deltas").unpivot(ids, columns, "measure", "delta")
     keys = [*group, "measure"]
     ranks = ranked_values(long, keys, "delta", integer_bucket(F.col("delta"))).select(
         *keys, "delta", average_percentile().alias("percentile")
@@ -110,15 +112,12 @@ def rising_scores(
         parts = [F.lit(weights[m]) * F.col(f"{prefix}{m}_percentile") for m in RISING_METRICS]
         return reduce(lambda a, b: a + b, parts)
 
-    paced = (
+    change = F.col("engagement_intensity") - F.col("prior_engagement_intensity")
+    paced = materialize(
         wide.withColumn("engagement_intensity", intensity(""))
         .withColumn("prior_engagement_intensity", intensity("prior_"))
-        .withColumn(
-            "acceleration",
-            F.greatest(
-                F.col("engagement_intensity") - F.col("prior_engagement_intensity"), F.lit(0.0)
-            ),
-        )
+        .withColumn("acceleration", F.greatest(change, F.lit(0.0))),
+        "paces",
     )
     pace = ranked_values(
         paced, list(group), "acceleration", unit_bucket(F.col("acceleration"))
@@ -130,11 +129,19 @@ def rising_scores(
     return paced.join(pace, [*group, "acceleration"]).withColumn("rising_score", score)
 
 
+def _extra(category: str, cohort: tuple[str, ...]) -> list[str]:
+    return [] if category in (*POST_KEY, *cohort) else [category]
+
+
 def category_scores(
     scored: DataFrame, category: str, spec: RisingSpec = RisingSpec(),
     cohort: tuple[str, ...] = ("window_hours",),
 ) -> DataFrame:
-    """Blend of the strongest posts' mean and the share above the cohort's 90th percentile."""
+    """Blend of the strongest posts' mean and the share above the cohort's 90th percentile.
+
+    The scores are read three times and stored once; this runs jobs.
+    """
+    scored = materialize(scored.select(*POST_KEY, *cohort, *_extra(category, cohort), "rising_score"), "scores")
     threshold = exact_quantile(
         scored, cohort, "rising_score", unit_bucket(F.col("rising_score")), P90, "_p90"
     )

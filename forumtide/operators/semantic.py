@@ -22,6 +22,7 @@ from forumtide.registry import (
     Lexicon,
     ScanRule,
 )
+from forumtide.session import materialize
 
 # Stored excerpt length, joiner, and the size below which shares are indicative.
 EXCERPT_CHARS = 500
@@ -71,44 +72,51 @@ def label_threads(
     ``bodies`` has ``board_id, post_id, body, reported_count, error``; ``comments`` has
     ``board_id, post_id, comment_id, parent_id, published_at, text``. A screened body
     drops its thread and its comments are not looked at; a screened comment drops alone.
-    Labels read the whole text; only the stored excerpt is cut.
+    Labels read the whole text; only the stored excerpt is cut. Screened and labelled
+    texts are stored once, so that posts, comments and counts share one pass of Python;
+    this runs jobs.
     """
     key = list(POST_KEY)
+    missing = F.when(F.col("body").isNull(), F.coalesce("error", F.lit("missing")))
     joined = candidates.join(
         bodies.select(*POST_KEY, "body", "reported_count", "error"), key, "left"
-    ).withColumn("error", F.when(F.col("body").isNull(), F.coalesce("error", F.lit("missing")))
-                 .otherwise(F.col("error")))
+    ).withColumn("error", missing.otherwise(F.col("error")))
     failures = joined.where(F.col("error").isNotNull()).select(*POST_KEY, "error")
-    checked = scan(joined.where(F.col("error").isNull()), "body", rules, "body_")
-    body_bad = F.col("body_risk_score") >= threshold
-    safe_posts = checked.where(~body_bad)
+    scanned = scan(joined.where(F.col("error").isNull()), "body", rules, "body_")
+    context = F.concat_ws(" ", F.coalesce("title", F.lit("")), "body_normalized")
+    checked = materialize(
+        label_context(label_sentiment(scanned, "body_normalized", lexicon), context, lexicon)
+        .withColumn("blocked", F.col("body_risk_score") >= threshold)
+        .drop("body", "body_findings"),
+        "bodies",
+    )
+    safe_posts = checked.where(~F.col("blocked"))
 
     parsed = comments.join(safe_posts.select(*POST_KEY), key, "left_semi")
-    scanned = scan(parsed, "text", rules, "text_")
-    comment_bad = F.col("text_risk_score") >= threshold
-    safe_comments = label_sentiment(scanned.where(~comment_bad), "text_normalized", lexicon)
+    notes = materialize(
+        label_sentiment(scan(parsed, "text", rules, "text_"), "text_normalized", lexicon)
+        .withColumn("blocked", F.col("text_risk_score") >= threshold)
+        .drop("text", "text_findings"),
+        "comments",
+    )
+    safe_comments = notes.where(~F.col("blocked"))
     screened = (
-        checked.where(body_bad)
+        checked.where("blocked")
         .select(*POST_KEY, F.lit(None).cast("bigint").alias("comment_id"), F.lit("body").alias("kind"))
         .unionByName(
-            scanned.where(comment_bad).select(
+            notes.where("blocked").select(
                 *POST_KEY, F.col("comment_id").cast("bigint"), F.lit("comment").alias("kind")
             )
         )
     )
 
-    seen = scanned.groupBy(*POST_KEY).agg(
-        F.count(F.lit(1)).alias("_parsed"), F.count_if(~comment_bad).alias("_kept")
+    seen = notes.groupBy(*POST_KEY).agg(
+        F.count(F.lit(1)).alias("_parsed"), F.count_if(~F.col("blocked")).alias("_kept")
     )
     reactions = comment_reaction(safe_comments, POST_KEY)
-    labelled = label_context(
-        label_sentiment(safe_posts, "body_normalized", lexicon),
-        F.concat_ws(" ", F.coalesce("title", F.lit("")), "body_normalized"),
-        lexicon,
-    )
     zero = F.lit(0).cast("bigint")
     posts = (
-        labelled.join(seen, key, "left").join(reactions, key, "left")
+        safe_posts.join(seen, key, "left").join(reactions, key, "left")
         .select(
             *POST_KEY, "analysis_unit", "title", "published_at", "source_url", "selection_reason",
             F.col("views").cast("bigint").alias("views"),

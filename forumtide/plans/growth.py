@@ -227,21 +227,16 @@ def opinion_daily(spark, folder):
     f"""WITH {t.LATEST},
 medians AS (SELECT analysis_unit, quantile_cont(views::DOUBLE, 0.5) AS m FROM latest GROUP BY ALL)
 SELECT board_id, post_id, l.analysis_unit, views,
-       round(views / greatest(date_diff('second', published_at, slot) / CAST(86400 AS DOUBLE), 1), 6)
+       views / greatest(date_diff('second', published_at, slot) / CAST(86400 AS DOUBLE), 1)
          AS views_per_day,
-       round(CASE WHEN views > 0 THEN comments * 1000 / views ELSE 0 END, 6) AS comments_per_1000_views,
-       round(CASE WHEN views > 0 THEN recommendations * 1000 / views ELSE 0 END, 6)
+       CASE WHEN views > 0 THEN comments * 1000 / views ELSE 0 END AS comments_per_1000_views,
+       CASE WHEN views > 0 THEN recommendations * 1000 / views ELSE 0 END
          AS recommendations_per_1000_views,
-       m AS unit_median_views, round(views / m, 6) AS views_to_unit_median
+       m AS unit_median_views, views / m AS views_to_unit_median
 FROM latest l JOIN medians USING (analysis_unit)""",
 )
 def derived_measures(spark, folder):
-    rows = derived.derived_measures(t.latest(spark, folder))
-    rounded = (
-        "views_per_day", "comments_per_1000_views", "recommendations_per_1000_views",
-        "views_to_unit_median",
-    )
-    return rows.select(*[F.round(c, 6).alias(c) if c in rounded else F.col(c) for c in rows.columns])
+    return derived.derived_measures(t.latest(spark, folder))
 
 
 @query(

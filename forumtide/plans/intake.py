@@ -275,13 +275,13 @@ def plain_texts(spark, folder):
 
 
 _FETCHED = datetime(2024, 1, 1, 3, 0, 0)
-PER_PAGE = 20
+PER_PAGE = 500
 
 
 def _list_pages(spark, folder):
     """List pages written from the orders: one page per board and run of post ids.
 
-    A page holds at most twenty rows by construction, so gathering them is bounded.
+    A page holds one board of at most 500 neighbouring ids, so gathering its rows is bounded.
     """
     rows = t.posts(spark, folder).withColumn("page", F.floor(F.col("post_id") / PER_PAGE).cast("int"))
     cell = F.concat(

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import shutil
 import tempfile
 import uuid
+from pathlib import Path
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(app: str = "forumtide", master: str | None = None, **conf: str) -> SparkSession:
@@ -27,7 +29,27 @@ def build_session(app: str = "forumtide", master: str | None = None, **conf: str
     settings.update({key.replace("__", "."): value for key, value in conf.items()})
     for key, value in settings.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    spark = builder.getOrCreate()
+    ship_package(spark)
+    return spark
+
+
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once per application.
+
+    Workers on other machines, or started from another folder, cannot import it otherwise.
+    """
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    package = Path(__file__).resolve().parent
+    base = Path(tempfile.mkdtemp(prefix="spark-", dir="/tmp")) / package.name
+    archive = shutil.make_archive(str(base), "zip", root_dir=package.parent, base_dir=package.name)
+    context.addPyFile(archive)
+    _shipped.add(context.applicationId)
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -54,3 +76,14 @@ def shared_folder(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new, unused path below the shared folder."""
     return f"{shared_folder(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
+def materialize(frame: DataFrame, label: str) -> DataFrame:
+    """Write a frame to the shared folder once and read it back.
+
+    For a frame several later steps use: its lineage is cut there, a lost executor does
+    not bring it back, and the stored size lets Spark choose joins. This runs a job.
+    """
+    path = scratch_path(frame.sparkSession, label)
+    frame.write.parquet(path)
+    return frame.sparkSession.read.schema(frame.schema).parquet(path)

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
-from forumtide.functions.text import plain_text
+from forumtide.functions.text import let, plain_text
 from forumtide.functions.time import source_time
 from forumtide.functions.values import Site, article_identity, grouped_integer
 from forumtide.operators.validate import map_units, row_kind
@@ -167,46 +167,55 @@ def page_fields(html: bytes, board_path: str) -> tuple[str, list[dict]]:
 def _checked_row(row: Column, board_id: Column, fetched_at: Column, site: Site) -> Column:
     """One raw row as typed fields with the first broken rule as ``reason``."""
     n_cells = F.size(row["cells"])
-    identity = article_identity(row["href"], board_id, site)
-    category = F.trim(F.regexp_extract(row["category"], CATEGORY_MARK, 1))
-    counted = F.when(row["comment"] == "", F.lit(0).cast("bigint")).otherwise(
-        grouped_integer(F.regexp_extract(row["comment"], COMMENT_MARK, 1))
-    )
-    kind = row_kind(row["classes"], row["label"])
+    mark = F.regexp_extract(row["comment"], COMMENT_MARK, 1)
 
     def cell(at: int) -> Column:
         return F.get(row["cells"], F.lit(at))
 
-    published = source_time(cell(DATE_CELL), fetched_at)
-    views, recommendations = grouped_integer(cell(VIEWS_CELL)), grouped_integer(cell(RECO_CELL))
+    typed = F.struct(
+        article_identity(row["href"], board_id, site).alias("link"),
+        F.trim(F.regexp_extract(row["category"], CATEGORY_MARK, 1)).alias("category"),
+        F.when(row["comment"] == "", F.lit(0).cast("bigint")).otherwise(grouped_integer(mark))
+        .alias("comments"),
+        row_kind(row["classes"], row["label"]).alias("kind"),
+        source_time(cell(DATE_CELL), fetched_at).alias("published_at"),
+        grouped_integer(cell(VIEWS_CELL)).alias("views"),
+        grouped_integer(cell(RECO_CELL)).alias("recommendations"),
+    )
     classes_ok = F.lit(True)
     for at, name in enumerate(CELL_CLASSES):
-        held = F.array_contains(F.split(F.get(row["cell_classes"], F.lit(at)), " "), name)
-        classes_ok = classes_ok & F.coalesce(held, F.lit(False))
-    empty = (n_cells == 0) & (row["row_text"] == "")
-    reason = (
-        F.when(empty, F.lit(None).cast("string"))
-        .when(n_cells != len(HEADER), "cell count")
-        .when(~classes_ok, "cell classes")
-        .when(row["wraps"] != 1, "title structure")
-        .when(row["links"] != 1, "anchor")
-        .when(row["article_links"] != 1, "ambiguous url")
-        .when(identity["reason"].isNotNull(), F.concat(F.lit("url "), identity["reason"]))
-        .when((row["category_marks"] != 1) | (category == ""), "category")
-        .when((row["lead"] != "") | (row["title"] == ""), "title")
-        .when((row["comment_marks"] != 1) | counted.isNull(), "comments")
-        .when(kind["ambiguous"], "row kind")
-        .when(published.isNull(), "date")
-        .when(views.isNull(), "views")
-        .when(recommendations.isNull(), "recommendations")
-    )
-    return F.struct(
-        empty.alias("empty"), reason.alias("reason"), identity["post_id"].alias("post_id"),
-        category.alias("category"), row["title"].alias("title"), published.alias("published_at"),
-        views.alias("views"), recommendations.alias("recommendations"), counted.alias("comments"),
-        identity["url"].alias("source_url"), kind["is_notice"].alias("is_notice"),
-        kind["is_ad"].alias("is_ad"),
-    )
+        held = F.concat(F.lit(" "), F.get(row["cell_classes"], F.lit(at)), F.lit(" "))
+        classes_ok = classes_ok & F.coalesce(held.contains(f" {name} "), F.lit(False))
+
+    def judged(field: Column) -> Column:
+        empty = (n_cells == 0) & (row["row_text"] == "")
+        reason = (
+            F.when(empty, F.lit(None).cast("string"))
+            .when(n_cells != len(HEADER), "cell count")
+            .when(~classes_ok, "cell classes")
+            .when(row["wraps"] != 1, "title structure")
+            .when(row["links"] != 1, "anchor")
+            .when(row["article_links"] != 1, "ambiguous url")
+            .when(field["link"]["reason"].isNotNull(),
+                  F.concat(F.lit("url "), field["link"]["reason"]))
+            .when((row["category_marks"] != 1) | (field["category"] == ""), "category")
+            .when((row["lead"] != "") | (row["title"] == ""), "title")
+            .when((row["comment_marks"] != 1) | field["comments"].isNull(), "comments")
+            .when(field["kind"]["ambiguous"], "row kind")
+            .when(field["published_at"].isNull(), "date")
+            .when(field["views"].isNull(), "views")
+            .when(field["recommendations"].isNull(), "recommendations")
+        )
+        return F.struct(
+            empty.alias("empty"), reason.alias("reason"),
+            field["link"]["post_id"].alias("post_id"), field["category"].alias("category"),
+            row["title"].alias("title"), field["published_at"].alias("published_at"),
+            field["views"].alias("views"), field["recommendations"].alias("recommendations"),
+            field["comments"].alias("comments"), field["link"]["url"].alias("source_url"),
+            field["kind"]["is_notice"].alias("is_notice"), field["kind"]["is_ad"].alias("is_ad"),
+        )
+
+    return let(typed, judged)
 
 
 def parse_list_pages(pages: DataFrame, site: Site) -> DataFrame:
