@@ -9,14 +9,14 @@ import sys
 import unicodedata
 from collections.abc import Sequence
 from datetime import datetime
-from functools import lru_cache
+from functools import lru_cache, reduce
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
-from forumtide.functions.text import SPACE, digest, is_stable
+from forumtide.functions.text import SPACE, digest, is_stable, let
 from forumtide.params import bounded_int, source_kind, utc_naive
 from forumtide.registry import INVISIBLE_RULE_ID, INVISIBLE_SCORE, PROMPT_RULES, ScanRule
 from forumtide.schemas import FINDING
@@ -82,9 +82,17 @@ def needs_scan(text: Column, rules: Sequence[ScanRule]) -> Column:
     """
     if not all(rule.anchors for rule in rules):
         return text.isNotNull()
-    words = sorted({anchor for rule in rules for anchor in rule.anchors})
-    pattern = "(?iu)" + "|".join(re.escape(word) for word in words)
-    return ~is_stable(text) | F.translate(text, "\n\t\r", "").rlike(pattern)
+    words = sorted({anchor.lower() for rule in rules for anchor in rule.anchors})
+    # Anchors that contain another one can add nothing.
+    words = [w for w in words if not any(o != w and o in w for o in words)]
+    joined = text
+    for control in "\n\r\t":
+        joined = F.replace(joined, F.lit(control), F.lit(""))
+
+    def any_anchor(lowered: Column) -> Column:
+        return reduce(lambda a, b: a | b, [lowered.contains(word) for word in words])
+
+    return ~is_stable(text) | let(F.lower(joined), any_anchor)
 
 
 def scan(

@@ -507,19 +507,11 @@ def artifact_roundtrip(spark, folder):
     return stored.select(*POST_KEY, "body_sentiment", "topic", "model_version")
 
 
-_EVENT = "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING"
-_LINE = (
-    "l_orderkey BIGINT, l_linenumber INT, l_quantity DOUBLE, l_extendedprice DOUBLE, "
-    "l_returnflag STRING, l_shipdate TIMESTAMP_NTZ"
-)
-_DOCUMENT = "doc_id BIGINT, text STRING, lang STRING"
-
-
-def _stream(spark, folder, name, schema):
+def _stream(spark, folder, name):
     """One of the supplied tables as a file stream."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     return (
-        spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet").parquet(folder)
+        spark.readStream.schema(t.SCHEMAS[name]).option("pathGlobFilter", f"{name}.parquet").parquet(folder)
     )
 
 
@@ -535,7 +527,7 @@ def slot_stream(spark, folder):
 
     State is bounded by the watermark; the last slots need no later event to appear.
     """
-    timed = slots.with_event_time(_stream(spark, folder, "events", _EVENT), "ts", "2 days")
+    timed = slots.with_event_time(_stream(spark, folder, "events"), "ts", "2 days")
     counted = timed.select(
         "ts", "user_id", F.floor("value").cast("bigint").alias("views"),
         F.floor(F.col("value") * 2).cast("bigint").alias("recommendations"),
@@ -550,7 +542,7 @@ def slot_stream(spark, folder):
 @query("STR-4", "SELECT event_id, user_id, event_type FROM events")
 def replay_stream(spark, folder):
     """Every event sent three times; the copies are dropped within the watermark."""
-    events = _stream(spark, folder, "events", _EVENT).withColumn(
+    events = _stream(spark, folder, "events").withColumn(
         "copy", F.explode(F.array(F.lit(1), F.lit(2), F.lit(3)))
     )
     once = slots.suppress_replays(slots.with_event_time(events, "ts", "2 days"), ("event_id",))
@@ -564,7 +556,7 @@ def replay_stream(spark, folder):
 
 def _observation_stream(spark, folder):
     """Line items as a stream of observations, joined to the posts as a static table."""
-    lines = _stream(spark, folder, "lineitem", _LINE).select(
+    lines = _stream(spark, folder, "lineitem").select(
         F.col("l_orderkey").alias("post_id"), F.col("l_shipdate").alias("slot"),
         (F.col("l_shipdate") + F.make_dt_interval(F.lit(0), F.col("l_linenumber"))).alias("observed_at"),
         F.floor("l_extendedprice").cast("bigint").alias("views"),
@@ -614,7 +606,7 @@ def upsert_stream_snapshots(spark, folder):
 )
 def screened_stream(spark, folder):
     """Documents screened as they stream in, safe and quarantined branches stored apart."""
-    documents = _stream(spark, folder, "documents", _DOCUMENT)
+    documents = _stream(spark, folder, "documents")
     safe, held = slots.split_screened(documents, "text", t.SAMPLE_RULES, 60)
     stored = []
     for name, branch, flag in (("safe", safe, False), ("held", held, True)):
