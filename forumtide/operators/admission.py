@@ -2,6 +2,8 @@
 
 All three are "until" rules over pages in order. They are computed as one aggregate
 position per source and a comparison, never as an ordered walk of a source in one task.
+The per-source results are stored before they are joined back (this runs jobs), so the
+rows are not shuffled by source, of which one may hold a third of them.
 """
 
 from __future__ import annotations
@@ -13,6 +15,7 @@ from pyspark.sql import functions as F
 
 from forumtide.operators.validate import ordinary
 from forumtide.params import AdmissionSpec
+from forumtide.session import materialize
 
 FIRST_BACKFILL_PAGE = 3
 
@@ -52,7 +55,9 @@ def incremental_status(
     reached = F.col("prior").isNull() | F.coalesce(
         F.col("pages_read") >= F.col("boundary_page") + spec.overlap_pages, F.lit(False)
     )
-    stops = found.withColumn("pages_read", read).withColumn("boundary_reached", reached)
+    stops = materialize(
+        found.withColumn("pages_read", read).withColumn("boundary_reached", reached), "stops"
+    )
     greatest = (
         pages.where(ordinary())
         .join(stops.select("source_key", "pages_read"), "source_key")
@@ -60,12 +65,13 @@ def incremental_status(
         .groupBy("source_key")
         .agg(F.max("post_id").alias("greatest"))
     )
-    return stops.join(greatest, "source_key", "left").select(
+    status = stops.join(greatest, "source_key", "left").select(
         "source_key", "pages_read", "boundary_reached",
         F.when(F.col("boundary_reached"), F.col("greatest")).otherwise(F.col("prior"))
         .alias("high_water"),
         F.when(F.col("boundary_reached"), "succeeded").otherwise("partial").alias("status"),
     )
+    return materialize(status, "status")
 
 
 def incremental_rows(rows: DataFrame, status: DataFrame) -> DataFrame:
@@ -89,10 +95,11 @@ def incremental_rows(rows: DataFrame, status: DataFrame) -> DataFrame:
 def backfill_cuts(rows: DataFrame, cutoff: datetime) -> DataFrame:
     """Per source: position of the first ordinary row older than the cutoff, if any."""
     old = ordinary() & (F.col("published_at") < F.lit(cutoff))
-    return (
+    return materialize(
         rows.groupBy("source_key")
         .agg(F.min(F.when(old, _position())).alias("cut"))
-        .withColumn("cut_page", F.shiftright("cut", 32).cast("int"))
+        .withColumn("cut_page", F.shiftright("cut", 32).cast("int")),
+        "cuts",
     )
 
 

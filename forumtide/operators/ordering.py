@@ -75,7 +75,7 @@ def average_percentile() -> Column:
 def exact_quantile(
     rows: DataFrame, keys: Sequence[str], value: str, bucket: Column, q: float, output: str
 ) -> DataFrame:
-    """Linearly interpolated quantile per key."""
+    """Linearly interpolated quantile per key, stored ready to be joined to the rows."""
     keys = list(keys)
     at = F.lit(q) * (F.col("total") - 1)
     low, high = F.floor(at), F.ceil(at)
@@ -91,4 +91,4 @@ def exact_quantile(
         F.max(at - low).alias("_part"),
     )
     between = F.col("_low") + (F.col("_high") - F.col("_low")) * F.col("_part")
-    return near.select(*keys, between.alias(output))
+    return materialize(near.select(*keys, between.alias(output)), "quantiles")

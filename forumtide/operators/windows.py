@@ -15,6 +15,7 @@ from forumtide.registry import (
     SPARSE_SUFFIX,
     SelectionPolicy,
 )
+from forumtide.session import materialize
 
 POST_VIEW = ("title", "comments", "recommendations", "views", "published_at", "source_url")
 UNANSWERED_LIMIT = 20
@@ -53,12 +54,16 @@ def window_choice(posts: DataFrame, spec: WindowSpec, end: Column) -> DataFrame:
 
 
 def select_windows(posts: DataFrame, spec: WindowSpec, unit: str | None = None) -> DataFrame:
-    """Rows of every unit's effective window (no upper bound), or of one unit."""
+    """Rows of every unit's effective window (no upper bound), or of one unit.
+
+    The per-unit choice is stored first (this runs a job), so that joining it back does
+    not shuffle the posts by unit.
+    """
     end = evidence_end(posts)
     longest = spec.fallback_hours or spec.hours
     scope = posts if unit is None else posts.where(F.col("analysis_unit") == unit)
     # Rows older than the longest window can only matter to the counts, where they add zero.
-    choice = window_choice(scope, spec, end)
+    choice = materialize(window_choice(scope, spec, end), "windows")
     recent = scope.where(F.col("published_at") >= hours_before(end, longest))
     return (
         recent.join(choice, "analysis_unit")

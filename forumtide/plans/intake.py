@@ -616,3 +616,26 @@ def screened_stream(spark, folder):
         )
         stored.append(spark.read.parquet(path).select("doc_id", "lang", F.lit(flag).alias("quarantined")))
     return stored[0].unionByName(stored[1])
+
+
+@query(
+    "STR-3",
+    """SELECT o_orderstatus, count(*) AS orders, CAST(round(sum(o_totalprice)) AS BIGINT) AS total
+FROM orders GROUP BY o_orderstatus""",
+)
+def release_stream(spark, folder):
+    """A summary written by the trigger that a newly completed folder sets off."""
+    out = scratch_path(spark, "summaries")
+
+    def summarise(release: str) -> None:
+        orders = t.load(spark, release, "orders")
+        orders.groupBy("o_orderstatus").agg(
+            F.count(F.lit(1)).alias("orders"),
+            F.round(F.sum("o_totalprice")).cast("bigint").alias("total"),
+        ).write.parquet(out)
+
+    # The orders file stands for the marker that completes the folder.
+    slots.on_new_release(
+        spark, folder, scratch_path(spark, "releases-state"), summarise, "orders.parquet"
+    ).awaitTermination()
+    return spark.read.parquet(out)

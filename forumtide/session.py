@@ -81,8 +81,10 @@ def scratch_path(spark: SparkSession, label: str) -> str:
 def materialize(frame: DataFrame, label: str) -> DataFrame:
     """Write a frame to the shared folder once and read it back.
 
-    For a frame several later steps use: its lineage is cut there, a lost executor does
-    not bring it back, and the stored size lets Spark choose joins. This runs a job.
+    For a frame several later steps use: its lineage is cut there and a lost executor does
+    not bring it back. Its stored size is exact, so a small one is broadcast by Spark's own
+    threshold and a large one is joined by shuffle; a reduced side stored this way spares
+    the large side a shuffle on a skewed key. This runs a job.
     """
     path = scratch_path(frame.sparkSession, label)
     frame.write.parquet(path)

@@ -20,7 +20,7 @@ from forumtide.sources.contracts import (
 MANIFEST = "SHA256SUMS.txt"
 RELEASE_PREFIX = "release="
 # Rows per data file. A checksum reads a whole file, so files are kept far below 2 GB.
-ROWS_PER_FILE = 2_000_000
+ROWS_PER_FILE = 500_000
 
 
 def _filesystem(spark: SparkSession, path: str):
