@@ -46,7 +46,9 @@ def let(value: Column, use: Callable[[Column], Column]) -> Column:
 
 def is_stable(text: Column) -> Column:
     """True when NFKC leaves the text alone and it has no invisible characters."""
-    return ~text.rlike(f"[^{COMMON_CHARS}]") | ~text.rlike(f"[^{STABLE_CHARS}]")
+    # A greedy run over the whole text is several times faster than a search for the first
+    # other character.
+    return text.rlike(rf"^[{COMMON_CHARS}]*\z") | text.rlike(rf"^[{STABLE_CHARS}]*\z")
 
 
 def collapse_space(text: Column) -> Column:

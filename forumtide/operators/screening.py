@@ -57,11 +57,13 @@ def scan_text(text: str, rules: Sequence[tuple[str, int, re.Pattern[str]]]) -> t
     normalized = unicodedata.normalize("NFKC", text)
     hidden = _hidden_chars()
     findings = []
-    unseen = "".join(c for c in hidden.findall(normalized) if c not in "\n\t\r")
+    found = hidden.findall(normalized)
+    unseen = "".join(c for c in found if c not in "\n\t\r")
     if unseen:
         findings.append({"rule_id": INVISIBLE_RULE_ID, "score": INVISIBLE_SCORE, **evidence(unseen)})
-    spaced, joined = hidden.sub(" ", normalized), hidden.sub("", normalized)
-    readings = [spaced] if spaced == joined else [spaced, joined]
+    readings = [normalized]
+    if found:
+        readings = [hidden.sub(" ", normalized), hidden.sub("", normalized)]
     for rule_id, score, pattern in rules:
         hits = (pattern.search(reading) for reading in readings)
         first = next((hit for hit in hits if hit), None)

@@ -14,7 +14,9 @@ from pyspark.sql import functions as F
 from forumtide.functions.text import digest
 from forumtide.functions.time import slot_of
 from forumtide.functions.values import Site
+from forumtide.operators.ranking import as_of_counters
 from forumtide.registry import Lexicon, ScanRule
+from forumtide.session import materialize
 
 SITE = Site("forum.example.com", "/board/main", category="general")
 AS_OF = datetime(1999, 6, 1, tzinfo=timezone.utc)
@@ -222,11 +224,9 @@ quarantine AS (
 
 
 def latest(spark: SparkSession, folder: str) -> DataFrame:
-    """Posts with their newest counters."""
-    from forumtide.operators.ranking import as_of_counters
-
+    """Posts with their newest counters, stored as the latest-metrics table would be."""
     counters = as_of_counters(snapshots(spark, folder))
-    return posts(spark, folder).join(counters, ["board_id", "post_id"])
+    return materialize(posts(spark, folder).join(counters, ["board_id", "post_id"]), "latest")
 
 
 LATEST = SNAPSHOTS + """,

@@ -24,10 +24,11 @@ def parse_comments(
     """
     parsed = payloads.select(*keys, F.from_json(F.col(column), PAYLOAD).alias("p"))
     reported = F.col("p.cmtcount").try_cast("bigint")
-    groups = parsed.where(reported.isNotNull()).select(
-        *keys, F.posexplode("p.commentlist").alias("g", "group")
-    )
-    items = groups.select(*keys, "g", F.posexplode("group.list").alias("i", "item"))
+    # Outer explodes and a null list instead of filters: a filter here would be pushed below
+    # the parse and repeat it.
+    listed = F.when(reported.isNotNull(), F.col("p.commentlist"))
+    groups = parsed.select(*keys, F.posexplode_outer(listed).alias("g", "group"))
+    items = groups.select(*keys, "g", F.posexplode_outer("group.list").alias("i", "item"))
     comment_id = F.col("item.__attr__.cmtidx").try_cast("bigint")
     parent = F.col("item.__attr__.cmtpidx")
     rows = items.select(

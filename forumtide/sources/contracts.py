@@ -81,7 +81,10 @@ class ContractError(ValueError):
 
 def utc_timestamp(text: Column) -> Column:
     """Timestamp text as naive UTC; text without an offset is taken as UTC; null if unreadable."""
-    clean = strip(text)
+    return _utc_from_clean(strip(text))
+
+
+def _utc_from_clean(clean: Column) -> Column:
     zoned = F.regexp_replace(clean, r"([+-][0-9]{2})\z", "$1:00")
     has_time = clean.rlike(r"[0-9]:[0-9]{2}")
     has_zone = clean.rlike(r"(?:Z|[0-9]:[0-9]{2}(?::[0-9.]+)?\s*[+-][0-9]{2}(?::?[0-9]{2})?)\z")
@@ -94,6 +97,25 @@ def utc_timestamp(text: Column) -> Column:
     return F.convert_timezone(F.current_timezone(), F.lit("UTC"), instant.cast("timestamp_ntz"))
 
 
+def _clean(column: str) -> str:
+    return f"_clean_{column}"
+
+
+def _instant(column: str) -> str:
+    return f"_at_{column}"
+
+
+def _prepared(strings: DataFrame, contract: Contract) -> DataFrame:
+    """Stripped text and parsed times of the ruled columns, computed once per row."""
+    ruled = sorted({*contract.required_text, *contract.integers, *contract.timestamps})
+    cleaned = strings.withColumns({_clean(c): strip(F.coalesce(c, F.lit(""))) for c in ruled})
+    if not contract.timestamps:
+        return cleaned
+    return cleaned.withColumns({
+        _instant(c): _utc_from_clean(F.col(_clean(c))) for c in contract.timestamps
+    })
+
+
 def _row_failures(contract: Contract) -> Column:
     failures = []
 
@@ -104,17 +126,17 @@ def _row_failures(contract: Contract) -> Column:
         ))
 
     for column in contract.required_text:
-        fail(strip(F.coalesce(F.col(column), F.lit(""))) == "", column, "blank")
+        fail(F.col(_clean(column)) == "", column, "blank")
     for column in contract.integers:
-        raw = strip(F.coalesce(F.col(column), F.lit("")))
+        raw = F.col(_clean(column))
         negative = raw.rlike(r"^-[0-9]+\z")
         digits = raw.rlike(r"^[0-9]+\z")
         fail(negative, column, "negative")
         fail(~negative & ~digits, column, "integer")
         fail(digits & raw.try_cast("bigint").isNull(), column, "range")
     for column in contract.timestamps:
-        value = strip(F.coalesce(F.col(column), F.lit("")))
-        fail((value != "") & utc_timestamp(value).isNull(), column, "timestamp")
+        value = F.col(_clean(column))
+        fail((value != "") & F.col(_instant(column)).isNull(), column, "timestamp")
         if column in contract.required_timestamps:
             fail(value == "", column, "missing")
     return F.array_compact(F.array(*failures))
@@ -134,10 +156,13 @@ def apply_contract(
     rules as ``(table, column, rule, n)``, duplicate grain rows included.
     """
     check_columns(strings, contract)
-    checked = strings.withColumn("_failed", _row_failures(contract))
-    typed = checked.where(F.size("_failed") == 0).select(*[_typed(c, contract, host) for c in contract.columns])
+    checked = _prepared(strings, contract).withColumn("_failed", _row_failures(contract))
+    kept = checked.where(F.size("_failed") == 0)
+    typed = kept.select(*[_typed(c, contract, host) for c in contract.columns])
+    # The outer form keeps Spark from repeating the rules in a filter below the explode.
     broken = (
-        checked.select(F.explode("_failed").alias("f"))
+        checked.select(F.explode_outer("_failed").alias("f"))
+        .where(F.col("f").isNotNull())
         .groupBy(F.col("f.column").alias("column"), F.col("f.rule").alias("rule"))
         .agg(F.count(F.lit(1)).alias("n"))
     )
@@ -159,9 +184,9 @@ def apply_contract(
 def _typed(column: str, contract: Contract, host: str | None) -> Column:
     value = F.col(column)
     if column in contract.integers:
-        return strip(value).try_cast("bigint").alias(column)
+        return F.col(_clean(column)).try_cast("bigint").alias(column)
     if column in contract.timestamps:
-        return utc_timestamp(value).alias(column)
+        return F.col(_instant(column)).alias(column)
     if column == contract.url_column and host is not None:
         return F.coalesce(approved_url(value, host), F.lit("")).alias(column)
     return value
