@@ -230,10 +230,11 @@ def csv_safe(spark, folder):
 
 # --- pages and comments -------------------------------------------------------------------------
 
-_PLAIN = (
-    "trim(regexp_replace(regexp_replace(replace(replace(replace(replace(inner_html, '&quot;', '\"'), "
-    "'&copy;', '©'), '&middot;', '·'), '&amp;', '&'), '<[^>]*>', ' ', 'g'), '\\s+', ' ', 'g'))"
-)
+_DECODED = "inner_html"
+for _name, _char in (("quot", '"'), ("copy", "©"), ("middot", "·"), ("amp", "&")):
+    # Entities cut off at the end of a title lack their semicolon.
+    _DECODED = f"regexp_replace({_DECODED}, '&{_name};?', '{_char}', 'g')"
+_PLAIN = f"trim(regexp_replace(regexp_replace({_DECODED}, '<[^>]*>', ' ', 'g'), '\\s+', ' ', 'g'))"
 
 
 @query(

@@ -64,7 +64,7 @@ def difference(actual: pd.DataFrame, expected: pd.DataFrame) -> str | None:
         return f"{len(one)} rows != {len(two)}"
     for x, y in zip(one, two):
         if x != y:
-            return f"{x} != {y}"
+            return f"{str(x)[:300]} != {str(y)[:300]}"
     return None
 
 
