@@ -297,11 +297,14 @@ def _list_pages(spark, folder):
         F.lit('</td><td class="user">u</td><td class="date">'),
         F.date_format("published_at", "yyyy-MM-dd"), F.lit('</td><td class="view">'),
         F.format_number(F.col("post_id"), 0), F.lit('</td><td class="reco">'),
-        F.when(F.col("category") == "5-LOW", "x").otherwise("3"), F.lit("</td></tr>"),
+        F.when(F.col("is_notice"), "x").otherwise("3"), F.lit("</td></tr>"),
     )
     head = "".join(f"<th>{name}</th>" for name in pages.HEADER)
+    # Parsing costs far more than its bytes suggest, so the pages keep all their partitions.
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     return (
-        rows.groupBy("board_id", "page")
+        rows.repartition(parts, "board_id", "page")
+        .groupBy("board_id", "page")
         .agg(F.sort_array(F.collect_list(F.struct("post_id", cell.alias("html")))).alias("rows"))
         .select(
             "board_id", "page",
@@ -319,8 +322,8 @@ _PAGES = f"""
 paged AS (SELECT *, CAST(floor(post_id / {PER_PAGE}) AS INTEGER) AS page FROM posts),
 verdicts AS (
   SELECT board_id, page,
-         arg_min(CASE WHEN post_id < 1 THEN 'url post' WHEN category = '5-LOW' THEN 'recommendations' END,
-                 post_id) FILTER (post_id < 1 OR category = '5-LOW') AS reject_reason
+         arg_min(CASE WHEN post_id < 1 THEN 'url post' WHEN is_notice THEN 'recommendations' END,
+                 post_id) FILTER (post_id < 1 OR is_notice) AS reject_reason
   FROM paged GROUP BY board_id, page)"""
 
 
