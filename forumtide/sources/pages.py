@@ -259,7 +259,7 @@ def list_records(parsed: DataFrame, unit_map: DataFrame) -> DataFrame:
     keep = [c for c in parsed.columns if c not in ("rows", "reject_reason")]
     rows = (
         parsed.where(F.col("reject_reason").isNull())
-        .select(*keep, F.posexplode("rows").alias("pos", "r"))
+        .select(*keep, F.posexplode_outer("rows").alias("pos", "r"))
         .where(~F.col("r.empty"))
         .select(*keep, "pos", "r.*")
         .drop("empty", "reason")
