@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from forumtide.llm import line_dedup, mixing, quality_rules, sharding
+from forumtide.llm import bpe, line_dedup, mixing, quality_model, quality_rules, sharding
 from forumtide.llm.common import table
 from forumtide.plans.catalog import Query
 
@@ -144,3 +144,25 @@ def op4_stratified_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
         F.lit(None).cast("int").alias("grown_shard"),
     )
+
+
+def public_tokenizer(spark: SparkSession) -> bpe.Tokenizer:
+    """The multilingual public vocabulary; another file is another ``bpe.Tokenizer``."""
+    import public_tokenizers
+
+    return bpe.Tokenizer(
+        spark, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
+    )
+
+
+@llm_query()
+def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return bpe.round_trip(docs, public_tokenizer(spark))
+
+
+@llm_query()
+def op3_quality_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    trees = quality_model.fitted(docs, table(spark, sf_dir, "labels"))
+    return quality_model.scored(docs, trees)
