@@ -74,10 +74,8 @@ def matrix(texts: pd.Series) -> np.ndarray:
     )
 
 
-@F.pandas_udf("array<double>")
-def _statistics_udf(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-    for batch in texts:
-        yield pd.Series(list(matrix(batch)), dtype=object)
+def _statistics(texts: pd.Series) -> pd.Series:
+    return pd.Series(list(matrix(texts)), dtype=object)
 
 
 @dataclass(frozen=True)
@@ -179,9 +177,10 @@ def fitted(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -
     if n > sample_rows:
         part = F.pmod(F.xxhash64("doc_id", F.lit("quality")), F.lit(1 << 20))
         known = known.where(part < int((1 << 20) * sample_rows / n))
+    measured = F.pandas_udf(_statistics, "array<double>")
     rows = (
         docs.select("doc_id", "text").join(F.broadcast(known), "doc_id")
-        .select("doc_id", "_ft_label", _statistics_udf("text").alias("_ft_x"))
+        .select("doc_id", "_ft_label", measured("text").alias("_ft_x"))
         .toPandas()
     )
     # Fixed order: sums of floats, and so the trees, do not depend on the tasks' order.
