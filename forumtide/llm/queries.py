@@ -5,7 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from forumtide.llm import bpe, line_dedup, mixing, quality_model, quality_rules, sharding
+from forumtide.llm import (
+    bpe,
+    line_dedup,
+    mixing,
+    quality_model,
+    quality_rules,
+    sharding,
+    topk,
+    warc,
+)
 from forumtide.llm.common import table
 from forumtide.plans.catalog import Query
 
@@ -166,3 +175,50 @@ def op3_quality_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     trees = quality_model.fitted(docs, table(spark, sf_dir, "labels"))
     return quality_model.scored(docs, trees)
+
+
+_WARC_SQL = r"""
+WITH records AS (
+  SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha256(coalesce(html, '')) AS d
+  FROM pages
+), firsts AS (
+  SELECT d, min(page_id) AS first FROM records WHERE payload_bytes >= 100 GROUP BY d
+)
+SELECT page_id, payload_bytes, records.d AS payload_digest,
+  CASE WHEN first IS NOT NULL AND page_id IS DISTINCT FROM first THEN 'revisit'
+    ELSE 'response' END AS record_type,
+  CASE WHEN page_id IS DISTINCT FROM first THEN first END AS refers_to
+FROM records LEFT JOIN firsts ON records.d = firsts.d AND payload_bytes >= 100
+"""
+
+
+@llm_query(_WARC_SQL)
+def op1_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archived(table(spark, sf_dir, "pages")).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
+_TOPK_SQL = r"""
+WITH fit AS (
+  SELECT vec_id, list_transform(embedding, lambda x:
+    CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x:
+    x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id,
+    CAST(list_sum(list_transform(list_zip(q.v, c.v), lambda p:
+      coalesce(p[1], 0) * coalesce(p[2], 0))) AS BIGINT) AS score
+  FROM fit q, fit c WHERE q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id
+), ranked AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER)
+    AS rank FROM scored
+)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
+"""
+
+
+@llm_query(_TOPK_SQL)
+def op8_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
