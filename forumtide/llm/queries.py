@@ -12,6 +12,7 @@ from forumtide.llm import (
     quality_model,
     quality_rules,
     sharding,
+    substring_dedup,
     topk,
     warc,
 )
@@ -222,3 +223,31 @@ SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
 @llm_query(_TOPK_SQL)
 def op8_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
+
+
+_SPANS_SQL = r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS rid, doc_id,
+    regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), windows AS (
+  SELECT rid, doc_id, p, md5(array_to_string(w[p : p + 49], ' ')) AS g
+  FROM (SELECT rid, doc_id, w, unnest(generate_series(1, len(w) - 49)) AS p FROM docs
+    WHERE len(w) >= 50)
+), firsts AS (
+  SELECT g, min(doc_id) AS first FROM windows GROUP BY g HAVING count(*) > 1
+), gone AS (
+  SELECT rid, list(DISTINCT p + k) AS places
+  FROM windows JOIN firsts USING (g), (SELECT unnest(range(50)) AS k)
+  WHERE doc_id > first GROUP BY rid
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words,
+  CAST(coalesce(len(places), 0) AS BIGINT) AS n_removed,
+  sha256(array_to_string(CASE WHEN places IS NULL THEN w ELSE
+    list_filter(w, lambda x, i: NOT list_contains(places, i)) END, ' ')) AS kept_sha256
+FROM docs LEFT JOIN gone USING (rid)
+"""
+
+
+@llm_query(_SPANS_SQL)
+def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.deduplicated(table(spark, sf_dir, "documents"))
