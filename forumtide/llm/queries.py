@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from forumtide.llm import (
     bpe,
+    jaccard_tree,
     line_dedup,
     mixing,
     quality_model,
@@ -251,3 +252,11 @@ FROM docs LEFT JOIN gone USING (rid)
 @llm_query(_SPANS_SQL)
 def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.deduplicated(table(spark, sf_dir, "documents"))
+
+
+@llm_query()
+def op7_jaccard_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return jaccard_tree.components(docs, words=4, percent=85).select(
+        "doc_id", "n_shingles", "component_id"
+    )
