@@ -252,6 +252,15 @@ class Tokenizer:
         return made
 
 
+def public_tokenizer(
+    spark: SparkSession, name: str = "byte_bpe_multi_50k.tiktoken"
+) -> Tokenizer:
+    """A rank file of the installed public tokenizers with their split pattern."""
+    import public_tokenizers
+
+    return Tokenizer(spark, public_tokenizers.path(name), public_tokenizers.PATTERN)
+
+
 def encoded(docs: DataFrame, tokenizer: Tokenizer, output: str = "token_ids") -> DataFrame:
     """Adds the ids of each text as an array."""
 

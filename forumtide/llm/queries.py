@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from forumtide.llm import (
     bpe,
     jaccard_tree,
@@ -157,19 +158,10 @@ def op4_stratified_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def public_tokenizer(spark: SparkSession) -> bpe.Tokenizer:
-    """The multilingual public vocabulary; another file is another ``bpe.Tokenizer``."""
-    import public_tokenizers
-
-    return bpe.Tokenizer(
-        spark, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
-    )
-
-
 @llm_query()
 def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return bpe.round_trip(docs, public_tokenizer(spark))
+    return bpe.round_trip(docs, bpe.public_tokenizer(spark))
 
 
 @llm_query()
@@ -260,3 +252,8 @@ def op7_jaccard_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_tree.components(docs, words=4, percent=85).select(
         "doc_id", "n_shingles", "component_id"
     )
+
+
+@llm_query(corpus_pipeline.ORACLE_SQL)
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus_pipeline.run(spark, sf_dir)
