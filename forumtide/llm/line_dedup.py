@@ -19,6 +19,7 @@ touched. Empty tables give an empty store and no rows. Only doc_id and text are
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass, replace
 
 import numpy as np
@@ -167,12 +168,12 @@ def _probe(keys: tuple, asked: pd.DataFrame, stored: pd.DataFrame) -> pd.DataFra
 
 @dataclass(frozen=True)
 class LineStore:
-    """One generation of the store; ``None`` paths mean that nothing was inserted yet."""
+    """One generation of the store; without a folder nothing was inserted yet."""
 
     root: str
     min_docs: int = 3
     min_chars: int = 20
-    generation: int = 0
+    folder: str | None = None
     shards: int = 1
 
     @classmethod
@@ -180,10 +181,10 @@ class LineStore:
         return cls(scratch_path(spark, "lines"), **options)
 
     def _path(self, part: str) -> str:
-        return f"{self.root}/{self.generation:06d}/{part}"
+        return f"{self.root}/{self.folder}/{part}"
 
     def _read(self, spark: SparkSession, part: str, schema: str) -> DataFrame:
-        if self.generation == 0:
+        if self.folder is None:
             return spark.createDataFrame([], schema)
         return spark.read.schema(schema).parquet(self._path(part))
 
@@ -200,7 +201,7 @@ class LineStore:
         """Add the documents' lines; documents already referenced change nothing twice."""
         spark = docs.sparkSession
         batch = keyed_lines(docs, self.min_chars).select("key", "doc_id").distinct()
-        if self.generation == 0:
+        if self.folder is None:
             return self._advance(spark, batch)
         fresh = batch.join(self.refs(spark), ["key", "doc_id"], "left_anti")
         return self._advance(spark, self.refs(spark).unionByName(fresh))
@@ -215,7 +216,7 @@ class LineStore:
         return F.pmod(F.xxhash64("key"), F.lit(shards)).cast("int").alias("shard")
 
     def _advance(self, spark: SparkSession, refs: DataFrame) -> LineStore:
-        after = replace(self, generation=self.generation + 1)
+        after = replace(self, folder=uuid.uuid4().hex)
         refs.select("key", "doc_id").write.parquet(after._path("refs"))
         after.refs(spark).groupBy("key").agg(
             F.count(F.lit(1)).alias("n_docs"), F.max("doc_id").alias("last_doc")
@@ -231,7 +232,7 @@ class LineStore:
     def _filters_from(self, spark: SparkSession, before: LineStore) -> DataFrame:
         """Filters of this generation: changed where the sharding is unchanged, else built."""
         now = self._shared(spark).select("key")
-        if before.generation == 0 or before.shards != self.shards:
+        if before.folder is None or before.shards != self.shards:
             change, stored = now.withColumn("enters", F.lit(True)), spark.createDataFrame(
                 [], "shard int, filter binary"
             )
