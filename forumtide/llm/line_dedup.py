@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from forumtide.llm.common import BLANKS, bucket_bits, let, whole_text
-from forumtide.session import scratch_path
+from forumtide.session import materialize, scratch_path
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 SHARD_KEYS = 4096
@@ -199,8 +199,11 @@ class LineStore:
 
     def insert(self, docs: DataFrame) -> LineStore:
         """Add the documents' lines; documents already referenced change nothing twice."""
-        spark = docs.sparkSession
-        batch = keyed_lines(docs, self.min_chars).select("key", "doc_id").distinct()
+        return self.insert_lines(keyed_lines(docs, self.min_chars))
+
+    def insert_lines(self, lines: DataFrame) -> LineStore:
+        spark = lines.sparkSession
+        batch = lines.select("key", "doc_id").distinct()
         if self.folder is None:
             return self._advance(spark, batch)
         fresh = batch.join(self.refs(spark), ["key", "doc_id"], "left_anti")
@@ -271,10 +274,9 @@ class LineStore:
         candidates = self._grouped(asked, self.filters(spark), _probe, "key binary")
         return self._shared(spark).join(candidates, "key", "left_semi").select("key", "last_doc")
 
-    def dropped_lines(self, docs: DataFrame) -> DataFrame:
-        """doc_id, text hash and the sorted numbers of the lines that go."""
-        spark = docs.sparkSession
-        lines = keyed_lines(docs, self.min_chars)
+    def dropped_lines(self, lines: DataFrame) -> DataFrame:
+        """doc_id, text hash and the sorted numbers of the keyed lines that go."""
+        spark = lines.sparkSession
         path = scratch_path(spark, "shared")
         self.shared_keys(lines).write.parquet(path)
         shared = spark.read.schema("key binary, last_doc bigint").parquet(path)
@@ -284,18 +286,21 @@ class LineStore:
             .agg(F.array_sort(F.collect_set("_ft_pos")).alias("_ft_drops"))
         )
 
-    def rewrite(self, docs: DataFrame) -> DataFrame:
+    def rewrite(self, docs: DataFrame, lines: DataFrame | None = None) -> DataFrame:
         """The documents with shared lines left only in the largest doc_id that holds them.
 
         Adds n_lines (before) and n_dropped; columns of these names in the input are replaced.
+        ``lines`` are the documents' keyed lines, where the caller has stored them.
         """
+        if lines is None:
+            lines = materialize(keyed_lines(docs, self.min_chars), "keyed-lines")
         marked = docs.drop("n_lines", "n_dropped").withColumn(
             "_ft_hash", F.xxhash64(whole_text())
         )
         # A doc_id with its text hash names a row's lines: equal rows lose the same lines.
-        joined = marked.join(self.dropped_lines(docs), ["doc_id", "_ft_hash"], "left")
+        joined = marked.join(self.dropped_lines(lines), ["doc_id", "_ft_hash"], "left")
         gone = F.coalesce(F.col("_ft_drops"), F.array().cast("array<int>"))
-        lines = text_lines(whole_text())
+        text = text_lines(whole_text())
 
         def kept(every: Column) -> Column:
             left = F.array_except(F.sequence(F.lit(0), F.size(every) - 1), gone)
@@ -303,8 +308,8 @@ class LineStore:
 
         out = joined.select(
             *[F.col(f"`{c}`") for c in docs.columns if c not in ("text", "n_lines", "n_dropped")],
-            F.when(F.size(gone) == 0, whole_text()).otherwise(let(lines, kept)).alias("text"),
-            F.size(lines).cast("bigint").alias("n_lines"),
+            F.when(F.size(gone) == 0, whole_text()).otherwise(let(text, kept)).alias("text"),
+            F.size(text).cast("bigint").alias("n_lines"),
             F.size(gone).cast("bigint").alias("n_dropped"),
         )
         order = [c for c in docs.columns if c not in ("n_lines", "n_dropped")]
@@ -314,4 +319,5 @@ class LineStore:
 def deduplicated_lines(docs: DataFrame, min_docs: int = 3, min_chars: int = 20) -> DataFrame:
     """One-batch use: insert all documents into a new store, then rewrite them by it."""
     store = LineStore.create(docs.sparkSession, min_docs=min_docs, min_chars=min_chars)
-    return store.insert(docs).rewrite(docs)
+    lines = materialize(keyed_lines(docs, min_chars), "keyed-lines")
+    return store.insert_lines(lines).rewrite(docs, lines)
