@@ -64,11 +64,22 @@ def fold(text: str) -> str:
     return re.sub(r"\s+", " ", unicodedata.normalize("NFKC", text)).casefold().strip()
 
 
+def once_per_row(udf):
+    """Keep Spark from evaluating a costly function again in a filter below it.
+
+    A deterministic function may be copied into every expression that uses its result, and a
+    filter on the result is pushed below it; neither happens to a non-deterministic one.
+    """
+    return udf.asNondeterministic()
+
+
+@once_per_row
 @pandas_udf(T.StringType())
 def _fold_batch(texts: pd.Series) -> pd.Series:
     return pd.Series([None if t is None else fold(t) for t in texts], dtype=object)
 
 
+@once_per_row
 @pandas_udf(T.StringType())
 def _nfkc_batch(texts: pd.Series) -> pd.Series:
     return pd.Series(
@@ -122,6 +133,7 @@ def strip_markup(value: str) -> str:
     return re.sub(r"\s+", " ", "".join(parser.parts).replace("\x00", " ")).strip()
 
 
+@once_per_row
 @pandas_udf(T.StringType())
 def _strip_markup_batch(values: pd.Series) -> pd.Series:
     return pd.Series([None if v is None else strip_markup(v) for v in values], dtype=object)

@@ -11,10 +11,8 @@ from pyspark.sql import types as T
 
 from forumtide.functions.text import SPACE, let, strip
 
-# Integer text format and limits of list pages.
+# Integer text format of list pages and the number ranges.
 GROUPED_INTEGER = r"^(?:[0-9]+|[0-9]{1,3}(?:,[0-9]{3})+)\z"
-MAX_INTEGER_TEXT = 32
-MAX_HREF = 2048
 MAX_BIGINT = 2**63 - 1
 MAX_INT = 2**31 - 1
 
@@ -22,11 +20,16 @@ MAX_INT = 2**31 - 1
 FORMULA_PREFIX = r"^[=+\-@\t\r]"
 
 
-def grouped_integer(value: Column) -> Column:
-    """Non-negative integer with optional well-formed thousands commas, else null."""
+def grouped_integer(value: Column, longest: int | None = None) -> Column:
+    """Non-negative integer with optional well-formed thousands commas, else null.
+
+    ``longest`` also refuses texts of more characters; leading zeros may make any length.
+    """
 
     def read(compact: Column) -> Column:
-        fits = (F.char_length(compact) <= MAX_INTEGER_TEXT) & compact.rlike(GROUPED_INTEGER)
+        fits = compact.rlike(GROUPED_INTEGER)
+        if longest is not None:
+            fits = fits & (F.char_length(compact) <= longest)
         return F.when(fits, F.replace(compact, F.lit(","), F.lit("")).try_cast("bigint"))
 
     return let(strip(value), read)
@@ -40,6 +43,7 @@ class Site:
     board_path: str
     category: str | None = None
     max_page: int = 100_000
+    max_href: int | None = None
 
     def article_url(self, board_id: Column, post_id: Column) -> Column:
         return F.concat(
@@ -63,10 +67,10 @@ def article_identity(href: Column, board_id: Column, site: Site) -> Column:
         rf"{re.escape(site.board_path)}/([0-9]+)/([0-9]+)(?:\?([^#]*))?\z"
     )
     clean = F.coalesce(
-        F.char_length(href).between(1, MAX_HREF)
-        & ~href.contains("#") & ~href.rlike(f"(?U){SPACE}"),
-        F.lit(False),
+        (href != "") & ~href.contains("#") & ~href.rlike(f"(?U){SPACE}"), F.lit(False)
     )
+    if site.max_href is not None:
+        clean = clean & (F.char_length(href) <= site.max_href)
     query = F.regexp_extract(href, shape, 3)
 
     def known(pair: Column) -> Column:

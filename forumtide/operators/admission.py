@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from forumtide.operators.validate import ordinary
-from forumtide.params import AdmissionSpec
+from forumtide.params import AdmissionSpec, whole
 from forumtide.session import materialize
 
 FIRST_BACKFILL_PAGE = 3
@@ -31,12 +31,15 @@ def incremental_status(
     """Per source: pages read, whether the prior mark was reached, and the next mark.
 
     ``rows`` has ``source_key, page, pos, post_id, is_notice, is_ad``; ``marks`` has
-    ``source_key, prior`` with a null prior for a first run.
+    ``source_key, prior``. A source without a mark, or with a null one, runs for the first
+    time. All landed pages are looked at unless the spec names a last one.
     """
-    pages = rows.where(F.col("page").between(1, spec.max_pages))
+    pages = rows.where(F.col("page") >= 1)
+    if spec.max_pages is not None:
+        pages = pages.where(F.col("page") <= spec.max_pages)
     hit = ordinary() & (F.col("post_id") <= F.col("prior"))
     found = (
-        pages.join(marks.select("source_key", "prior"), "source_key")
+        pages.join(marks.select("source_key", "prior"), "source_key", "left")
         .groupBy("source_key")
         .agg(
             F.max("prior").alias("prior"),
@@ -48,10 +51,9 @@ def incremental_status(
         F.greatest(F.lit(spec.min_pages), F.col("boundary_page") + spec.overlap_pages)
     )
     # A missing boundary leaves `greatest` with the minimum only, so it is handled apart.
-    stop = F.when(
-        F.col("prior").isNotNull() & F.col("boundary_page").isNull(), F.lit(spec.max_pages)
-    ).otherwise(needed)
-    read = F.least(stop, F.lit(spec.max_pages), F.col("landed_pages"))
+    landed = F.col("landed_pages")
+    unmet = F.col("prior").isNotNull() & F.col("boundary_page").isNull()
+    read = F.when(unmet, landed).otherwise(F.least(needed, landed))
     reached = F.col("prior").isNull() | F.coalesce(
         F.col("pages_read") >= F.col("boundary_page") + spec.overlap_pages, F.lit(False)
     )
@@ -139,8 +141,7 @@ def allocate_pages(
     after the page holding its cut. No source can use more rounds than the budget, so
     ranking is limited to that depth before anything is ordered globally.
     """
-    if isinstance(budget, bool) or not isinstance(budget, int) or budget < 0:
-        raise ValueError("budget must be a non-negative integer")
+    whole(budget=budget)
     open_pages = (
         pages.distinct()
         .join(states.select("source_key", "next_page", "complete"), "source_key", "left")

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from forumtide.functions.time import local_date
 from forumtide.operators.merge import POST_KEY
 from forumtide.operators.ordering import exact_quantile, integer_bucket
-from forumtide.params import bounded_int, utc_naive
+from forumtide.params import utc, whole
 
 # Comment-led rule, retention ages and warning ages.
 COMMENT_LED_VERSION = "v1"
@@ -102,9 +102,8 @@ def retention_plan(
     Raw pages go after ``raw_days`` and text after ``text_days``; text never processed is
     marked as such, and warned about before. Facts are not items and are always kept.
     """
-    bounded_int("raw_days", raw_days, 1, 90)
-    bounded_int("text_days", text_days, 1, 90)
-    at = utc_naive("now", now)
+    whole(raw_days=raw_days, text_days=text_days)
+    at = utc("now", now)
 
     def older(days: int) -> Column:
         return F.col("stored_at") < F.lit(at - timedelta(days=days))
@@ -141,8 +140,7 @@ def review_batch(
     texts; hashes in ``analysed`` are skipped and copies are taken once. The batch stops
     before it would pass either budget. ``max_items`` bounds what is ordered together.
     """
-    bounded_int("max_items", max_items, 0, 500)
-    bounded_int("token_budget", token_budget, 0, 1_000_000)
+    whole(max_items=max_items, token_budget=token_budget)
     fresh = candidates.join(analysed.select("content_hash"), "content_hash", "left_anti")
     order = F.struct(
         F.col("confidence"), F.negative("engagement").alias("_less"), F.col("record_id")
@@ -176,7 +174,7 @@ def reconciliation(
     lease_hours: int = 6,
 ) -> DataFrame:
     """Audit rows ``(check, key, detail)``; an empty result means all is well."""
-    at = utc_naive("now", now)
+    at = utc("now", now)
     key = F.concat_ws(":", *POST_KEY)
 
     def audit(name: str, frame: DataFrame, row_key: Column, detail: Column) -> DataFrame:

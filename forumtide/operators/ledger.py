@@ -7,7 +7,7 @@ from datetime import datetime, timedelta
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from forumtide.params import bounded_int, utc_naive
+from forumtide.params import utc, whole
 
 RUN_KEY = ("job_type", "slot")
 SETTLED = ("succeeded", "already_succeeded")
@@ -131,8 +131,8 @@ def cycle_status(results: DataFrame, *keys: str) -> DataFrame:
 
 def is_fresh(runs: DataFrame, now: datetime, max_age_hours: int) -> DataFrame:
     """One row: did any metadata run succeed recently enough."""
-    bounded_int("max_age_hours", max_age_hours, 1, 168)
-    cutoff = utc_naive("now", now) - timedelta(hours=max_age_hours)
+    whole(max_age_hours=max_age_hours)
+    cutoff = utc("now", now) - timedelta(hours=max_age_hours)
     good = runs.where(F.col("job_type").startswith("metadata:") & (F.col("status") == "succeeded"))
     newest = good.agg(F.max("finished_at").alias("newest"))
     return newest.select(

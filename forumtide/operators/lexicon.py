@@ -135,7 +135,7 @@ def lexicon_frame(spark: SparkSession, lexicon: Lexicon) -> DataFrame:
 
 
 def rule_catalogue(dimension: DataFrame) -> DataFrame:
-    """Representative terms per label: eight for sentiment, six for the others."""
+    """All terms per label in their order; a reader shows as many as fit."""
     names = {
         "positive": "감성·긍정", "negative": "감성·부정",
         **{label: f"의도·{shown}" for label, shown in INTENT_LABELS.items()},
@@ -144,10 +144,8 @@ def rule_catalogue(dimension: DataFrame) -> DataFrame:
     shown = F.when(F.col("kind") == "topic", F.concat(F.lit("주제·"), F.col("label"))).otherwise(
         F.coalesce(F.try_element_at(F.create_map(*pairs), F.col("label")), F.col("label"))
     )
-    kept = F.when(F.col("kind") == "sentiment", 8).otherwise(6)
     return (
-        dimension.where(F.col("term_ord") < kept)
-        .groupBy("kind", "label", "label_ord")
+        dimension.groupBy("kind", "label", "label_ord")
         .agg(F.sort_array(F.collect_list(F.struct("term_ord", "term"))).alias("terms"))
         .select(
             "kind", "label_ord", shown.alias("rule"),

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from forumtide.operators.merge import POST_KEY
 from forumtide.operators.validate import eligible_posts
-from forumtide.params import RankingSpec, utc_naive
+from forumtide.params import RankingSpec, code, utc
 from forumtide.registry import METRICS
 
 # Fixed value: rows a ranking reader may show, whatever was stored.
@@ -118,7 +118,7 @@ def newest_ranking(rankings: DataFrame, as_of: datetime | None = None) -> DataFr
     """Per unit and counter, only its latest stored slot (at or before ``as_of``)."""
     rows = rankings
     if as_of is not None:
-        rows = rows.where(F.col("as_of_slot") <= F.lit(utc_naive("as_of", as_of)))
+        rows = rows.where(F.col("as_of_slot") <= F.lit(utc("as_of", as_of)))
     latest = rows.groupBy("analysis_unit", "metric").agg(F.max("as_of_slot").alias("as_of_slot"))
     return rows.join(latest, ["analysis_unit", "metric", "as_of_slot"])
 
@@ -133,10 +133,8 @@ def read_top(
     rankings: DataFrame, posts: DataFrame, unit: str, metric: str, as_of: datetime | None = None
 ) -> DataFrame:
     """One list as shown to a reader, held to the reader's own limit."""
-    from forumtide.params import metric_name, unit_slug
-
     chosen = rankings.where(
-        (F.col("analysis_unit") == unit_slug(unit)) & (F.col("metric") == metric_name(metric))
+        (F.col("analysis_unit") == code("analysis_unit", unit)) & (F.col("metric") == code("metric", metric))
     )
     rows = present_ranking(newest_ranking(chosen, as_of), posts)
     return (

@@ -16,8 +16,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
-from forumtide.functions.text import SPACE, digest, is_stable, let
-from forumtide.params import bounded_int, source_kind, utc_naive
+from forumtide.functions.text import SPACE, digest, is_stable, let, once_per_row
+from forumtide.params import code, utc, whole
 from forumtide.registry import INVISIBLE_RULE_ID, INVISIBLE_SCORE, PROMPT_RULES, ScanRule
 from forumtide.schemas import FINDING
 
@@ -25,7 +25,6 @@ from forumtide.schemas import FINDING
 THRESHOLD = 70
 MAX_SCORE = 100
 EVIDENCE_CHARS = 160
-MAX_REF, MAX_REVIEWER, MAX_NOTE = 512, 200, 2_000
 
 QUARANTINE_KEY = ("source_kind", "source_ref", "content_hash")
 _HIDDEN_CATEGORIES = ("Cc", "Cf")
@@ -106,6 +105,8 @@ def scan(
     Arrow batches with their whole text.
     """
 
+    # Declared non-deterministic so that no filter on the result repeats the scan below it.
+    @once_per_row
     @pandas_udf(f"normalized STRING, findings ARRAY<{FINDING}>")
     def scan_batch(texts: pd.Series) -> pd.DataFrame:
         compiled = compile_rules(rules)
@@ -131,10 +132,14 @@ def _hidden(text: Column, *, allow_lines: bool = False) -> Column:
     return text.rlike(rf"[\p{{Cc}}\p{{Cf}}{kept}]")
 
 
-def _audit_text(text: Column, longest: int, *, allow_lines: bool = False) -> Column:
-    """Trimmed, non-empty, bounded and free of hidden characters."""
+def _audit_text(
+    text: Column, longest: int | None = None, *, allow_lines: bool = False
+) -> Column:
+    """Trimmed, non-empty, free of hidden characters and, if asked, bounded."""
     trimmed = ~text.rlike(rf"(?U)^{SPACE}|{SPACE}\z")
-    good = F.char_length(text).between(1, longest) & trimmed & ~_hidden(text, allow_lines=allow_lines)
+    good = (text != "") & trimmed & ~_hidden(text, allow_lines=allow_lines)
+    if longest is not None:
+        good = good & (F.char_length(text) <= longest)
     return F.coalesce(good, F.lit(False))
 
 
@@ -149,23 +154,22 @@ def quarantine_rows(
     """New quarantine rows for ``texts (source_ref, text)``; a replay gives none.
 
     The identity is kind, reference and hash of the normalised text, and the row id is
-    its digest, so every run produces the same rows. No raw text is stored.
+    its digest, so every run produces the same rows. No raw text is stored. Texts whose
+    reference is unusable are left to :func:`unusable_references`.
     """
-    source_kind(kind)
-    bounded_int("threshold", threshold, 1, MAX_SCORE)
-    flagged = scan(texts, "text", rules).where(F.col("risk_score") >= threshold)
-    ref = F.when(_audit_text(F.col("source_ref"), MAX_REF), F.col("source_ref")).otherwise(
-        F.raise_error(F.lit("source_ref must be a trimmed 1-512 character string"))
-    )
+    code("source_kind", kind)
+    whole(threshold=threshold)
+    named = texts.where(_audit_text(F.col("source_ref")))
+    flagged = scan(named, "text", rules).where(F.col("risk_score") >= threshold)
     keyed = flagged.select(
-        F.lit(kind).alias("source_kind"), ref.alias("source_ref"),
+        F.lit(kind).alias("source_kind"), "source_ref",
         digest(F.col("normalized")).alias("content_hash"), "findings", "risk_score",
     )
     if existing is not None:
         keyed = keyed.join(existing.select(*QUARANTINE_KEY), list(QUARANTINE_KEY), "left_anti")
     # Copies share their normalised text, hence their findings; any one stands for all.
     once = keyed.dropDuplicates(list(QUARANTINE_KEY))
-    stamp = F.lit(utc_naive("quarantined_at", quarantined_at)).cast("timestamp_ntz")
+    stamp = F.lit(utc("quarantined_at", quarantined_at)).cast("timestamp_ntz")
     return once.select(
         digest(F.concat_ws("\n", *QUARANTINE_KEY)).alias("id"), *QUARANTINE_KEY,
         "findings", "risk_score", stamp.alias("quarantined_at"),
@@ -175,16 +179,25 @@ def quarantine_rows(
     )
 
 
-def review_outcomes(decisions: DataFrame, quarantine: DataFrame) -> DataFrame:
+def unusable_references(texts: DataFrame) -> DataFrame:
+    """Texts that cannot be named in an audit: reference missing, untrimmed or with hidden
+    characters. They are screened by no run until their reference is mended."""
+    return texts.where(~_audit_text(F.col("source_ref")))
+
+
+def review_outcomes(
+    decisions: DataFrame, quarantine: DataFrame, longest: int | None = None
+) -> DataFrame:
     """Outcome of each release decision ``(seq, id, reviewer, note)``.
 
     ``released`` changes a pending row, ``replayed`` repeats an earlier decision word
     for word, ``conflict`` would overwrite history, ``not_found`` has no row, and
-    ``invalid`` breaks the audit text rules. Among decisions of one batch for the same
+    ``invalid`` breaks the audit text rules (``longest`` also refuses longer reviewers and
+    notes). Among decisions of one batch for the same
     row the lowest ``seq`` acts first.
     """
-    audit_ok = _audit_text(F.col("reviewer"), MAX_REVIEWER) & _audit_text(
-        F.col("note"), MAX_NOTE, allow_lines=True
+    audit_ok = _audit_text(F.col("reviewer"), longest) & _audit_text(
+        F.col("note"), longest, allow_lines=True
     )
     judged = decisions.withColumn("_ok", audit_ok)
     first = judged.where("_ok").groupBy("id").agg(
@@ -217,7 +230,7 @@ def apply_reviews(quarantine: DataFrame, outcomes: DataFrame, now: datetime) ->
     done = outcomes.where(F.col("outcome") == "released").select(
         "id", F.col("reviewer").alias("_reviewer"), F.col("note").alias("_note")
     )
-    stamp = F.lit(utc_naive("now", now)).cast("timestamp_ntz")
+    stamp = F.lit(utc("now", now)).cast("timestamp_ntz")
     hit = F.col("_reviewer").isNotNull()
     updates = {
         "review_state": F.lit("released"), "reviewer": F.col("_reviewer"),
@@ -242,7 +255,7 @@ def release_tasks(
         F.lit("pending").alias("state"),
         payload.alias("payload"),
         digest(payload).alias("payload_hash"),
-        F.lit(utc_naive("now", now)).cast("timestamp_ntz").alias("available_at"),
+        F.lit(utc("now", now)).cast("timestamp_ntz").alias("available_at"),
     )
     return tasks.join(existing.select("task_key"), "task_key", "left_anti")
 

@@ -37,10 +37,14 @@ DIMENSIONS = {
 
 @dataclass(frozen=True)
 class SemanticBatch:
+    """Labelled rows carry excerpts for display; the whole normalised texts stand beside them."""
+
     posts: DataFrame
     comments: DataFrame
     screened: DataFrame
     failures: DataFrame
+    body_texts: DataFrame
+    comment_texts: DataFrame
 
 
 def split_reuse(
@@ -137,22 +141,39 @@ def label_threads(
         excerpt(F.col("text_normalized")).alias("text"), "sentiment",
         F.lit(lexicon.version).alias("model_version"),
     )
-    return SemanticBatch(posts, kept_comments, screened, failures)
+    body_texts = safe_posts.select(*POST_KEY, F.col("body_normalized").alias("whole_text"))
+    comment_texts = safe_comments.select(
+        *POST_KEY, "comment_id", F.col("text_normalized").alias("whole_text")
+    )
+    return SemanticBatch(
+        posts, kept_comments, screened, failures, body_texts, comment_texts
+    )
 
 
-def relabel_excerpts(
-    posts: DataFrame, comments: DataFrame, lexicon: Lexicon
+def relabel(
+    posts: DataFrame, comments: DataFrame, body_texts: DataFrame, comment_texts: DataFrame,
+    lexicon: Lexicon,
 ) -> tuple[DataFrame, DataFrame]:
-    """Stored rows labelled again under another lexicon, from their stored excerpts."""
+    """Stored rows labelled again under another lexicon, from their whole texts.
+
+    ``body_texts`` and ``comment_texts`` have the key and ``whole_text``, as a labelling run
+    gives them; a row without one is labelled as an empty text. The result equals a fresh run.
+    """
     version = F.lit(lexicon.version)
-    fresh = label_sentiment(comments.drop("sentiment"), "text", lexicon)
+    text = F.coalesce("whole_text", F.lit(""))
+    note_key = [*POST_KEY, "comment_id"]
+    fresh = label_sentiment(
+        comments.drop("sentiment").join(comment_texts, note_key, "left")
+        .withColumn("whole_text", text),
+        "whole_text", lexicon,
+    )
     new_comments = fresh.withColumn("model_version", version).select(*comments.columns)
     stripped = posts.drop(
         "body_sentiment", "comment_reaction", "intent", "topic", "confidence", "evidence_terms"
-    ).withColumn("body_excerpt", F.coalesce("body_excerpt", F.lit("")))
+    ).join(body_texts, list(POST_KEY), "left").withColumn("whole_text", text)
     labelled = label_context(
-        label_sentiment(stripped, "body_excerpt", lexicon),
-        F.concat_ws(" ", F.coalesce("title", F.lit("")), "body_excerpt"),
+        label_sentiment(stripped, "whole_text", lexicon),
+        F.concat_ws(" ", F.coalesce("title", F.lit("")), "whole_text"),
         lexicon,
     ).withColumnRenamed("sentiment", "body_sentiment")
     new_posts = (

@@ -11,9 +11,8 @@ from forumtide.functions.text import SPACE, nfkc, strip
 from forumtide.functions.values import MAX_BIGINT, MAX_INT, Site
 from forumtide.registry import AD_CLASSES, AD_LABEL, NOTICE_CLASSES, NOTICE_LABEL
 
-# Collection limits.
-MAX_TITLE = 500
-MAX_BATCH = 5_000
+# Fixed value: observations that one slot usually carries at most.
+USUAL_BATCH = 5_000
 
 
 def map_units(rows: DataFrame, unit_map: DataFrame, output: str = "mapped_unit") -> DataFrame:
@@ -46,8 +45,13 @@ def _storable(column: str) -> Column:
     return ~value.contains("\x00") & F.is_valid_utf8(value)
 
 
-def failed_rules(rows: DataFrame, unit_map: DataFrame, site: Site) -> DataFrame:
-    """Add ``failed``: ids of the observation rules each row breaks, empty when valid."""
+def failed_rules(
+    rows: DataFrame, unit_map: DataFrame, site: Site, max_title: int | None = None
+) -> DataFrame:
+    """Add ``failed``: ids of the observation rules each row breaks, empty when valid.
+
+    ``max_title`` refuses longer titles; without it titles of any length are taken.
+    """
     known = unit_map.select("board_id").distinct().withColumn("_board", F.lit(True))
     mapped = map_units(rows, unit_map, "_unit").join(known, "board_id", "left")
     category, title = F.col("category"), F.col("title")
@@ -58,7 +62,7 @@ def failed_rules(rows: DataFrame, unit_map: DataFrame, site: Site) -> DataFrame:
         "category": (F.char_length(category) > 0)
         & (category == strip(nfkc(category))) & _storable("category"),
         "unit": F.col("_unit").isNotNull() & (F.col("analysis_unit") == F.col("_unit")),
-        "title": F.char_length(title).between(1, MAX_TITLE)
+        "title": (F.char_length(title) >= 1) & (F.char_length(title) <= (max_title or MAX_INT))
         & ~title.rlike(edge_space) & _storable("title"),
         "published_at": F.col("published_at").isNotNull(),
         "views": _in_range("views", 0, MAX_BIGINT),
@@ -91,21 +95,12 @@ def eligible_posts(posts: DataFrame, start: datetime, end: datetime) -> DataFram
 
 
 def oversized_batches(
-    rows: DataFrame, keys: tuple[str, ...] = ("board_id", "slot"), limit: int = MAX_BATCH
+    rows: DataFrame, keys: tuple[str, ...] = ("board_id", "slot"), limit: int = USUAL_BATCH
 ) -> DataFrame:
-    """Batches holding more observations than one slot may carry."""
+    """Report of batches holding more observations than a slot usually carries; none is refused."""
     return rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > limit)
 
 
-def require_batch_bound(
-    rows: DataFrame, keys: tuple[str, ...] = ("board_id", "slot"), limit: int = MAX_BATCH
-) -> None:
-    """Raise when any batch is oversized (reads back at most one row)."""
-    first = oversized_batches(rows, keys, limit).take(1)
-    if first:
-        raise ValueError(f"observations exceed the per-slot limit of {limit}: {first[0]}")
-
-
 def row_kind(classes: Column, label: Column) -> Column:
     """``struct(is_notice, is_ad, ambiguous)`` from a row's class list and label text."""
     lowered = F.transform(classes, F.lower)

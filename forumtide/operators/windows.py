@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from forumtide.functions.time import hours_before, period_label
 from forumtide.operators.merge import POST_KEY
-from forumtide.params import WindowSpec, metric_name
+from forumtide.params import WindowSpec, code
 from forumtide.registry import (
     GENERAL_UNITS,
     METRICS,
@@ -75,7 +75,7 @@ def select_windows(posts: DataFrame, spec: WindowSpec, unit: str | None = None)
 
 def rank_posts(rows: DataFrame, metric: str, limit: int = 10) -> DataFrame:
     """Top posts by one counter, newest and greatest id first among equals."""
-    metric_name(metric)
+    code("metric", metric)
     if limit <= 0:
         raise ValueError("limit must be positive")
     order = [F.desc(metric), F.desc("published_at"), F.desc("post_id"), F.desc("board_id")]

@@ -62,6 +62,38 @@ def contract_rows(spark, folder):
     return contracts.apply_contract(strings, ORDER_CONTRACT)[0].drop("o_totalprice")
 
 
+def _faulty_csv(spark, folder) -> str:
+    """The orders as CSV parts; of every 50 keys two break the row, one the customer number."""
+    at = F.pmod("o_orderkey", F.lit(50))
+    customer = F.when(at == 2, F.lit("none")).otherwise(F.col("o_custkey").cast("string"))
+    fields = [
+        F.col("o_orderkey").cast("string"), customer, F.col("o_orderstatus"),
+        F.col("o_totalprice").cast("string"), F.col("o_orderdate").cast("string"),
+        F.when(at == 1, F.lit(None)).otherwise(F.col("o_orderpriority")),
+        F.when(at == 0, F.lit("extra")),
+    ]
+    lines = t.load(spark, folder, "orders").select(
+        F.concat_ws(",", *fields).alias(",".join(ORDER_CONTRACT.columns))
+    )
+    path = scratch_path(spark, "orders-csv")
+    # One column whose separator never occurs: header and lines are written as they are.
+    lines.repartition(3).write.option("header", True).option("sep", "\x01").csv(path)
+    return path
+
+
+@query(
+    "SRC-1",
+    """SELECT 'orders' AS "table", '*' AS "column", 'fields' AS rule, count(*) AS n FROM orders
+WHERE o_orderkey % 50 IN (0, 1)
+UNION ALL
+SELECT 'orders', 'o_custkey', 'integer', count(*) FROM orders WHERE o_orderkey % 50 = 2""",
+)
+def csv_violations(spark, folder):
+    """Violations found in CSV files, malformed rows among them."""
+    strings = contracts.read_strings(spark, _faulty_csv(spark, folder), ORDER_CONTRACT)
+    return contracts.apply_contract(strings, ORDER_CONTRACT)[1]
+
+
 @query(
     "SET-3",
     """SELECT k AS key, status FROM (

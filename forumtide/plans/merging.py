@@ -13,7 +13,7 @@ from forumtide.plans.catalog import query
 from forumtide.registry import ScanRule
 
 HALF = datetime(1999, 1, 1)
-ADMIT = AdmissionSpec(min_pages=2, overlap_pages=1, max_pages=6)
+ADMIT = AdmissionSpec(min_pages=2, overlap_pages=1)
 CUTOFF = datetime(1995, 3, 1)
 BUDGET = 40
 
@@ -292,11 +292,11 @@ found AS (
   SELECT r.source_key, any_value(m.prior) AS prior,
          min(page) FILTER (NOT is_notice AND NOT is_ad AND post_id <= m.prior) AS boundary_page,
          max(page) AS landed
-  FROM page_rows r JOIN marks m ON m.source_key = r.source_key
-  WHERE page BETWEEN 1 AND 6 GROUP BY r.source_key),
+  FROM page_rows r LEFT JOIN marks m ON m.source_key = r.source_key
+  WHERE page >= 1 GROUP BY r.source_key),
 stops AS (
-  SELECT *, least(CASE WHEN prior IS NULL THEN 2 WHEN boundary_page IS NULL THEN 6
-                       ELSE greatest(2, boundary_page + 1) END, 6, landed) AS pages_read FROM found),
+  SELECT *, least(CASE WHEN prior IS NULL THEN 2 WHEN boundary_page IS NULL THEN landed
+                       ELSE greatest(2, boundary_page + 1) END, landed) AS pages_read FROM found),
 reached AS (
   SELECT *, prior IS NULL OR coalesce(pages_read >= boundary_page + 1, false) AS boundary_reached
   FROM stops),

@@ -269,8 +269,8 @@ page_rows AS (
 
 
 def marks(spark: SparkSession, folder: str) -> DataFrame:
-    """Prior high-water mark per source; suppliers in debt have none."""
-    return load(spark, folder, "supplier").select(
+    """Prior high-water mark per source; suppliers in debt have a null one, some have no row."""
+    return load(spark, folder, "supplier").where("s_nationkey <> 3").select(
         F.concat(F.lit("source-"), F.col("s_suppkey").cast("string")).alias("source_key"),
         F.when(F.col("s_acctbal") >= 0, F.floor(F.col("s_acctbal") / 20).cast("bigint")).alias("prior"),
     )
@@ -280,7 +280,7 @@ MARKS = """
 marks AS (
   SELECT 'source-' || s_suppkey AS source_key,
          CASE WHEN s_acctbal >= 0 THEN CAST(floor(s_acctbal / 20) AS BIGINT) END AS prior
-  FROM supplier
+  FROM supplier WHERE s_nationkey <> 3
 )"""
 
 

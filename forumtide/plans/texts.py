@@ -426,8 +426,8 @@ def combined_artifact(spark, folder):
 
 
 def _relabel_sql() -> str:
-    """The thread labels again, over stored excerpts and with the second lexicon."""
-    n, c = t.sql_fold("left(body, 500)"), t.sql_fold("title || ' ' || left(body, 500)")
+    """The thread labels again, over the whole texts and with the second lexicon."""
+    n, c = t.sql_fold("body"), t.sql_fold("title || ' ' || body")
     return f"""
 relabelled AS (
   SELECT board_id, post_id, {t.sql_sentiment('n', SECOND_LEXICON)} AS body_sentiment,
@@ -439,7 +439,7 @@ recounted AS (
   SELECT post_id, count(*) FILTER (s = 'positive') AS p, count(*) FILTER (s = 'negative') AS m,
          count(*) FILTER (s = 'mixed') AS x
   FROM (SELECT post_id, {t.sql_sentiment('k', SECOND_LEXICON)} AS s
-        FROM (SELECT post_id, {t.sql_fold('left(text, 500)')} AS k FROM thread_comments))
+        FROM (SELECT post_id, {t.sql_fold('text')} AS k FROM thread_comments))
   GROUP BY post_id)"""
 
 
@@ -456,7 +456,9 @@ FROM relabelled r LEFT JOIN recounted c ON c.post_id = r.post_id""",
 )
 def relabelled_posts(spark, folder):
     batch = _batch(spark, folder)
-    posts, _ = semantic.relabel_excerpts(batch.posts, batch.comments, SECOND_LEXICON)
+    posts, _ = semantic.relabel(
+        batch.posts, batch.comments, batch.body_texts, batch.comment_texts, SECOND_LEXICON
+    )
     return posts.select(
         *POST_KEY, "body_sentiment", "confidence", "intent", "topic", "comment_reaction",
         "model_version",
@@ -525,11 +527,11 @@ def unit_comments(spark, folder):
 
 def _catalogue_sql() -> str:
     names = {"positive": "감성·긍정", "negative": "감성·부정"}
-    rows = [("sentiment", 0, names["positive"], DOMAIN_LEXICON.positive[:8]),
-            ("sentiment", 1, names["negative"], DOMAIN_LEXICON.negative[:8])]
-    rows += [("intent", i, f"의도·{INTENT_LABELS[k]}", v[:6])
+    rows = [("sentiment", 0, names["positive"], DOMAIN_LEXICON.positive),
+            ("sentiment", 1, names["negative"], DOMAIN_LEXICON.negative)]
+    rows += [("intent", i, f"의도·{INTENT_LABELS[k]}", v)
              for i, (k, v) in enumerate(DOMAIN_LEXICON.intents)]
-    rows += [("topic", i, f"주제·{k}", v[:6]) for i, (k, v) in enumerate(DOMAIN_LEXICON.topics)]
+    rows += [("topic", i, f"주제·{k}", v) for i, (k, v) in enumerate(DOMAIN_LEXICON.topics)]
     values = ", ".join(
         f"('{kind}', {order}, '{rule}', '{' · '.join(terms)}')" for kind, order, rule, terms in rows
     )

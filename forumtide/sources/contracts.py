@@ -142,8 +142,12 @@ def _row_failures(contract: Contract) -> Column:
     return F.array_compact(F.array(*failures))
 
 
+# Raw line of a CSV row whose number of fields is not the contract's.
+MALFORMED = "_malformed"
+
+
 def check_columns(frame: DataFrame, contract: Contract) -> None:
-    if tuple(frame.columns) != contract.columns:
+    if tuple(frame.columns) not in (contract.columns, (*contract.columns, MALFORMED)):
         raise ContractError(f"{contract.name}: columns do not match the contract")
 
 
@@ -156,7 +160,12 @@ def apply_contract(
     rules as ``(table, column, rule, n)``, duplicate grain rows included.
     """
     check_columns(strings, contract)
-    checked = _prepared(strings, contract).withColumn("_failed", _row_failures(contract))
+    failures = _row_failures(contract)
+    if MALFORMED in strings.columns:
+        # Fields of such a row cannot be told apart: one violation, and no other rule is asked.
+        misfit = F.array(F.struct(F.lit("*").alias("column"), F.lit("fields").alias("rule")))
+        failures = F.when(F.col(MALFORMED).isNotNull(), misfit).otherwise(failures)
+    checked = _prepared(strings, contract).withColumn("_failed", failures)
     kept = checked.where(F.size("_failed") == 0)
     typed = kept.select(*[_typed(c, contract, host) for c in contract.columns])
     # The outer form keeps Spark from repeating the rules in a filter below the explode.
@@ -168,7 +177,10 @@ def apply_contract(
     )
     parts = [broken.select(F.lit(contract.name).alias("table"), "column", "rule", "n")]
     if contract.grain:
-        copies = strings.groupBy(*contract.grain).agg(F.count(F.lit(1)).alias("n"))
+        whole = strings if MALFORMED not in strings.columns else strings.where(
+            F.col(MALFORMED).isNull()
+        )
+        copies = whole.groupBy(*contract.grain).agg(F.count(F.lit(1)).alias("n"))
         parts.append(
             copies.where(F.col("n") > 1)
             .agg(F.sum(F.col("n") - 1).alias("n"))
@@ -201,15 +213,21 @@ def assert_contract(violations: DataFrame) -> None:
 
 
 def read_strings(spark: SparkSession, path: str, contract: Contract) -> DataFrame:
-    """CSV rows with every column as text, after an exact check of the header."""
-    options = {"header": "true", "multiLine": "true", "quote": '"', "escape": '"',
-               "encoding": "UTF-8"}
-    header = spark.read.options(**options).csv(path)
-    names = [name.lstrip("﻿") for name in header.columns]
-    if tuple(names) != contract.columns:
-        raise ContractError(f"{contract.name}: header does not match the contract")
-    schema = ", ".join(f"`{name}` STRING" for name in contract.columns)
-    return spark.read.options(**options).schema(schema).csv(path)
+    """CSV rows with every column as text, and :data:`MALFORMED` for the rows that do not fit.
+
+    Every file's own header must name the contract's columns in their order; a file that does
+    not fails the job that reads it. Rows with missing or extra fields keep their raw line in
+    the last column and become violations. Columns are not pruned while parsing, so that a
+    malformed row is found whatever a query selects.
+    """
+    schema = ", ".join(f"`{name}` STRING" for name in (*contract.columns, MALFORMED))
+    return (
+        spark.read.schema(schema)
+        .options(header="true", multiLine="true", quote='"', escape='"', encoding="UTF-8",
+                 enforceSchema="false", mode="PERMISSIVE", columnPruning="false",
+                 columnNameOfCorruptRecord=MALFORMED)
+        .csv(path)
+    )
 
 
 def as_strings(frame: DataFrame) -> DataFrame:

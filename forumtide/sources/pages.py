@@ -16,13 +16,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
-from forumtide.functions.text import let, plain_text
+from forumtide.functions.text import let, once_per_row, plain_text
 from forumtide.functions.time import source_time
 from forumtide.functions.values import Site, article_identity, grouped_integer
 from forumtide.operators.validate import map_units, row_kind
 
-# List-page limits, header, cell classes and markers.
-MAX_PAGE_BYTES = 512_000
+# Header, cell classes and markers of list pages.
 HEADER = ("번호", "제목", "글쓴이", "등록일", "조회", "추천")
 CELL_CLASSES = ("num", "tit", "user", "date", "view", "reco")
 TITLE_CELL, DATE_CELL, VIEWS_CELL, RECO_CELL = 1, 3, 4, 5
@@ -218,22 +217,24 @@ def _checked_row(row: Column, board_id: Column, fetched_at: Column, site: Site)
     return let(typed, judged)
 
 
-def parse_list_pages(pages: DataFrame, site: Site) -> DataFrame:
+def parse_list_pages(pages: DataFrame, site: Site, max_bytes: int | None = None) -> DataFrame:
     """Pages with their checked ``rows`` and a ``reject_reason``, null when accepted.
 
     ``pages`` has ``board_id, html BINARY, fetched_at`` and any identifying columns. One
-    broken row rejects its page; a page without article rows is rejected too. Oversized
-    and empty pages never reach Python.
+    broken row rejects its page; a page without article rows is rejected too, as is one of
+    more than ``max_bytes`` where that is given. Refused pages never reach Python.
     """
     board_path = site.board_path
 
+    @once_per_row
     @pandas_udf(_RAW)
     def extract(bodies: pd.Series) -> pd.DataFrame:
         done = [(None, []) if b is None else page_fields(bytes(b), board_path) for b in bodies]
         return pd.DataFrame(done, columns=["header", "rows"])
 
     size = F.octet_length("html")
-    sized = F.coalesce(size.between(1, MAX_PAGE_BYTES), F.lit(False))
+    oversized = F.lit(False) if max_bytes is None else F.coalesce(size > max_bytes, F.lit(False))
+    sized = F.coalesce(size > 0, F.lit(False)) & ~oversized
     raw = pages.withColumn("_raw", extract(F.when(sized, F.col("html"))))
     checked = raw.withColumn(
         "rows",
@@ -246,7 +247,7 @@ def parse_list_pages(pages: DataFrame, site: Site) -> DataFrame:
     articles = F.size(F.filter("rows", lambda r: ~r["empty"]))
     reason = (
         F.when(F.coalesce(size, F.lit(0)) == 0, "empty page")
-        .when(size > MAX_PAGE_BYTES, "oversized page")
+        .when(oversized, "oversized page")
         .when(F.col("_raw.header") != "ok", F.concat(F.lit("header "), F.col("_raw.header")))
         .when(broken.isNotNull(), broken)
         .when(articles == 0, "no article rows")
@@ -314,6 +315,7 @@ def parse_articles(
     Pages without the container's tag are answered in the JVM.
     """
 
+    @once_per_row
     @pandas_udf("string")
     def inside(sources: pd.Series) -> pd.Series:
         return pd.Series(

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from forumtide.operators import ranking
 from forumtide.operators.merge import detail_tasks
-from forumtide.params import RankingSpec, config_digest, metric_name, unit_slug
+from forumtide.params import RankingSpec, code
 from forumtide.schemas import POST, QUARANTINE, SNAPSHOT
 
 AS_OF = datetime(2026, 7, 15, 3, 20, tzinfo=timezone.utc)
@@ -101,13 +101,15 @@ def test_tasks_are_distinct_and_kept(spark, tables):
 
 
 def test_parameters_are_checked():
-    for bad in (dict(window_days=0), dict(window_days=366), dict(top_n=501), dict(config_version="x" * 64)):
+    for bad in (dict(window_days=0), dict(top_n=0), dict(config_version="x" * 64)):
         with pytest.raises(ValueError):
             RankingSpec(AS_OF, **{"config_version": CONFIG, **bad})
     with pytest.raises(TypeError):
         RankingSpec(AS_OF, window_days=True)
     with pytest.raises(ValueError):
         RankingSpec(datetime(2026, 1, 1))
-    for check, bad in ((config_digest, "A" * 64), (unit_slug, "Hero"), (unit_slug, "a\n"), (metric_name, "likes")):
+    assert RankingSpec(AS_OF, window_days=3650, top_n=100_000).top_n == 100_000
+    for name, bad in (("config_version", "A" * 64), ("analysis_unit", "Hero"),
+                      ("analysis_unit", "a\n"), ("metric", "likes")):
         with pytest.raises(ValueError):
-            check(bad)
+            code(name, bad)

@@ -18,6 +18,7 @@ from forumtide.operators.screening import (
     scan,
     scan_text,
     task_conflicts,
+    unusable_references,
 )
 from forumtide.registry import PROMPT_RULES
 from forumtide.schemas import QUARANTINE
@@ -126,8 +127,9 @@ def test_quarantine_rows_replay_and_threshold(spark):
     assert quarantine_rows(texts, "title", NOW, threshold=60).count() == 3
     with pytest.raises(ValueError):
         quarantine_rows(texts, "Not A Kind", NOW)
-    with pytest.raises(Exception, match="trimmed"):
-        quarantine_rows(refs(spark, [(" post:1:1", bad)]), "title", NOW).collect()
+    unnamed = refs(spark, [(" post:1:1", bad), (None, bad), ("post:1:2", bad)])
+    assert quarantine_rows(unnamed, "title", NOW).count() == 1
+    assert unusable_references(unnamed).count() == 2
 
 
 def test_reviews(spark):
@@ -143,7 +145,7 @@ def test_reviews(spark):
         (4, "c", "ann", "ok"), (5, "r", "ann", "ok"), (6, "r", "ann", "other"), (7, "x", "ann", "ok"),
         (8, "p", " ann", "ok"), (9, "p", "ann", ""), (10, "p", "a​n", "ok"), (11, "p", "x" * 201, "ok"),
     ], "seq INT, id STRING, reviewer STRING, note STRING")
-    outcomes = review_outcomes(decisions, held)
+    outcomes = review_outcomes(decisions, held, longest=200)
     got = {r["seq"]: r["outcome"] for r in outcomes.collect()}
     assert got == {1: "released", 2: "replayed", 3: "conflict", 4: "conflict", 5: "replayed",
                    6: "conflict", 7: "not_found", 8: "invalid", 9: "invalid", 10: "invalid", 11: "invalid"}
@@ -161,5 +163,5 @@ def test_reviews(spark):
     assert task_conflicts(tasks, other).count() == 2
     # The outcome of a decision does not depend on row order.
     for order in itertools.islice(itertools.permutations(decisions.collect()), 0, 5000, 2500):
-        again = review_outcomes(spark.createDataFrame(list(order), decisions.schema), held)
+        again = review_outcomes(spark.createDataFrame(list(order), decisions.schema), held, 200)
         assert {r["seq"]: r["outcome"] for r in again.collect()} == got

@@ -63,8 +63,9 @@ def test_threads_are_screened_apart(spark):
     assert tuple(counts) == (4, 4, 1, 1, 2, 2, False)
     reused, notes, missing = semantic.split_reuse(candidates.where("post_id < 3"), batch.posts, batch.comments)
     assert (reused.count(), notes.count(), missing.count()) == (1, 1, 1)
-    again, _ = semantic.relabel_excerpts(batch.posts, batch.comments, DOMAIN_LEXICON)
-    assert again.drop("x").collect() == post
+    again, notes = semantic.relabel(
+        batch.posts, batch.comments, batch.body_texts, batch.comment_texts, DOMAIN_LEXICON)
+    assert again.collect() == post and notes.collect() == batch.comments.collect()
     summary = semantic.unit_summary(batch.posts, batch.comments).first()
     assert (summary["posts"], summary["comments"], summary["negative_reactions"], summary["low_sample"]) == (1, 1, 1.0, True)
     shown = semantic.evidence_table(batch.posts).first()
@@ -74,8 +75,8 @@ def test_threads_are_screened_apart(spark):
 def test_catalogue(spark):
     rows = lexicon.rule_catalogue(lexicon.lexicon_frame(spark, DOMAIN_LEXICON)).collect()
     got = {r["rule"]: r["terms"] for r in rows}
-    assert len(got) == 16 and got["감성·긍정"].split(" · ") == list(DOMAIN_LEXICON.positive[:8])
-    assert got["주제·경제·옥션"].split(" · ") == ["옥션", "경매장", "메소", "가격", "거래", "시세"]
+    assert len(got) == 16 and got["감성·긍정"].split(" · ") == list(DOMAIN_LEXICON.positive)
+    assert got["주제·경제·옥션"].split(" · ") == list(dict(DOMAIN_LEXICON.topics)["경제·옥션"])
 
 
 def test_themes_are_stable(spark):

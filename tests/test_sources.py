@@ -76,8 +76,28 @@ def test_csv_header_is_exact(spark, folder):
     got = contracts.read_strings(spark, str(path), POSTS).first()
     assert got["title"] == GOOD["title"] and got["board_id"] == "1"
     path.write_text(body.replace("post_id", "post"), encoding="utf-8")
-    with pytest.raises(contracts.ContractError):
-        contracts.read_strings(spark, str(path), POSTS)
+    with pytest.raises(Exception, match="(?i)header"):
+        contracts.read_strings(spark, str(path), POSTS).collect()
+
+
+NOTES = contracts.Contract("notes", ("id", "reviewer", "note"), integers=("id",), required_text=("note",))
+
+
+def test_every_file_has_the_header_in_order(spark, folder):
+    (Path(folder) / "a.csv").write_text("id,reviewer,note\n1,ann,x\n")
+    (Path(folder) / "b.csv").write_text("id,note,reviewer\n2,y,bob\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        contracts.read_strings(spark, folder, NOTES).collect()
+
+
+def test_rows_with_missing_or_extra_fields_are_violations(spark, folder):
+    (Path(folder) / "a.csv").write_text(
+        'id,reviewer,note\n1,ann,x\n2,bob,y,EXTRA\n3,cid\nz,dee,"two\nlines"\n4,eve,""\n')
+    rows, violations = contracts.apply_contract(contracts.read_strings(spark, folder, NOTES), NOTES)
+    assert [tuple(r) for r in rows.collect()] == [(1, "ann", "x")]
+    assert {tuple(r)[1:] for r in violations.collect()} == {
+        ("*", "fields", 2), ("id", "integer", 1), ("note", "blank", 1)}
+    assert contracts.read_strings(spark, folder, NOTES).select("id").count() == 5
 
 
 def release(spark, titles):
@@ -210,7 +230,7 @@ def test_list_page_records(spark):
 
 
 REJECTED = [
-    (None, "empty page"), ("", "empty page"), ("x" * 512_001, "oversized page"), (b"\xff\xfe", "header not utf-8"),
+    (None, "empty page"), ("", "empty page"), (b"\xff\xfe", "header not utf-8"),
     ("<html>please log in</html>", "header missing"), (page(list_row(), head=HEAD.replace("추천", "좋아요")), "header incomplete"),
     (page(), "no article rows"), (page("<tr>stray</tr>"), "cell count"),
     (page(list_row(), list_row(cells="<td></td>")), "cell count"),

@@ -142,7 +142,7 @@ def test_article_identity(spark):
         ("/board/main/7/12?category=x", "query"), ("/board/main/7/12?q=1", "query"),
         ("/board/main/7/12#top", "malformed"), (" /board/main/7/12", "malformed"),
         ("/board/main/7/1　2", "malformed"), ("", "malformed"), (None, "malformed"),
-        ("/" + "x" * 2048, "malformed"),
+        ("/" + "x" * 2048, "foreign"),
         ("http://forum.example.com/board/main/7/12", "foreign"),
         ("https://a@forum.example.com/board/main/7/12", "foreign"),
         ("https://forum.example.com:80/board/main/7/12", "foreign"),
