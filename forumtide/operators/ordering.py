@@ -72,6 +72,28 @@ def average_percentile() -> Column:
     return (F.col("before") + (F.col("n") + 1) / F.lit(2.0)) / F.col("total")
 
 
+def with_percentile(
+    rows: DataFrame, keys: Sequence[str], value: str, bucket: Column, output: str
+) -> DataFrame:
+    """Rows with the average-rank percentile of a non-negative value within its group.
+
+    Zero is often the value of half the rows, so its percentile, one per group, is joined on
+    the group alone (a small stored table); only the other rows are joined on their value.
+    ``rows`` are read twice more and should be stored. This runs jobs.
+    """
+    keys = list(keys)
+    ranks = materialize(
+        ranked_values(rows, keys, value, bucket).select(
+            *keys, value, average_percentile().alias(output)
+        ), "percentiles",
+    )
+    none = ranks.where(F.col(value) == 0).drop(value)
+    some = ranks.where(F.col(value) != 0)
+    still = rows.where(F.col(value) == 0).join(none, keys)
+    grown = rows.where(F.col(value) != 0).join(some, [*keys, value])
+    return still.unionByName(grown)
+
+
 def exact_quantile(
     rows: DataFrame, keys: Sequence[str], value: str, bucket: Column, q: float, output: str
 ) -> DataFrame:

@@ -10,11 +10,10 @@ from pyspark.sql import functions as F
 from forumtide.functions.time import local_date
 from forumtide.operators.merge import POST_KEY
 from forumtide.operators.ordering import (
-    average_percentile,
     exact_quantile,
     integer_bucket,
-    ranked_values,
     unit_bucket,
+    with_percentile,
 )
 from forumtide.params import RisingSpec
 from forumtide.session import materialize
@@ -94,11 +93,8 @@ def rising_scores(
     valid = deltas.where(F.col("sample_state") == "valid").select(*ids, *columns)
     long = materialize(valid, "deltas").unpivot(ids, columns, "measure", "delta")
     keys = [*group, "measure"]
-    ranks = ranked_values(long, keys, "delta", integer_bucket(F.col("delta"))).select(
-        *keys, "delta", average_percentile().alias("percentile")
-    )
     wide = (
-        long.join(ranks, [*keys, "delta"])
+        with_percentile(long, keys, "delta", integer_bucket(F.col("delta")), "percentile")
         .groupBy(*ids)
         .agg(*[
             F.max(F.when(F.col("measure") == c, F.col("percentile")))
@@ -119,14 +115,14 @@ def rising_scores(
         .withColumn("acceleration", F.greatest(change, F.lit(0.0))),
         "paces",
     )
-    pace = ranked_values(
-        paced, list(group), "acceleration", unit_bucket(F.col("acceleration"))
-    ).select(*group, "acceleration", average_percentile().alias("acceleration_percentile"))
     share = spec.acceleration_weight
     score = F.lit(1 - share) * F.col("engagement_intensity") + F.lit(share) * F.col(
         "acceleration_percentile"
     )
-    return paced.join(pace, [*group, "acceleration"]).withColumn("rising_score", score)
+    return with_percentile(
+        paced, list(group), "acceleration", unit_bucket(F.col("acceleration")),
+        "acceleration_percentile",
+    ).withColumn("rising_score", score)
 
 
 def _extra(category: str, cohort: tuple[str, ...]) -> list[str]:

@@ -545,7 +545,6 @@ def artifact_roundtrip(spark, folder):
 
 def _stream(spark, folder, name):
     """One of the supplied tables as a file stream."""
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
     return (
         spark.readStream.schema(t.SCHEMAS[name]).option("pathGlobFilter", f"{name}.parquet").parquet(folder)
     )
@@ -559,33 +558,30 @@ def _stream(spark, folder, name):
 FROM events GROUP BY ALL""",
 )
 def slot_stream(spark, folder):
-    """Slot snapshots of the event stream in update mode, merged on read.
-
-    State is bounded by the watermark; the last slots need no later event to appear.
-    """
-    timed = slots.with_event_time(_stream(spark, folder, "events"), "ts", "2 days")
-    counted = timed.select(
+    """Slot snapshots of the event stream, reduced per batch and merged on read."""
+    counted = _stream(spark, folder, "events").select(
         "ts", "user_id", F.floor("value").cast("bigint").alias("views"),
         F.floor(F.col("value") * 2).cast("bigint").alias("recommendations"),
         F.floor(F.col("value") * 3).cast("bigint").alias("comments"),
     )
-    snapshots = slots.slot_snapshots(counted, "ts", ("user_id",))
     path = scratch_path(spark, "slots")
-    slots.run_to_folder(snapshots, path, scratch_path(spark, "slots-state"), "update")
+    slots.run_to_folder(
+        counted, path, scratch_path(spark, "slots-state"),
+        lambda batch: slots.slot_snapshots(batch, "ts", ("user_id",)),
+    )
     return slots.read_slots(spark, path, ("user_id",))
 
 
 @query("STR-4", "SELECT event_id, user_id, event_type FROM events")
 def replay_stream(spark, folder):
-    """Every event sent three times; the copies are dropped within the watermark."""
+    """Every event sent three times; whatever was stored before is not stored again."""
     events = _stream(spark, folder, "events").withColumn(
         "copy", F.explode(F.array(F.lit(1), F.lit(2), F.lit(3)))
     )
-    once = slots.suppress_replays(slots.with_event_time(events, "ts", "2 days"), ("event_id",))
     path = scratch_path(spark, "replays")
-    slots.run_to_folder(
-        once.select("event_id", "user_id", "event_type"), path,
-        scratch_path(spark, "replays-state"), "append",
+    slots.store_once(
+        events.select("event_id", "user_id", "event_type", "ts"), path, ("event_id",), "ts",
+        scratch_path(spark, "replays-state"),
     )
     return spark.read.parquet(path).select("event_id", "user_id", "event_type")
 
@@ -641,17 +637,19 @@ def upsert_stream_snapshots(spark, folder):
   OR regexp_matches(text, '(?i)token = "[0-9a-f]{8,}"') AS quarantined FROM documents""",
 )
 def screened_stream(spark, folder):
-    """Documents screened as they stream in, safe and quarantined branches stored apart."""
-    documents = _stream(spark, folder, "documents")
-    safe, held = slots.split_screened(documents, "text", t.SAMPLE_RULES, 60)
-    stored = []
-    for name, branch, flag in (("safe", safe, False), ("held", held, True)):
-        path = scratch_path(spark, f"screened-{name}")
-        slots.run_to_folder(
-            branch.select("doc_id", "lang"), path, scratch_path(spark, f"{name}-state"), "append"
-        )
-        stored.append(spark.read.parquet(path).select("doc_id", "lang", F.lit(flag).alias("quarantined")))
-    return stored[0].unionByName(stored[1])
+    """Documents screened as they stream in: one pass, both branches stored apart."""
+    path = scratch_path(spark, "screened")
+    slots.run_to_folder(
+        _stream(spark, folder, "documents"), path, scratch_path(spark, "screened-state"),
+        lambda batch: slots.screened(batch, "text", t.SAMPLE_RULES, 60).select(
+            "doc_id", "lang", "quarantined"
+        ),
+        "quarantined",
+    )
+    # The branch is a folder name, which is read back as text.
+    return spark.read.parquet(path).select(
+        "doc_id", "lang", F.col("quarantined").cast("boolean").alias("quarantined")
+    )
 
 
 @query(
@@ -668,10 +666,11 @@ def release_stream(spark, folder):
         orders.groupBy("o_orderstatus").agg(
             F.count(F.lit(1)).alias("orders"),
             F.round(F.sum("o_totalprice")).cast("bigint").alias("total"),
-        ).write.parquet(out)
+        ).write.mode("overwrite").parquet(out)
 
     # The orders file stands for the marker that completes the folder.
     slots.on_new_release(
-        spark, folder, scratch_path(spark, "releases-state"), summarise, "orders.parquet"
+        spark, folder, scratch_path(spark, "releases-state"), summarise,
+        scratch_path(spark, "release-ledger"), "orders.parquet",
     ).awaitTermination()
     return spark.read.parquet(out)

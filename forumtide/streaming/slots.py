@@ -1,7 +1,8 @@
 """Slot-aligned ingestion on Structured Streaming.
 
-State is bounded by the watermark, and every sink step is a replay-safe merge, so a
-restarted query or a re-delivered batch leaves the same tables.
+Batches are reduced on their own and merged on read, so no state grows and no row is too
+late. Every sink step is replay-safe: a restarted query or a re-delivered batch leaves the
+same tables.
 """
 
 from __future__ import annotations
@@ -11,6 +12,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from forumtide.functions.time import slot_window
@@ -36,16 +38,6 @@ def read_stream(spark: SparkSession, path: str, schema: str, files_per_trigger:
     )
 
 
-def with_event_time(rows: DataFrame, column: str, delay: str) -> DataFrame:
-    """Event time as an instant, with its watermark (naive timestamps cannot carry one)."""
-    return rows.withColumn(column, F.col(column).cast("timestamp")).withWatermark(column, delay)
-
-
-def suppress_replays(rows: DataFrame, identity: Sequence[str]) -> DataFrame:
-    """Drop identical observations that arrive again within the watermark."""
-    return rows.dropDuplicatesWithinWatermark(list(identity))
-
-
 def slot_snapshots(
     rows: DataFrame, time_column: str, keys: Sequence[str] = POST_KEY,
     interval_hours: int = 6, minute: int = 20,
@@ -62,15 +54,13 @@ def slot_snapshots(
     )
 
 
-def split_screened(
+def screened(
     rows: DataFrame, column: str, rules: Sequence[ScanRule] = PROMPT_RULES,
     threshold: int = THRESHOLD,
-) -> tuple[DataFrame, DataFrame]:
-    """``(safe, quarantined)`` branches of a stream; nothing unscanned goes further."""
-    scanned = scan(rows, column, rules)
-    return (
-        scanned.where(F.col("risk_score") < threshold),
-        scanned.where(F.col("risk_score") >= threshold),
+) -> DataFrame:
+    """Rows with their scan and ``quarantined``; nothing unscanned goes further."""
+    return scan(rows, column, rules).withColumn(
+        "quarantined", F.col("risk_score") >= threshold
     )
 
 
@@ -86,9 +76,10 @@ class MergeTable:
     def __init__(
         self, spark: SparkSession, root: str, schema: str,
         merge: Callable[[DataFrame], DataFrame], partition: str | None = None,
+        compact_every: int = 16,
     ) -> None:
         self.spark, self.root, self.schema = spark, root.rstrip("/"), schema
-        self.merge, self.partition = merge, partition
+        self.merge, self.partition, self.compact_every = merge, partition, compact_every
 
     def _complete(self, kind: str) -> list[int]:
         """Numbers of the finished folders of one kind; only names are read back."""
@@ -107,7 +98,12 @@ class MergeTable:
         writer.parquet(f"{self.root}/{kind}/n={number}")
 
     def append(self, rows: DataFrame, number: int) -> None:
+        """Store a batch; every ``compact_every`` batches the earlier ones are folded."""
         self._write(rows, "batch", number)
+        bases = self._complete("base")
+        floor = bases[-1] if bases else -1
+        if sum(n > floor for n in self._complete("batch")) > self.compact_every:
+            self.compact(number)
 
     def _folders(self, before: int | None) -> list[str]:
         def kept(kind: str) -> list[int]:
@@ -119,23 +115,42 @@ class MergeTable:
         return folders + [f"{self.root}/batch/n={n}" for n in kept("batch") if n > floor]
 
     def rows(self, before: int | None = None) -> DataFrame:
-        """Stored rows not yet merged with each other."""
-        parts = [
-            self.spark.read.schema(self.schema).option("basePath", folder).parquet(folder)
-            for folder in self._folders(before)
-        ]
-        if not parts:
+        """Stored rows not yet merged with each other: one scan over all folders."""
+        folders = self._folders(before)
+        if not folders:
             return self.spark.createDataFrame([], self.schema)
-        return reduce(DataFrame.unionByName, parts)
+        # The base and the batches are one scan each, however many batches there are.
+        columns = [part.split()[0] for part in self.schema.split(", ")]
+        scans = [
+            self.spark.read.schema(self.schema).option("basePath", f"{self.root}/{kind}")
+            .parquet(*found).select(*columns)
+            for kind in ("base", "batch")
+            if (found := [f for f in folders if f.startswith(f"{self.root}/{kind}/")])
+        ]
+        return reduce(DataFrame.unionByName, scans)
 
     def read(self, before: int | None = None) -> DataFrame:
         return self.merge(self.rows(before))
 
-    def compact(self) -> None:
-        """Fold everything finished so far into one base."""
-        batches = self._complete("batch")
-        if batches:
-            self._write(self.read(batches[-1] + 1), "base", batches[-1])
+    def compact(self, before: int | None = None) -> None:
+        """Fold the finished batches (those ahead of ``before``) into one base.
+
+        Folders that the previous base had already folded go; those of this fold stay until
+        the next one, so that a reader that began earlier still finds its files.
+        """
+        bases = self._complete("base")
+        batches = [n for n in self._complete("batch") if before is None or n < before]
+        if not batches or (bases and bases[-1] >= batches[-1]):
+            return
+        self._write(self.read(batches[-1] + 1), "base", batches[-1])
+        if bases:
+            self._drop("batch", [n for n in batches if n <= bases[-1]])
+            self._drop("base", bases[:-1])
+
+    def _drop(self, kind: str, numbers: list[int]) -> None:
+        for number in numbers:
+            path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{kind}/n={number}")
+            path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 SNAPSHOT_TABLE = SNAPSHOT + ", slot_month DATE"
@@ -185,35 +200,66 @@ def upsert_stream(
         finally:
             batch.unpersist()
 
-    return (
-        observations.writeStream.foreachBatch(apply)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
+    return _drive(observations, apply, checkpoint)
 
 
-def run_to_folder(rows: DataFrame, path: str, checkpoint: str, mode: str) -> None:
+def run_to_folder(
+    rows: DataFrame, path: str, checkpoint: str,
+    each: Callable[[DataFrame], DataFrame] | None = None, partition: str | None = None,
+) -> None:
     """Drive a stream over everything available, one folder per micro-batch.
 
-    A batch delivered twice overwrites its own folder. In update mode a key may appear in
-    several folders; read those with a merge.
+    ``each`` reduces a micro-batch before it is stored, without state between batches: a row
+    may come as late as it likes, and results that span batches are merged on read. A batch
+    delivered twice overwrites its own folder.
     """
 
     def save(batch: DataFrame, number: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/n={number}")
+        writer = (batch if each is None else each(batch)).write.mode("overwrite")
+        if partition is not None:
+            writer = writer.partitionBy(partition)
+        writer.parquet(f"{path}/n={number}")
 
-    query = (
-        rows.writeStream.outputMode(mode).foreachBatch(save)
+    _drive(rows, save, checkpoint).awaitTermination()
+
+
+def _drive(rows: DataFrame, call, checkpoint: str) -> StreamingQuery:
+    return (
+        rows.writeStream.foreachBatch(call)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
-    query.awaitTermination()
+
+
+def store_once(
+    rows: DataFrame, path: str, identity: Sequence[str], time_column: str, checkpoint: str
+) -> None:
+    """Store every observation once, however often and however late it arrives again.
+
+    Batches are stored by day; a batch is compared only with the stored days it has rows of,
+    and only with earlier batches, so a batch delivered twice gives the same folder. The
+    identity must fix the observation's time.
+    """
+    spark = rows.sparkSession
+    day = F.to_date(time_column)
+
+    def save(batch: DataFrame, number: int) -> None:
+        fresh = batch.dropDuplicates(list(identity)).withColumn("_day", day)
+        if number:
+            days = [r[0] for r in batch.select(day).distinct().collect()]
+            schema = T.StructType([*fresh.schema.fields, T.StructField("n", T.IntegerType())])
+            stored = spark.read.schema(schema).parquet(path).where(
+                (F.col("n") < number) & F.col("_day").isin(days)
+            )
+            fresh = fresh.join(stored.select(*identity), list(identity), "left_anti")
+        fresh.write.mode("overwrite").partitionBy("_day").parquet(f"{path}/n={number}")
+
+    _drive(rows, save, checkpoint).awaitTermination()
 
 
 def read_slots(spark: SparkSession, path: str, keys: Sequence[str] = POST_KEY) -> DataFrame:
-    """Slot snapshots stored by an update-mode stream, greatest value of each counter."""
+    """Slot snapshots stored batch by batch, greatest value of each counter."""
     return (
         spark.read.parquet(path)
         .groupBy(F.col("slot").cast("timestamp_ntz").alias("slot"), *keys)
@@ -222,18 +268,28 @@ def read_slots(spark: SparkSession, path: str, keys: Sequence[str] = POST_KEY) -
 
 
 def on_new_release(
-    spark: SparkSession, root: str, checkpoint: str, handle, pattern: str = "SHA256SUMS.txt"
+    spark: SparkSession, root: str, checkpoint: str, handle, ledger: str,
+    pattern: str = "SHA256SUMS.txt",
 ) -> StreamingQuery:
     """Call ``handle(release folder)`` once for every newly completed release.
 
-    The checksum list is written last, so its appearance is the signal. Release names
-    are few and short; they are the only thing read back.
+    The checksum list is written last, so its appearance is the signal. Handled releases are
+    noted in ``ledger``; a batch delivered again skips them. A job lost between handling and
+    noting handles the release again, so ``handle`` should overwrite its own output. Release
+    names are few and short; they are the only thing read back.
     """
 
     def announce(batch: DataFrame, number: int) -> None:
         folder = F.regexp_extract("path", r"^(.*)/[^/]+\z", 1)
-        for row in batch.select(folder.alias("f")).distinct().orderBy("f").collect():
-            handle(row["f"])
+        found = batch.select(folder.alias("release")).distinct()
+        path = spark._jvm.org.apache.hadoop.fs.Path(ledger)
+        if path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
+            done = spark.read.schema("release STRING").parquet(ledger)
+            found = found.join(done, "release", "left_anti")
+        for row in found.orderBy("release").collect():
+            handle(row["release"])
+            noted = spark.createDataFrame([row], "release STRING").coalesce(1)
+            noted.write.mode("append").parquet(ledger)
 
     lists = (
         spark.readStream.format("binaryFile")
@@ -243,9 +299,4 @@ def on_new_release(
         .load(root)
         .select("path")
     )
-    return (
-        lists.writeStream.foreachBatch(announce)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
+    return _drive(lists, announce, checkpoint)
