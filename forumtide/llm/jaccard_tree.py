@@ -12,10 +12,11 @@ size classes, each indexed in its own class and in the next one if a partner may
 Groups without shingles say nothing; a set with more of them than its class allows for is
 grouped again by another hash, and the last round keeps even those.
 
-Buckets first gather sets in clusters, whose trees link most of them (sets already connected
-are not compared again). Then every bucket that still holds unconnected sets is compared in
-full, so no link is lost; a bucket larger than a tree is cut into parts, and the parts are
-compared pairwise in separate tasks. Only sets found in some bucket are moved at all.
+Buckets join sets to clusters, and a cluster is one tree, or several parts if it is large.
+Sets already connected are not compared again. Of a large cluster, representatives of its
+connected groups meet next; then every two parts whose sets share a bucket that still holds
+unconnected sets are compared in a task of their own, so no link is lost. Only sets found in
+some bucket are moved at all.
 
 Defined results: a null or empty text has no shingles and is linked with nothing. Texts with
 fewer words than a shingle are one shingle. Rows with equal sets are linked. Rows with a null
@@ -201,12 +202,15 @@ def _linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
     return 100 * shared >= percent * (len(a) + len(b) - shared)
 
 
-def tree_links(roots: list[int], sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
+def tree_links(
+    roots: list[int], sides: list[int], sets: list[np.ndarray], percent: int
+) -> list[tuple[int, int]]:
     """Links that connect different roots: enough of them to connect all that are linked.
 
-    Every pair that the tree lets through is verified unless already connected.
+    Every pair of different sides that the tree lets through is verified unless already
+    connected.
     """
-    root = np.array(roots, dtype=np.int64)
+    root, side = np.array(roots, dtype=np.int64), np.array(sides, dtype=np.int64)
     if len(np.unique(root)) < 2:
         return []
     sizes = np.array([len(s) for s in sets], dtype=np.int64)
@@ -215,7 +219,7 @@ def tree_links(roots: list[int], sets: list[np.ndarray], percent: int) -> list[t
     links = []
     for i in range(len(sets)):
         near = tree.search(int(sizes[i]), points[i])
-        near = near[(near > i) & (root[near] != root[i])]
+        near = near[(near > i) & (root[near] != root[i]) & (side[near] != side[i])]
         while len(near):
             j, near = near[0], near[1:]
             if _linked(sets[i], sets[j], percent):
@@ -316,21 +320,23 @@ def _set_rows(words: int):
 def _unit_links(percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Rows come sorted by unit; one unit is held at a time."""
-        unit, roots, sets = None, [], []
+        unit, roots, sides, sets = None, [], [], []
 
         def close() -> Iterator[pa.RecordBatch]:
-            links = tree_links(roots, sets, percent)
+            links = tree_links(roots, sides, sets, percent)
             if links:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, pa.int64()) for c in zip(*links)], names=["a", "b"]
                 )
 
         for batch in batches:
-            for u, root, blob in zip(*(batch.column(c).to_pylist() for c in ("unit", "root", "hashes"))):
+            columns = (batch.column(c).to_pylist() for c in ("unit", "root", "side", "hashes"))
+            for u, root, side, blob in zip(*columns):
                 if u != unit:
                     yield from close()
-                    unit, roots, sets = u, [], []
+                    unit, roots, sides, sets = u, [], [], []
                 roots.append(root)
+                sides.append(side)
                 sets.append(np.frombuffer(blob, dtype=np.uint64))
         yield from close()
 
@@ -338,77 +344,101 @@ def _unit_links(percent: int):
 
 
 def _parts(rows: DataFrame, key: str) -> DataFrame:
-    """Adds ``parts``, how many trees the key's rows need, and the row's ``part``."""
+    """Adds ``part``: a key's rows are dealt over as many trees as they need."""
     sizes = materialize(
         rows.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > TREE_ROWS)
         .select(F.col(key).alias("_key"), F.ceil(F.col("_n") / TREE_ROWS).cast("int").alias("_k")),
         "large-keys",
     )
-    parts = F.coalesce("_k", F.lit(1))
+    place = F.pmod(F.xxhash64("set_key"), F.coalesce("_k", F.lit(1))).cast("int")
     return rows.join(sizes, F.col(key) == F.col("_key"), "left").withColumn(
-        "parts", parts
-    ).withColumn("part", F.pmod(F.xxhash64("set_key"), parts).cast("int")).drop("_key", "_k")
+        "part", place
+    ).drop("_key", "_k")
 
 
 def _links(units: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links found in the trees of the units (unit, set_key, root)."""
+    """Links found in the trees of the units (unit, set_key, root, side)."""
     return materialize(
-        units.join(sets, "set_key").select("unit", "root", "hashes")
+        units.join(sets, "set_key").select("unit", "root", "side", "hashes")
         .repartition("unit").sortWithinPartitions("unit").mapInArrow(_unit_links(percent), _LINKS),
         "links",
     )
 
 
-def _open_buckets(buckets: DataFrame, roots: DataFrame) -> DataFrame:
-    """(signature, set_key, root) of the buckets that still hold unconnected sets."""
+def _rooted(placed: DataFrame, roots: DataFrame) -> DataFrame:
     named = roots.select(F.col("node").alias("set_key"), "root")
-    labelled = materialize(
-        buckets.join(named, "set_key", "left").select(
-            "signature", "set_key", F.coalesce("root", "set_key").alias("root")
-        ), "labelled",
+    return placed.join(named, "set_key", "left").withColumn("root", F.coalesce("root", "set_key"))
+
+
+def _crossing_units(buckets: DataFrame, rooted: DataFrame) -> DataFrame:
+    """Pairs of parts still to be compared, with the sets that a bucket holds in both.
+
+    Sets of one part have been compared. A bucket is open if it holds several roots and
+    several parts; however many buckets two parts share, each set is sent to them once.
+    """
+    rows = materialize(
+        buckets.select("signature", "set_key").join(rooted, "set_key"), "bucket-rows"
     )
     still = materialize(
-        labelled.groupBy("signature").agg(F.min("root").alias("_lo"), F.max("root").alias("_hi"))
-        .where("_lo < _hi").select("signature"), "open",
+        rows.groupBy("signature").agg(
+            F.min("root").alias("_r"), F.max("root").alias("_s"),
+            F.min("part").alias("_p"), F.max("part").alias("_q"),
+        ).where("_r < _s AND _p < _q").select("signature"), "open",
+    )
+    open_ = materialize(rows.join(still, "signature", "left_semi"), "open-rows")
+    present = materialize(
+        open_.select(F.col("signature").alias("_sig"), F.col("part").alias("_other")).distinct(),
+        "open-parts",
     )
-    return materialize(labelled.join(still, "signature", "left_semi"), "open-buckets")
+    return open_.join(
+        present, (F.col("signature") == F.col("_sig")) & (F.col("part") != F.col("_other"))
+    ).select(
+        F.xxhash64("cluster", F.least("part", "_other"), F.greatest("part", "_other"))
+        .alias("unit"),
+        "set_key", "root", F.col("part").cast("bigint").alias("side"),
+    ).distinct()
 
 
 def _roots_of_sets(buckets: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Connected sets: clusters first, then representatives of large buckets, then the rest."""
-    clusters = materialize(
-        buckets.groupBy("set_key").agg(F.min("hub").alias("cluster")), "clusters"
+    """Connected sets: parts of clusters, then representatives of large ones, then the rest.
+
+    A cluster is what buckets join together, so linked sets are always in one cluster.
+    """
+    near = buckets.where("hub <> set_key").select(
+        F.col("hub").alias("a"), F.col("set_key").alias("b")
+    )
+    clusters = connected_components(near).select(
+        F.col("node").alias("set_key"), F.col("root").alias("cluster")
+    )
+    placed = materialize(_parts(clusters, "cluster"), "placed-sets")
+    links = _links(
+        placed.select(
+            F.xxhash64("cluster", "part").alias("unit"), "set_key",
+            F.col("set_key").alias("root"), F.col("set_key").alias("side"),
+        ), sets, percent,
     )
-    units = _parts(clusters, "cluster").select(
-        F.xxhash64("cluster", "part").alias("unit"), "set_key", F.col("set_key").alias("root")
+    large = materialize(
+        placed.where("part > 0").select("cluster").distinct(), "large-clusters"
     )
-    links = _links(units, sets, percent)
-    roots = connected_components(links)
+    within = materialize(placed.join(large, "cluster", "left_semi"), "large-placed")
     for _ in range(2):
-        open_ = _open_buckets(buckets, roots)
-        large = open_.groupBy("signature").agg(F.count(F.lit(1)).alias("_n")).where(
-            F.col("_n") > TREE_ROWS
-        ).select("signature")
-        chosen = materialize(
-            open_.join(large, "signature", "left_semi").groupBy("signature", "root").agg(
-                F.min("set_key").alias("set_key")
-            ), "representatives",
+        # One set of every connected group of a large cluster stands for its group.
+        groups = _rooted(within, connected_components(links)).groupBy("cluster", "root").agg(
+            F.min("set_key").alias("set_key"), F.count(F.lit(1)).alias("_n")
         )
-        if chosen.isEmpty():
-            break
-        units = _parts(chosen, "signature").select(
-            F.xxhash64("signature", "part").alias("unit"), "set_key", "root"
+        chosen = materialize(groups.where("_n > 1").drop("_n"), "representatives")
+        found = _links(
+            _parts(chosen, "cluster").select(
+                F.xxhash64("cluster", "part").alias("unit"), "set_key", "root",
+                F.col("set_key").alias("side"),
+            ), sets, percent,
         )
-        links = links.unionByName(_links(units, sets, percent))
-        roots = connected_components(links)
-    open_ = _open_buckets(buckets, roots)
-    # Every two parts of a bucket meet in one unit.
-    met = F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other")
-    units = _parts(open_, "signature").select("signature", "set_key", "root", "part", met).select(
-        F.xxhash64("signature", F.least("part", "other"), F.greatest("part", "other")).alias("unit"),
-        "set_key", "root",
-    )
-    return connected_components(links.unionByName(_links(units, sets, percent)))
+        if found.isEmpty():
+            break
+        links = links.unionByName(found)
+    rooted = _rooted(within, connected_components(links))
+    rest = _links(_crossing_units(buckets, rooted), sets, percent)
+    return connected_components(links.unionByName(rest))
 
 
 def scanned_sets(docs: DataFrame, words: int, percent: int) -> tuple[DataFrame, DataFrame]:
@@ -452,8 +482,7 @@ def components(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
         texts.join(
             holders,
             (F.col("text_hash") == F.col("_t")) & F.col("doc_id").eqNullSafe(F.col("_d")),
-        ).select("set_key", "text").mapInArrow(_set_rows(words), _SETS)
-        .groupBy("set_key").agg(F.first("hashes").alias("hashes")),
+        ).select("set_key", "text").dropDuplicates(["set_key"]).mapInArrow(_set_rows(words), _SETS),
         "sets",
     )
     roots = _roots_of_sets(buckets, sets, percent)
