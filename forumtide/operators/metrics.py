@@ -12,7 +12,6 @@ from forumtide.params import WindowSpec
 from forumtide.registry import GENERAL_UNITS, OTHER_SUFFIX
 
 JOB_WINDOW = WindowSpec(168, 720, 5)
-MAX_PRESENTED_UNITS = 10_000
 
 
 def _total(column: str) -> Column:
@@ -160,35 +159,27 @@ def duplicate_keys(rows: DataFrame, *keys: str) -> DataFrame:
 def presentation_snapshot(
     posts: DataFrame, health: DataFrame, comparison: DataFrame, source: Column
 ) -> DataFrame:
-    """One JSON record of source, totals, run health and the unit table; nulls are kept.
+    """JSON rows ``(kind, snapshot)``: one header and one row per unit; nulls are kept.
 
-    Only one row per unit is gathered, and the job fails rather than gather more units
-    than a presentation can hold.
+    The header holds source, totals and run health. Units stay rows, so there may be any
+    number of them; a reader orders them by ``comments_per_post``.
     """
-    job_rows = comparison.agg(
-        F.sort_array(F.collect_list(F.struct(
-            F.negative("comments_per_post").alias("_a"), F.negative("sample_size").alias("_b"),
-            F.col("job").alias("_c"), F.struct(*comparison.columns).alias("row"),
-        ))).alias("rows"),
-        F.count(F.lit(1)).alias("n"),
-    ).select(
-        F.when(
-            F.col("n") <= MAX_PRESENTED_UNITS, F.transform("rows", lambda r: r["row"])
-        ).otherwise(F.raise_error(F.lit("too many units to present"))).alias("jobs")
-    )
+    keep = {"ignoreNullFields": "false"}
     totals = engagement_totals(posts).select(F.struct("*").alias("totals"))
-    runs = health.select(F.struct(
-        "total_runs", "succeeded_runs", "failed_runs", "partial_runs", "success_rate"
-    ).alias("collection"))
-    payload = F.struct(
-        source.alias("source"),
-        totals.scalar().alias("totals"),
-        runs.scalar().alias("collection"),
-        F.col("jobs"),
+    header = health.select(
+        F.lit("header").alias("kind"),
+        F.to_json(F.struct(
+            source.alias("source"),
+            totals.scalar().alias("totals"),
+            F.struct(
+                "total_runs", "succeeded_runs", "failed_runs", "partial_runs", "success_rate"
+            ).alias("collection"),
+        ), keep).alias("snapshot"),
     )
-    return job_rows.select(
-        F.to_json(payload, {"ignoreNullFields": "false"}).alias("snapshot")
+    units = comparison.select(
+        F.lit("unit").alias("kind"), F.to_json(F.struct(*comparison.columns), keep).alias("snapshot")
     )
+    return header.unionByName(units)
 
 
 def label_totals(rows: DataFrame, dimensions: dict[str, str], *keys: str) -> DataFrame:

@@ -236,7 +236,7 @@ SELECT board_id, post_id, l.analysis_unit, views,
 FROM latest l JOIN medians USING (analysis_unit)""",
 )
 def derived_measures(spark, folder):
-    return derived.derived_measures(t.latest(spark, folder))
+    return derived.derived_measures(t.stored_latest(spark, folder))
 
 
 @query(

@@ -2,20 +2,23 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import datetime, timezone
 
 from pyspark.sql import functions as F
 
-from forumtide.operators import admission, merge, metrics, screening, validate
+from forumtide.operators import admission, collection, merge, metrics, screening, validate
+from forumtide.operators.merge import POST_KEY
 from forumtide.params import AdmissionSpec
 from forumtide.plans import tables as t
-from forumtide.plans.catalog import query
+from forumtide.plans.catalog import QUERIES, query
 from forumtide.registry import ScanRule
+from forumtide.schemas import QUARANTINE, SNAPSHOT
+from forumtide.session import materialize
 
 HALF = datetime(1999, 1, 1)
 ADMIT = AdmissionSpec(min_pages=2, overlap_pages=1)
 CUTOFF = datetime(1995, 3, 1)
-BUDGET = 40
+BUDGET = 15
 
 _ORDER = (
     "published_at DESC, title DESC, analysis_unit DESC, category DESC, source_url DESC, "
@@ -266,7 +269,7 @@ LEFT JOIN flagged f ON f.board_id = p.board_id
 GROUP BY p.board_id""",
 )
 def batch_summary(spark, folder):
-    checked = _checked(spark, folder)
+    checked = materialize(_checked(spark, folder), "checked")
     known = t.posts(spark, folder).where(F.col("published_at") < F.lit(datetime(1998, 1, 1)))
     titles = validate.split_valid(checked)[0].select("board_id", "post_id", "title").distinct()
     flagged = screening.scan(titles, "title", _URGENT).where(
@@ -275,6 +278,50 @@ def batch_summary(spark, folder):
     return merge.batch_summary(checked, known, flagged)
 
 
+_FETCHED = datetime(2024, 1, 20, tzinfo=timezone.utc)
+
+
+def _collected(spark, folder):
+    incoming = _incoming(spark, folder).withColumns({
+        "slot": F.lit(datetime(2024, 1, 20)).cast("timestamp_ntz"),
+        "config_version": F.lit(t.VERSION),
+    })
+    stored = t.posts(spark, folder).where(F.col("published_at") < F.lit(datetime(1998, 1, 1)))
+    return collection.collect_batch(
+        incoming, _unit_map(spark, folder), t.SITE,
+        stored.withColumn("last_seen_at", F.col("published_at")),
+        spark.createDataFrame([], SNAPSHOT), spark.createDataFrame([], QUARANTINE), _FETCHED,
+        _URGENT,
+    )
+
+
+@query("MRG-6 FLT-1 TXT-2", QUERIES["batch_summary"].sql)
+def collected_summary(spark, folder):
+    """A batch validated, collapsed, screened and merged: what it did per board."""
+    return _collected(spark, folder).summary
+
+
+@query(
+    "MRG-2 MRG-3 FLT-1",
+    f"""WITH {_FAULTS},{t.POSTS}
+SELECT CAST(c_nationkey AS INTEGER) AS board_id, o_orderkey AS post_id,
+       o_orderpriority AS title, CAST(floor(c_acctbal) AS BIGINT) AS views, true AS observed
+FROM orders JOIN customer ON o_custkey = c_custkey JOIN checked k ON k.post_id = o_orderkey
+WHERE k.failed = ''
+UNION ALL
+SELECT board_id, post_id, title, NULL, false FROM posts
+WHERE published_at < TIMESTAMP '1998-01-01'
+  AND post_id NOT IN (SELECT post_id FROM checked WHERE failed = '')""",
+)
+def collected_tables(spark, folder):
+    """Posts after a collected batch, with the counters of the batch's snapshots."""
+    done = _collected(spark, folder)
+    shots = done.snapshots.select(*POST_KEY, "views", F.lit(True).alias("observed"))
+    return done.posts.select(*POST_KEY, "title").join(shots, list(POST_KEY), "left").select(
+        *POST_KEY, "title", "views", F.coalesce("observed", F.lit(False)).alias("observed")
+    )
+
+
 @query(
     "MRG-8",
     f"""WITH {t.POSTS}
@@ -395,17 +442,23 @@ SELECT CAST(row_number() OVER (ORDER BY round, source_key) AS INTEGER) AS seq, s
 FROM rounds ORDER BY round, source_key LIMIT {BUDGET}""",
 )
 def budget_allocation(spark, folder):
-    rows = t.page_rows(spark, folder)
-    pages = rows.select("source_key", F.col("source_key").alias("source_order"), "page")
-    states = t.load(spark, folder, "supplier").where(F.col("s_nationkey") <= 5).select(
+    return _allocated(spark, folder).select("seq", "source_key", "page", "round")
+
+
+def _backfill_states(spark, folder):
+    return t.load(spark, folder, "supplier").where(F.col("s_nationkey") <= 5).select(
         F.concat(F.lit("source-"), F.col("s_suppkey").cast("string")).alias("source_key"),
         F.col("s_nationkey").cast("int").alias("next_page"),
         (F.col("s_acctbal") < 0).alias("complete"),
     )
+
+
+def _allocated(spark, folder):
+    rows = t.page_rows(spark, folder)
+    pages = rows.select("source_key", F.col("source_key").alias("source_order"), "page")
     cuts = admission.backfill_cuts(rows, CUTOFF)
-    return admission.allocate_pages(pages, states, BUDGET, cuts).select(
-        "seq", "source_key", "page", "round"
-    )
+    return admission.allocate_pages(pages, _backfill_states(spark, folder), BUDGET, cuts)
+
 
 
 @query(
@@ -433,3 +486,45 @@ HAVING count(*) > 1""",
 )
 def duplicate_lines(spark, folder):
     return metrics.duplicate_keys(t.load(spark, folder, "lineitem"), "l_orderkey", "l_linenumber")
+
+
+@query(
+    "MRG-9 MRG-10",
+    f"""WITH {t.PAGE_ROWS}, spent AS (SELECT source_key, page FROM ({QUERIES["budget_allocation"].sql})),
+states AS (
+  SELECT 'source-' || s_suppkey AS source_key, s_acctbal < 0 AS complete,
+         CAST(s_nationkey AS INTEGER) AS next_page FROM supplier WHERE s_nationkey <= 5),
+last AS (SELECT source_key, max(page) AS page FROM spent GROUP BY source_key),
+landed AS (SELECT r.* FROM page_rows r JOIN spent s ON s.source_key = r.source_key AND s.page = r.page),
+cut AS (
+  SELECT source_key, min((page, pos)) FILTER (
+           NOT is_notice AND NOT is_ad AND published_at < TIMESTAMP '1995-03-01') AS cut
+  FROM landed GROUP BY source_key),
+found AS (
+  SELECT r.source_key, bool_or(c.cut IS NOT NULL) AS complete,
+         (max((r.page, r.pos, r.post_id)) FILTER (NOT is_notice AND NOT is_ad
+            AND (c.cut IS NULL OR (r.page, r.pos) <= c.cut)))[3] AS checkpoint_post_id
+  FROM landed r JOIN cut c ON c.source_key = r.source_key GROUP BY r.source_key)
+SELECT coalesce(s.source_key, l.source_key) AS source_key,
+       CAST(coalesce(l.page + 1, s.next_page) AS INTEGER) AS next_page,
+       coalesce(f.complete, s.complete, false) AS complete, f.checkpoint_post_id,
+       l.page IS NOT NULL AS moved
+FROM states s FULL JOIN last l ON l.source_key = s.source_key
+LEFT JOIN found f ON f.source_key = l.source_key""",
+)
+def next_backfill_state(spark, folder):
+    """Backfill states after the pages of one budget were read and stored."""
+    rows = t.page_rows(spark, folder)
+    states = _backfill_states(spark, folder).withColumn(
+        "checkpoint_post_id", F.lit(None).cast("bigint")
+    )
+    spent = materialize(_allocated(spark, folder), "spent")
+    landed = materialize(
+        rows.join(spent.select("source_key", "page"), ["source_key", "page"]), "landed"
+    )
+    status = admission.backfill_status(landed, admission.backfill_cuts(landed, CUTOFF))
+    after = collection.next_backfill_state(states, spent, status, _FETCHED)
+    return after.select(
+        "source_key", F.col("next_page").cast("int").alias("next_page"), "complete",
+        "checkpoint_post_id", F.col("updated_at").isNotNull().alias("moved"),
+    )

@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from forumtide.operators import merge, ranking, validate
+from forumtide.operators import collection, merge, ranking, validate
 from forumtide.params import RankingSpec
 from forumtide.plans import tables as t
-from forumtide.plans.catalog import query
+from forumtide.plans.catalog import QUERIES, query
+from forumtide.schemas import RANKING
+from forumtide.session import scratch_path
 
 SPEC = RankingSpec(t.AS_OF, window_days=365, top_n=50, config_version=t.VERSION)
 EARLY = RankingSpec(t.EARLIER, window_days=365, top_n=50, config_version=t.VERSION)
@@ -20,8 +22,11 @@ def _top(spark, folder, spec=SPEC):
 
 
 def _stored(spark, folder):
-    """Rankings of two slots, as a ranking table holds them."""
-    return _top(spark, folder, EARLY).unionByName(_top(spark, folder, SPEC))
+    """A ranking table of two slots: each ranked and written once, then read."""
+    root = scratch_path(spark, "rankings")
+    for spec in (EARLY, SPEC):
+        ranking.write_ranking(_top(spark, folder, spec), root, spec)
+    return spark.read.schema(RANKING).parquet(f"{root}/*")
 
 
 def _top_cte(name: str, as_of: str) -> str:
@@ -196,3 +201,11 @@ def detail_tasks(spark, folder):
         _top(spark, folder, EARLY), none, F.lit(before).cast("timestamp_ntz")
     )
     return merge.detail_tasks(_top(spark, folder), stored, F.lit(end).cast("timestamp_ntz"))
+
+
+@query("MRG-5 WIN-1", QUERIES["detail_tasks"].sql)
+def refreshed_slot_tasks(spark, folder):
+    """Two slots refreshed one after the other; the tasks that only the second one needs."""
+    root, none = scratch_path(spark, "rankings"), spark.createDataFrame([], "task_key STRING")
+    _, known = collection.refreshed_slot(_top(spark, folder, EARLY), root, EARLY, none)
+    return collection.refreshed_slot(_top(spark, folder), root, SPEC, known)[1]

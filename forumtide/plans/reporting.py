@@ -15,7 +15,7 @@ from forumtide.functions.time import (
 from forumtide.operators import ledger, metrics, windows
 from forumtide.params import WindowSpec
 from forumtide.plans import tables as t
-from forumtide.plans.catalog import query
+from forumtide.plans.catalog import QUERIES, query
 from forumtide.registry import SelectionPolicy
 
 # Publication ends three months before the last snapshot, so the windows are long.
@@ -49,7 +49,7 @@ SELECT analysis_unit, board_id, post_id, published_at, effective_hours, fallback
        {_END} - to_hours(effective_hours) AS window_start, {_END} AS window_end FROM windowed""",
 )
 def window_selection(spark, folder):
-    rows = windows.select_windows(t.latest(spark, folder), WINDOW)
+    rows = windows.select_windows(t.stored_latest(spark, folder), WINDOW)
     return rows.select(
         "analysis_unit", "board_id", "post_id", "published_at", "effective_hours",
         "fallback_reason", "window_start", "window_end",
@@ -75,7 +75,7 @@ SELECT analysis_unit, analysis_unit AS job, n AS sample_size, c AS total_comment
        effective_hours, fallback_reason FROM sums""",
 )
 def unit_comparison(spark, folder):
-    return metrics.unit_comparison(t.latest(spark, folder), UNIT_WINDOW)
+    return metrics.unit_comparison(t.stored_latest(spark, folder), UNIT_WINDOW)
 
 
 @query(
@@ -108,7 +108,7 @@ SELECT {_VIEW} FROM windowed WHERE analysis_unit = 'building' AND comments = 0
 ORDER BY published_at DESC, post_id DESC, board_id DESC LIMIT 20""",
 )
 def zero_comment_posts(spark, folder):
-    rows = windows.select_windows(t.latest(spark, folder), WINDOW, "building")
+    rows = windows.select_windows(t.stored_latest(spark, folder), WINDOW, "building")
     return windows.unanswered(rows)
 
 
@@ -130,7 +130,7 @@ SELECT l.board_id, l.post_id, l.analysis_unit, r.selection_reason
 FROM latest l JOIN reasons r ON r.board_id = l.board_id AND r.post_id = l.post_id""",
 )
 def detail_candidates(spark, folder):
-    rows = windows.detail_candidates(t.latest(spark, folder), POLICY)
+    rows = windows.detail_candidates(t.stored_latest(spark, folder), POLICY)
     return rows.select("board_id", "post_id", "analysis_unit", "selection_reason")
 
 
@@ -327,11 +327,29 @@ def finished_runs(spark, folder):
     return ledger.finish_runs(runs, outcomes).select("id", "status", "finished_at")
 
 
-@query("AGG-12")
+@query(
+    "AGG-12",
+    f"""SELECT 'unit' AS kind, job AS name, sample_size AS posts, total_comments AS comments,
+  total_views AS views FROM ({QUERIES["unit_comparison"].sql})
+UNION ALL
+SELECT 'header', 'lineitem', posts, comments, views FROM ({QUERIES["engagement_totals"].sql})""",
+)
 def presentation_snapshot(spark, folder):
-    posts = t.latest(spark, folder)
+    """The snapshot's JSON rows, read back field by field."""
+    posts = t.stored_latest(spark, folder)
     health = ledger.run_health(t.runs(spark, folder), t.snapshots(spark, folder))
     source = F.struct(F.lit("lineitem").alias("archive"), F.lit(4).alias("checksums_verified"))
-    return metrics.presentation_snapshot(
+    rows = metrics.presentation_snapshot(
         posts, health, metrics.unit_comparison(posts, UNIT_WINDOW), source
     )
+
+    def field(*paths: str):
+        found = [F.get_json_object("snapshot", f"$.{path}") for path in paths]
+        return F.coalesce(*found)
+
+    return rows.select(
+        "kind", field("job", "source.archive").alias("name"),
+        field("sample_size", "totals.posts").cast("bigint").alias("posts"),
+        field("total_comments", "totals.comments").cast("bigint").alias("comments"),
+        field("total_views", "totals.views").cast("bigint").alias("views"),
+    )
