@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from datetime import datetime
+from functools import reduce
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from forumtide.functions.text import plain_text
@@ -109,15 +111,38 @@ def key_differences(spark, folder):
     return contracts.set_difference(orders, lines, ("key",))
 
 
-@query("SRC-2")
+@query(
+    "SRC-2",
+    """SELECT 'region' AS name, 'mismatch' AS status, (SELECT count(*) FROM region) AS n_rows
+UNION ALL SELECT 'nation', 'unexpected', (SELECT count(*) FROM nation)
+UNION ALL SELECT 'supplier', 'ok', (SELECT count(*) FROM supplier)
+UNION ALL SELECT 'orders', 'ok', (SELECT count(*) FROM orders)
+UNION ALL SELECT 'ghost', 'missing', 0""",
+)
 def bundle_integrity(spark, folder):
-    """Checksums of the table files against a list that leaves one out and alters another."""
-    files = bundle.file_digests(spark, folder, "*.parquet")
-    altered = F.when(F.col("name") == "region.parquet", F.reverse("sha256")).otherwise(
-        F.col("sha256")
+    """Tables written as bounded files, checked against a list that alters, omits and invents."""
+    root, names = scratch_path(spark, "bundle"), ("region", "nation", "supplier", "orders")
+    for name in names:
+        rows = t.load(spark, folder, name)
+        rows.write.option("maxRecordsPerFile", bundle.ROWS_PER_FILE).parquet(f"{root}/{name}")
+    files = bundle.file_digests(spark, root, "*.parquet")
+    member = F.substring_index("name", "/", 1)
+    altered = F.when(member == "region", F.reverse("sha256")).otherwise(F.col("sha256"))
+    ghost = spark.range(1).select(
+        F.lit("ghost/part-0.parquet").alias("name"), F.repeat(F.lit("0"), 64).alias("sha256")
+    )
+    listed = files.where(member != "nation").select("name", altered.alias("sha256"))
+    states = bundle.integrity(files, listed.unionByName(ghost)).select(
+        member.alias("name"), "status"
+    ).distinct()
+    counts = reduce(DataFrame.unionByName, [
+        spark.read.parquet(f"{root}/{name}").agg(F.count(F.lit(1)).alias("n_rows"))
+        .select(F.lit(name).alias("name"), "n_rows") for name in names
+    ])
+    zero = F.lit(0).cast("bigint")
+    return states.join(counts, "name", "left").select(
+        "name", "status", F.coalesce("n_rows", zero).alias("n_rows")
     )
-    listed = files.where(F.col("name") != "nation.parquet").select("name", altered.alias("sha256"))
-    return bundle.integrity(files, listed)
 
 
 @query(

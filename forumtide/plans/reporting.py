@@ -18,9 +18,10 @@ from forumtide.plans import tables as t
 from forumtide.plans.catalog import QUERIES, query
 from forumtide.registry import SelectionPolicy
 
-# Publication ends three months before the last snapshot, so the windows are long.
-WINDOW = WindowSpec(24 * 96, 24 * 365, 5)
-UNIT_WINDOW = WindowSpec(24 * 120, 24 * 365, 60)
+# Publication ends three months before the last snapshot, so the windows are long. At scale
+# factor 0.01 some units reach the minimum in the short window and some fall back.
+WINDOW = WindowSpec(24 * 200, 24 * 365, 135)
+UNIT_WINDOW = WindowSpec(24 * 250, 24 * 365, 190)
 POLICY = SelectionPolicy("sample-v1", 365, 5, 20)
 NOW = datetime(2024, 1, 29, tzinfo=timezone.utc)
 
