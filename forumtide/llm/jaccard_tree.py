@@ -12,11 +12,12 @@ size classes, each indexed in its own class and in the next one if a partner may
 Groups without shingles say nothing; a set with more of them than its class allows for is
 grouped again by another hash, and the last round keeps even those.
 
-Buckets join sets to clusters, and a cluster is one tree, or several parts if it is large.
-Sets already connected are not compared again. Of a large cluster, representatives of its
-connected groups meet next; then every two parts whose sets share a bucket that still holds
-unconnected sets are compared in a task of their own, so no link is lost. Only sets found in
-some bucket are moved at all.
+A first pass builds trees of points per bucket and joins sets whose bound allows a link to
+plausible clusters; texts that merely share a passage part here. A second pass verifies: a
+cluster is one tree of sets, or several parts if it is large. Sets already connected are not
+compared again. Of a large cluster, representatives of its connected groups meet next; then
+every two parts whose sets share a bucket that still holds unconnected sets are compared in a
+task of their own, so no link is lost. Only sets found in some bucket are moved at all.
 
 Defined results: a null or empty text has no shingles and is linked with nothing. Texts with
 fewer words than a shingle are one shingle. Rows with equal sets are linked. Rows with a null
@@ -42,14 +43,14 @@ from forumtide.session import materialize
 
 CLASS_RATIO = 1.38
 ROUNDS = 12
-DIMENSIONS = 64
+DIMENSIONS = 128
 FAN_OUT = 16
-TREE_ROWS = 256
+TREE_ROWS = 64
 SEEN_SETS = 50_000
 
 _SCANNED = "doc_id bigint, text_hash bigint, set_key bigint, n_shingles bigint, signatures array<bigint>"
 _BUCKETS = "signature bigint, hub bigint, set_key bigint"
-_SETS = "set_key bigint, hashes binary"
+_SETS = "set_key bigint, size bigint, point binary, hashes binary"
 _LINKS = "a bigint, b bigint"
 
 
@@ -190,7 +191,8 @@ class CountTree:
 
 def count_vector(hashes: np.ndarray) -> np.ndarray:
     shift = np.uint64(64 - DIMENSIONS.bit_length() + 1)
-    return np.bincount((hashes >> shift).astype(np.int64), minlength=DIMENSIONS)
+    groups = (hashes >> shift).astype(np.int64)
+    return np.bincount(groups, minlength=DIMENSIONS).astype(np.int32)
 
 
 def _linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
@@ -203,26 +205,25 @@ def _linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
 
 
 def tree_links(
-    roots: list[int], sides: list[int], sets: list[np.ndarray], percent: int
+    roots: list[int], sides: list[int], sizes: list[int], points: list[np.ndarray],
+    percent: int, accept=None,
 ) -> list[tuple[int, int]]:
     """Links that connect different roots: enough of them to connect all that are linked.
 
-    Every pair of different sides that the tree lets through is verified unless already
-    connected.
+    Every pair of different sides that the tree lets through is a link if ``accept`` says so
+    (without it the bound alone decides), unless the two are already connected.
     """
     root, side = np.array(roots, dtype=np.int64), np.array(sides, dtype=np.int64)
-    if len(np.unique(root)) < 2:
+    if len(root) < 2 or (root == root[0]).all():
         return []
-    sizes = np.array([len(s) for s in sets], dtype=np.int64)
-    points = np.array([count_vector(s) for s in sets])
-    tree = CountTree(sizes, points, percent)
+    tree = CountTree(np.array(sizes, dtype=np.int64), np.array(points), percent)
     links = []
-    for i in range(len(sets)):
-        near = tree.search(int(sizes[i]), points[i])
+    for i in range(len(root)):
+        near = tree.search(sizes[i], points[i])
         near = near[(near > i) & (root[near] != root[i]) & (side[near] != side[i])]
         while len(near):
             j, near = near[0], near[1:]
-            if _linked(sets[i], sets[j], percent):
+            if accept is None or accept(i, j):
                 links.append((int(root[i]), int(root[j])))
                 root[root == root[j]] = root[i]
                 near = near[root[near] != root[i]]
@@ -308,37 +309,51 @@ def _set_rows(words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part, texts in text_chunks(batch, "text"):
-                blobs = [shingles(text, words).tobytes() for text in texts]
+                sets = [shingles(text, words) for text in texts]
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("set_key"), pa.array(blobs, pa.binary())],
-                    names=["set_key", "hashes"],
+                    [part.column("set_key"), pa.array([len(s) for s in sets], pa.int64()),
+                     pa.array([count_vector(s).tobytes() for s in sets], pa.binary()),
+                     pa.array([s.tobytes() for s in sets], pa.binary())],
+                    names=["set_key", "size", "point", "hashes"],
                 )
 
     return run
 
 
-def _unit_links(percent: int):
+def _unit_links(percent: int, content: str):
+    """Links of each unit by ``content``: its sets (``hashes``) or only its points."""
+    exact = content == "hashes"
+
+    def links(rows: list[tuple]) -> Iterator[pa.RecordBatch]:
+        if len(rows) < 2:
+            return
+        roots, sides, sizes, blobs = zip(*rows)
+        if exact:
+            sets = [np.frombuffer(blob, dtype=np.uint64) for blob in blobs]
+            points = [count_vector(s) for s in sets]
+            found = tree_links(
+                roots, sides, sizes, points, percent,
+                lambda i, j: _linked(sets[i], sets[j], percent),
+            )
+        else:
+            points = [np.frombuffer(blob, dtype=np.int32) for blob in blobs]
+            found = tree_links(roots, sides, sizes, points, percent)
+        if found:
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, pa.int64()) for c in zip(*found)], names=["a", "b"]
+            )
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Rows come sorted by unit; one unit is held at a time."""
-        unit, roots, sides, sets = None, [], [], []
-
-        def close() -> Iterator[pa.RecordBatch]:
-            links = tree_links(roots, sides, sets, percent)
-            if links:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, pa.int64()) for c in zip(*links)], names=["a", "b"]
-                )
-
+        unit, rows = None, []
         for batch in batches:
-            columns = (batch.column(c).to_pylist() for c in ("unit", "root", "side", "hashes"))
-            for u, root, side, blob in zip(*columns):
+            names = ("unit", "root", "side", "size", content)
+            for u, *row in zip(*(batch.column(c).to_pylist() for c in names)):
                 if u != unit:
-                    yield from close()
-                    unit, roots, sides, sets = u, [], [], []
-                roots.append(root)
-                sides.append(side)
-                sets.append(np.frombuffer(blob, dtype=np.uint64))
-        yield from close()
+                    yield from links(rows)
+                    unit, rows = u, []
+                rows.append(tuple(row))
+        yield from links(rows)
 
     return run
 
@@ -356,29 +371,40 @@ def _parts(rows: DataFrame, key: str) -> DataFrame:
     ).drop("_key", "_k")
 
 
-def _links(units: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links found in the trees of the units (unit, set_key, root, side)."""
+def _links(units: DataFrame, percent: int, content: str) -> DataFrame:
+    """Links found in the trees of the units (unit, root, side, size and the content)."""
     return materialize(
-        units.join(sets, "set_key").select("unit", "root", "side", "hashes")
-        .repartition("unit").sortWithinPartitions("unit").mapInArrow(_unit_links(percent), _LINKS),
+        units.select("unit", "root", "side", "size", content)
+        .repartition("unit").sortWithinPartitions("unit")
+        .mapInArrow(_unit_links(percent, content), _LINKS),
         "links",
     )
 
 
-def _rooted(placed: DataFrame, roots: DataFrame) -> DataFrame:
+def _merged(roots: DataFrame, found: DataFrame) -> DataFrame:
+    """Roots after links between roots; a set without a row is its own root."""
+    more = connected_components(found).select(
+        F.col("node").alias("_node"), F.col("root").alias("_up")
+    )
+    return materialize(
+        roots.join(more, F.col("root") == F.col("_node"), "full").select(
+            F.coalesce("node", "_node").alias("node"), F.coalesce("_up", "root").alias("root")
+        ), "roots",
+    )
+
+
+def _rooted(rows: DataFrame, roots: DataFrame) -> DataFrame:
     named = roots.select(F.col("node").alias("set_key"), "root")
-    return placed.join(named, "set_key", "left").withColumn("root", F.coalesce("root", "set_key"))
+    return rows.join(named, "set_key", "left").withColumn("root", F.coalesce("root", "set_key"))
 
 
-def _crossing_units(buckets: DataFrame, rooted: DataFrame) -> DataFrame:
-    """Pairs of parts still to be compared, with the sets that a bucket holds in both.
+def _crossing(rows: DataFrame, key: str) -> DataFrame:
+    """Pairs of parts that still hold different roots of one bucket, with their sets.
 
-    Sets of one part have been compared. A bucket is open if it holds several roots and
-    several parts; however many buckets two parts share, each set is sent to them once.
+    ``rows`` are (signature, set_key, root, part) and ``key``, the column whose parts they
+    are. Sets of one part have been compared. However many buckets two parts share, each set
+    is sent to them once.
     """
-    rows = materialize(
-        buckets.select("signature", "set_key").join(rooted, "set_key"), "bucket-rows"
-    )
     still = materialize(
         rows.groupBy("signature").agg(
             F.min("root").alias("_r"), F.max("root").alias("_s"),
@@ -393,52 +419,64 @@ def _crossing_units(buckets: DataFrame, rooted: DataFrame) -> DataFrame:
     return open_.join(
         present, (F.col("signature") == F.col("_sig")) & (F.col("part") != F.col("_other"))
     ).select(
-        F.xxhash64("cluster", F.least("part", "_other"), F.greatest("part", "_other"))
-        .alias("unit"),
+        F.xxhash64(key, F.least("part", "_other"), F.greatest("part", "_other")).alias("unit"),
         "set_key", "root", F.col("part").cast("bigint").alias("side"),
     ).distinct()
 
 
-def _roots_of_sets(buckets: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Connected sets: parts of clusters, then representatives of large ones, then the rest.
-
-    A cluster is what buckets join together, so linked sets are always in one cluster.
-    """
-    near = buckets.where("hub <> set_key").select(
-        F.col("hub").alias("a"), F.col("set_key").alias("b")
+def _plausible_roots(buckets: DataFrame, points: DataFrame, percent: int) -> DataFrame:
+    """Sets joined by pairs of one bucket that their count vectors do not rule out."""
+    placed = materialize(_parts(buckets.select("signature", "set_key"), "signature"), "placed")
+    units = placed.join(points, "set_key").select(
+        F.xxhash64("signature", "part").alias("unit"), F.col("set_key").alias("root"),
+        F.col("set_key").alias("side"), "size", "point",
     )
-    clusters = connected_components(near).select(
+    roots = connected_components(_links(units, percent, "point"))
+    large = placed.where("part > 0").select("signature").distinct()
+    rows = materialize(_rooted(placed.join(large, "signature", "left_semi"), roots), "large-rows")
+    rest = _crossing(rows, "signature").join(points, "set_key")
+    return _merged(roots, _links(rest, percent, "point"))
+
+
+def _roots_of_sets(buckets: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Connected sets: parts of plausible clusters, representatives of large ones, the rest."""
+    points = sets.select("set_key", "size", "point")
+    clusters = _plausible_roots(buckets, points, percent).select(
         F.col("node").alias("set_key"), F.col("root").alias("cluster")
     )
-    placed = materialize(_parts(clusters, "cluster"), "placed-sets")
-    links = _links(
-        placed.select(
-            F.xxhash64("cluster", "part").alias("unit"), "set_key",
-            F.col("set_key").alias("root"), F.col("set_key").alias("side"),
-        ), sets, percent,
-    )
-    large = materialize(
-        placed.where("part > 0").select("cluster").distinct(), "large-clusters"
+    placed = materialize(
+        _parts(clusters, "cluster").join(sets.select("set_key", "size", "hashes"), "set_key"),
+        "placed-sets",
     )
+    roots = connected_components(_links(
+        placed.withColumns({
+            "unit": F.xxhash64("cluster", "part"), "root": F.col("set_key"),
+            "side": F.col("set_key"),
+        }), percent, "hashes",
+    ))
+    large = placed.where("part > 0").select("cluster").distinct()
     within = materialize(placed.join(large, "cluster", "left_semi"), "large-placed")
+    keys = within.select("set_key", "cluster", "part")
+    content = within.select("set_key", "size", "hashes")
     for _ in range(2):
         # One set of every connected group of a large cluster stands for its group.
-        groups = _rooted(within, connected_components(links)).groupBy("cluster", "root").agg(
+        groups = _rooted(keys, roots).groupBy("cluster", "root").agg(
             F.min("set_key").alias("set_key"), F.count(F.lit(1)).alias("_n")
         )
         chosen = materialize(groups.where("_n > 1").drop("_n"), "representatives")
         found = _links(
-            _parts(chosen, "cluster").select(
-                F.xxhash64("cluster", "part").alias("unit"), "set_key", "root",
-                F.col("set_key").alias("side"),
-            ), sets, percent,
+            _parts(chosen, "cluster").join(content, "set_key").withColumns({
+                "unit": F.xxhash64("cluster", "part"), "side": F.col("set_key"),
+            }), percent, "hashes",
         )
         if found.isEmpty():
             break
-        links = links.unionByName(found)
-    rooted = _rooted(within, connected_components(links))
-    rest = _links(_crossing_units(buckets, rooted), sets, percent)
-    return connected_components(links.unionByName(rest))
+        roots = _merged(roots, found)
+    rows = materialize(
+        buckets.select("signature", "set_key").join(_rooted(keys, roots), "set_key"), "bucket-rows"
+    )
+    rest = _links(_crossing(rows, "cluster").join(content, "set_key"), percent, "hashes")
+    return roots if rest.isEmpty() else _merged(roots, rest)
 
 
 def scanned_sets(docs: DataFrame, words: int, percent: int) -> tuple[DataFrame, DataFrame]:
