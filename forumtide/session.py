@@ -73,9 +73,24 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+_scratch: list[str] = []
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A new, unused path below the shared folder."""
-    return f"{shared_folder(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    """A new, unused path below the shared folder, noted for :func:`clear_scratch`."""
+    path = f"{shared_folder(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    _scratch.append(path)
+    return path
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete what this process stored below the shared folder.
+
+    Call it when the results that read those tables have been written or collected.
+    """
+    while _scratch:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_scratch.pop())
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def materialize(frame: DataFrame, label: str) -> DataFrame:
