@@ -365,7 +365,8 @@ def _parts(rows: DataFrame, key: str) -> DataFrame:
         .select(F.col(key).alias("_key"), F.ceil(F.col("_n") / TREE_ROWS).cast("int").alias("_k")),
         "large-keys",
     )
-    place = F.pmod(F.xxhash64("set_key"), F.coalesce("_k", F.lit(1))).cast("int")
+    # Other keys deal the same sets out differently, so their trees connect across parts.
+    place = F.pmod(F.xxhash64("set_key", key), F.coalesce("_k", F.lit(1))).cast("int")
     return rows.join(sizes, F.col(key) == F.col("_key"), "left").withColumn(
         "part", place
     ).drop("_key", "_k")
@@ -424,6 +425,26 @@ def _crossing(rows: DataFrame, key: str) -> DataFrame:
     ).distinct()
 
 
+def _by_representatives(
+    rows: DataFrame, key: str, contents: DataFrame, roots: DataFrame, percent: int, content: str
+) -> DataFrame:
+    """Roots after one set of every connected group of a large key has met the others' sets."""
+    for _ in range(2):
+        groups = _rooted(rows.select("set_key", key), roots).groupBy(key, "root").agg(
+            F.min("set_key").alias("set_key"), F.count(F.lit(1)).alias("_n")
+        )
+        chosen = materialize(groups.where("_n > 1").drop("_n"), "representatives")
+        found = _links(
+            _parts(chosen, key).join(contents, "set_key").withColumns({
+                "unit": F.xxhash64(key, "part"), "side": F.col("set_key"),
+            }), percent, content,
+        )
+        if found.isEmpty():
+            break
+        roots = _merged(roots, found)
+    return roots
+
+
 def _plausible_roots(buckets: DataFrame, points: DataFrame, percent: int) -> DataFrame:
     """Sets joined by pairs of one bucket that their count vectors do not rule out."""
     placed = materialize(_parts(buckets.select("signature", "set_key"), "signature"), "placed")
@@ -433,9 +454,11 @@ def _plausible_roots(buckets: DataFrame, points: DataFrame, percent: int) -> Dat
     )
     roots = connected_components(_links(units, percent, "point"))
     large = placed.where("part > 0").select("signature").distinct()
-    rows = materialize(_rooted(placed.join(large, "signature", "left_semi"), roots), "large-rows")
-    rest = _crossing(rows, "signature").join(points, "set_key")
-    return _merged(roots, _links(rest, percent, "point"))
+    within = materialize(placed.join(large, "signature", "left_semi"), "large-buckets")
+    roots = _by_representatives(within, "signature", points, roots, percent, "point")
+    rows = materialize(_rooted(within, roots), "large-rows")
+    rest = _links(_crossing(rows, "signature").join(points, "set_key"), percent, "point")
+    return roots if rest.isEmpty() else _merged(roots, rest)
 
 
 def _roots_of_sets(buckets: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -458,20 +481,7 @@ def _roots_of_sets(buckets: DataFrame, sets: DataFrame, percent: int) -> DataFra
     within = materialize(placed.join(large, "cluster", "left_semi"), "large-placed")
     keys = within.select("set_key", "cluster", "part")
     content = within.select("set_key", "size", "hashes")
-    for _ in range(2):
-        # One set of every connected group of a large cluster stands for its group.
-        groups = _rooted(keys, roots).groupBy("cluster", "root").agg(
-            F.min("set_key").alias("set_key"), F.count(F.lit(1)).alias("_n")
-        )
-        chosen = materialize(groups.where("_n > 1").drop("_n"), "representatives")
-        found = _links(
-            _parts(chosen, "cluster").join(content, "set_key").withColumns({
-                "unit": F.xxhash64("cluster", "part"), "side": F.col("set_key"),
-            }), percent, "hashes",
-        )
-        if found.isEmpty():
-            break
-        roots = _merged(roots, found)
+    roots = _by_representatives(keys, "cluster", content, roots, percent, "hashes")
     rows = materialize(
         buckets.select("signature", "set_key").join(_rooted(keys, roots), "set_key"), "bucket-rows"
     )
@@ -516,9 +526,10 @@ def components(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
             "set_key", F.col("_h.doc_id").alias("_d"), F.col("_h.text_hash").alias("_t")
         ), "set-holders",
     )
+    # One plan at every size: the wanted texts are found by a shuffle, never by a broadcast.
     sets = materialize(
         texts.join(
-            holders,
+            holders.hint("merge"),
             (F.col("text_hash") == F.col("_t")) & F.col("doc_id").eqNullSafe(F.col("_d")),
         ).select("set_key", "text").dropDuplicates(["set_key"]).mapInArrow(_set_rows(words), _SETS),
         "sets",
