@@ -45,7 +45,7 @@ CLASS_RATIO = 1.38
 ROUNDS = 12
 DIMENSIONS = 128
 FAN_OUT = 16
-TREE_ROWS = 64
+TREE_ROWS = {"hashes": 64, "point": 1024}  # points are small, sets are not
 SEEN_SETS = 50_000
 
 _SCANNED = "doc_id bigint, text_hash bigint, set_key bigint, n_shingles bigint, signatures array<bigint>"
@@ -358,11 +358,12 @@ def _unit_links(percent: int, content: str):
     return run
 
 
-def _parts(rows: DataFrame, key: str) -> DataFrame:
+def _parts(rows: DataFrame, key: str, content: str) -> DataFrame:
     """Adds ``part``: a key's rows are dealt over as many trees as they need."""
+    most = TREE_ROWS[content]
     sizes = materialize(
-        rows.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > TREE_ROWS)
-        .select(F.col(key).alias("_key"), F.ceil(F.col("_n") / TREE_ROWS).cast("int").alias("_k")),
+        rows.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > most)
+        .select(F.col(key).alias("_key"), F.ceil(F.col("_n") / most).cast("int").alias("_k")),
         "large-keys",
     )
     # Other keys deal the same sets out differently, so their trees connect across parts.
@@ -435,7 +436,7 @@ def _by_representatives(
         )
         chosen = materialize(groups.where("_n > 1").drop("_n"), "representatives")
         found = _links(
-            _parts(chosen, key).join(contents, "set_key").withColumns({
+            _parts(chosen, key, content).join(contents, "set_key").withColumns({
                 "unit": F.xxhash64(key, "part"), "side": F.col("set_key"),
             }), percent, content,
         )
@@ -447,7 +448,8 @@ def _by_representatives(
 
 def _plausible_roots(buckets: DataFrame, points: DataFrame, percent: int) -> DataFrame:
     """Sets joined by pairs of one bucket that their count vectors do not rule out."""
-    placed = materialize(_parts(buckets.select("signature", "set_key"), "signature"), "placed")
+    members = buckets.select("signature", "set_key")
+    placed = materialize(_parts(members, "signature", "point"), "placed")
     units = placed.join(points, "set_key").select(
         F.xxhash64("signature", "part").alias("unit"), F.col("set_key").alias("root"),
         F.col("set_key").alias("side"), "size", "point",
@@ -468,7 +470,7 @@ def _roots_of_sets(buckets: DataFrame, sets: DataFrame, percent: int) -> DataFra
         F.col("node").alias("set_key"), F.col("root").alias("cluster")
     )
     placed = materialize(
-        _parts(clusters, "cluster").join(sets.select("set_key", "size", "hashes"), "set_key"),
+        _parts(clusters, "cluster", "hashes").join(sets.select("set_key", "size", "hashes"), "set_key"),
         "placed-sets",
     )
     roots = connected_components(_links(
