@@ -22,17 +22,19 @@ from forumtide.llm.common import BLANKS, let, whole_text, words_of
 
 SYMBOLS = "#*$%&|<>"
 WINDOW = 8
+DISTINCT_WINDOW = 1000
 
 
 # Rule i sets bit i of a ledger row when its condition holds. The order is part of the stored
-# format: new rules are appended, none is moved.
+# format: new rules are appended, none is moved. Distinct words are counted per window, since
+# their share in a whole text falls with its length.
 RULES = (
     ("few_words", "n_words < 20"),
     ("repeated_windows", "100 * n_repeat_words > 30 * n_words"),
     ("symbols", "100 * n_symbols > 10 * n_words"),
     ("repeated_lines", "100 * n_dup_lines > 40 * n_lines"),
     ("long_words", "word_chars > 25 * n_words"),
-    ("few_distinct_words", "100 * n_distinct_words < 20 * n_words"),
+    ("few_distinct_words", "100 * n_window_distinct_words < 20 * n_words"),
 )
 RULE_NAMES = tuple(name for name, _ in RULES)
 
@@ -50,7 +52,7 @@ class Policy:
 
 
 BASE = Policy("base", ("few_words", "repeated_windows"))
-PRODUCTION = Policy("2", RULE_NAMES)
+PRODUCTION = Policy("3", RULE_NAMES)  # "2" took distinct words over the whole text
 
 
 def _without(text: Column, characters: str) -> Column:
@@ -113,6 +115,22 @@ def _repeat_words(words: Column) -> Column:
     )
 
 
+def _window_distinct_words(words: Column) -> Column:
+    """Distinct words of each window of consecutive words, summed over the whole text."""
+
+    def total(words: Column) -> Column:
+        last = F.floor(F.greatest(F.size(words) - 1, F.lit(0)) / DISTINCT_WINDOW).cast("int")
+        counts = F.transform(
+            F.sequence(F.lit(0), last),
+            lambda k: F.size(F.array_distinct(
+                F.slice(words, k * DISTINCT_WINDOW + 1, F.lit(DISTINCT_WINDOW))
+            )),
+        )
+        return F.aggregate(counts, F.lit(0).cast("bigint"), lambda so_far, n: so_far + n)
+
+    return let(words, total)
+
+
 def measure(docs: DataFrame) -> DataFrame:
     """doc_id with the measurements of its whole text."""
     text = F.col("_ft_text")
@@ -136,11 +154,12 @@ def measure(docs: DataFrame) -> DataFrame:
         line_counts.alias("_ft_lines"),
         _repeat_words(words).alias("n_repeat_words"),
         F.size(F.array_distinct(words)).cast("bigint").alias("n_distinct_words"),
+        _window_distinct_words(words).alias("n_window_distinct_words"),
     ).select(
         "doc_id", "n_words", "word_chars", "n_symbols",
         F.col("_ft_lines.n").cast("bigint").alias("n_lines"),
         (F.col("_ft_lines.n") - F.col("_ft_lines.d")).cast("bigint").alias("n_dup_lines"),
-        "n_repeat_words", "n_distinct_words",
+        "n_repeat_words", "n_distinct_words", "n_window_distinct_words",
     )
 
 

@@ -65,6 +65,33 @@ def test_ablation_counts_what_one_rule_alone_rejects(docs, empty):
     assert {r["failing"] for r in none} == {0}
 
 
+def test_clean_text_of_any_length_is_kept(spark):
+    """Clean documents one after another stay clean; few words repeated stay rejected."""
+    import random
+
+    clean = [
+        r["text"] for r in spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+        .join(spark.read.parquet("/root/testdata/sf0.1/labels.parquet"), "doc_id")
+        .where("quality = 1 AND lang = 'en'").orderBy("doc_id").select("text").collect()
+    ]
+    text = "\n".join(dict.fromkeys(clean))
+    words = text.split()
+    assert len(words) > 250_000 and 5 * len(set(words)) < len(words)
+    rng = random.Random(6)
+    poor = " ".join(rng.choice(words[:150]) for _ in range(50_000))
+    rows = [(1, text), (2, poor), (3, " ".join(words[:900])), (4, " ".join(words[:1001])), (5, "")]
+    ledger = quality_rules.record(quality_rules.measure(helpers.frame(spark, rows)))
+    bit = 1 << quality_rules.RULE_NAMES.index("few_distinct_words")
+    got = {r["doc_id"]: r for r in ledger.collect()}
+    for doc_id, own in rows:
+        w = own.split()
+        assert got[doc_id]["n_window_distinct_words"] == sum(
+            len(set(w[i:i + 1000])) for i in range(0, len(w), 1000)
+        )
+    assert [bool(got[i]["failures"] & bit) for i in range(1, 6)] == [False, True, False, False, False]
+    assert {1, 3, 4} <= set(_ids(quality_rules.filter_documents(helpers.frame(spark, rows))))
+
+
 # ---- 5: line dedup ----
 
 def test_line_dedup_on_awkward_rows(docs, empty):
