@@ -266,12 +266,21 @@ def _scan(words: int, percent: int):
 def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows come sorted by signature and set; runs of one set only are dropped on the way.
 
-    Of a bucket only its first set (the hub) and whether it was sent are remembered.
+    Of a bucket only its first set (the hub), whether it was sent and the last set are
+    remembered. Each set of a bucket is sent once, whatever the batches.
     """
-    signature, hub, sent = None, 0, True
+    signature, hub, sent, last = None, 0, True, 0
     for batch in batches:
         sig = batch.column("signature").to_numpy(zero_copy_only=False)
         key = batch.column("set_key").to_numpy(zero_copy_only=False)
+        if not len(sig):
+            continue
+        # Equal sets from different tasks stand next to each other.
+        again = np.r_[
+            signature is not None and sig[0] == signature and key[0] == last,
+            (sig[1:] == sig[:-1]) & (key[1:] == key[:-1]),
+        ]
+        sig, key = sig[~again], key[~again]
         if not len(sig):
             continue
         first = np.r_[True, sig[1:] != sig[:-1]]
@@ -295,12 +304,10 @@ def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             sent = True
         if len(starts):
             hub, sent = int(key[starts[-1]]), bool(shared_run[len(starts) - 1])
-        signature = sig[-1]
-        # Equal sets from different tasks stand next to each other.
-        again = np.r_[False, (out_sig[1:] == out_sig[:-1]) & (out_key[1:] == out_key[:-1])]
+        signature, last = sig[-1], key[-1]
         if len(out_sig):
             yield pa.RecordBatch.from_arrays(
-                [pa.array(c[~again], pa.int64()) for c in (out_sig, out_hub, out_key)],
+                [pa.array(c, pa.int64()) for c in (out_sig, out_hub, out_key)],
                 names=["signature", "hub", "set_key"],
             )
 

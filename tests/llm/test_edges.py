@@ -5,6 +5,7 @@ import json
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -281,6 +282,27 @@ def test_large_groups_and_chains_lose_no_link(spark):
     assert sorted(map(tuple, got)) == sorted(helpers.jaccard_components(rows, 4, 85))
 
 
+@pytest.mark.parametrize("step", [1, 2, 3, 5, 100])
+def test_each_set_of_a_bucket_is_sent_once(step):
+    rows = sorted(
+        [(s, k) for s in range(4) for k in range(s, 5) for _ in range(1 + (s * k) % 4)]
+        + [(9, 1)] * 4 + [(10, 1), (10, 2), (10, 2), (11, 1), (11, 3), (11, 3)]
+    )
+    batches = [
+        pa.RecordBatch.from_pylist(
+            [{"signature": s, "set_key": k} for s, k in rows[i:i + step]]
+        ) for i in range(0, len(rows), step)
+    ]
+    sent = [
+        (r["signature"], r["hub"], r["set_key"])
+        for out in jaccard_tree._shared(iter(batches)) for r in out.to_pylist()
+    ]
+    keys = {s: {k for t, k in rows if t == s} for s, _ in rows}
+    assert sorted(sent) == [
+        (s, min(ks), k) for s, ks in sorted(keys.items()) if len(ks) > 1 for k in sorted(ks)
+    ]
+
+
 def test_one_document_of_each_group_stays(docs, empty):
     out = jaccard_tree.one_per_component(docs, 4, 85)
     assert out.columns == docs.columns
