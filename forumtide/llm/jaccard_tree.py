@@ -8,7 +8,7 @@ Pairs whose bound reaches the needed overlap are verified on the sets.
 Which documents meet in one tree is decided by exact signatures. Two sets that link differ in
 at most d shingles, so of d + 1 or more hash groups one holds the same shingles in both: the
 contents of every group are hashed, and linked sets share such a bucket. Sets are grouped in
-size classes, each indexed in its own class and in the next one if a partner may be there.
+size classes, each indexed in its own class and in every later one where a partner may be.
 Groups without shingles say nothing; a set with more of them than its class allows for is
 grouped again by another hash, and the last round keeps even those.
 
@@ -138,8 +138,10 @@ def signatures(hashes: np.ndarray, percent: int) -> np.ndarray:
     floors = class_floors()
     own = int(np.searchsorted(floors, len(hashes), side="right")) - 1
     found = _class_signatures(hashes, own, percent)
-    if 100 * len(hashes) >= percent * int(floors[own + 1]):
-        found += _class_signatures(hashes, own + 1, percent)
+    later = own + 1
+    while 100 * len(hashes) >= percent * int(floors[later]):
+        found += _class_signatures(hashes, later, percent)
+        later += 1
     return np.concatenate(found) if found else np.zeros(0, dtype=np.uint64)
 
 

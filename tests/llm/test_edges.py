@@ -303,6 +303,18 @@ def test_each_set_of_a_bucket_is_sent_once(step):
     ]
 
 
+@pytest.mark.parametrize("percent, small, large", [(72, 198, 275), (70, 38, 54), (60, 6, 10)])
+def test_linked_sets_of_distant_classes_share_a_bucket(percent, small, large):
+    for seed in range(20):
+        values = np.random.default_rng(seed).integers(0, 2**63, large, dtype=np.uint64)
+        a, b = np.sort(values[:small]), np.sort(values)
+        assert jaccard_tree._linked(a, b, percent)
+        shared = np.intersect1d(
+            jaccard_tree.signatures(a, percent), jaccard_tree.signatures(b, percent)
+        )
+        assert len(shared)
+
+
 def test_one_document_of_each_group_stays(docs, empty):
     out = jaccard_tree.one_per_component(docs, 4, 85)
     assert out.columns == docs.columns
