@@ -16,6 +16,7 @@ from forumtide.llm import (
     sharding,
     substring_dedup,
     topk,
+    url_filters,
     warc,
 )
 from forumtide.llm.common import table
@@ -254,6 +255,37 @@ def op7_jaccard_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+_URL_SQL = r"""
+WITH rules(action, rule_host, rule_path) AS (
+  VALUES ('block', 'net', '/'), ('allow', 'example.net', '/en/'),
+    ('block', 'example.com', '/de/'), ('allow', 'org', '/fr/')
+), rests AS (
+  SELECT row_number() OVER () AS rid, page_id, CASE WHEN contains(url, '://')
+    THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest
+  FROM pages
+), hosts AS (
+  SELECT rid, page_id, rest, regexp_extract(rest, '^[^/?#]*') AS raw FROM rests
+), parts AS (
+  SELECT rid, page_id, translate(raw, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')
+    AS host, regexp_extract(substr(rest, length(raw) + 1), '^[^?#]*') AS path
+  FROM hosts
+), fitting AS (
+  SELECT rid, arg_max(rule_host || rule_path, length(rule_host || rule_path)) AS rule,
+    arg_max(action, length(rule_host || rule_path)) AS action
+  FROM parts JOIN rules ON (host = rule_host OR ends_with(host, '.' || rule_host))
+    AND starts_with(path, rule_path)
+  GROUP BY rid
+)
+SELECT page_id, host, path, rule, coalesce(action, 'allow') AS verdict
+FROM parts LEFT JOIN fitting USING (rid)
+"""
+
+
+@llm_query(_URL_SQL)
+def op13_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filters.judged(table(spark, sf_dir, "pages"), url_filters.rule_table(spark))
+
+
 @llm_query(corpus_pipeline.ORACLE_SQL)
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
