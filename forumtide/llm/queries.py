@@ -10,6 +10,7 @@ from forumtide.llm import (
     bpe,
     jaccard_tree,
     line_dedup,
+    merkle,
     mixing,
     quality_model,
     quality_rules,
@@ -286,6 +287,93 @@ def op13_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filters.judged(table(spark, sf_dir, "pages"), url_filters.rule_table(spark))
 
 
+_MERKLE_SQL = r"""
+WITH RECURSIVE docs AS (
+  SELECT *, row_number() OVER () AS rid,
+    concat(CASE WHEN doc_id IS NULL THEN '-' ELSE strlen(CAST(doc_id AS VARCHAR)) || ':' || doc_id END,
+      coalesce(strlen(source) || ':' || source, '-'), coalesce(strlen(lang) || ':' || lang, '-'),
+      CASE WHEN n_chars IS NULL THEN '-' ELSE strlen(CAST(n_chars AS VARCHAR)) || ':' || n_chars END)
+      AS front,
+    CASE WHEN crc32 % 2 = 0 THEN replace(text, chr(10), '') ELSE text END AS changed
+  FROM (SELECT *, CAST(doc_id AS VARCHAR) AS d, CRC32_OF_D AS crc32 FROM documents)
+), leaves AS (
+  SELECT rid, doc_id, source, row_number() OVER (PARTITION BY source
+      ORDER BY doc_id NULLS FIRST, sha256(front || coalesce(strlen(text) || ':' || text, '-'))) - 1
+      AS pos,
+    count(*) OVER (PARTITION BY source) AS n,
+    sha256(front || coalesce(strlen(text) || ':' || text, '-')) AS leaf,
+    sha256(front || coalesce(strlen(changed) || ':' || changed, '-')) AS probe
+  FROM docs
+), nodes(tree, source, lvl, pos, n, h) AS (
+  SELECT 0, source, 0, pos, n, leaf FROM leaves
+  UNION ALL
+  SELECT tree, source, lvl + 1, pos // 3, (n + 2) // 3, sha256(string_agg(h, '' ORDER BY pos))
+  FROM nodes WHERE n > 1 GROUP BY tree, source, lvl, n, pos // 3
+), tops AS (
+  SELECT source, h, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS pos,
+    count(*) OVER () AS n
+  FROM nodes WHERE n = 1
+), upper(lvl, pos, n, h) AS (
+  SELECT 0, pos, n, h FROM tops
+  UNION ALL
+  SELECT lvl + 1, pos // 3, (n + 2) // 3, sha256(string_agg(h, '' ORDER BY pos))
+  FROM upper WHERE n > 1 GROUP BY lvl, n, pos // 3
+), steps AS (
+  SELECT rid, 0 AS tree, lvl, nodes.pos % 3 AS place, nodes.pos < leaves.pos // pow3 AS before, h
+  FROM (SELECT *, CAST(3 ** lvl AS BIGINT) AS pow3 FROM nodes) nodes
+  JOIN leaves ON leaves.source IS NOT DISTINCT FROM nodes.source
+    AND nodes.pos // 3 = leaves.pos // (3 * pow3) AND nodes.pos <> leaves.pos // pow3
+  WHERE nodes.n > 1
+  UNION ALL
+  SELECT rid, 1, lvl, upper.pos % 3, upper.pos < tops.pos // pow3, upper.h
+  FROM leaves JOIN tops ON leaves.source IS NOT DISTINCT FROM tops.source
+  JOIN (SELECT *, CAST(3 ** lvl AS BIGINT) AS pow3 FROM upper) upper
+    ON upper.pos // 3 = tops.pos // (3 * pow3) AND upper.pos <> tops.pos // pow3
+  WHERE upper.n > 1
+), proofs AS (
+  SELECT rid, sha256(string_agg(h, '' ORDER BY tree, lvl, place)) AS proof FROM steps GROUP BY rid
+), heights AS (
+  SELECT rid, lower_levels, (SELECT max(lvl) FROM upper) AS upper_levels
+  FROM leaves JOIN (SELECT source, max(lvl) AS lower_levels FROM nodes GROUP BY source) m
+    ON leaves.source IS NOT DISTINCT FROM m.source
+), rungs AS (
+  SELECT rid, CASE WHEN tree = 0 THEN lvl ELSE lower_levels + lvl END AS step,
+    coalesce(string_agg(h, '' ORDER BY place) FILTER (WHERE before), '') AS l,
+    coalesce(string_agg(h, '' ORDER BY place) FILTER (WHERE NOT before), '') AS r
+  FROM steps JOIN heights USING (rid) GROUP BY ALL
+), folded(rid, step, h) AS (
+  SELECT rid, 0, probe FROM leaves
+  UNION ALL
+  SELECT f.rid, f.step + 1, sha256(coalesce(l, '') || f.h || coalesce(r, ''))
+  FROM folded f JOIN heights USING (rid) LEFT JOIN rungs ON rungs.rid = f.rid
+    AND rungs.step = f.step
+  WHERE f.step < lower_levels + upper_levels
+)
+SELECT doc_id, leaf, tops.h AS subroot, root, coalesce(proof, sha256('')) AS proof_sha256,
+  folded.h AS folded_root, folded.h = root AS verified
+FROM leaves JOIN tops ON leaves.source IS NOT DISTINCT FROM tops.source
+JOIN (SELECT h AS root FROM upper WHERE n = 1) ON TRUE
+JOIN heights USING (rid) LEFT JOIN proofs USING (rid)
+JOIN folded ON folded.rid = leaves.rid AND folded.step = lower_levels + upper_levels
+"""
+# CRC-32 in SQL: eight steps of the polynomial 0xEDB88320 for each byte of the decimal number.
+_CRC = """xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT,
+  list_transform(range(1, length(d) + 1), lambda i: CAST(ascii(d[i]) AS BIGINT))),
+  lambda c, b: list_reduce(list_prepend(xor(c, b), range(8)),
+    lambda x, k: xor(x >> 1, (x & 1) * 3988292384))))"""
+
+
+@llm_query(_MERKLE_SQL.replace("CRC32_OF_D", _CRC))
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    even = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == 0
+    tampered = F.when(even, F.replace("text", F.lit("\n"), F.lit(""))).otherwise(F.col("text"))
+    return merkle.verified(
+        docs, ["doc_id", "source", "lang", "n_chars", "text"], order="doc_id", group="source",
+        changed={"text": tampered},
+    )
+
+
 @llm_query(corpus_pipeline.ORACLE_SQL)
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
