@@ -12,6 +12,7 @@ from forumtide.llm import (
     line_dedup,
     merkle,
     mixing,
+    phrases,
     quality_model,
     quality_rules,
     sharding,
@@ -374,6 +375,56 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+_PHRASES_SQL = r"""
+WITH pieces AS (
+  SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM (
+    SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+      translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[.,;:!?\x0A-\x0D]')) AS piece
+    FROM documents)
+), counted AS (
+  SELECT lang, phrase, count(*) AS f FROM (
+    SELECT lang, unnest(list_concat(list_transform(w, lambda x: [x]),
+      CASE WHEN len(w) > 1 THEN list_transform(range(1, len(w)), lambda i: w[i : i + 1])
+        ELSE [] END,
+      CASE WHEN len(w) > 2 THEN list_transform(range(1, len(w) - 1), lambda i: w[i : i + 2])
+        ELSE [] END)) AS phrase
+    FROM pieces)
+  GROUP BY lang, phrase
+), sizes AS (
+  SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM counted WHERE len(phrase) = 1 GROUP BY lang
+), candidates AS (
+  SELECT lang, phrase, f AS a FROM counted WHERE len(phrase) > 1 AND f >= 10
+), cuts AS (
+  SELECT c.lang, c.phrase, a, k, l.f AS l, r.f AS r,
+    CAST(1000000::HUGEINT * a * a // (l.f::HUGEINT * r.f) AS BIGINT) AS score
+  FROM (SELECT *, unnest(range(1, len(phrase))) AS k FROM candidates) c
+  JOIN counted l ON l.lang = c.lang AND l.phrase = c.phrase[1 : k]
+  JOIN counted r ON r.lang = c.lang AND r.phrase = c.phrase[k + 1 : ]
+), lowest AS (
+  SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+), inside AS (
+  SELECT lang, unnest([phrase[1:2], phrase[2:3]]) AS phrase, a AS longer
+  FROM candidates WHERE len(phrase) = 3
+), covered AS (
+  SELECT lang, phrase, max(longer) AS longer FROM inside GROUP BY lang, phrase
+), ranked AS (
+  SELECT lowest.lang, array_to_string(lowest.phrase, ' ') AS phrase, a, l, r, n, score,
+    row_number() OVER (PARTITION BY lowest.lang
+      ORDER BY score DESC, a DESC, array_to_string(lowest.phrase, ' ')) AS rank
+  FROM lowest JOIN sizes USING (lang)
+  LEFT JOIN covered ON covered.lang = lowest.lang AND covered.phrase = lowest.phrase
+  WHERE longer IS NULL OR 100 * longer < 50 * a
+)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked WHERE rank <= 2000
+"""
+
+
+@llm_query(_PHRASES_SQL)
+def op12_phrase_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
 @llm_query(corpus_pipeline.ORACLE_SQL)
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
