@@ -132,13 +132,10 @@ def judged(pages: DataFrame, rules: DataFrame, url: str = "url") -> DataFrame:
     # What any rule could look at: the last labels, and the path through the last slash or
     # character that a shape cuts at.
     most = {name: max(s[name] for s in shapes) for name in ("labels", "slashes", "length")}
-    through = F.substring_index(F.col("path"), "/", most["slashes"] + 1)
-    deep = F.when(_slashes(F.col("path")) > most["slashes"], F.concat(through, F.lit("/")))
-    wide = F.substr(F.col("path"), F.lit(1), F.lit(most["length"]))
-    path_head = F.when(
-        F.char_length(F.coalesce(deep, F.col("path"))) >= F.char_length(wide),
-        F.coalesce(deep, F.col("path")),
-    ).otherwise(wide)
+    closed = F.regexp_extract("path", rf"^(?:[^/]*/){{0,{most['slashes']}}}", 0)
+    path_head = F.substr(
+        F.col("path"), F.lit(1), F.greatest(F.char_length(closed), F.lit(most["length"]))
+    )
     located = parts.withColumns({
         "_ft_host": F.substring_index("host", ".", -most["labels"]), "_ft_path": path_head,
     })
