@@ -141,9 +141,11 @@ def label_threads(
         excerpt(F.col("text_normalized")).alias("text"), "sentiment",
         F.lit(lexicon.version).alias("model_version"),
     )
-    body_texts = safe_posts.select(*POST_KEY, F.col("body_normalized").alias("whole_text"))
+    body_texts = safe_posts.select(
+        *POST_KEY, F.coalesce("body_normalized", F.lit("")).alias("whole_text")
+    )
     comment_texts = safe_comments.select(
-        *POST_KEY, "comment_id", F.col("text_normalized").alias("whole_text")
+        *POST_KEY, "comment_id", F.coalesce("text_normalized", F.lit("")).alias("whole_text")
     )
     return SemanticBatch(
         posts, kept_comments, screened, failures, body_texts, comment_texts
@@ -157,10 +159,13 @@ def relabel(
     """Stored rows labelled again under another lexicon, from their whole texts.
 
     ``body_texts`` and ``comment_texts`` have the key and ``whole_text``, as a labelling run
-    gives them; a row without one is labelled as an empty text. The result equals a fresh run.
+    gives them or the text store keeps them. The result equals a fresh run. A row without its
+    text fails the job: its excerpt is no ground for a label.
     """
     version = F.lit(lexicon.version)
-    text = F.coalesce("whole_text", F.lit(""))
+    text = F.when(F.col("whole_text").isNotNull(), F.col("whole_text")).otherwise(
+        F.raise_error(F.lit("a stored row has no whole text to label"))
+    )
     note_key = [*POST_KEY, "comment_id"]
     fresh = label_sentiment(
         comments.drop("sentiment").join(comment_texts, note_key, "left")

@@ -17,6 +17,7 @@ from forumtide.registry import (
     SENTIMENT_LABELS,
     Lexicon,
 )
+from forumtide.session import scratch_path
 
 LEX = t.SAMPLE_LEXICON
 NOW = datetime(2024, 2, 1, tzinfo=timezone.utc)
@@ -465,6 +466,104 @@ def relabelled_posts(spark, folder):
     )
 
 
+# Two runs over one source. Candidates are chosen by a counter (the length of the body stands for
+# views): the second run has a later range and the second lexicon, so some threads are reused,
+# some are new and some are gone.
+_FIRST_RANGE, _SECOND_RANGE = "views > 120", "views < 300"
+_REFRESHED = f"""WITH {_SEMANTIC},{_relabel_sql()},
+wanted AS (
+  SELECT post_id FROM (SELECT post_id, length(body) AS views FROM all_threads)
+  WHERE {_SECOND_RANGE})"""
+
+
+def _refreshed(spark, folder):
+    from forumtide.operators.refresh import refreshed_artifact
+    from forumtide.registry import SELECTION_POLICY
+
+    candidates, bodies, comments = _thread_inputs(spark, folder)
+    root, runs = scratch_path(spark, "refreshed"), []
+    for hour, (chosen, lex) in enumerate(
+        ((_FIRST_RANGE, LEX), (_SECOND_RANGE, SECOND_LEXICON))
+    ):
+        runs.append(refreshed_artifact(
+            root, "sha-of-source", candidates.where(chosen), bodies, comments, lex,
+            SELECTION_POLICY, datetime(2024, 2, 1, hour), t.SAMPLE_RULES, 60,
+        ))
+    return runs
+
+
+@query(
+    "TXT-7 TXT-8 TXT-9 SRC-4 SRC-6 JOIN-7",
+    _REFRESHED + """
+SELECT r.board_id, r.post_id, r.body_sentiment, r.confidence, r.intent, r.topic,
+       CASE WHEN coalesce(greatest(p, m, x), 0) = 0 THEN 'neutral'
+            WHEN CAST(p = greatest(p, m, x) AS INTEGER) + CAST(m = greatest(p, m, x) AS INTEGER)
+                 + CAST(x = greatest(p, m, x) AS INTEGER) > 1 THEN 'mixed'
+            WHEN p = greatest(p, m, x) THEN 'positive' WHEN m = greatest(p, m, x) THEN 'negative'
+            ELSE 'mixed' END AS comment_reaction,
+       s.kept AS analyzed_comment_count, left(s.body, 500) AS body_excerpt,
+       'sample-v2' AS model_version
+FROM relabelled r JOIN sizes s ON s.post_id = r.post_id
+LEFT JOIN recounted c ON c.post_id = r.post_id
+WHERE r.post_id IN (SELECT post_id FROM wanted)""",
+)
+def refreshed_posts(spark, folder):
+    """Stored posts after a second run with another lexicon and other candidates."""
+    return _refreshed(spark, folder)[1].posts.select(
+        *POST_KEY, "body_sentiment", "confidence", "intent", "topic", "comment_reaction",
+        "analyzed_comment_count", "body_excerpt", "model_version",
+    )
+
+
+@query(
+    "TXT-7 TXT-8 SRC-6",
+    _REFRESHED + f"""
+SELECT board_id, post_id, comment_id, left(text, 500) AS text,
+       {t.sql_sentiment('n', SECOND_LEXICON)} AS sentiment, 'sample-v2' AS model_version
+FROM (SELECT *, {t.sql_fold('text')} AS n FROM thread_comments)
+WHERE post_id IN (SELECT post_id FROM wanted)""",
+)
+def refreshed_comments(spark, folder):
+    """Stored comments after the second run."""
+    return _refreshed(spark, folder)[1].comments.select(
+        *POST_KEY, "comment_id", "text", "sentiment", "model_version"
+    )
+
+
+@query(
+    "TXT-9 AGG-9 JOIN-7",
+    _REFRESHED + f""",
+runs AS (
+  SELECT 1 AS run, post_id, true AS chosen, false AS stored
+  FROM (SELECT post_id, length(body) AS views FROM all_threads) WHERE {_FIRST_RANGE}
+  UNION ALL
+  SELECT 2, post_id, true, post_id IN (
+    SELECT post_id FROM threads WHERE post_id IN (
+      SELECT post_id FROM (SELECT post_id, length(body) AS views FROM all_threads)
+      WHERE {_FIRST_RANGE}))
+  FROM wanted),
+items AS (
+  SELECT run, count(*) AS selected_posts, count(*) FILTER (NOT stored) AS fetched_posts,
+         count(*) FILTER (post_id IN (SELECT post_id FROM threads)) AS analyzed_posts,
+         CAST(coalesce(sum((SELECT kept FROM sizes s WHERE s.post_id = runs.post_id)), 0) AS BIGINT)
+           AS analyzed_comments,
+         count(*) FILTER (NOT stored AND post_id IN (
+           SELECT post_id FROM all_threads WHERE analysis_unit <> 'system' AND blocked))
+         + CAST(coalesce(sum((SELECT count(*) FROM all_comments c WHERE blocked
+             AND NOT stored AND c.post_id = runs.post_id
+             AND c.post_id IN (SELECT post_id FROM threads))), 0) AS BIGINT) AS quarantined_items,
+         count(*) FILTER (post_id IN (
+           SELECT post_id FROM all_threads WHERE analysis_unit = 'system')) AS failed_posts
+  FROM runs GROUP BY run)
+SELECT *, failed_posts = 0 AS complete, false AS current FROM items""",
+)
+def refresh_runs(spark, folder):
+    """Counters of the two runs, observed while their results were written."""
+    runs = _refreshed(spark, folder)
+    counted = [run.counters.withColumn("run", F.lit(i)) for i, run in enumerate(runs, 1)]
+    return counted[0].unionByName(counted[1])
+
+
 @query(
     "TXT-10",
     f"""WITH {t.THREADS},{t.LABELS},
