@@ -43,6 +43,7 @@ NO_LANG = "und"
 SHARD_WORDS = 2_000_000
 HELD_WORDS = 4_000_000
 BUCKET_WORDS = 1_000_000
+RANK_PARTS = 16
 CHUNK = 1 << 21
 
 _UPPER = bytes(range(ord("A"), ord("Z") + 1))
@@ -466,9 +467,17 @@ def collocations(
     candidates = ranked[0]
     for more in ranked[1:]:
         candidates = candidates.unionByName(more)
-    best = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
+    order = (F.desc("score"), F.desc("a"), F.asc("phrase"))
+    # The best of each part first: one task then sees ``top`` rows of every part of a language,
+    # however many tasks found candidates.
+    part = F.pmod(F.xxhash64("phrase"), F.lit(RANK_PARTS))
+    best_of_part = Window.partitionBy("lang", "_ft_part").orderBy(*order)
+    best = Window.partitionBy("lang").orderBy(*order)
     return (
-        candidates.withColumn("rank", F.row_number().over(best).cast("long"))
+        candidates.withColumn("_ft_part", part)
+        .withColumn("_ft_place", F.row_number().over(best_of_part))
+        .where(F.col("_ft_place") <= top)
+        .withColumn("rank", F.row_number().over(best).cast("long"))
         .where(F.col("rank") <= top)
         .join(n_words, "lang")
         .select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
