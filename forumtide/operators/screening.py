@@ -146,7 +146,7 @@ def _audit_text(
 def quarantine_rows(
     texts: DataFrame,
     kind: str,
-    quarantined_at: datetime,
+    quarantined_at: datetime | Column,
     rules: Sequence[ScanRule] = PROMPT_RULES,
     threshold: int = THRESHOLD,
     existing: DataFrame | None = None,
@@ -154,37 +154,73 @@ def quarantine_rows(
     """New quarantine rows for ``texts (source_ref, text)``; a replay gives none.
 
     The identity is kind, reference and hash of the normalised text, and the row id is
-    its digest, so every run produces the same rows. No raw text is stored. Texts whose
-    reference is unusable are left to :func:`unusable_references`.
+    its digest, so every run produces the same rows. No raw text is stored. Harmful texts
+    whose reference is unusable are left to :func:`unnamed_quarantine`. ``quarantined_at`` may
+    be a column of the texts; of copies the earliest stands.
     """
-    code("source_kind", kind)
-    whole(threshold=threshold)
     named = texts.where(_audit_text(F.col("source_ref")))
-    flagged = scan(named, "text", rules).where(F.col("risk_score") >= threshold)
+    flagged = _flagged(named, kind, rules, threshold, quarantined_at)
     keyed = flagged.select(
-        F.lit(kind).alias("source_kind"), "source_ref",
-        digest(F.col("normalized")).alias("content_hash"), "findings", "risk_score",
+        "source_kind", "source_ref", "content_hash", "findings", "risk_score", "quarantined_at"
     )
     if existing is not None:
         keyed = keyed.join(existing.select(*QUARANTINE_KEY), list(QUARANTINE_KEY), "left_anti")
     # Copies share their normalised text, hence their findings; any one stands for all.
-    once = keyed.dropDuplicates(list(QUARANTINE_KEY))
-    stamp = F.lit(utc("quarantined_at", quarantined_at)).cast("timestamp_ntz")
+    once = keyed.groupBy(*QUARANTINE_KEY).agg(
+        F.any_value("findings").alias("findings"), F.any_value("risk_score").alias("risk_score"),
+        F.min("quarantined_at").alias("quarantined_at"),
+    )
     return once.select(
         digest(F.concat_ws("\n", *QUARANTINE_KEY)).alias("id"), *QUARANTINE_KEY,
-        "findings", "risk_score", stamp.alias("quarantined_at"),
+        "findings", "risk_score", "quarantined_at",
         F.lit("pending").alias("review_state"),
         *[F.lit(None).cast("string").alias(name) for name in ("reviewer", "note")],
         F.lit(None).cast("timestamp_ntz").alias("released_at"),
     )
 
 
+def _flagged(
+    texts: DataFrame, kind: str, rules: Sequence[ScanRule], threshold: int,
+    quarantined_at: datetime | Column,
+) -> DataFrame:
+    code("source_kind", kind)
+    whole(threshold=threshold)
+    if isinstance(quarantined_at, datetime):
+        quarantined_at = F.lit(utc("quarantined_at", quarantined_at))
+    return scan(texts, "text", rules).where(F.col("risk_score") >= threshold).withColumns({
+        "source_kind": F.lit(kind), "content_hash": digest(F.col("normalized")),
+        "quarantined_at": quarantined_at.cast("timestamp_ntz"),
+    })
+
+
 def unusable_references(texts: DataFrame) -> DataFrame:
-    """Texts that cannot be named in an audit: reference missing, untrimmed or with hidden
-    characters. They are screened by no run until their reference is mended."""
+    """Texts that no audit can name: reference missing, untrimmed or with hidden characters."""
     return texts.where(~_audit_text(F.col("source_ref")))
 
 
+def unnamed_quarantine(
+    texts: DataFrame,
+    kind: str,
+    quarantined_at: datetime | Column,
+    rules: Sequence[ScanRule] = PROMPT_RULES,
+    threshold: int = THRESHOLD,
+) -> DataFrame:
+    """Harmful texts with an unusable reference, one row per text: the rejected output.
+
+    They cannot become quarantine rows, which are found and released by reference, but they
+    are scanned like all others and must not go further. ``source_refs`` counts the distinct
+    unusable references (a missing one counts once).
+    """
+    flagged = _flagged(unusable_references(texts), kind, rules, threshold, quarantined_at)
+    missing = F.max(F.col("source_ref").isNull().cast("int"))
+    return flagged.groupBy("source_kind", "content_hash").agg(
+        F.count(F.lit(1)).alias("texts"),
+        (F.count_distinct("source_ref") + missing).alias("source_refs"),
+        F.any_value("findings").alias("findings"), F.any_value("risk_score").alias("risk_score"),
+        F.min("quarantined_at").alias("quarantined_at"),
+    )
+
+
 def review_outcomes(
     decisions: DataFrame, quarantine: DataFrame, longest: int | None = None
 ) -> DataFrame:

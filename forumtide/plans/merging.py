@@ -13,7 +13,8 @@ from forumtide.plans import tables as t
 from forumtide.plans.catalog import QUERIES, query
 from forumtide.registry import ScanRule
 from forumtide.schemas import QUARANTINE, SNAPSHOT
-from forumtide.session import materialize
+from forumtide.session import materialize, scratch_path
+from forumtide.streaming import ingest
 
 HALF = datetime(1999, 1, 1)
 ADMIT = AdmissionSpec(min_pages=2, overlap_pages=1)
@@ -116,9 +117,11 @@ def board_dimension(spark, folder):
 # --- validation ---------------------------------------------------------------------------------
 
 
-def _incoming(spark, folder):
+def _incoming(spark, folder, orders=None):
     """Observations with the faults real orders and customers happen to show."""
-    orders, customers = t.load(spark, folder, "orders"), t.load(spark, folder, "customer")
+    customers = t.load(spark, folder, "customer")
+    if orders is None:
+        orders = t.load(spark, folder, "orders")
     board, post = F.col("c_nationkey").cast("int"), F.col("o_orderkey")
     url = t.SITE.article_url(board, post)
     status, priority = F.col("o_orderstatus"), F.col("o_orderpriority")
@@ -322,6 +325,92 @@ def collected_tables(spark, folder):
     )
 
 
+def _ingested(spark, folder):
+    """Orders as a stream of observations, with their faults and their hostile titles."""
+    orders = (
+        spark.readStream.schema(t.SCHEMAS["orders"]).option("pathGlobFilter", "orders.parquet")
+        .parquet(folder)
+    )
+    incoming = _incoming(spark, folder, orders).withColumns({
+        "slot": F.col("published_at"), "observed_at": F.col("published_at"),
+        "config_version": F.lit(t.VERSION),
+    })
+    tables = ingest.Ingested.at(spark, scratch_path(spark, "ingested"))
+    ingest.ingest_stream(
+        incoming, _unit_map(spark, folder), t.SITE, tables, scratch_path(spark, "ingest-state"),
+        _URGENT,
+    ).awaitTermination()
+    return tables
+
+
+_GOOD = f"""{_FAULTS},
+good AS (
+  SELECT CAST(c_nationkey AS INTEGER) AS board_id, o_orderkey AS post_id, o_orderpriority AS title,
+         o_orderdate AS seen, CAST(floor(c_acctbal) AS BIGINT) AS views
+  FROM orders JOIN customer ON o_custkey = c_custkey
+  WHERE o_orderkey IN (SELECT post_id FROM checked WHERE failed = ''))"""
+
+
+@query(
+    "STR-2 FLT-1 MRG-2 MRG-3",
+    f"""WITH {_GOOD}
+SELECT board_id, post_id, title, seen AS last_seen_at, seen AS slot, views FROM good""",
+)
+def ingested_posts(spark, folder):
+    """Posts and snapshots that a validated and screened stream leaves behind."""
+    tables = _ingested(spark, folder)
+    shots = tables.snapshots.read().select(*POST_KEY, "slot", "views")
+    posts = tables.posts.read().select(*POST_KEY, "title", "last_seen_at")
+    return posts.join(shots, list(POST_KEY), "full").select(
+        *POST_KEY, "title", "last_seen_at", "slot", "views"
+    )
+
+
+@query(
+    "STR-2 FLT-1 FLT-2",
+    f"WITH {_FAULTS} SELECT board_id, post_id, failed FROM checked WHERE failed <> ''",
+)
+def ingested_rejects(spark, folder):
+    """Observations that the stream refused, with the rules they broke."""
+    return _ingested(spark, folder).rejected().select(
+        *POST_KEY, F.array_join("failed", ",").alias("failed")
+    )
+
+
+@query(
+    "STR-2 STR-5 TXT-2",
+    f"""WITH {_GOOD}
+SELECT 'title' AS source_kind, 'post:' || board_id || ':' || post_id AS source_ref,
+       sha256(title) AS content_hash, 70 AS risk_score, min(seen) AS quarantined_at,
+       'pending' AS review_state
+FROM good WHERE title = '1-URGENT' GROUP BY ALL""",
+)
+def ingested_quarantine(spark, folder):
+    """Titles that the stream quarantined beside their posts."""
+    return _ingested(spark, folder).quarantine.read().select(
+        "source_kind", "source_ref", "content_hash", "risk_score", "quarantined_at",
+        "review_state",
+    )
+
+
+@query(
+    "STR-2 MRG-6",
+    f"""WITH {_GOOD}
+SELECT c.board_id, CAST(count(*) FILTER (failed = '') AS BIGINT) AS inserted,
+       CAST(0 AS BIGINT) AS updated,
+       CAST((SELECT count(*) FROM good g WHERE g.board_id = c.board_id AND title = '1-URGENT')
+         AS BIGINT) AS quarantined,
+       CAST(count(*) FILTER (failed <> '') AS BIGINT) AS rejected
+FROM checked c GROUP BY c.board_id""",
+)
+def ingested_summary(spark, folder):
+    """What the stream did per board, summed over its batches."""
+    counts = ("inserted", "updated", "quarantined", "rejected")
+    return _ingested(spark, folder).summary().groupBy("board_id").agg(
+        *[F.sum(name).alias(name) for name in counts]
+    )
+
+
 @query(
     "MRG-8",
     f"""WITH {t.POSTS}

@@ -190,12 +190,37 @@ def quarantine_rows(spark, folder):
     )
 
 
+@query(
+    "TXT-2",
+    f"""WITH {_DOC_FOUND},
+scored AS (SELECT d.doc_id, d.text, d.lang, CAST(least(100, sum(f.score)) AS INTEGER) AS risk_score,
+                  string_agg(f.rule_id, ',' ORDER BY f.rule_id) AS rules
+           FROM documents d JOIN found f ON f.doc_id = d.doc_id GROUP BY ALL)
+SELECT 'body' AS source_kind, sha256(text) AS content_hash, count(*) AS texts,
+       count(DISTINCT CASE WHEN lang = 'de' THEN ' ' || doc_id END)
+         + max(CASE WHEN lang = 'fr' THEN 1 ELSE 0 END) AS source_refs,
+       any_value(risk_score) AS risk_score, any_value(rules) AS rules
+FROM scored WHERE risk_score >= 40 AND lang IN ('fr', 'de') GROUP BY text""",
+)
+def unnamed_quarantine(spark, folder):
+    """Harmful documents whose reference is missing (fr) or untrimmed (de)."""
+    lang, number = F.col("lang"), F.col("doc_id").cast("string")
+    ref = F.when(lang == "fr", F.lit(None)).when(lang == "de", F.concat(F.lit(" "), number))
+    texts = t.load(spark, folder, "documents").select(
+        ref.otherwise(number).alias("source_ref"), "text"
+    )
+    rows = screening.unnamed_quarantine(texts, "body", NOW, t.SAMPLE_RULES, 40)
+    rules = F.sort_array(F.transform("findings", lambda f: f["rule_id"]))
+    return rows.select(
+        "source_kind", "content_hash", "texts", "source_refs", "risk_score",
+        F.array_join(rules, ",").alias("rules"),
+    )
+
+
 def _decisions(spark, folder):
     """Review decisions over the quarantine: one per order, some twice, some for no row."""
     orders, customers = t.load(spark, folder, "orders"), t.load(spark, folder, "customer")
-    rows = orders.where(F.col("o_totalprice") >= 390000).join(
-        customers, F.col("o_custkey") == F.col("c_custkey")
-    )
+    rows = orders.join(customers, F.col("o_custkey") == F.col("c_custkey"))
     ref = F.concat(
         F.lit("post:"), F.col("c_nationkey").cast("string"), F.lit(":"),
         F.col("o_orderkey").cast("string"),
@@ -220,7 +245,7 @@ base AS (
   SELECT o_orderkey * 2 AS seq, sha256('post:' || c_nationkey || ':' || o_orderkey) AS id,
          'clerk ' || CASE WHEN c_acctbal > 5000 THEN o_orderstatus ELSE 'O' END AS reviewer,
          CASE WHEN c_acctbal < 0 THEN ' checked' ELSE 'checked' END AS note, o_orderstatus
-  FROM orders JOIN customer ON o_custkey = c_custkey WHERE o_totalprice >= 390000),
+  FROM orders JOIN customer ON o_custkey = c_custkey),
 decisions AS (
   SELECT seq, id, reviewer, note FROM base
   UNION ALL

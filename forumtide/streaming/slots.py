@@ -120,7 +120,7 @@ class MergeTable:
         if not folders:
             return self.spark.createDataFrame([], self.schema)
         # The base and the batches are one scan each, however many batches there are.
-        columns = [part.split()[0] for part in self.schema.split(", ")]
+        columns = T.StructType.fromDDL(self.schema).fieldNames()
         scans = [
             self.spark.read.schema(self.schema).option("basePath", f"{self.root}/{kind}")
             .parquet(*found).select(*columns)
@@ -171,6 +171,19 @@ def snapshot_table(spark: SparkSession, root: str) -> MergeTable:
     return MergeTable(spark, root, SNAPSHOT_TABLE, merged, "slot_month")
 
 
+def refuse_other_configuration(snapshots: MergeTable, fresh: DataFrame, number: int) -> None:
+    """Fail if a slot of the batch is stored under another configuration.
+
+    Only the stored months that the batch has slots of are read, and only earlier batches.
+    """
+    # The months of a batch are a short list, at most twelve a year of history.
+    months = [row[0] for row in fresh.select("slot_month").distinct().collect()]
+    stored = snapshots.rows(number).where(F.col("slot_month").isin(months))
+    same_keys = stored.join(fresh.select(*SNAPSHOT_KEY), list(SNAPSHOT_KEY), "left_semi")
+    if merge_snapshots(fresh.unionByName(same_keys).drop("slot_month"))[1].take(1):
+        raise ValueError("snapshot slot belongs to another configuration")
+
+
 def upsert_stream(
     observations: DataFrame, posts: MergeTable, snapshots: MergeTable, checkpoint: str
 ) -> StreamingQuery:
@@ -187,20 +200,14 @@ def upsert_stream(
             fresh = merge_snapshots_strict(batch.select(*SNAPSHOT_COLUMNS)).withColumn(
                 "slot_month", F.trunc("slot", "month")
             )
-            # The months of a batch are a short list, at most twelve a year of history.
-            months = [r[0] for r in batch.select(F.trunc("slot", "month")).distinct().collect()]
-            stored = snapshots.rows(number).where(F.col("slot_month").isin(months))
-            same_keys = stored.join(fresh.select(*SNAPSHOT_KEY), list(SNAPSHOT_KEY), "left_semi")
-            both = fresh.unionByName(same_keys).drop("slot_month")
-            if merge_snapshots(both)[1].take(1):
-                raise ValueError("snapshot slot belongs to another configuration")
+            refuse_other_configuration(snapshots, fresh, number)
             seen = batch.withColumn("last_seen_at", F.col("observed_at"))
             posts.append(posts.merge(seen.select(*POST_COLUMNS)), number)
             snapshots.append(fresh, number)
         finally:
             batch.unpersist()
 
-    return _drive(observations, apply, checkpoint)
+    return drive(observations, apply, checkpoint)
 
 
 def run_to_folder(
@@ -220,10 +227,10 @@ def run_to_folder(
             writer = writer.partitionBy(partition)
         writer.parquet(f"{path}/n={number}")
 
-    _drive(rows, save, checkpoint).awaitTermination()
+    drive(rows, save, checkpoint).awaitTermination()
 
 
-def _drive(rows: DataFrame, call, checkpoint: str) -> StreamingQuery:
+def drive(rows: DataFrame, call, checkpoint: str) -> StreamingQuery:
     return (
         rows.writeStream.foreachBatch(call)
         .option("checkpointLocation", checkpoint)
@@ -255,7 +262,7 @@ def store_once(
             fresh = fresh.join(stored.select(*identity), list(identity), "left_anti")
         fresh.write.mode("overwrite").partitionBy("_day").parquet(f"{path}/n={number}")
 
-    _drive(rows, save, checkpoint).awaitTermination()
+    drive(rows, save, checkpoint).awaitTermination()
 
 
 def read_slots(spark: SparkSession, path: str, keys: Sequence[str] = POST_KEY) -> DataFrame:
@@ -299,4 +306,4 @@ def on_new_release(
         .load(root)
         .select("path")
     )
-    return _drive(lists, announce, checkpoint)
+    return drive(lists, announce, checkpoint)
