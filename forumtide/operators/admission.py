@@ -10,9 +10,10 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from forumtide.operators.ordering import running
 from forumtide.operators.validate import ordinary
 from forumtide.params import AdmissionSpec, whole
 from forumtide.session import materialize
@@ -138,8 +139,8 @@ def allocate_pages(
 
     ``pages`` has ``source_key, source_order, page``; ``states`` has ``source_key,
     next_page, complete`` (absent sources start at the default page). A source leaves
-    after the page holding its cut. No source can use more rounds than the budget, so
-    ranking is limited to that depth before anything is ordered globally.
+    after the page holding its cut. The budget may be of any size: turns and rounds are
+    counted over ranges of the order, and no source's pages meet in one task. Runs jobs.
     """
     whole(budget=budget)
     open_pages = (
@@ -157,13 +158,11 @@ def allocate_pages(
             open_pages.join(cuts.select("source_key", "cut_page"), "source_key", "left")
             .where(F.col("cut_page").isNull() | (F.col("page") <= F.col("cut_page")))
         )
-    turn = Window.partitionBy("source_key").orderBy("page")
-    rounds = (
-        open_pages.withColumn("round", F.row_number().over(turn))
-        .where(F.col("round") <= max(budget, 1))
-        .select("source_key", "source_order", "page", "round")
+    # No source can use more rounds than the budget.
+    turns = running(open_pages, ["source_key"], [F.col("page")]).where(F.col("place") <= budget)
+    rounds = turns.select(
+        "source_key", "source_order", "page", F.col("place").cast("int").alias("round")
     )
-    spent = rounds.orderBy("round", "source_order", "source_key").limit(budget)
-    # At most `budget` rows are left here, so one ordered pass numbers them.
-    order = Window.orderBy("round", "source_order", "source_key")
-    return spent.withColumn("seq", F.row_number().over(order))
+    order = [F.col(name) for name in ("round", "source_order", "source_key")]
+    spent = running(rounds, [], order).where(F.col("place") <= budget)
+    return spent.withColumn("seq", F.col("place").cast("int")).drop("place")

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from forumtide.functions.time import local_date
 from forumtide.operators.merge import POST_KEY
-from forumtide.operators.ordering import exact_quantile, integer_bucket
+from forumtide.operators.ordering import exact_quantile, integer_bucket, running
 from forumtide.params import utc, whole
 
 # Comment-led rule, retention ages and warning ages.
@@ -138,7 +138,8 @@ def review_batch(
 
     ``candidates`` has ``record_id, content_hash, text, confidence, engagement`` of safe
     texts; hashes in ``analysed`` are skipped and copies are taken once. The batch stops
-    before it would pass either budget. ``max_items`` bounds what is ordered together.
+    before it would pass either budget. Positions and tokens used are counted over ranges of
+    the order, so either budget may be of any size. Runs jobs.
     """
     whole(max_items=max_items, token_budget=token_budget)
     fresh = candidates.join(analysed.select("content_hash"), "content_hash", "left_anti")
@@ -154,12 +155,12 @@ def review_batch(
         F.negative(F.col("_b.o._less")).alias("engagement"), F.col("_b.tokens").alias("tokens"),
     )
     ordered = [F.asc("confidence"), F.desc("engagement"), F.asc("record_id")]
-    head = best.orderBy(*ordered).limit(max_items)
-    running = Window.orderBy(*ordered).rowsBetween(Window.unboundedPreceding, 0)
+    counted = running(best, [], ordered, "tokens")
     return (
-        head.withColumn("position", F.row_number().over(Window.orderBy(*ordered)))
-        .withColumn("tokens_used", F.sum("tokens").over(running))
-        .where(F.col("tokens_used") <= token_budget)
+        counted.withColumn("position", F.col("place").cast("int"))
+        .withColumn("tokens_used", F.col("running"))
+        .where((F.col("position") <= max_items) & (F.col("tokens_used") <= token_budget))
+        .drop("place", "running")
     )
 
 

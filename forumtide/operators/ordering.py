@@ -9,6 +9,7 @@ totals upwards, so one group may hold most of the table.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -19,6 +20,50 @@ from forumtide.session import materialize
 LEVEL_BITS = 16
 
 
+def running(
+    rows: DataFrame, keys: Sequence[str], order: Sequence[Column], value: str | None = None,
+) -> DataFrame:
+    """Rows with ``place`` (from 1) and, of ``value``, the sum so far (``running``) per group.
+
+    Rows are cut into ranges of the whole order and counted and summed per range; a range then
+    needs only what lies before it, so neither a group nor the whole table is ordered in one
+    task. Without ``keys`` the order is global: one row per range is read by the driver.
+    ``order`` should leave no ties, else tied rows are placed arbitrarily. Runs jobs.
+    """
+    keys, order = list(keys), list(order)
+    summed = [F.sum(value).alias("_sum")] if value else []
+    ranged = materialize(
+        rows.repartitionByRange(*keys, *order).withColumn("_range", F.spark_partition_id()),
+        "ranges",
+    )
+    totals = ranged.groupBy(*keys, "_range").agg(F.count(F.lit(1)).alias("_n"), *summed)
+    names = ["_n", *(["_sum"] if value else [])]
+    if keys:
+        # A group meets as many rows here as it spans ranges.
+        earlier = Window.partitionBy(*keys).orderBy("_range").rowsBetween(
+            Window.unboundedPreceding, -1
+        )
+        starts = totals.select(
+            *keys, "_range",
+            *[F.coalesce(F.sum(c).over(earlier), F.lit(0)).alias(f"{c}_before") for c in names],
+        )
+    else:
+        found = totals.orderBy("_range").collect()
+        before = [[0, *accumulate(row[c] for row in found)] for c in names]
+        starts = rows.sparkSession.createDataFrame(
+            [(row["_range"], *[b[i] for b in before]) for i, row in enumerate(found)],
+            "_range INT, " + ", ".join(f"{c}_before BIGINT" for c in names),
+        )
+    within = Window.partitionBy(*keys, "_range").orderBy(*order)
+    so_far = within.rowsBetween(Window.unboundedPreceding, 0)
+    placed = ranged.join(materialize(starts, "range-starts"), [*keys, "_range"]).withColumn(
+        "place", F.col("_n_before") + F.row_number().over(within)
+    )
+    if value:
+        placed = placed.withColumn("running", F.col("_sum_before") + F.sum(value).over(so_far))
+    return placed.drop("_range", "_n_before", "_sum_before")
+
+
 def integer_bucket(value: Column) -> Column:
     """Bucket of a non-negative integer: 65,536 neighbouring values share one."""
     return F.shiftright(value.cast("bigint"), LEVEL_BITS)

@@ -515,7 +515,7 @@ def backfill_status(spark, folder):
     f"""WITH {t.PAGE_ROWS},{_CUTS},
 states AS (
   SELECT 'source-' || s_suppkey AS source_key, s_acctbal < 0 AS complete,
-         CAST(s_nationkey AS INTEGER) AS next_page FROM supplier WHERE s_nationkey <= 5),
+         CAST(s_nationkey // 4 AS INTEGER) AS next_page FROM supplier WHERE s_nationkey < 20),
 open_pages AS (
   SELECT DISTINCT p.source_key, p.page, p.source_key AS source_order
   FROM page_rows p LEFT JOIN states s ON s.source_key = p.source_key
@@ -535,9 +535,10 @@ def budget_allocation(spark, folder):
 
 
 def _backfill_states(spark, folder):
-    return t.load(spark, folder, "supplier").where(F.col("s_nationkey") <= 5).select(
+    """A state for every supplier, except those of nations 20 and above: sources never begun."""
+    return t.load(spark, folder, "supplier").where(F.col("s_nationkey") < 20).select(
         F.concat(F.lit("source-"), F.col("s_suppkey").cast("string")).alias("source_key"),
-        F.col("s_nationkey").cast("int").alias("next_page"),
+        F.floor(F.col("s_nationkey") / 4).cast("int").alias("next_page"),
         (F.col("s_acctbal") < 0).alias("complete"),
     )
 
@@ -582,7 +583,7 @@ def duplicate_lines(spark, folder):
     f"""WITH {t.PAGE_ROWS}, spent AS (SELECT source_key, page FROM ({QUERIES["budget_allocation"].sql})),
 states AS (
   SELECT 'source-' || s_suppkey AS source_key, s_acctbal < 0 AS complete,
-         CAST(s_nationkey AS INTEGER) AS next_page FROM supplier WHERE s_nationkey <= 5),
+         CAST(s_nationkey // 4 AS INTEGER) AS next_page FROM supplier WHERE s_nationkey < 20),
 last AS (SELECT source_key, max(page) AS page FROM spent GROUP BY source_key),
 landed AS (SELECT r.* FROM page_rows r JOIN spent s ON s.source_key = r.source_key AND s.page = r.page),
 cut AS (
