@@ -14,7 +14,8 @@ Windows are compared by two independent 64-bit hashes (anchor and window). No st
 an anchor's documents: blocks belong to one document, and counts combine before the shuffle.
 
 Defined results: a null or empty text has no words. Rows with a null doc_id keep everything
-and are no reference. Rows sharing a doc_id do not remove from each other. Texts under 50
+and are no reference. Rows sharing a doc_id do not remove from each other; however often a
+row repeats, its anchors and spans are gathered once. Texts under 50
 words lose nothing. An empty table gives no rows. Only doc_id and text are read.
 """
 
@@ -203,7 +204,8 @@ def duplicate_spans(texts: DataFrame, scanned: DataFrame) -> tuple[DataFrame, Da
         "shared-anchors",
     )
     followed = anchors.join(shared, "anchor").groupBy("doc_id", "text_hash").agg(
-        F.collect_list(F.struct("anchor", "first")).alias("pairs")
+        # Sets, here and for the removals: rows that repeat add nothing to what one row says.
+        F.collect_set(F.struct("anchor", "first")).alias("pairs")
     )
     named = followed.select(
         F.col("doc_id").alias("_d"), F.col("text_hash").alias("_h"),
@@ -251,7 +253,7 @@ def deduplicated(docs: DataFrame) -> DataFrame:
     spans, traced = duplicate_spans(texts, scanned)
     removals = materialize(
         spans.groupBy("doc_id", "text_hash").agg(
-            F.collect_list(F.struct("at", "length")).alias("spans")
+            F.collect_set(F.struct("at", "length")).alias("spans")
         ), "removals",
     )
     keys = ["doc_id", "text_hash"]
