@@ -5,8 +5,12 @@ weight. A document's count inverts the Poisson distribution at a uniform number
 seed and doc_id; it is exploded by that count and all copies are shuffled by a hashed key.
 Every document decides alone, so the result does not depend on partitions or retries.
 
+A rate above ``PART_RATE`` is cut into equal parts of at most that rate. Each part draws with a
+number of its own and the counts add up, which is exact: a sum of Poisson counts is a Poisson
+count. So the table of probabilities is short whatever the rate.
+
 Defined results: a null source is a source of its own. A null or empty text counts as one
-byte, as does the end of every other text. A null doc_id draws like the text ``null``; rows
+byte, as does the end of every other text. A null doc_id draws by the digest of its text; rows
 with equal doc_id draw the same count. Sources without a target weight get none of the mix.
 An empty table gives no rows. Added columns (``copy`` and ``shuffle_key``, and ``rate`` and
 ``n_copies`` where asked for) replace input columns of the same names.
@@ -22,6 +26,9 @@ from forumtide.session import materialize
 
 SEED = "mix-1"
 UNIT_BITS = 52
+PART_RATE = 64
+# Copies of one document are numbered in runs of this length.
+COPY_RUN = 4096
 
 
 def _size() -> Column:
@@ -80,7 +87,33 @@ def source_rates(
     size = sizes.agg(F.sum("_ft_size")).first()[0] if total is None else total
     rate = F.lit(float(size or 0)) * (F.col("_ft_weight") / F.lit(sums[0] or 1.0)) / F.col("_ft_size")
     rated = wanted.select("source", rate.alias("rate"))
-    return materialize(rated.withColumn("_ft_cdf", _cumulative(F.col("rate"))), "rates")
+    parts = F.greatest(F.lit(1), F.ceil(F.col("rate") / PART_RATE).cast("int"))
+    cut = rated.withColumn("_ft_parts", parts)
+    return materialize(
+        cut.withColumn("_ft_cdf", _cumulative(F.col("rate") / F.col("_ft_parts"))), "rates"
+    )
+
+
+def _key() -> Column:
+    """What a row draws by: its id, or the digest of its text."""
+    return F.coalesce(
+        F.col("doc_id").cast("string"), F.concat(F.lit("null:"), F.md5(whole_text()))
+    )
+
+
+def _count(seed: str) -> Column:
+    """The drawn number of copies: one inversion per part of the rate."""
+
+    def inverse(key: Column) -> Column:
+        return let(hashed_unit(seed, key), lambda u: F.size(
+            F.filter(F.col("_ft_cdf"), lambda p: p <= u)
+        ).cast("bigint"))
+
+    more = F.aggregate(
+        F.sequence(F.lit(1), F.col("_ft_parts") - 1), F.lit(0).cast("bigint"),
+        lambda total, part: total + inverse(F.concat_ws(":", _key(), part.cast("string"))),
+    )
+    return inverse(_key()) + F.when(F.col("_ft_parts") > 1, more).otherwise(F.lit(0))
 
 
 def poisson_mix(
@@ -99,24 +132,26 @@ def poisson_mix(
     added = {"copy", "shuffle_key", "rate", "n_copies"}
     names = [c for c in docs.columns if c not in added]
     rates = source_rates(docs, weights, total).select(
-        F.col("source").alias("_ft_name"), "rate", "_ft_cdf"
+        F.col("source").alias("_ft_name"), "rate", "_ft_parts", "_ft_cdf"
     )
-    drawn = hashed_unit(seed, F.coalesce(F.col("doc_id").cast("string"), F.lit("null")))
-    count = let(drawn, lambda u: F.size(F.filter(F.col("_ft_cdf"), lambda p: p <= u)))
     counted = (
         docs.select(*[f"`{c}`" for c in names])
         .join(rates, F.col("source").eqNullSafe(F.col("_ft_name")))
-        .withColumn("n_copies", count)
+        .withColumn("n_copies", _count(seed))
         .where(F.col("n_copies") > 0)
     )
-    extra = ["rate", F.col("n_copies").cast("bigint").alias("n_copies")] if explain else []
-    copies = counted.select(
-        *[f"`{c}`" for c in names], *extra,
-        F.explode(F.sequence(F.lit(1), F.col("n_copies"))).alias("copy"),
+    last = F.col("n_copies") - 1
+    runs = counted.withColumn(
+        "_ft_run", F.explode(F.sequence(F.lit(0).cast("bigint"), F.expr(f"(n_copies - 1) div {COPY_RUN}")))
+    )
+    begin = F.col("_ft_run") * COPY_RUN
+    numbers = F.sequence(begin + 1, F.least(begin + COPY_RUN, last + 1))
+    copies = runs.select(
+        *[f"`{c}`" for c in names], *(["rate", "n_copies"] if explain else []),
+        F.explode(numbers.cast("array<int>")).alias("copy"),
     )
     key = F.md5(F.concat_ws(
-        ":", F.lit(seed), F.lit("order"),
-        F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), F.col("copy").cast("string"),
+        ":", F.lit(seed), F.lit("order"), _key(), F.col("copy").cast("string"),
     ))
     # Partitions drawn by the hashed key and sorted by it are one uniformly random order.
     return copies.withColumn("shuffle_key", key).repartition("shuffle_key").sortWithinPartitions(

@@ -125,24 +125,29 @@ WITH sizes AS (
 ), totals AS (
   SELECT CAST(sum(size) AS DOUBLE) AS total, CAST(count(*) AS DOUBLE) AS weights FROM sizes
 ), rates AS (
-  SELECT source, total * (1.0::DOUBLE / weights) / CAST(size AS DOUBLE) AS rate FROM sizes, totals
+  SELECT source, rate, greatest(1, CAST(ceil(rate / 64) AS BIGINT)) AS parts FROM (
+    SELECT source, total * (1.0::DOUBLE / weights) / CAST(size AS DOUBLE) AS rate FROM sizes, totals)
 ), terms AS (
-  SELECT source, rate, k,
-    exp(-rate + CASE WHEN k = 0 THEN 0 ELSE k * ln(rate) - lgamma(CAST(k + 1 AS DOUBLE)) END) AS p
-  FROM (SELECT source, rate, unnest(range(CAST(ceil(rate + 12 * sqrt(rate) + 41) AS BIGINT))) AS k
-    FROM rates)
+  SELECT source, rate, parts, k,
+    exp(-r + CASE WHEN k = 0 THEN 0 ELSE k * ln(r) - lgamma(CAST(k + 1 AS DOUBLE)) END) AS p
+  FROM (SELECT source, rate, parts, r, unnest(range(CAST(ceil(r + 12 * sqrt(r) + 41) AS BIGINT))) AS k
+    FROM (SELECT *, rate / parts AS r FROM rates))
 ), cdf AS (
-  SELECT source, rate, list(p ORDER BY k) AS ps FROM (
-    SELECT source, rate, k, sum(p) OVER (PARTITION BY source ORDER BY k) AS p FROM terms)
-  GROUP BY source, rate
-), drawn AS (
-  SELECT d.*, rate, len(list_filter(ps, lambda p: p <= CAST(
-      CAST('0x' || substr(md5('mix-1:' || coalesce(CAST(doc_id AS VARCHAR), 'null')), 1, 13)
-        AS BIGINT) AS DOUBLE) / 4503599627370496)) AS n_copies
+  SELECT source, rate, parts, list(p ORDER BY k) AS ps FROM (
+    SELECT source, rate, parts, k, sum(p) OVER (PARTITION BY source ORDER BY k) AS p FROM terms)
+  GROUP BY source, rate, parts
+), keyed AS (
+  SELECT d.*, rate, ps, parts,
+    coalesce(CAST(doc_id AS VARCHAR), 'null:' || md5(coalesce(text, ''))) AS drawn_by
   FROM documents d JOIN cdf ON d.source IS NOT DISTINCT FROM cdf.source
+), drawn AS (
+  SELECT *, CAST(list_sum(list_transform(range(parts), lambda i: len(list_filter(ps, lambda p: p <= CAST(
+      CAST('0x' || substr(md5('mix-1:' || drawn_by || CASE WHEN i > 0 THEN ':' || i ELSE '' END), 1, 13)
+        AS BIGINT) AS DOUBLE) / 4503599627370496)))) AS BIGINT) AS n_copies
+  FROM keyed
 )
 SELECT doc_id, text, lang, source, n_chars, n_copies, copy,
-  md5('mix-1:order:' || coalesce(CAST(doc_id AS VARCHAR), 'null') || ':' || copy) AS shuffle_key
+  md5('mix-1:order:' || drawn_by || ':' || copy) AS shuffle_key
 FROM (SELECT *, CAST(unnest(range(1, n_copies + 1)) AS INTEGER) AS copy FROM drawn)
 """
 

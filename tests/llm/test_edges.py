@@ -165,6 +165,36 @@ def test_large_rates_do_not_underflow(spark):
     assert len(counts) == 5 and all(1700 < n < 2300 for n in counts.values())
 
 
+def test_any_rate_is_drawn_with_a_short_table(spark):
+    """One small document beside a large source; its rate is a million."""
+    rows = [(1, "x", "small"), (2, "y" * 3_999_998, "large")]
+    frame = helpers.frame(spark, rows)
+    table = {r["source"]: r for r in mixing.source_rates(frame).collect()}
+    assert table["small"]["rate"] > 1e6 and len(table["small"]["_ft_cdf"]) < 300
+    mix = mixing.poisson_mix(frame.where("source = 'small'"), total=2e6, explain=True)
+    counts = mix.groupBy("doc_id", "n_copies").agg(
+        F.count_distinct("copy").alias("n"), F.max("copy").alias("last")
+    ).collect()
+    assert len(counts) == 1 and counts[0]["n"] == counts[0]["n_copies"] == counts[0]["last"]
+    assert abs(counts[0]["n"] - 1_000_000) < 6000
+
+
+def test_parts_of_a_rate_add_up(spark):
+    rows = [(i, "x", "a") for i in range(400)]
+    mix = mixing.poisson_mix(helpers.frame(spark, rows), total=2 * 400 * 200.0, explain=True)
+    counts = [r["n_copies"] for r in mix.select("doc_id", "n_copies").distinct().collect()]
+    mean = sum(counts) / 400
+    assert abs(mean - 200) < 3 and 150 < sum((n - mean) ** 2 for n in counts) / 400 < 260
+
+
+def test_null_ids_draw_by_their_text(spark):
+    rows = [(None, f"text {i}", "a") for i in range(500)]
+    mix = mixing.poisson_mix(helpers.frame(spark, rows), explain=True)
+    got = mix.select("text", "n_copies", "shuffle_key").collect()
+    assert len({r["shuffle_key"] for r in got}) == len(got)
+    assert len({r["n_copies"] for r in got}) > 3
+
+
 # ---- 4: sharding ----
 
 def test_sharding_on_awkward_rows(docs, empty):
@@ -374,6 +404,28 @@ def test_substrings_across_factor_boundaries(spark):
     assert sorted(got) == _plain_removed(rows)
 
 
+def test_rows_that_repeat_are_gathered_once(spark):
+    """What is joined back to a row must not grow with the number of its copies."""
+    text = helpers.sentences(40, 300)
+    other = helpers.sentences(41, 20) + " " + text
+    rows = [(7, text)] * 3000 + [(3, other), (9, other)]
+    got = substring_dedup.deduplicated(helpers.frame(spark, rows)).collect()
+    expected = _plain_removed([(7, text), (3, other), (9, other)])
+    assert len(got) == len(rows) and sorted({str(tuple(r)) for r in got}) == expected
+    spans, traced = substring_dedup.duplicate_spans(*_scanned(spark, rows))
+    copies = traced.where("doc_id = 7").select(F.size("anchors").alias("n"))
+    assert copies.distinct().count() == 1 and copies.first()["n"] < 40
+    assert spans.where("doc_id = 7").distinct().count() < 40
+
+
+def _scanned(spark, rows):
+    texts = helpers.frame(spark, rows).select(
+        "doc_id", F.col("text").cast("binary").alias("text"),
+        F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_hash"),
+    )
+    return texts, texts.mapInArrow(substring_dedup._scan, substring_dedup._SCANNED)
+
+
 def test_factors_are_greedy_and_cover_all_found_windows():
     assert list(substring_dedup.factors([1, 2, 3, 9, 2, 3], [[2, 3], [1, 2, 4]])) == [
         (0, 2), (2, 1), (4, 2)
