@@ -26,15 +26,16 @@ DISTINCT_WINDOW = 1000
 
 
 # Rule i sets bit i of a ledger row when its condition holds. The order is part of the stored
-# format: new rules are appended, none is moved. Distinct words are counted per window, since
-# their share in a whole text falls with its length.
+# format: new rules are appended, none is moved or changed. The last rule counts distinct words
+# per window, since their share in a whole text falls with its length.
 RULES = (
     ("few_words", "n_words < 20"),
     ("repeated_windows", "100 * n_repeat_words > 30 * n_words"),
     ("symbols", "100 * n_symbols > 10 * n_words"),
     ("repeated_lines", "100 * n_dup_lines > 40 * n_lines"),
     ("long_words", "word_chars > 25 * n_words"),
-    ("few_distinct_words", "100 * n_window_distinct_words < 20 * n_words"),
+    ("few_distinct_words", "100 * n_distinct_words < 20 * n_words"),
+    ("few_distinct_in_windows", "100 * n_window_distinct_words < 20 * n_words"),
 )
 RULE_NAMES = tuple(name for name, _ in RULES)
 
@@ -52,7 +53,10 @@ class Policy:
 
 
 BASE = Policy("base", ("few_words", "repeated_windows"))
-PRODUCTION = Policy("3", RULE_NAMES)  # "2" took distinct words over the whole text
+# Versions stay, so that an old verdict can be told again from its ledger.
+WHOLE_TEXT = Policy("2", RULE_NAMES[:6])
+PRODUCTION = Policy("3", (*RULE_NAMES[:5], "few_distinct_in_windows"))
+POLICIES = {policy.version: policy for policy in (BASE, WHOLE_TEXT, PRODUCTION)}
 
 
 def _without(text: Column, characters: str) -> Column:

@@ -65,14 +65,16 @@ WITH docs AS (
     CAST(length(t) - length(translate(t, '#*$%&|<>', '')) AS BIGINT) AS n_symbols,
     coalesce(n_lines, 0) AS n_lines, coalesce(n_dup_lines, 0) AS n_dup_lines,
     coalesce(n_repeat_words, 0) AS n_repeat_words,
-    CAST(len(list_distinct(w)) AS BIGINT) AS n_distinct_words
+    CAST(coalesce(list_sum(list_transform(range(CAST(ceil(len(w) / 1000) AS BIGINT)), lambda k:
+      len(list_distinct(w[k * 1000 + 1 : k * 1000 + 1000])))), 0) AS BIGINT)
+      AS n_window_distinct_words
   FROM words LEFT JOIN covered USING (rid) LEFT JOIN lines USING (rid)
 ), judged AS (
   SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM measured
 )
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
   NOT (base_failed OR 100 * n_symbols > 10 * n_words OR 100 * n_dup_lines > 40 * n_lines
-    OR word_chars > 25 * n_words OR 100 * n_distinct_words < 20 * n_words) AS kept
+    OR word_chars > 25 * n_words OR 100 * n_window_distinct_words < 20 * n_words) AS kept
 FROM judged
 """
 

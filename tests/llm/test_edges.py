@@ -57,15 +57,46 @@ def test_rules_on_awkward_rows(docs, empty):
 
 def test_ablation_counts_what_one_rule_alone_rejects(docs, empty):
     ledger = quality_rules.record(quality_rules.measure(docs))
-    rows = {r["rule"]: r for r in quality_rules.ablation(ledger).collect()}
     bits = [r["failures"] for r in ledger.collect()]
-    for place, name in enumerate(quality_rules.RULE_NAMES):
-        assert rows[name]["failing"] == sum(b >> place & 1 for b in bits)
-        assert rows[name]["recovered"] == sum(b == 1 << place for b in bits)
+    for policy in quality_rules.POLICIES.values():
+        rows = {r["rule"]: r for r in quality_rules.ablation(ledger, policy).collect()}
+        assert set(rows) == set(policy.rejects)
+        for name, row in rows.items():
+            place = quality_rules.RULE_NAMES.index(name)
+            assert row["failing"] == sum(b >> place & 1 for b in bits)
+            assert row["recovered"] == sum(b & policy.mask == 1 << place for b in bits)
     none = quality_rules.ablation(quality_rules.record(quality_rules.measure(empty))).collect()
     assert {r["failing"] for r in none} == {0}
 
 
+def test_policy_versions_differ_on_long_texts_and_so_does_their_sql(spark, folder):
+    """Text of 1,500 words that repeats late: the whole text is poor, its windows are not."""
+    from forumtide.llm.queries import _RULES_SQL
+    from tests.compare import difference
+    import duckdb
+    import random
+
+    rng = random.Random(3)
+    some = [f"word{i}" for i in range(290)]
+    long = " ".join(w for _ in range(6) for w in rng.sample(some, 290))
+    rows = [(1, long), (2, " ".join(some)), (3, None), (4, " ".join(some[:150] * 4))]
+    docs = helpers.frame(spark, rows)
+    docs.select("doc_id", "text").write.parquet(f"{folder}/docs")
+    ledger = quality_rules.record(quality_rules.measure(docs))
+    kept = {
+        version: {r["doc_id"] for r in quality_rules.judged(ledger, policy).where("kept").collect()}
+        for version, policy in quality_rules.POLICIES.items()
+    }
+    assert kept["2"] == {2} and kept["3"] == {1, 2} and kept["base"] == {1, 2}
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{folder}/docs/*.parquet'")
+    shown = quality_rules.judged(ledger).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        "base_failed", "kept",
+    )
+    assert difference(shown.toPandas(), con.execute(_RULES_SQL).df()) is None
+
+
 def test_clean_text_of_any_length_is_kept(spark):
     """Clean documents one after another stay clean; few words repeated stay rejected."""
     import random
@@ -82,7 +113,7 @@ def test_clean_text_of_any_length_is_kept(spark):
     poor = " ".join(rng.choice(words[:150]) for _ in range(50_000))
     rows = [(1, text), (2, poor), (3, " ".join(words[:900])), (4, " ".join(words[:1001])), (5, "")]
     ledger = quality_rules.record(quality_rules.measure(helpers.frame(spark, rows)))
-    bit = 1 << quality_rules.RULE_NAMES.index("few_distinct_words")
+    bit = 1 << quality_rules.RULE_NAMES.index("few_distinct_in_windows")
     got = {r["doc_id"]: r for r in ledger.collect()}
     for doc_id, own in rows:
         w = own.split()
