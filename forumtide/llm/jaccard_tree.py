@@ -6,7 +6,7 @@ and the same sum against a node's largest coordinates bounds all overlaps below
 Pairs whose bound reaches the needed overlap are verified on the sets.
 
 Which documents meet in one tree is decided by exact signatures. Two sets that link differ in
-at most d shingles, so of d + 1 or more hash groups one holds the same shingles in both: the
+at most d shingles, so of d + 2 or more hash groups two hold the same shingles in both: the
 contents of every group are hashed, and linked sets share such a bucket. Sets are grouped in
 size classes, each indexed in its own class and in every later one where a partner may be.
 Groups without shingles say nothing; a set with more of them than its class allows for is
@@ -15,9 +15,12 @@ grouped again by another hash, and the last round keeps even those.
 A first pass builds trees of points per bucket and joins sets whose bound allows a link to
 plausible clusters; texts that merely share a passage part here. A second pass verifies: a
 cluster is one tree of sets, or several parts if it is large. Sets already connected are not
-compared again. Of a large cluster, representatives of its connected groups meet next; then
-every two parts whose sets share a bucket that still holds unconnected sets are compared in a
-task of their own, so no link is lost. Only sets found in some bucket are moved at all.
+compared again. Of a large cluster, representatives of its connected groups meet next. Then
+the buckets that still hold unconnected sets are looked at: the sets outside a bucket's largest
+connected group go to all parts of that group, or, if they are many, parts meet in pairs. A
+bucket of so many parts that pairs would cost more is split first: linked sets agree in two
+groups, so those that agree in a second one meet in a bucket of the two. No link is lost. Only
+sets found in some bucket are moved at all.
 
 Defined results: a null or empty text has no shingles and is linked with nothing. Texts with
 fewer words than a shingle are one shingle. Rows with equal sets are linked. Rows with a null
@@ -46,6 +49,10 @@ ROUNDS = 12
 DIMENSIONS = 128
 FAN_OUT = 16
 TREE_ROWS = {"hashes": 64, "point": 1024}  # points are small, sets are not
+# Parts of one bucket that meet in pairs. Beyond, a row per set and other group is cheaper.
+MOST_PARTS = 64
+# Low bits of a signature name its size class and round.
+TURN_BITS, FAMILY_BITS = 4, 11
 SEEN_SETS = 50_000
 
 _SCANNED = "doc_id bigint, text_hash bigint, set_key bigint, n_shingles bigint, signatures array<bigint>"
@@ -93,7 +100,7 @@ def class_groups(size_class: int, percent: int) -> tuple[int, int]:
     least = percent * int(floors[size_class]) / 100
     allowed = 0
     while allowed < 8 + differing // 4:
-        groups = differing + 1 + allowed
+        groups = differing + 2 + allowed
         mean = groups * exp(-least / groups)
         term = below = exp(-mean)
         for k in range(1, allowed + 1):
@@ -102,7 +109,7 @@ def class_groups(size_class: int, percent: int) -> tuple[int, int]:
         if below > 0.8:
             break
         allowed += 1
-    return differing + 1 + allowed, allowed
+    return differing + 2 + allowed, allowed
 
 
 @cache
@@ -126,6 +133,8 @@ def _class_signatures(hashes: np.ndarray, size_class: int, percent: int) -> list
             (size_class << 44) + (turn << 36)
         )
         signature = mixed(content, mixed(place, held.astype(np.uint64)))
+        family = np.uint64((size_class << TURN_BITS) + turn)
+        signature = (signature >> np.uint64(FAMILY_BITS) << np.uint64(FAMILY_BITS)) | family
         if turn == ROUNDS - 1:
             return [*out, signature]
         out.append(signature[held > 0])
@@ -409,30 +418,99 @@ def _rooted(rows: DataFrame, roots: DataFrame) -> DataFrame:
     return rows.join(named, "set_key", "left").withColumn("root", F.coalesce("root", "set_key"))
 
 
-def _crossing(rows: DataFrame, key: str) -> DataFrame:
-    """Pairs of parts that still hold different roots of one bucket, with their sets.
+def _open(rows: DataFrame, key: str) -> DataFrame:
+    """Rows of the buckets that hold different roots in different parts of one ``key``.
 
-    ``rows`` are (signature, set_key, root, part) and ``key``, the column whose parts they
-    are. Sets of one part have been compared. However many buckets two parts share, each set
-    is sent to them once.
+    ``rows`` are (signature, set_key, root, part) and ``key``, the column whose parts they are.
+    Adds the root with most of the bucket's sets (``hub``), the number of sets outside it
+    (``others``), and the number of ``parts``.
     """
+    names = ["signature", key] if key != "signature" else ["signature"]
+    held = rows.groupBy(*names, "root").agg(
+        F.count(F.lit(1)).alias("_n"), F.min("part").alias("_p"), F.max("part").alias("_q")
+    )
     still = materialize(
-        rows.groupBy("signature").agg(
-            F.min("root").alias("_r"), F.max("root").alias("_s"),
-            F.min("part").alias("_p"), F.max("part").alias("_q"),
-        ).where("_r < _s AND _p < _q").select("signature"), "open",
+        held.groupBy(*names).agg(
+            F.max_by("root", F.struct("_n", "root")).alias("hub"),
+            (F.sum("_n") - F.max("_n")).alias("others"), F.count(F.lit(1)).alias("_roots"),
+            F.min("_p").alias("_p"), F.max("_q").alias("_q"),
+        ).where("_roots > 1 AND _p < _q")
+        .select(*names, "hub", "others", (F.col("_q") + 1).alias("parts")),
+        "open",
+    )
+    return materialize(rows.join(still, names), "open-rows")
+
+
+def _crossing(open_: DataFrame, key: str, most: int) -> DataFrame:
+    """Units in which the sets of open buckets meet across parts.
+
+    Few sets outside the hub's group go to every part that has sets of it; otherwise every two
+    parts meet. Sets of one part have been compared, which ``side`` says. However many buckets
+    two sets share, each is sent to a unit once.
+    """
+    names = ["signature", key] if key != "signature" else ["signature"]
+    few = F.col("others") <= most
+    at_home = F.col("root") == F.col("hub")
+    sent = ["unit", "set_key", "root", F.col("part").cast("bigint").alias("side")]
+
+    def parts_of(rows: DataFrame) -> DataFrame:
+        return materialize(
+            rows.select(*names, F.col("part").alias("_other")).distinct(), "open-parts"
+        )
+
+    home = open_.where(few & at_home)
+    away = open_.where(few & ~at_home).join(parts_of(home), names)
+    crowded = open_.where(~few)
+    pairs = crowded.join(parts_of(crowded), names).where(F.col("part") != F.col("_other"))
+    one, two = F.least("part", "_other"), F.greatest("part", "_other")
+    return (
+        home.withColumn("unit", F.xxhash64(key, F.lit(-1), "part")).select(*sent)
+        .unionByName(away.withColumn("unit", F.xxhash64(key, F.lit(-1), "_other")).select(*sent))
+        .unionByName(pairs.withColumn("unit", F.xxhash64(key, one, two)).select(*sent))
+        .distinct()
+    )
+
+
+def _second_groups(wide: DataFrame, shared: DataFrame) -> DataFrame:
+    """Buckets of two agreeing groups for the sets of wide buckets: (signature, set_key).
+
+    ``shared`` has all groups that sets share with another. Pairs that only connected sets
+    agree in are left out.
+    """
+    family = (1 << FAMILY_BITS) - 1
+    second = shared.select("set_key", F.col("signature").alias("_second"))
+    pairs = wide.select("signature", "set_key", "root").distinct().join(second, "set_key").where(
+        (F.col("signature") != F.col("_second"))
+        & (F.col("signature").bitwiseAND(F.lit(family))
+           == F.col("_second").bitwiseAND(F.lit(family)))
     )
-    open_ = materialize(rows.join(still, "signature", "left_semi"), "open-rows")
-    present = materialize(
-        open_.select(F.col("signature").alias("_sig"), F.col("part").alias("_other")).distinct(),
-        "open-parts",
+    both = F.xxhash64(F.least("signature", "_second"), F.greatest("signature", "_second"))
+    members = materialize(
+        pairs.select(both.alias("signature"), "set_key", "root").distinct(), "second-groups"
     )
-    return open_.join(
-        present, (F.col("signature") == F.col("_sig")) & (F.col("part") != F.col("_other"))
-    ).select(
-        F.xxhash64(key, F.least("part", "_other"), F.greatest("part", "_other")).alias("unit"),
-        "set_key", "root", F.col("part").cast("bigint").alias("side"),
-    ).distinct()
+    open_ = members.groupBy("signature").agg(
+        F.min("root").alias("_r"), F.max("root").alias("_s")
+    ).where("_r < _s").select("signature")
+    return members.join(open_, "signature", "left_semi").select("signature", "set_key")
+
+
+def _rest(
+    rows: DataFrame, key: str, contents: DataFrame, shared: DataFrame | None,
+    roots: DataFrame, percent: int, content: str,
+) -> DataFrame:
+    """Roots after the sets of open buckets have met across parts."""
+    open_ = _open(rows, key)
+    if shared is not None:
+        wide = open_.where((F.col("parts") > MOST_PARTS) & (F.col("others") > TREE_ROWS[content]))
+        if not wide.isEmpty():
+            pairs = materialize(_second_groups(wide, shared), "second-buckets")
+            roots = _joined(pairs, contents, None, roots, percent, content)
+            names = ["signature", key] if key != "signature" else ["signature"]
+            narrow = rows.drop("root").join(wide.select(*names).distinct(), names, "left_anti")
+            open_ = _open(materialize(_rooted(narrow, roots), "narrow-rows"), key)
+    units = _crossing(open_, key, TREE_ROWS[content]).join(contents, "set_key")
+    found = _links(units, percent, content)
+    return roots if found.isEmpty() else _merged(roots, found)
 
 
 def _by_representatives(
@@ -455,27 +533,40 @@ def _by_representatives(
     return roots
 
 
-def _plausible_roots(buckets: DataFrame, points: DataFrame, percent: int) -> DataFrame:
-    """Sets joined by pairs of one bucket that their count vectors do not rule out."""
-    members = buckets.select("signature", "set_key")
-    placed = materialize(_parts(members, "signature", "point"), "placed")
-    units = placed.join(points, "set_key").select(
-        F.xxhash64("signature", "part").alias("unit"), F.col("set_key").alias("root"),
-        F.col("set_key").alias("side"), "size", "point",
+def _joined(
+    members: DataFrame, contents: DataFrame, shared: DataFrame | None,
+    roots: DataFrame | None, percent: int, content: str,
+) -> DataFrame:
+    """Sets joined by pairs of one bucket of ``members`` (signature, set_key).
+
+    Without ``roots`` every set is its own. Parts of buckets first, then representatives of
+    connected groups of large ones, then what is still open across parts.
+    """
+    placed = materialize(_parts(members, "signature", content), "placed")
+    own = placed.withColumn("root", F.col("set_key")) if roots is None else _rooted(placed, roots)
+    found = _links(
+        own.join(contents, "set_key").withColumns({
+            "unit": F.xxhash64("signature", "part"), "side": F.col("set_key"),
+        }), percent, content,
     )
-    roots = connected_components(_links(units, percent, "point"))
+    roots = connected_components(found) if roots is None else _merged(roots, found)
     large = placed.where("part > 0").select("signature").distinct()
     within = materialize(placed.join(large, "signature", "left_semi"), "large-buckets")
-    roots = _by_representatives(within, "signature", points, roots, percent, "point")
+    roots = _by_representatives(within, "signature", contents, roots, percent, content)
     rows = materialize(_rooted(within, roots), "large-rows")
-    rest = _links(_crossing(rows, "signature").join(points, "set_key"), percent, "point")
-    return roots if rest.isEmpty() else _merged(roots, rest)
+    return _rest(rows, "signature", contents, shared, roots, percent, content)
+
 
+def _roots_of_sets(
+    buckets: DataFrame, shared: DataFrame, sets: DataFrame, percent: int
+) -> DataFrame:
+    """Connected sets: parts of plausible clusters, representatives of large ones, the rest.
 
-def _roots_of_sets(buckets: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Connected sets: parts of plausible clusters, representatives of large ones, the rest."""
+    Clusters hold the sets that their count vectors do not tell apart.
+    """
     points = sets.select("set_key", "size", "point")
-    clusters = _plausible_roots(buckets, points, percent).select(
+    members = buckets.select("signature", "set_key")
+    clusters = _joined(members, points, shared, None, percent, "point").select(
         F.col("node").alias("set_key"), F.col("root").alias("cluster")
     )
     placed = materialize(
@@ -493,11 +584,8 @@ def _roots_of_sets(buckets: DataFrame, sets: DataFrame, percent: int) -> DataFra
     keys = within.select("set_key", "cluster", "part")
     content = within.select("set_key", "size", "hashes")
     roots = _by_representatives(keys, "cluster", content, roots, percent, "hashes")
-    rows = materialize(
-        buckets.select("signature", "set_key").join(_rooted(keys, roots), "set_key"), "bucket-rows"
-    )
-    rest = _links(_crossing(rows, "cluster").join(content, "set_key"), percent, "hashes")
-    return roots if rest.isEmpty() else _merged(roots, rest)
+    rows = materialize(members.join(_rooted(keys, roots), "set_key"), "bucket-rows")
+    return _rest(rows, "cluster", content, shared, roots, percent, "hashes")
 
 
 def scanned_sets(docs: DataFrame, words: int, percent: int) -> tuple[DataFrame, DataFrame]:
@@ -527,8 +615,8 @@ def components(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
         ).groupBy("n", "x", "y").agg(F.min("signature").alias("signature")).select("signature"),
         "distinct-buckets",
     )
-    buckets = materialize(buckets.join(distinct, "signature", "left_semi"), "kept-buckets")
-    wanted = buckets.select("set_key").distinct()
+    kept = materialize(buckets.join(distinct, "signature", "left_semi"), "kept-buckets")
+    wanted = kept.select("set_key").distinct()
     holders = scanned.where("n_shingles > 0").join(wanted, "set_key", "left_semi").groupBy(
         "set_key"
     ).agg(F.min_by(F.struct("doc_id", "text_hash"), F.coalesce("doc_id", F.lit(0))).alias("_h"))
@@ -545,7 +633,7 @@ def components(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
         ).select("set_key", "text").dropDuplicates(["set_key"]).mapInArrow(_set_rows(words), _SETS),
         "sets",
     )
-    roots = _roots_of_sets(buckets, sets, percent)
+    roots = _roots_of_sets(kept, buckets.select("signature", "set_key"), sets, percent)
     firsts = scanned.where("n_shingles > 0").groupBy("set_key").agg(
         F.min("doc_id").alias("_first")
     )

@@ -343,6 +343,57 @@ def test_large_groups_and_chains_lose_no_link(spark):
     assert sorted(map(tuple, got)) == sorted(helpers.jaccard_components(rows, 4, 85))
 
 
+@pytest.mark.parametrize("most_parts", [1, 64])
+def test_small_parts_meet_across_and_lose_no_link(spark, monkeypatch, most_parts):
+    """Near copies with outliers, and unrelated texts around one passage, in trees of few rows.
+
+    The passage makes buckets of many parts whose sets mostly do not link: they meet in pairs
+    of parts, through the hub's group, or in buckets of two groups.
+    """
+    import random
+
+    monkeypatch.setattr(jaccard_tree, "TREE_ROWS", {"hashes": 4, "point": 6})
+    monkeypatch.setattr(jaccard_tree, "MOST_PARTS", most_parts)
+    rng = random.Random(12)
+    base = helpers.sentences(50, 90).split()
+    rows = []
+    for i in range(120):
+        words = list(base)
+        for _ in range(rng.choice([1, 1, 2, 3, 4, 6])):
+            words[rng.randrange(len(words))] = f"edit{rng.randrange(10**6)}"
+        rows.append((i, " ".join(words)))
+    passage = helpers.sentences(51, 40)
+    for i in range(120):
+        own = helpers.sentences(1000 + i // 3, 40 + i % 7).split()
+        if i % 3:
+            own[rng.randrange(len(own))] = f"other{i}"
+        rows.append((500 + i, passage + " " + " ".join(own)))
+    rng.shuffle(rows)
+    out = jaccard_tree.components(helpers.frame(spark, rows), 4, 85)
+    got = sorted(map(tuple, out.select("doc_id", "n_shingles", "component_id").collect()))
+    expected = sorted(helpers.jaccard_components(rows, 4, 85))
+    assert got == expected
+    assert 40 < len({c for _, _, c in expected}) < 200
+
+
+def test_two_groups_agree_in_linked_sets():
+    """So that buckets of two groups lose no link either."""
+    rng = np.random.default_rng(8)
+    family = np.uint64((1 << jaccard_tree.FAMILY_BITS) - 1)
+    for size in (2, 5, 9, 14, 30, 77, 160, 400):
+        for _ in range(15):
+            values = rng.integers(0, 2**63, size + size, dtype=np.uint64)
+            a = np.unique(values[:size])
+            cut = size * 15 // 185
+            b = np.unique(np.r_[a[cut:], values[size:size + cut]])
+            if not jaccard_tree._linked(a, b, 85) or (a.shape == b.shape and (a == b).all()):
+                continue
+            shared = np.intersect1d(
+                jaccard_tree.signatures(a, 85), jaccard_tree.signatures(b, 85)
+            )
+            assert np.unique(shared & family, return_counts=True)[1].max() >= 2
+
+
 @pytest.mark.parametrize("step", [1, 2, 3, 5, 100])
 def test_each_set_of_a_bucket_is_sent_once(step):
     rows = sorted(
