@@ -11,7 +11,7 @@ from forumtide.operators.merge import POST_KEY
 from forumtide.params import RisingSpec
 from forumtide.plans import tables as t
 from forumtide.plans.catalog import query
-from forumtide.plans.ranking import STORED, _stored, _top, EARLY, SPEC
+from forumtide.plans.ranking import STORED, _stored, SPEC
 
 SPEC_RISING = RisingSpec(windows_hours=(24, 168, 720))
 COHORT = ("board_id", "window_hours")
@@ -362,6 +362,9 @@ def review_batch(spark, folder):
 gaps AS (
   SELECT board_id, post_id, date_diff('hour', lag(slot) OVER (PARTITION BY board_id, post_id
            ORDER BY slot), slot) AS hours FROM series)
+SELECT 'duplicate_post' AS "check", board_id || ':' || post_id AS key, '2' AS detail
+FROM posts WHERE post_id IN (SELECT o_orderkey FROM orders WHERE o_orderstatus = 'P')
+UNION ALL
 SELECT 'metric_gap' AS "check", board_id || ':' || post_id AS key, CAST(max(hours) AS VARCHAR) AS detail
 FROM gaps WHERE hours > 6 GROUP BY board_id, post_id
 UNION ALL
@@ -373,17 +376,21 @@ SELECT DISTINCT 'missing_task', board_id || ':' || post_id,
 WHERE board_id || ':' || post_id NOT IN (SELECT board_id || ':' || post_id FROM top_early)""",
 )
 def reconciliation(spark, folder):
-    """Audits with partial runs taken as still running."""
+    """Audits with partial runs taken as still running and pending orders imported twice."""
     from forumtide.operators import merge
 
     none = spark.createDataFrame([], "task_key STRING")
-    tasks = merge.detail_tasks(_top(spark, folder, EARLY), none, F.lit(NOW.replace(tzinfo=None)))
+    ranked = _stored(spark, folder)
+    late = F.col("as_of_slot") == F.lit(SPEC.bounds[1]).cast("timestamp_ntz")
+    tasks = merge.detail_tasks(ranked.where(~late), none, F.lit(NOW.replace(tzinfo=None)))
+    posts, orders = t.posts(spark, folder), t.load(spark, folder, "orders")
+    pending = orders.where("o_orderstatus = 'P'").select(F.col("o_orderkey").alias("post_id"))
     runs = t.runs(spark, folder).withColumn(
         "status", F.when(F.col("status") == "partial", "running").otherwise(F.col("status"))
     )
     return derived.reconciliation(
-        t.posts(spark, folder), t.counter_series(spark, folder), runs,
-        _top(spark, folder, SPEC), tasks, datetime(2024, 1, 20, tzinfo=timezone.utc),
+        posts.unionByName(posts.join(pending, "post_id", "left_semi").select(*posts.columns)),
+        t.counter_series(spark, folder), runs, ranked.where(late), tasks, datetime(2024, 1, 20, tzinfo=timezone.utc),
     )
 
 

@@ -499,6 +499,14 @@ FROM latest l JOIN nation ON n_nationkey = l.board_id""",
 )
 def release_roundtrip(spark, folder):
     """A release written, verified by its checksums, and read back under its contracts."""
+    return _released(spark, folder)["latest_post_metrics"].select(
+        "board_id", "board_name", "post_id", "analysis_unit", "title", "published_at", "source_url",
+        "views", "recommendations", "comments",
+    )
+
+
+def _released(spark, folder):
+    """All four datasets of a release as read back."""
     version = F.lit(t.VERSION)
     posts = ranking.latest_metrics(
         t.posts(spark, folder), t.snapshots(spark, folder), t.boards(spark, folder)
@@ -508,7 +516,7 @@ def release_roundtrip(spark, folder):
         F.col("observed_at").alias("observed_at_actual"), "views", "recommendations", "comments",
         "config_version",
     )
-    ranked = posts.where(F.col("views") > 100_000).select(
+    ranked = posts.select(
         "analysis_unit", F.lit("views").alias("metric"),
         F.col("observed_at_slot_kst").alias("as_of_slot_kst"), F.col("post_id").alias("rank"),
         "board_id", "post_id", "title", "source_url", F.col("views").alias("metric_value"),
@@ -529,13 +537,71 @@ def release_roundtrip(spark, folder):
          "cumulative_top50": ranked, "collection_runs": runs, "security_quarantine": held},
         root, "20240101-000000",
     )
-    read = bundle.read_release(spark, root, t.SITE.host)["latest_post_metrics"]
-    return read.select(
-        "board_id", "board_name", "post_id", "analysis_unit", "title", "published_at", "source_url",
-        "views", "recommendations", "comments",
+    return bundle.read_release(spark, root, t.SITE.host)
+
+
+# What the check compares of each dataset: the rows, and a sum over a digest of their values.
+_RELEASE_DIGESTS = {
+    "latest_post_metrics": (
+        "board_id", "board_name", "post_id", "analysis_unit", "title", "source_url", "views",
+        "recommendations", "comments",
+    ),
+    "cumulative_top50": (
+        "analysis_unit", "metric", "rank", "board_id", "post_id", "title", "source_url",
+        "metric_value",
+    ),
+    "collection_runs": ("id", "job_type", "status"),
+    "security_quarantine": (
+        "id", "source_kind", "source_ref", "content_hash", "findings", "risk_score",
+        "review_state", "reviewer", "note",
+    ),
+}
+
+
+def _release_digest_sql(name: str, source: str) -> str:
+    values = ", ".join(f"coalesce(CAST({c} AS VARCHAR), '~')" for c in _RELEASE_DIGESTS[name])
+    digest_ = f"CAST('0x' || substr(md5(concat_ws('|', {values})), 1, 10) AS BIGINT)"
+    return (
+        f"SELECT '{name}' AS dataset, count(*) AS n, CAST(sum({digest_}) AS BIGINT) AS digest "
+        f"FROM ({source})"
     )
 
 
+@query(
+    "SRC-5 SRC-2 SRC-3",
+    f"""WITH {t.LATEST},{t.RUNS},{t.QUARANTINE},
+posts_out AS (
+  SELECT l.board_id, n_name AS board_name, l.post_id, l.analysis_unit, l.title, l.source_url,
+         l.views, l.recommendations, l.comments
+  FROM latest l JOIN nation ON n_nationkey = l.board_id)
+"""
+    + " UNION ALL ".join(
+        _release_digest_sql(name, source) for name, source in (
+            ("latest_post_metrics", "SELECT * FROM posts_out"),
+            ("cumulative_top50",
+             "SELECT *, 'views' AS metric, post_id AS rank, views AS metric_value FROM posts_out"),
+            ("collection_runs", "SELECT * FROM runs"),
+            ("security_quarantine",
+             "SELECT *, '[]' AS findings, 70 AS risk_score FROM quarantine"),
+        )
+    ),
+)
+def release_datasets(spark, folder):
+    """Rows and digests of all four datasets of a release, read back."""
+    read = _released(spark, folder)
+
+    def digested(name):
+        values = [F.coalesce(F.col(c).cast("string"), F.lit("~")) for c in _RELEASE_DIGESTS[name]]
+        digits = F.substring(F.md5(F.concat_ws("|", *values)), 1, 10)
+        return read[name].agg(
+            F.lit(name).alias("dataset"), F.count(F.lit(1)).alias("n"),
+            F.sum(F.conv(digits, 16, 10).cast("bigint")).alias("digest"),
+        )
+
+    frames = [digested(name) for name in _RELEASE_DIGESTS]
+    return frames[0].unionByName(frames[1]).unionByName(frames[2]).unionByName(frames[3])
+
+
 @query(
     "SRC-6 SRC-4",
     f"""WITH {t.THREADS},{t.LABELS}

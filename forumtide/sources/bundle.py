@@ -110,18 +110,26 @@ def write_release(datasets: dict[str, DataFrame], root: str, release: str) -> st
         )
         _drop_markers(spark, f"{staging}/{contract.name}")
     sums = file_digests(spark, staging).select(F.concat_ws("  ", "sha256", "name").alias("value"))
-    # One line per data file; the list is small and lands in a single text file.
-    lines = [row["value"] for row in sums.orderBy("value").toLocalIterator()]
-    staged_fs, manifest_path = _filesystem(spark, f"{staging}/{MANIFEST}")
-    stream = staged_fs.create(manifest_path, False)
-    stream.write(bytearray(("\n".join(lines) + "\n").encode("utf-8")))
-    stream.close()
+    _write_manifest(spark, sums, staging)
     _, staging_path = _filesystem(spark, staging)
     if not fs.rename(staging_path, target_path):
         raise OSError(f"could not publish {target}")
     return target
 
 
+def _write_manifest(spark: SparkSession, lines: DataFrame, staging: str) -> None:
+    """The checksum list as one text file, written by one task and then named.
+
+    It has a line per data file; no line passes the driver.
+    """
+    parts = f"{staging.replace('_staging-', '_sums-')}"
+    lines.sort("value").coalesce(1).write.text(parts)
+    fs, written = _filesystem(spark, f"{parts}/part-*.txt")
+    found = fs.globStatus(written)
+    fs.rename(found[0].getPath(), _filesystem(spark, f"{staging}/{MANIFEST}")[1])
+    fs.delete(_filesystem(spark, parts)[1], True)
+
+
 def _drop_markers(spark: SparkSession, folder: str) -> None:
     fs, path = _filesystem(spark, f"{folder}/_SUCCESS")
     if fs.exists(path):
