@@ -1,36 +1,105 @@
-"""Deterministic theme clusters over safe text."""
+"""Deterministic theme clusters over safe text: TF-IDF of character grams, spherical k-means.
+
+Weights are one narrow table (id, gram, weight) and document frequencies are exact. Seeds are
+the texts of the least hashed ids, so nothing is drawn at random, and every step is a join or an
+aggregate: a text may be of any length, and no vector, text or cluster is held by one task.
+"""
 
 from __future__ import annotations
 
-from pyspark.ml import Pipeline
-from pyspark.ml.clustering import KMeans
-from pyspark.ml.feature import IDF, HashingTF, NGram, Normalizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from forumtide.functions.text import normal_form
+from forumtide.session import materialize
+
+GRAM = 3
+ROUNDS = 10
+# Similarities are compared to this many decimals, so that the order of sums decides nothing.
+DECIMALS = 9
+
+
+def gram_counts(texts: DataFrame, gram: int = GRAM) -> DataFrame:
+    """``(id, gram, n)``: occurrences of each run of code points in the normal form."""
+    grams = F.regexp_extract_all("_normal", F.lit(rf"(?s)(?=(.{{{gram}}}))."), F.lit(1))
+    rows = texts.select("id", normal_form(F.col("text")).alias("_normal"))
+    return rows.select("id", F.explode(grams).alias("gram")).groupBy("id", "gram").agg(
+        F.count(F.lit(1)).alias("n")
+    )
+
+
+def gram_frequencies(counts: DataFrame) -> DataFrame:
+    """Number of texts that have each gram."""
+    return counts.groupBy("gram").agg(F.count(F.lit(1)).alias("texts"))
+
+
+def gram_weights(counts: DataFrame, n_texts: int) -> DataFrame:
+    """``(id, gram, w)``: TF-IDF scaled to length one per text; zero weights are left out."""
+    rarity = F.ln(F.lit(n_texts + 1.0) / (F.col("texts") + 1))
+    weighted = counts.join(gram_frequencies(counts), "gram").select(
+        "id", "gram", (F.col("n") * rarity).alias("w")
+    ).where(F.col("w") > 0)
+    return _unit(weighted, "id")
+
+
+def _unit(rows: DataFrame, key: str) -> DataFrame:
+    length = rows.groupBy(key).agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("_length"))
+    return rows.join(length, key).select(key, "gram", (F.col("w") / F.col("_length")).alias("w"))
+
+
+def first_centres(texts: DataFrame, weights: DataFrame, k: int) -> DataFrame:
+    """``(theme, gram, w)``: the texts of the ``k`` least hashed ids, themes in that order."""
+    order = Window.orderBy("_hash", "id")
+    seeds = (
+        texts.select("id", F.md5(F.col("id").cast("string")).alias("_hash")).distinct()
+        .orderBy("_hash", "id").limit(k)
+        .withColumn("theme", F.row_number().over(order) - 1)  # k rows
+    )
+    return weights.join(seeds.select("id", "theme"), "id").select("theme", "gram", "w")
+
+
+def nearest_centre(texts: DataFrame, weights: DataFrame, centres: DataFrame, k: int) -> DataFrame:
+    """``(id, theme)``: the most similar centre, the first of equal ones."""
+    beside = centres.groupBy("gram").agg(*[
+        F.coalesce(F.sum(F.when(F.col("theme") == i, F.col("w"))), F.lit(0.0)).alias(f"_c{i}")
+        for i in range(k)
+    ])
+    sums = weights.join(beside, "gram").groupBy("id").agg(*[
+        F.round(F.sum(F.col("w") * F.col(f"_c{i}")), DECIMALS).alias(f"_s{i}") for i in range(k)
+    ])
+    scored = [F.struct(F.col(f"_s{i}").alias("s"), F.lit(-i).alias("i")) for i in range(k)]
+    best = F.negative(F.array_max(F.array(*scored))["i"])
+    return texts.select("id").distinct().join(
+        sums.select("id", best.alias("theme")), "id", "left"
+    ).select("id", F.coalesce("theme", F.lit(0)).alias("theme"))
+
 
-SEED = 42
+def _moved(weights: DataFrame, assigned: DataFrame, centres: DataFrame) -> DataFrame:
+    """Centres of the assigned texts; a theme without texts keeps its centre."""
+    sums = weights.join(assigned, "id").groupBy("theme", "gram").agg(F.sum("w").alias("w"))
+    new = _unit(sums, "theme")
+    return new.unionByName(centres.join(new.select("theme").distinct(), "theme", "left_anti"))
 
 
 def theme_assignments(
-    texts: DataFrame, k: int, gram: int = 3, features: int = 1 << 14, iterations: int = 20
+    texts: DataFrame, k: int, gram: int = GRAM, rounds: int = ROUNDS
 ) -> DataFrame:
-    """Cluster of each ``(id, text)``: character n-gram TF-IDF and seeded k-means.
-
-    Fitting and scoring are Spark ML jobs; only the ``k`` centres pass the driver.
-    """
-    chars = texts.withColumn("_chars", F.split(normal_form(F.col("text")), ""))
-    stages = [
-        NGram(n=gram, inputCol="_chars", outputCol="_grams"),
-        HashingTF(numFeatures=features, inputCol="_grams", outputCol="_tf"),
-        IDF(inputCol="_tf", outputCol="_idf"),
-        Normalizer(inputCol="_idf", outputCol="features"),
-    ]
-    prepared = Pipeline(stages=stages).fit(chars).transform(chars)
-    model = KMeans(k=k, seed=SEED, maxIter=iterations, featuresCol="features",
-                   predictionCol="theme").fit(prepared)
-    return model.transform(prepared).select("id", "theme", "text")
+    """Theme of each ``(id, text)``. Stops when no text changes its theme. Runs jobs."""
+    kept = materialize(texts.select("id", "text"), "theme-texts")
+    ids = kept.select("id")
+    counts = materialize(gram_counts(kept, gram), "theme-grams")
+    weights = materialize(gram_weights(counts, ids.distinct().count()), "theme-weights")
+    centres = materialize(first_centres(ids, weights, k), "theme-centres")
+    assigned = materialize(nearest_centre(ids, weights, centres, k), "themes")
+    for _ in range(rounds):
+        centres = materialize(_moved(weights, assigned, centres), "theme-centres")
+        again = materialize(nearest_centre(ids, weights, centres, k), "themes")
+        before = assigned.withColumnRenamed("theme", "_before")
+        still = again.join(before, "id").where("theme <> _before").isEmpty()
+        assigned = again
+        if still:
+            break
+    return assigned.join(kept, "id").select("id", "theme", "text")
 
 
 def theme_summary(assigned: DataFrame, representatives: int = 3) -> DataFrame:

@@ -407,17 +407,83 @@ def comment_mismatch(spark, folder):
     return derived.comment_mismatch(t.latest(spark, folder), rows)
 
 
-@query("CLU-1")
-def theme_clusters(spark, folder):
-    """Themes of the conversation turns that pass screening."""
+# Each step of the clustering in SQL; a round repeats centres and assignment.
+_THEMES, _THEME_ROUNDS = 6, 3
+_GRAMS = f"""
+texts AS (
+  SELECT conv_id || ':' || turn AS id, {t.sql_fold('text')} AS normal FROM conversations),
+grams AS (
+  SELECT id, gram, count(*) AS n FROM (
+    SELECT id, unnest(list_transform(range(1, length(normal) - 1), lambda i: substr(normal, i, 3)))
+      AS gram FROM texts WHERE length(normal) > 2)
+  GROUP BY ALL),
+frequencies AS (SELECT gram, count(*) AS texts FROM grams GROUP BY gram),
+raw AS (
+  SELECT id, gram, n * ln((SELECT count(DISTINCT id) + 1.0::DOUBLE FROM texts) / (f.texts + 1)) AS w
+  FROM grams JOIN frequencies f USING (gram)),
+weights AS MATERIALIZED (
+  SELECT id, gram, w / sqrt(sum(w * w) OVER (PARTITION BY id)) AS w FROM raw WHERE w > 0),
+seeds AS (
+  SELECT id, row_number() OVER (ORDER BY md5(id), id) - 1 AS theme
+  FROM (SELECT DISTINCT id FROM texts) QUALIFY theme < {_THEMES})"""
+
+
+def _theme_step(place: int) -> str:
+    before, centre = f"assigned{place - 1}", f"centre{place}"
+    if place == 0:
+        centres = "SELECT theme, gram, w FROM weights JOIN seeds USING (id)"
+    else:
+        centres = f"""
+  SELECT theme, gram, w / sqrt(sum(w * w) OVER (PARTITION BY theme)) AS w FROM (
+    SELECT theme, gram, sum(w) AS w FROM weights JOIN {before} USING (id) GROUP BY theme, gram)
+  UNION ALL
+  SELECT * FROM centre{place - 1} WHERE theme NOT IN (
+    SELECT theme FROM {before} WHERE id IN (SELECT id FROM weights))"""
+    return f""",
+{centre} AS MATERIALIZED ({centres}),
+assigned{place} AS MATERIALIZED (
+  SELECT id, CAST(coalesce(theme, 0) AS INTEGER) AS theme
+  FROM (SELECT DISTINCT id FROM texts) LEFT JOIN (
+    SELECT v.id, c.theme FROM weights v JOIN {centre} c USING (gram) GROUP BY v.id, c.theme
+    QUALIFY row_number() OVER (PARTITION BY v.id ORDER BY round(sum(v.w * c.w), 9) DESC, c.theme) = 1)
+  USING (id))"""
+
+
+def _safe_turns(spark, folder):
+    """Conversation turns that pass screening; the supplied ones all do."""
     from forumtide.operators import screening
 
     turns = t.load(spark, folder, "conversations")
     safe = screening.scan(turns, "text").where(F.col("risk_score") < screening.THRESHOLD)
-    texts = safe.select(
+    return safe.select(
         F.concat_ws(":", F.col("conv_id").cast("string"), F.col("turn").cast("string")).alias("id"),
         "text",
     )
-    return themes.theme_summary(themes.theme_assignments(texts, k=6))
 
 
+@query("CLU-1", f"WITH {_GRAMS} SELECT gram, texts FROM frequencies")
+def theme_grams(spark, folder):
+    """Exact document frequencies of the grams behind the themes."""
+    counts = themes.gram_counts(_safe_turns(spark, folder))
+    return themes.gram_frequencies(counts).select("gram", "texts")
+
+
+@query("CLU-1", f"WITH {_GRAMS}{_theme_step(0)} SELECT id, theme FROM assigned0")
+def theme_first_assignment(spark, folder):
+    """Themes before any centre has moved."""
+    assigned = themes.theme_assignments(_safe_turns(spark, folder), k=_THEMES, rounds=0)
+    return assigned.select("id", "theme")
+
+
+@query(
+    "CLU-1",
+    f"""WITH {_GRAMS}{"".join(_theme_step(i) for i in range(_THEME_ROUNDS + 1))}
+SELECT theme, count(*) AS size, list(id ORDER BY id)[1:3] AS representatives
+FROM assigned{_THEME_ROUNDS} GROUP BY theme""",
+)
+def theme_clusters(spark, folder):
+    """Themes of the conversation turns that pass screening."""
+    assigned = themes.theme_assignments(
+        _safe_turns(spark, folder), k=_THEMES, rounds=_THEME_ROUNDS
+    )
+    return themes.theme_summary(assigned)
