@@ -40,9 +40,9 @@ LEAST = 10
 TOP = 2000
 COVERED_PERCENT = 50
 NO_LANG = "und"
-SHARD_WORDS = 2_000_000
-HELD_WORDS = 4_000_000
-BUCKET_WORDS = 1_000_000
+SHARD_WORDS = 1_000_000
+HELD_WORDS = 2_000_000
+BUCKET_WORDS = 500_000
 RANK_PARTS = 16
 CHUNK = 1 << 21
 
