@@ -75,7 +75,14 @@ def rank_order(value: str = "metric_value") -> list[Column]:
 def cumulative_top(
     posts: DataFrame, snapshots: DataFrame, quarantine: DataFrame, spec: RankingSpec
 ) -> DataFrame:
-    """Top-N posts per unit and counter as they stood at ``spec.as_of``.
+    """Top-N posts per unit and counter as they stood at ``spec.as_of``."""
+    return top_of(posts, as_of_counters(snapshots, spec.bounds[1]), quarantine, spec)
+
+
+def top_of(
+    posts: DataFrame, counters: DataFrame, quarantine: DataFrame, spec: RankingSpec
+) -> DataFrame:
+    """Top-N posts per unit and counter, given each post's counters at ``spec.as_of``.
 
     The rank filter sits on the window, so Spark keeps N rows per group in every
     map task before it shuffles: a unit with most of the posts costs N rows per task.
@@ -84,7 +91,7 @@ def cumulative_top(
     eligible = without_quarantined(eligible_posts(posts, start, end), quarantine).select(
         "analysis_unit", *POST_KEY, "published_at"
     )
-    measured = eligible.join(as_of_counters(snapshots, end).drop("slot"), list(POST_KEY))
+    measured = eligible.join(counters.drop("slot"), list(POST_KEY))
     long = unpivot_metrics(measured, ("analysis_unit", *POST_KEY, "published_at"))
     place = Window.partitionBy("analysis_unit", "metric").orderBy(*rank_order())
     return (

@@ -6,12 +6,13 @@ from datetime import datetime, timezone
 
 from pyspark.sql import functions as F
 
-from forumtide.operators import derived, lexicon, rising, themes
+from forumtide.operators import derived, lexicon, rising, standing, themes
 from forumtide.operators.merge import POST_KEY
 from forumtide.params import RisingSpec
 from forumtide.plans import tables as t
-from forumtide.plans.catalog import query
+from forumtide.plans.catalog import QUERIES, query
 from forumtide.plans.ranking import STORED, _stored, SPEC
+from forumtide.session import materialize
 
 SPEC_RISING = RisingSpec(windows_hours=(24, 168, 720))
 COHORT = ("board_id", "window_hours")
@@ -250,6 +251,17 @@ def days_in_top(spark, folder):
     return derived.days_in_top(_stored(spark, folder))
 
 
+@query("DRV-1 AGG-10", QUERIES["days_in_top"].sql)
+def kept_days_in_top(spark, folder):
+    """The same from bitmaps: one stored per slot, later merged without reading rankings."""
+    ranked = _stored(spark, folder)
+    early = F.col("as_of_slot") < F.lit(SPEC.bounds[1]).cast("timestamp_ntz")
+    slots = [
+        materialize(standing.top_days(ranked.where(part)), "top-days") for part in (early, ~early)
+    ]
+    return standing.count_days(standing.merged_days(*slots))
+
+
 @query(
     "DRV-1",
     f"""WITH {t.THREADS},{t.LABELS},

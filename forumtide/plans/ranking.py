@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from forumtide.operators import collection, merge, ranking, validate
+from forumtide.operators import collection, merge, ranking, standing, validate
 from forumtide.params import RankingSpec
 from forumtide.plans import tables as t
 from forumtide.plans.catalog import QUERIES, query
@@ -74,6 +74,16 @@ def cumulative_top(spark, folder):
     return _top(spark, folder)
 
 
+@query("WIN-1 JOIN-1 AGG-10", f"{BASE},{LATE_CTE} SELECT * FROM top_late")
+def carried_top(spark, folder):
+    """The later slot ranked from the standing of the earlier one and what was seen since."""
+    root = scratch_path(spark, "standing")
+    posts, shots, held = (f(spark, folder) for f in (t.posts, t.snapshots, t.quarantine))
+    standing.advance_slot(root, posts, shots, held, EARLY)
+    since = shots.where(F.col("slot") > F.lit(EARLY.bounds[1]))
+    return standing.advance_slot(root, posts, since, held, SPEC, EARLY)
+
+
 @query(
     "FLT-3",
     f"""WITH {t.POSTS}
