@@ -1,9 +1,10 @@
 """Raw HTML pages to records.
 
-A task turns each page into nested raw fields with the standard HTML parser. Every
-rule about those fields (URLs, numbers, times, row kinds, page rejection) is a Spark
-expression over the nested rows, so no row needs Python again and pages are judged
-without a shuffle.
+Each page becomes nested raw fields. A page whose markup is proven regular (one plain table
+of rows written one way, no entities, comments or scripts) gives them to regular expressions
+in the JVM; any other page goes to the standard HTML parser in a task. Every rule about those
+fields (URLs, numbers, times, row kinds, page rejection) is a Spark expression over the nested
+rows, so no row needs Python again and pages are judged without a shuffle.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
-from forumtide.functions.text import let, once_per_row, plain_text
+from forumtide.functions.text import is_stable, let, once_per_row, plain_text
 from forumtide.functions.time import source_time
 from forumtide.functions.values import Site, article_identity, grouped_integer
 from forumtide.operators.validate import map_units, row_kind
@@ -163,6 +164,92 @@ def page_fields(html: bytes, board_path: str) -> tuple[str, list[dict]]:
     return state, []
 
 
+# Tags that may stand around the table of a regular page: they hold text and hide nothing.
+_FRAME_TAGS = "html|head|body|main|section|div|p|span|b|ul|li|h1|h2|h3|br|hr"
+_VALUE, _TEXT, _GAP = r'([^"<>&]*)', r"([^<>&]*)", r"[ \t\n\r]*"
+_REGULAR_CELL = rf'<td class="{_VALUE}">{_TEXT}</td>{_GAP}'
+# Groups: 1 row classes; 2, 3 first cell; 4 title cell classes; 5 href; 6 category; 7 title;
+# 8 comment; 9 label; then class and text of the last four cells.
+_REGULAR_ROW = (
+    rf'<tr class="{_VALUE}">{_GAP}{_REGULAR_CELL}<td class="{_VALUE}">{_GAP}'
+    rf'<div class="{WRAP_CLASS}">{_GAP}<a class="{LINK_CLASS}" href="{_VALUE}">{_GAP}'
+    rf'<span class="{CATEGORY_CLASS}">{_TEXT}</span>{_TEXT}</a>{_GAP}'
+    rf'<span class="{COMMENT_CLASS}">{_TEXT}</span>{_GAP}</div>{_GAP}'
+    rf'(?:<span class="(?:{"|".join(LABEL_CLASSES)})">{_TEXT}</span>{_GAP})?</td>{_GAP}'
+    + _REGULAR_CELL * 4 + "</tr>"
+)
+_REGULAR_HEAD = (
+    rf"<thead>{_GAP}<tr>{_GAP}" + _GAP.join(f"<th>{name}</th>" for name in HEADER)
+    + rf"{_GAP}</tr>{_GAP}</thead>"
+)
+
+
+def _between(text: Column, start: str, end: str) -> Column:
+    return F.substring_index(F.substring_index(text, start, -1), end, 1)
+
+
+def regular_rows(text: Column) -> Column:
+    """The rows of a page as markup if the page is regular, else null.
+
+    Everything around the rows is checked, and what is left of the table once the rows are
+    taken out must be blank, so nothing that the HTML parser would see is passed over.
+    """
+
+    def once(part: str) -> Column:
+        return F.char_length(text) - F.char_length(F.replace(text, F.lit(part), F.lit(""))) == len(part)
+
+    head = F.substring_index(text, "<tbody>", 1)
+    around = F.concat(
+        F.substring_index(text, "<table>", 1), F.lit("\n"), F.substring_index(text, "</table>", -1)
+    )
+    body = _between(text, "<tbody>", "</tbody>")
+    regular = (
+        is_stable(text) & ~text.contains("&")
+        & once("<table>") & once("<tbody>") & once("</tbody>") & once("</table>")
+        & head.rlike(rf"<table>{_GAP}{_REGULAR_HEAD}{_GAP}\z")
+        & text.rlike(rf"</tbody>{_GAP}</table>")
+        & ~F.regexp_replace(around, rf"</?(?:{_FRAME_TAGS})>", "").rlike("[<>]")
+        & (F.btrim(F.regexp_replace(body, _REGULAR_ROW, ""), F.lit(" \t\n\r")) == "")
+    )
+    return F.when(regular, F.regexp_extract_all(body, F.lit(_REGULAR_ROW), F.lit(0)))
+
+
+def _regular_fields(rows: Column, site: Site) -> Column:
+    """The raw fields of a regular page's rows, as :func:`page_fields` gives them."""
+
+    def fields(row: Column) -> Column:
+        part = let(row, lambda r: F.array(*[
+            F.regexp_extract(r, _REGULAR_ROW, i) for i in range(1, 18)
+        ]))
+
+        def made(held: Column) -> Column:
+            def at(group: int) -> Column:
+                return F.trim(F.regexp_replace(F.get(held, F.lit(group - 1)), r"[ \t\n\r]+", " "))
+
+            def names(group: int) -> Column:
+                return F.lower(at(group))
+
+            last = [10, 12, 14, 16]
+            blank = F.lit("")
+            return F.struct(
+                F.array_remove(F.split(at(1), " "), "").alias("classes"), blank.alias("row_text"),
+                F.array(names(2), names(4), *[names(g) for g in last]).alias("cell_classes"),
+                F.array(at(3), blank, *[at(g + 1) for g in last]).alias("cells"),
+                F.lit(1).alias("wraps"), F.lit(1).alias("links"),
+                F.get(held, F.lit(4)).contains(f"{site.board_path}/").cast("int")
+                .alias("article_links"),
+                F.get(held, F.lit(4)).alias("href"), F.lit(1).alias("category_marks"),
+                blank.alias("lead"),
+                F.btrim(F.get(held, F.lit(5)), F.lit(" \t\n\r")).alias("category"),
+                at(7).alias("title"), F.lit(1).alias("comment_marks"), at(8).alias("comment"),
+                at(9).alias("label"),
+            )
+
+        return let(part, made)
+
+    return F.struct(F.lit("ok").alias("header"), F.transform(rows, fields).alias("rows"))
+
+
 def _checked_row(row: Column, board_id: Column, fetched_at: Column, site: Site) -> Column:
     """One raw row as typed fields with the first broken rule as ``reason``."""
     n_cells = F.size(row["cells"])
@@ -235,7 +322,16 @@ def parse_list_pages(pages: DataFrame, site: Site, max_bytes: int | None = None)
     size = F.octet_length("html")
     oversized = F.lit(False) if max_bytes is None else F.coalesce(size > max_bytes, F.lit(False))
     sized = F.coalesce(size > 0, F.lit(False)) & ~oversized
-    raw = pages.withColumn("_raw", extract(F.when(sized, F.col("html"))))
+    text = F.col("html").cast("string")
+    found = pages.withColumn(
+        "_regular", F.when(sized & F.is_valid_utf8(text), regular_rows(text))
+    )
+    raw = found.withColumn(
+        "_parsed", extract(F.when(sized & F.col("_regular").isNull(), F.col("html")))
+    ).withColumn(
+        "_raw", F.when(F.col("_regular").isNotNull(), _regular_fields(F.col("_regular"), site))
+        .otherwise(F.col("_parsed"))
+    ).drop("_regular", "_parsed")
     checked = raw.withColumn(
         "rows",
         F.transform(
