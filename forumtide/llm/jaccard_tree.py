@@ -17,7 +17,7 @@ plausible clusters; texts that merely share a passage part here. A second pass v
 cluster is one tree of sets, or several parts if it is large. Sets already connected are not
 compared again. Of a large cluster, representatives of its connected groups meet next. Then
 the buckets that still hold unconnected sets are looked at: the sets outside a bucket's largest
-connected group go to all parts of that group, or, if they are many, parts meet in pairs. A
+connected group visit all parts of that group, or, if they are many, parts meet in pairs. A
 bucket of so many parts that pairs would cost more is split first: linked sets agree in two
 groups, so those that agree in a second one meet in a bucket of the two. No link is lost. Only
 sets found in some bucket are moved at all.
@@ -376,6 +376,53 @@ def _unit_links(percent: int, content: str):
     return run
 
 
+def _visits(percent: int, content: str):
+    """Links between the sets at home in a unit and those that visit it.
+
+    Rows come sorted by unit, sets at home first. Those are held as one tree (a part, so few);
+    visitors pass one at a time, however many there are, and are not compared with each other.
+    """
+    exact = content == "hashes"
+
+    def point_of(blob: bytes) -> np.ndarray:
+        return count_vector(np.frombuffer(blob, np.uint64)) if exact else np.frombuffer(blob, np.int32)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        unit, home, tree, root, joined = None, [], None, None, set()
+        for batch in batches:
+            found: list[tuple[int, int]] = []
+            names = ("unit", "visits", "root", "side", "size", content)
+            for u, visits, *row in zip(*(batch.column(c).to_pylist() for c in names)):
+                if u != unit:
+                    unit, home, tree, joined = u, [], None, set()
+                if not visits:
+                    home.append(row)
+                    continue
+                if not home:
+                    continue
+                if tree is None:
+                    tree = CountTree(
+                        np.array([h[2] for h in home], dtype=np.int64),
+                        np.array([point_of(h[3]) for h in home]), percent,
+                    )
+                own, side, size, blob = row
+                for i in tree.search(size, point_of(blob)):
+                    root, its_side, _, its_blob = home[i]
+                    if root == own or side == its_side or (own, root) in joined:
+                        continue
+                    if not exact or _linked(
+                        np.frombuffer(blob, np.uint64), np.frombuffer(its_blob, np.uint64), percent
+                    ):
+                        joined.add((own, root))
+                        found.append((own, root))
+            if found:
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(c, pa.int64()) for c in zip(*found)], names=["a", "b"]
+                )
+
+    return run
+
+
 def _parts(rows: DataFrame, key: str, content: str) -> DataFrame:
     """Adds ``part``: a key's rows are dealt over as many trees as they need."""
     most = TREE_ROWS[content]
@@ -441,15 +488,18 @@ def _open(rows: DataFrame, key: str) -> DataFrame:
     return materialize(rows.join(still, names), "open-rows")
 
 
-def _crossing(open_: DataFrame, key: str, most: int) -> DataFrame:
-    """Units in which the sets of open buckets meet across parts.
+def _crossing(
+    open_: DataFrame, key: str, contents: DataFrame, percent: int, content: str
+) -> DataFrame:
+    """Links between the sets of open buckets across parts.
 
-    Few sets outside the hub's group go to every part that has sets of it; otherwise every two
-    parts meet. Sets of one part have been compared, which ``side`` says. However many buckets
-    two sets share, each is sent to a unit once.
+    Few sets outside the hub's group visit every part that has sets of it, and meet each other
+    in a unit of the bucket; if they are many, every two parts meet. Sets of one part have been
+    compared, which ``side`` says. However many buckets two sets share, each is sent to a unit
+    once, and no unit holds more than two parts of sets at a time.
     """
     names = ["signature", key] if key != "signature" else ["signature"]
-    few = F.col("others") <= most
+    few = F.col("others") <= TREE_ROWS[content]
     at_home = F.col("root") == F.col("hub")
     sent = ["unit", "set_key", "root", F.col("part").cast("bigint").alias("side")]
 
@@ -458,17 +508,29 @@ def _crossing(open_: DataFrame, key: str, most: int) -> DataFrame:
             rows.select(*names, F.col("part").alias("_other")).distinct(), "open-parts"
         )
 
-    home = open_.where(few & at_home)
-    away = open_.where(few & ~at_home).join(parts_of(home), names)
+    def visiting(rows: DataFrame, part: str, visits: bool) -> DataFrame:
+        unit = F.xxhash64(key, F.lit(-1), part)
+        return rows.withColumn("unit", unit).select(*sent, F.lit(visits).alias("visits"))
+
+    home, guests = open_.where(few & at_home), open_.where(few & ~at_home)
+    away = guests.join(parts_of(home), names)
+    visits = visiting(home, "part", False).unionByName(visiting(away, "_other", True)).distinct()
+    met = materialize(
+        visits.join(contents, "set_key")
+        .select("unit", "visits", "root", "side", "size", content)
+        .repartition("unit").sortWithinPartitions("unit", "visits")
+        .mapInArrow(_visits(percent, content), _LINKS),
+        "visits",
+    )
     crowded = open_.where(~few)
     pairs = crowded.join(parts_of(crowded), names).where(F.col("part") != F.col("_other"))
     one, two = F.least("part", "_other"), F.greatest("part", "_other")
-    return (
-        home.withColumn("unit", F.xxhash64(key, F.lit(-1), "part")).select(*sent)
-        .unionByName(away.withColumn("unit", F.xxhash64(key, F.lit(-1), "_other")).select(*sent))
+    units = (
+        guests.withColumn("unit", F.xxhash64(*names, F.lit(-2))).select(*sent)
         .unionByName(pairs.withColumn("unit", F.xxhash64(key, one, two)).select(*sent))
         .distinct()
     )
+    return met.unionByName(_links(units.join(contents, "set_key"), percent, content))
 
 
 def _second_groups(wide: DataFrame, shared: DataFrame) -> DataFrame:
@@ -508,8 +570,7 @@ def _rest(
             names = ["signature", key] if key != "signature" else ["signature"]
             narrow = rows.drop("root").join(wide.select(*names).distinct(), names, "left_anti")
             open_ = _open(materialize(_rooted(narrow, roots), "narrow-rows"), key)
-    units = _crossing(open_, key, TREE_ROWS[content]).join(contents, "set_key")
-    found = _links(units, percent, content)
+    found = _crossing(open_, key, contents, percent, content)
     return roots if found.isEmpty() else _merged(roots, found)
 
 
