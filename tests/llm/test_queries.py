@@ -152,3 +152,38 @@ def test_pipeline_matches_plain_stages(spark, con):
         for r in QUERIES["pipeline"].run(spark, helpers.SF).collect()
     )
     assert got == expected and len(expected) > 20
+
+
+def test_shards_match_brute_force(spark, con):
+    """Shards and slots again by plain Python, with the same seeded hash."""
+    import struct
+    from collections import defaultdict
+
+    import xxhash
+
+    from forumtide.llm.sharding import SEED
+
+    def mixed(doc_id, text_crc, size):
+        h = xxhash.xxh64_intdigest(struct.pack("<i", SEED), seed=42)
+        for value in (doc_id, text_crc, size):
+            h = xxhash.xxh64_intdigest(struct.pack("<q", value), seed=h)
+        return h
+
+    groups = defaultdict(list)
+    for doc_id, text, source in _documents(con):
+        crc, size = helpers.crc(text), len((text or "").encode()) + 1
+        unit = (mixed(doc_id, crc, size) >> 12) / float(1 << 52)
+        groups["n" if source is None else "s" + source].append((unit, doc_id, crc, size))
+    order = []
+    for source, rows in groups.items():
+        for rank, row in enumerate(sorted(rows)):
+            order.append(((rank + 0.5) / len(rows), source, rank, row[1]))
+    order.sort()
+    n = len(order)
+    cuts = [shard * n // 8 for shard in range(9)]
+    expected = {}
+    for place, (_, _, _, doc_id) in enumerate(order):
+        shard = max(k for k in range(8) if cuts[k] <= place)
+        expected[doc_id] = (shard, place - cuts[shard])
+    got = QUERIES["op4_stratified_shards"].run(spark, helpers.SF).collect()
+    assert {r["doc_id"]: (r["shard"], r["slot"]) for r in got} == expected
