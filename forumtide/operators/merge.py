@@ -56,16 +56,38 @@ def upsert_posts(existing: DataFrame, batch: DataFrame | None = None) -> DataFra
     )
 
 
-def _snapshots_by_key(existing: DataFrame, batch: DataFrame | None) -> tuple[DataFrame, Column]:
-    """One row per snapshot key and whether its rows share one configuration."""
-    rows = existing if batch is None else existing.unionByName(batch)
-    grouped = rows.groupBy(*SNAPSHOT_KEY).agg(
+def _snapshots_by_key(rows: DataFrame) -> DataFrame:
+    """One row per snapshot key, with the least and greatest hash of its configurations.
+
+    All buffers are fixed-width, so this is a hash aggregate: nothing is sorted.
+    """
+    return rows.withColumn("_version", _version_hash()).groupBy(*SNAPSHOT_KEY).agg(
         F.max("observed_at").alias("observed_at"),
         *[F.max(name).alias(name) for name in COUNTERS],
-        F.min("config_version").alias("config_version"),
-        F.max("config_version").alias("other_version"),
+        F.min("_version").alias("_version"), F.max("_version").alias("_other"),
     )
-    return grouped, F.col("config_version").eqNullSafe(F.col("other_version"))
+
+
+def _version_hash() -> Column:
+    """Null where there is no configuration, so that minima and maxima pass it over."""
+    return F.when(F.col("config_version").isNotNull(), F.xxhash64("config_version"))
+
+
+def _version_named(rows: DataFrame) -> Column:
+    """The configuration of ``_version``, from one map of all configurations of the rows.
+
+    There is one per release of the settings, so the map is a scalar subquery: the merged
+    rows are not shuffled again to learn a name that nearly all of them share.
+    """
+    pairs = rows.where(F.col("config_version").isNotNull()).select(
+        _version_hash().alias("h"), "config_version"
+    ).distinct()
+    entries = F.map_from_entries(F.collect_list(F.struct("h", "config_version")))
+    return F.try_element_at(pairs.agg(entries.alias("m")).scalar(), F.col("_version"))
+
+
+def _both(existing: DataFrame, batch: DataFrame | None) -> DataFrame:
+    return existing if batch is None else existing.unionByName(batch)
 
 
 def merge_snapshots(
@@ -76,18 +98,28 @@ def merge_snapshots(
     Counters and ``observed_at`` keep their greatest value. A key seen under two
     configurations is never merged; it is reported in ``conflicts``.
     """
-    grouped, same = _snapshots_by_key(existing, batch)
-    conflicts = grouped.where(~same).select(*SNAPSHOT_KEY, "config_version", "other_version")
-    return grouped.where(same).drop("other_version"), conflicts
+    rows = _both(existing, batch)
+    grouped, same = _snapshots_by_key(rows), F.col("_version").eqNullSafe(F.col("_other"))
+    torn = grouped.where(~same).select(*SNAPSHOT_KEY)
+    # Only rows of torn keys are looked at by their text.
+    conflicts = rows.join(torn, list(SNAPSHOT_KEY), "left_semi").groupBy(*SNAPSHOT_KEY).agg(
+        F.min("config_version").alias("config_version"),
+        F.max("config_version").alias("other_version"),
+    )
+    merged = grouped.where(same).withColumn("config_version", _version_named(rows))
+    columns = [*SNAPSHOT_KEY, "observed_at", *COUNTERS, "config_version"]
+    return merged.select(*columns), conflicts
 
 
 def merge_snapshots_strict(existing: DataFrame, batch: DataFrame | None = None) -> DataFrame:
     """Merged snapshots; the job fails if any key is pinned to another configuration."""
-    grouped, same = _snapshots_by_key(existing, batch)
-    checked = F.when(same, F.col("config_version")).otherwise(
-        F.raise_error(F.lit("snapshot slot belongs to another configuration"))
+    rows = _both(existing, batch)
+    checked = F.when(
+        F.col("_version").eqNullSafe(F.col("_other")), _version_named(rows)
+    ).otherwise(F.raise_error(F.lit("snapshot slot belongs to another configuration")))
+    return _snapshots_by_key(rows).withColumn("config_version", checked).select(
+        *SNAPSHOT_KEY, "observed_at", *COUNTERS, "config_version"
     )
-    return grouped.withColumn("config_version", checked).drop("other_version")
 
 
 def insert_absent(existing: DataFrame, candidates: DataFrame, keys: tuple[str, ...]) -> DataFrame:

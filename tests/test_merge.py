@@ -112,6 +112,7 @@ def test_snapshot_merge_and_conflict(spark):
         (2, A, B)]
     with pytest.raises(Exception, match="another configuration"):
         merge.merge_snapshots_strict(both).collect()
+    assert "SortAggregate" not in merged._jdf.queryExecution().executedPlan().toString()
     again, _ = merge.merge_snapshots(merged, merged)
     assert as_set(again) == as_set(merged)
 
