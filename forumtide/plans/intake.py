@@ -634,11 +634,17 @@ def artifact_roundtrip(spark, folder):
     return stored.select(*POST_KEY, "body_sentiment", "topic", "model_version")
 
 
+def _either(folder, name):
+    """Path pattern of one supplied table, whether it is a file or a folder of part files.
+
+    A stream takes a single file only by a pattern, so the last letter is one.
+    """
+    return f"{folder.rstrip('/')}/{name}.parque[t]"
+
+
 def _stream(spark, folder, name):
     """One of the supplied tables as a file stream."""
-    return (
-        spark.readStream.schema(t.SCHEMAS[name]).option("pathGlobFilter", f"{name}.parquet").parquet(folder)
-    )
+    return spark.readStream.schema(t.SCHEMAS[name]).parquet(_either(folder, name))
 
 
 @query(
@@ -752,16 +758,18 @@ def release_stream(spark, folder):
     """A summary written by the trigger that a newly completed folder sets off."""
     out = scratch_path(spark, "summaries")
 
-    def summarise(release: str) -> None:
+    def summarise(found: str) -> None:
+        # A table of part files is announced by its own folder.
+        release = found.removesuffix("/orders.parquet")
         orders = t.load(spark, release, "orders")
         orders.groupBy("o_orderstatus").agg(
             F.count(F.lit(1)).alias("orders"),
             F.round(F.sum("o_totalprice")).cast("bigint").alias("total"),
         ).write.mode("overwrite").parquet(out)
 
-    # The orders file stands for the marker that completes the folder.
+    # The orders stand for the marker that completes the folder.
     slots.on_new_release(
-        spark, folder, scratch_path(spark, "releases-state"), summarise,
-        scratch_path(spark, "release-ledger"), "orders.parquet",
+        spark, _either(folder, "orders"), scratch_path(spark, "releases-state"), summarise,
+        scratch_path(spark, "release-ledger"), "*.parquet",
     ).awaitTermination()
     return spark.read.parquet(out)

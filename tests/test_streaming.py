@@ -146,3 +146,22 @@ def test_each_new_release_is_announced_once(spark, folder):
     state = "other-state"  # every announcement is delivered again
     run()
     assert seen == ["release=1", "release=2"]
+
+
+@pytest.mark.parametrize("name, table", [
+    ("screened_stream", "documents"), ("slot_stream", "events"), ("replay_stream", "events"),
+    ("upsert_stream_posts", "lineitem"), ("release_stream", "orders"),
+])
+def test_streams_read_a_table_of_part_files(spark, folder, name, table):
+    """Large tables are folders of part files; a stream reads them as it reads one file."""
+    import os
+
+    from forumtide.plans.catalog import load_all
+
+    small = "/root/testdata/sf0.001"
+    for found in os.listdir(small):
+        if found != f"{table}.parquet":
+            os.symlink(f"{small}/{found}", f"{folder}/{found}")
+    spark.read.parquet(f"{small}/{table}.parquet").repartition(3).write.parquet(f"{folder}/{table}.parquet")
+    query = load_all()[name]
+    assert as_set(query.run(spark, folder)) == as_set(query.run(spark, small))
