@@ -32,7 +32,8 @@ def grouped_integer(value: Column, longest: int | None = None) -> Column:
             fits = fits & (F.char_length(compact) <= longest)
         return F.when(fits, F.replace(compact, F.lit(","), F.lit("")).try_cast("bigint"))
 
-    return let(strip(value), read)
+    # Stripping costs more than reading, so it is left to texts that are no integer as they are.
+    return F.when(value.rlike(GROUPED_INTEGER), read(value)).otherwise(let(strip(value), read))
 
 
 @dataclass(frozen=True)
@@ -71,7 +72,9 @@ def article_identity(href: Column, board_id: Column, site: Site) -> Column:
     )
     if site.max_href is not None:
         clean = clean & (F.char_length(href) <= site.max_href)
-    query = F.regexp_extract(href, shape, 3)
+    # Of an href of this shape, what stands before and after the first question mark.
+    query = F.get(F.split(href, r"\?", 2), F.lit(1))
+    path = F.substring_index(href, "?", 1)
 
     def known(pair: Column) -> Column:
         name, text = F.try_url_decode(F.get(pair, F.lit(0))), F.try_url_decode(F.get(pair, F.lit(1)))
@@ -84,10 +87,12 @@ def article_identity(href: Column, board_id: Column, site: Site) -> Column:
     query_ok = ~href.contains("?") | (
         ~query.contains("&") & let(F.split(query, "=", 2), known)
     )
+    ours = clean & href.rlike(shape)
     parts = F.struct(
-        (clean & href.rlike(shape)).alias("ours"),
-        F.regexp_extract(href, shape, 1).try_cast("bigint").alias("board"),
-        F.regexp_extract(href, shape, 2).try_cast("bigint").alias("post"),
+        ours.alias("ours"),
+        F.when(ours, F.substring_index(F.substring_index(path, "/", -2), "/", 1).try_cast("bigint"))
+        .alias("board"),
+        F.when(ours, F.substring_index(path, "/", -1).try_cast("bigint")).alias("post"),
     )
 
     def judged(part: Column) -> Column:

@@ -166,7 +166,8 @@ def page_fields(html: bytes, board_path: str) -> tuple[str, list[dict]]:
 
 # Tags that may stand around the table of a regular page: they hold text and hide nothing.
 _FRAME_TAGS = "html|head|body|main|section|div|p|span|b|ul|li|h1|h2|h3|br|hr"
-_VALUE, _TEXT, _GAP = r'([^"<>&]*)', r"([^<>&]*)", r"[ \t\n\r]*"
+# No run is given back: what follows it is never one of its characters.
+_VALUE, _TEXT, _GAP = r'([^"<>&]*+)', r"([^<>&]*+)", r"[ \t\n\r]*+"
 _REGULAR_CELL = rf'<td class="{_VALUE}">{_TEXT}</td>{_GAP}'
 # Groups: 1 row classes; 2, 3 first cell; 4 title cell classes; 5 href; 6 category; 7 title;
 # 8 comment; 9 label; then class and text of the last four cells.
@@ -178,6 +179,9 @@ _REGULAR_ROW = (
     rf'(?:<span class="(?:{"|".join(LABEL_CLASSES)})">{_TEXT}</span>{_GAP})?</td>{_GAP}'
     + _REGULAR_CELL * 4 + "</tr>"
 )
+# A row's fields in one string; stable text has none of the marks.
+_ROW_MARK, _FIELD_MARK, _END_MARK = "\x01", "\x02", "\x03"
+_MARKED_ROW = _ROW_MARK + _FIELD_MARK.join(f"${i}" for i in range(1, 18)) + _END_MARK
 _REGULAR_HEAD = (
     rf"<thead>{_GAP}<tr>{_GAP}" + _GAP.join(f"<th>{name}</th>" for name in HEADER)
     + rf"{_GAP}</tr>{_GAP}</thead>"
@@ -189,10 +193,11 @@ def _between(text: Column, start: str, end: str) -> Column:
 
 
 def regular_rows(text: Column) -> Column:
-    """The rows of a page as markup if the page is regular, else null.
+    """The rows of a page as marked fields if the page is regular, else null.
 
     Everything around the rows is checked, and what is left of the table once the rows are
-    taken out must be blank, so nothing that the HTML parser would see is passed over.
+    taken out must be blank, so nothing that the HTML parser would see is passed over. The
+    row pattern passes over the table once, whatever the number of rows and fields.
     """
 
     def once(part: str) -> Column:
@@ -209,22 +214,36 @@ def regular_rows(text: Column) -> Column:
         & head.rlike(rf"<table>{_GAP}{_REGULAR_HEAD}{_GAP}\z")
         & text.rlike(rf"</tbody>{_GAP}</table>")
         & ~F.regexp_replace(around, rf"</?(?:{_FRAME_TAGS})>", "").rlike("[<>]")
-        & (F.btrim(F.regexp_replace(body, _REGULAR_ROW, ""), F.lit(" \t\n\r")) == "")
     )
-    return F.when(regular, F.regexp_extract_all(body, F.lit(_REGULAR_ROW), F.lit(0)))
+
+    def marked_rows(marked: Column) -> Column:
+        left = F.regexp_replace(marked, f"{_ROW_MARK}[^{_END_MARK}]*+{_END_MARK}", "")
+        pieces = F.split(marked, _ROW_MARK)
+        return F.when(
+            F.btrim(left, F.lit(" \t\n\r")) == "", F.slice(pieces, F.lit(2), F.size(pieces))
+        )
+
+    return F.when(regular, let(F.regexp_replace(body, _REGULAR_ROW, _MARKED_ROW), marked_rows))
 
 
 def _regular_fields(rows: Column, site: Site) -> Column:
     """The raw fields of a regular page's rows, as :func:`page_fields` gives them."""
 
     def fields(row: Column) -> Column:
-        part = let(row, lambda r: F.array(*[
-            F.regexp_extract(r, _REGULAR_ROW, i) for i in range(1, 18)
-        ]))
+        part = F.struct(
+            F.split(F.substring_index(row, _END_MARK, 1), _FIELD_MARK).alias("held"),
+            row.rlike("[\\t\\n\\r]|  ").alias("spaced"),
+        )
+
+        def made(found: Column) -> Column:
+            held = found["held"]
 
-        def made(held: Column) -> Column:
             def at(group: int) -> Column:
-                return F.trim(F.regexp_replace(F.get(held, F.lit(group - 1)), r"[ \t\n\r]+", " "))
+                value = F.get(held, F.lit(group - 1))
+                return F.trim(
+                    F.when(found["spaced"], F.regexp_replace(value, r"[ \t\n\r]+", " "))
+                    .otherwise(value)
+                )
 
             def names(group: int) -> Column:
                 return F.lower(at(group))
@@ -354,9 +373,10 @@ def parse_list_pages(pages: DataFrame, site: Site, max_bytes: int | None = None)
 def list_records(parsed: DataFrame, unit_map: DataFrame) -> DataFrame:
     """Observations of the accepted pages; categories without a unit are dropped."""
     keep = [c for c in parsed.columns if c not in ("rows", "reject_reason")]
+    # A filter on the reason would be pushed below the rules and have them computed twice.
+    accepted = F.when(F.col("reject_reason").isNull(), F.col("rows"))
     rows = (
-        parsed.where(F.col("reject_reason").isNull())
-        .select(*keep, F.posexplode_outer("rows").alias("pos", "r"))
+        parsed.select(*keep, F.posexplode_outer(accepted).alias("pos", "r"))
         .where(~F.col("r.empty"))
         .select(*keep, "pos", "r.*")
         .drop("empty", "reason")

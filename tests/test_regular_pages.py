@@ -92,3 +92,12 @@ def test_the_supplied_page_records_need_no_python(spark):
     text = F.col("html").cast("string")
     left = made.where(pages.regular_rows(text).isNull()).count()
     assert made.count() > 50 and left == 0
+
+
+def test_each_page_passes_the_rules_once(spark):
+    """Dropping refused pages does not have the rules of all rows computed a second time."""
+    from forumtide.plans.intake import page_records
+
+    made = page_records(spark, "/root/testdata/sf0.001")
+    plan = made._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("ambiguous url") == 1
