@@ -12,10 +12,13 @@ from forumtide.sources.contracts import (
     RELEASE_CONTRACTS,
     Contract,
     ContractError,
-    apply_contract,
     assert_contract,
+    judge,
+    judged_rows,
+    judged_violations,
     read_strings,
 )
+from forumtide.session import materialize
 
 MANIFEST = "SHA256SUMS.txt"
 RELEASE_PREFIX = "release="
@@ -172,6 +175,7 @@ def read_release(
 def read_dataset(
     spark: SparkSession, path: str, contract: Contract, host: str | None = None
 ) -> DataFrame:
-    rows, violations = apply_contract(read_strings(spark, path, contract), contract, host)
-    assert_contract(violations)
-    return rows
+    """Typed rows of one dataset. The files are parsed and judged once; this runs jobs."""
+    judged = materialize(judge(read_strings(spark, path, contract), contract, host), contract.name)
+    assert_contract(judged_violations(judged, contract))
+    return judged_rows(judged, contract)

@@ -84,7 +84,22 @@ def utc_timestamp(text: Column) -> Column:
     return _utc_from_clean(strip(text))
 
 
+# Times as releases write them; they are UTC and need none of the rules for offsets.
+_PLAIN_TIME = r"^[0-9]{4}-[0-9]{2}-[0-9]{2} [0-9]{2}:[0-9]{2}:[0-9]{2}(?:\.[0-9]{1,6})?\z"
+# Text that begins and ends with a visible character, so that there is nothing to strip.
+_BARE = r"(?s)^[!-~가-힣](?:.*[!-~가-힣])?\z"
+
+
 def _utc_from_clean(clean: Column) -> Column:
+    plain = clean.rlike(_PLAIN_TIME)
+    return F.when(plain, clean.try_cast("timestamp_ntz")).otherwise(_utc_by_rules(clean))
+
+
+def _stripped(text: Column) -> Column:
+    return F.when(text.rlike(_BARE), text).otherwise(strip(text))
+
+
+def _utc_by_rules(clean: Column) -> Column:
     zoned = F.regexp_replace(clean, r"([+-][0-9]{2})\z", "$1:00")
     has_time = clean.rlike(r"[0-9]:[0-9]{2}")
     has_zone = clean.rlike(r"(?:Z|[0-9]:[0-9]{2}(?::[0-9.]+)?\s*[+-][0-9]{2}(?::?[0-9]{2})?)\z")
@@ -108,7 +123,7 @@ def _instant(column: str) -> str:
 def _prepared(strings: DataFrame, contract: Contract) -> DataFrame:
     """Stripped text and parsed times of the ruled columns, computed once per row."""
     ruled = sorted({*contract.required_text, *contract.integers, *contract.timestamps})
-    cleaned = strings.withColumns({_clean(c): strip(F.coalesce(c, F.lit(""))) for c in ruled})
+    cleaned = strings.withColumns({_clean(c): _stripped(F.coalesce(c, F.lit(""))) for c in ruled})
     if not contract.timestamps:
         return cleaned
     return cleaned.withColumns({
@@ -129,11 +144,18 @@ def _row_failures(contract: Contract) -> Column:
         fail(F.col(_clean(column)) == "", column, "blank")
     for column in contract.integers:
         raw = F.col(_clean(column))
-        negative = raw.rlike(r"^-[0-9]+\z")
         digits = raw.rlike(r"^[0-9]+\z")
-        fail(negative, column, "negative")
-        fail(~negative & ~digits, column, "integer")
-        fail(digits & raw.try_cast("bigint").isNull(), column, "range")
+
+        def broken(rule: str) -> Column:
+            return F.struct(F.lit(column).alias("column"), F.lit(rule).alias("rule"))
+
+        # At most one of these rules is broken, and most values break none.
+        failures.append(
+            F.when(raw.rlike(r"^[0-9]{1,18}\z"), F.lit(None))
+            .when(raw.rlike(r"^-[0-9]+\z"), broken("negative"))
+            .when(~digits, broken("integer"))
+            .when(raw.try_cast("bigint").isNull(), broken("range"))
+        )
     for column in contract.timestamps:
         value = F.col(_clean(column))
         fail((value != "") & F.col(_instant(column)).isNull(), column, "timestamp")
@@ -159,28 +181,53 @@ def apply_contract(
     ``rows`` are the typed rows that break no row rule; ``violations`` counts broken
     rules as ``(table, column, rule, n)``, duplicate grain rows included.
     """
+    judged = judge(strings, contract, host)
+    return judged_rows(judged, contract), judged_violations(judged, contract)
+
+
+def _grain(column: str) -> str:
+    return f"_grain_{column}"
+
+
+def judge(strings: DataFrame, contract: Contract, host: str | None = None) -> DataFrame:
+    """Every row once: its typed columns, ``_failed`` rules, whether it ``_fits`` and its grain.
+
+    Stored, it serves both :func:`judged_rows` and :func:`judged_violations`, so that a table
+    is parsed and its rules are asked once.
+    """
     check_columns(strings, contract)
-    failures = _row_failures(contract)
+    failures, fits = _row_failures(contract), F.lit(True)
     if MALFORMED in strings.columns:
         # Fields of such a row cannot be told apart: one violation, and no other rule is asked.
         misfit = F.array(F.struct(F.lit("*").alias("column"), F.lit("fields").alias("rule")))
-        failures = F.when(F.col(MALFORMED).isNotNull(), misfit).otherwise(failures)
-    checked = _prepared(strings, contract).withColumn("_failed", failures)
-    kept = checked.where(F.size("_failed") == 0)
-    typed = kept.select(*[_typed(c, contract, host) for c in contract.columns])
+        fits = F.col(MALFORMED).isNull()
+        failures = F.when(~fits, misfit).otherwise(failures)
+    return _prepared(strings, contract).select(
+        *[_typed(c, contract, host) for c in contract.columns], failures.alias("_failed"),
+        fits.alias("_fits"), *[F.col(c).alias(_grain(c)) for c in contract.grain],
+    )
+
+
+def judged_rows(judged: DataFrame, contract: Contract) -> DataFrame:
+    """The typed rows that break no row rule."""
+    return judged.where(F.size("_failed") == 0).select(*contract.columns)
+
+
+def judged_violations(judged: DataFrame, contract: Contract) -> DataFrame:
+    """Broken rules counted as ``(table, column, rule, n)``, duplicate grain rows included."""
     # The outer form keeps Spark from repeating the rules in a filter below the explode.
     broken = (
-        checked.select(F.explode_outer("_failed").alias("f"))
+        judged.select(F.explode_outer("_failed").alias("f"))
         .where(F.col("f").isNotNull())
         .groupBy(F.col("f.column").alias("column"), F.col("f.rule").alias("rule"))
         .agg(F.count(F.lit(1)).alias("n"))
     )
     parts = [broken.select(F.lit(contract.name).alias("table"), "column", "rule", "n")]
     if contract.grain:
-        whole = strings if MALFORMED not in strings.columns else strings.where(
-            F.col(MALFORMED).isNull()
+        # Written text, not values: a row that breaks a rule is a copy like any other.
+        copies = judged.where("_fits").groupBy(*[_grain(c) for c in contract.grain]).agg(
+            F.count(F.lit(1)).alias("n")
         )
-        copies = whole.groupBy(*contract.grain).agg(F.count(F.lit(1)).alias("n"))
         parts.append(
             copies.where(F.col("n") > 1)
             .agg(F.sum(F.col("n") - 1).alias("n"))
@@ -190,7 +237,7 @@ def apply_contract(
                 F.lit("duplicate").alias("rule"), "n",
             )
         )
-    return typed, reduce(DataFrame.unionByName, parts)
+    return reduce(DataFrame.unionByName, parts)
 
 
 def _typed(column: str, contract: Contract, host: str | None) -> Column:

@@ -258,3 +258,22 @@ def test_article_container(spark):
     got = pages.parse_articles(frame, "html", "div", "body").orderBy("i").collect()
     assert [r["body"] for r in got] == [b for _, b in rows]
     assert [r["error"] for r in got] == [None, None, "article body is missing", "article body is missing"]
+
+
+def test_release_files_are_parsed_once_and_posts_joined_once(spark):
+    """Rows and violations of a read release come from one stored, judged table."""
+    from forumtide.plans.intake import _released
+
+    for frame in _released(spark, "/root/testdata/sf0.001").values():
+        plan = frame._jdf.queryExecution().optimizedPlan().toString()
+        assert "csv" not in plan and "RLIKE" not in plan
+
+
+def test_plain_times_read_like_times_with_rules(spark):
+    texts = ["2024-02-29 23:59:59.123456", "2024-02-30 00:00:00", "2024-01-01 24:00:00", "0001-01-01 00:00:00",
+             "9999-12-31 23:59:59.9", "2024-01-01 00:00:60", "2024-13-01 00:00:00"]
+    rows = spark.createDataFrame([(x,) for x in texts], "x STRING")
+    for plain, ruled in rows.select(
+        contracts._utc_from_clean(F.col("x")), contracts._utc_by_rules(F.col("x"))
+    ).collect():
+        assert plain == ruled
