@@ -20,7 +20,7 @@ from forumtide.plans import tables as t
 from forumtide.plans import merging  # noqa: F401  (registers a query whose SQL is shared)
 from forumtide.plans.catalog import QUERIES, query
 from forumtide.registry import SELECTION_POLICY
-from forumtide.session import scratch_path
+from forumtide.session import materialize, scratch_path
 from forumtide.sources import artifact, bundle, comments, contracts, pages
 from forumtide.streaming import slots
 
@@ -508,14 +508,15 @@ def release_roundtrip(spark, folder):
 def _released(spark, folder):
     """All four datasets of a release as read back."""
     version = F.lit(t.VERSION)
-    posts = ranking.latest_metrics(
+    # Two datasets are written from the posts, so they are joined once.
+    posts = materialize(ranking.latest_metrics(
         t.posts(spark, folder), t.snapshots(spark, folder), t.boards(spark, folder)
     ).select(
         "board_id", "board_name", "post_id", "analysis_unit", "title", "published_at", "source_url",
         F.col("category").alias("current_category"), F.col("slot").alias("observed_at_slot_kst"),
         F.col("observed_at").alias("observed_at_actual"), "views", "recommendations", "comments",
         "config_version",
-    )
+    ), "release-posts")
     ranked = posts.select(
         "analysis_unit", F.lit("views").alias("metric"),
         F.col("observed_at_slot_kst").alias("as_of_slot_kst"), F.col("post_id").alias("rank"),
