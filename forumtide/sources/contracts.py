@@ -283,9 +283,20 @@ def as_strings(frame: DataFrame) -> DataFrame:
 
 
 def set_difference(left: DataFrame, right: DataFrame, keys: tuple[str, ...]) -> DataFrame:
-    """Keys on one side only: ``missing`` from the left, ``unexpected`` on the left."""
-    a = left.select(*keys).distinct()
-    b = right.select(*keys).distinct()
-    missing = b.join(a, list(keys), "left_anti").withColumn("status", F.lit("missing"))
-    extra = a.join(b, list(keys), "left_anti").withColumn("status", F.lit("unexpected"))
-    return missing.unionByName(extra)
+    """Keys on one side only: ``missing`` from the left, ``unexpected`` on the left.
+
+    One aggregate over both sides, whose buffers are two flags: copies of a key are combined
+    before the shuffle and nothing is sorted or held for a join. A key with a null equals none,
+    so it is reported for every side that has it.
+    """
+    both = left.select(*keys, F.lit(True).alias("_left"), F.lit(False).alias("_right")).unionByName(
+        right.select(*keys, F.lit(False).alias("_left"), F.lit(True).alias("_right"))
+    )
+    seen = both.groupBy(*keys).agg(F.max("_left").alias("_left"), F.max("_right").alias("_right"))
+    alone = ~(F.col("_left") & F.col("_right")) | reduce(
+        lambda a, b: a | b, [F.col(k).isNull() for k in keys]
+    )
+    status = F.array_compact(F.array(
+        F.when(F.col("_right"), F.lit("missing")), F.when(F.col("_left"), F.lit("unexpected"))
+    ))
+    return seen.where(alone).select(*keys, F.explode(status).alias("status"))

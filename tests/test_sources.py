@@ -277,3 +277,13 @@ def test_plain_times_read_like_times_with_rules(spark):
         contracts._utc_from_clean(F.col("x")), contracts._utc_by_rules(F.col("x"))
     ).collect():
         assert plain == ruled
+
+
+def test_set_difference_aggregates_both_sides_at_once(spark):
+    left = spark.createDataFrame([(1, "a"), (1, "a"), (2, None), (3, "c")], "k INT, v STRING")
+    right = spark.createDataFrame([(1, "a"), (2, None), (4, "d"), (4, "d")], "k INT, v STRING")
+    found = contracts.set_difference(left, right, ("k", "v"))
+    assert sorted((r["k"], r["status"]) for r in found.collect()) == [
+        (2, "missing"), (2, "unexpected"), (3, "unexpected"), (4, "missing")]
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan and plan.count("Aggregate") == 1
