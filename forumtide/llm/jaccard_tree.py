@@ -3,7 +3,9 @@
 A document is the set of its hashed word shingles. Its point in the tree counts the shingles
 per hash group; the sum of coordinate minima of two points bounds their overlap from above,
 and the same sum against a node's largest coordinates bounds all overlaps below the node.
-Pairs whose bound reaches the needed overlap are verified on the sets.
+Pairs whose bound reaches the needed overlap are verified on the sets. A long set is counted
+in more groups: with many shingles in each, all long sets would look alike. Points of unequal
+length meet in the groups of the shorter one.
 
 Which documents meet in one tree is decided by exact signatures. Two sets that link differ in
 at most d shingles, so of d + 2 or more hash groups two hold the same shingles in both: the
@@ -15,7 +17,8 @@ grouped again by another hash, and the last round keeps even those.
 A first pass builds trees of points per bucket and joins sets whose bound allows a link to
 plausible clusters; texts that merely share a passage part here. A second pass verifies: a
 cluster is one tree of sets, or several parts if it is large. Sets already connected are not
-compared again. Of a large cluster, representatives of its connected groups meet next. Then
+compared again. The first pass needs no text, and only the texts of clusters are read for the
+second. Of a large cluster, representatives of its connected groups meet next. Then
 the buckets that still hold unconnected sets are looked at: the sets outside a bucket's largest
 connected group visit all parts of that group, or, if they are many, parts meet in pairs. A
 bucket of so many parts that pairs would cost more is split first: linked sets agree in two
@@ -42,11 +45,12 @@ from pyspark.sql import functions as F
 
 from forumtide.llm.components import connected_components
 from forumtide.llm.grams import mixed, run_hashes, text_chunks, word_hashes
-from forumtide.session import materialize
+from forumtide.session import discard, materialize
 
 CLASS_RATIO = 1.38
 ROUNDS = 12
-DIMENSIONS = 128
+# Groups of a point, by the size of the set: powers of two, at most PER_GROUP shingles in each.
+LEAST_DIMENSIONS, MOST_DIMENSIONS, PER_GROUP = 128, 4096, 8
 FAN_OUT = 16
 TREE_ROWS = {"hashes": 64, "point": 1024}  # points are small, sets are not
 # Parts of one bucket that meet in pairs. Beyond, a row per set and other group is cheaper.
@@ -55,9 +59,12 @@ MOST_PARTS = 64
 TURN_BITS, FAMILY_BITS = 4, 11
 SEEN_SETS = 50_000
 
-_SCANNED = "doc_id bigint, text_hash bigint, set_key bigint, n_shingles bigint, signatures array<bigint>"
+_SCANNED = (
+    "doc_id bigint, text_hash bigint, set_key bigint, n_shingles bigint, point binary, "
+    "signatures array<bigint>"
+)
 _BUCKETS = "signature bigint, hub bigint, set_key bigint"
-_SETS = "set_key bigint, size bigint, point binary, hashes binary"
+_SETS = "set_key bigint, cluster bigint, part int, size bigint, hashes binary"
 _LINKS = "a bigint, b bigint"
 
 
@@ -200,10 +207,30 @@ class CountTree:
         return self.order[nodes[near]]
 
 
-def count_vector(hashes: np.ndarray) -> np.ndarray:
-    shift = np.uint64(64 - DIMENSIONS.bit_length() + 1)
-    groups = (hashes >> shift).astype(np.int64)
-    return np.bincount(groups, minlength=DIMENSIONS).astype(np.int32)
+def dimensions(size: int) -> int:
+    least = 1 << (max(size - 1, 0) // PER_GROUP).bit_length()
+    return min(max(least, LEAST_DIMENSIONS), MOST_DIMENSIONS)
+
+
+def count_vector(hashes: np.ndarray, groups: int) -> np.ndarray:
+    shift = np.uint64(64 - groups.bit_length() + 1)
+    return np.bincount((hashes >> shift).astype(np.int64), minlength=groups).astype(np.int32)
+
+
+def folded(point: np.ndarray, groups: int) -> np.ndarray:
+    """The same counts in fewer groups: a group is a range of hashes, so neighbours add up."""
+    return point.reshape(groups, -1).sum(axis=1, dtype=np.int32)
+
+
+def _points(blobs: list[bytes], exact: bool) -> list[np.ndarray]:
+    """Points of equal length, of sets (``exact``) or of points as stored."""
+    if exact:
+        sets = [np.frombuffer(blob, dtype=np.uint64) for blob in blobs]
+        groups = dimensions(max(map(len, sets)))
+        return [count_vector(s, groups) for s in sets]
+    points = [np.frombuffer(blob, dtype=np.int32) for blob in blobs]
+    groups = min(map(len, points))
+    return [folded(p, groups) for p in points]
 
 
 def _linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
@@ -243,32 +270,35 @@ def tree_links(
 
 def _scan(words: int, percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        # Copies met again by the same task send no signatures: they combine before the shuffle.
+        # Copies met again by the same task send no point and no signatures: they combine before
+        # the shuffle.
         seen: set[int] = set()
         for batch in batches:
             for part, texts in text_chunks(batch, "text"):
-                keys, sizes, lists = [], [], []
+                keys, sizes, points, lists = [], [], [], []
                 for text in texts:
                     hashes = shingles(text, words)
                     key = set_key(hashes)
                     keys.append(key)
                     sizes.append(len(hashes))
                     if key in seen or not len(hashes):
+                        points.append(None)
                         lists.append(np.zeros(0, dtype=np.uint64))
                         continue
                     if len(seen) >= SEEN_SETS:
                         seen.clear()
                     seen.add(key)
+                    points.append(count_vector(hashes, dimensions(len(hashes))).tobytes())
                     lists.append(signatures(hashes, percent))
                 offsets = np.cumsum([0, *map(len, lists)])
                 flat = np.concatenate(lists) if lists else np.zeros(0, np.uint64)
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc_id"), part.column("text_hash"), pa.array(keys, pa.int64()),
-                     pa.array(sizes, pa.int64()),
+                     pa.array(sizes, pa.int64()), pa.array(points, pa.binary()),
                      pa.ListArray.from_arrays(
                          pa.array(offsets, pa.int32()), pa.array(flat.view(np.int64))
                      )],
-                    names=["doc_id", "text_hash", "set_key", "n_shingles", "signatures"],
+                    names=["doc_id", "text_hash", "set_key", "n_shingles", "point", "signatures"],
                 )
 
     return run
@@ -329,10 +359,10 @@ def _set_rows(words: int):
             for part, texts in text_chunks(batch, "text"):
                 sets = [shingles(text, words) for text in texts]
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("set_key"), pa.array([len(s) for s in sets], pa.int64()),
-                     pa.array([count_vector(s).tobytes() for s in sets], pa.binary()),
+                    [*(part.column(c) for c in ("set_key", "cluster", "part")),
+                     pa.array([len(s) for s in sets], pa.int64()),
                      pa.array([s.tobytes() for s in sets], pa.binary())],
-                    names=["set_key", "size", "point", "hashes"],
+                    names=["set_key", "cluster", "part", "size", "hashes"],
                 )
 
     return run
@@ -346,15 +376,14 @@ def _unit_links(percent: int, content: str):
         if len(rows) < 2:
             return
         roots, sides, sizes, blobs = zip(*rows)
+        points = _points(blobs, exact)
         if exact:
             sets = [np.frombuffer(blob, dtype=np.uint64) for blob in blobs]
-            points = [count_vector(s) for s in sets]
             found = tree_links(
                 roots, sides, sizes, points, percent,
                 lambda i, j: _linked(sets[i], sets[j], percent),
             )
         else:
-            points = [np.frombuffer(blob, dtype=np.int32) for blob in blobs]
             found = tree_links(roots, sides, sizes, points, percent)
         if found:
             yield pa.RecordBatch.from_arrays(
@@ -384,29 +413,36 @@ def _visits(percent: int, content: str):
     """
     exact = content == "hashes"
 
-    def point_of(blob: bytes) -> np.ndarray:
-        return count_vector(np.frombuffer(blob, np.uint64)) if exact else np.frombuffer(blob, np.int32)
+    def point_of(blob: bytes, groups: int) -> np.ndarray:
+        if exact:
+            return count_vector(np.frombuffer(blob, np.uint64), groups)
+        return folded(np.frombuffer(blob, np.int32), groups)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        unit, home, tree, root, joined = None, [], None, None, set()
+        unit, home, points, trees, joined = None, [], [], {}, set()
         for batch in batches:
             found: list[tuple[int, int]] = []
             names = ("unit", "visits", "root", "side", "size", content)
             for u, visits, *row in zip(*(batch.column(c).to_pylist() for c in names)):
                 if u != unit:
-                    unit, home, tree, joined = u, [], None, set()
+                    unit, home, points, trees, joined = u, [], [], {}, set()
                 if not visits:
                     home.append(row)
                     continue
                 if not home:
                     continue
-                if tree is None:
-                    tree = CountTree(
+                if not points:
+                    points = _points([h[3] for h in home], exact)
+                own, side, size, blob = row
+                groups = len(points[0])
+                if not exact:
+                    groups = min(groups, dimensions(size))
+                if groups not in trees:
+                    trees[groups] = CountTree(
                         np.array([h[2] for h in home], dtype=np.int64),
-                        np.array([point_of(h[3]) for h in home]), percent,
+                        np.array([folded(p, groups) for p in points]), percent,
                     )
-                own, side, size, blob = row
-                for i in tree.search(size, point_of(blob)):
+                for i in trees[groups].search(size, point_of(blob, groups)):
                     root, its_side, _, its_blob = home[i]
                     if root == own or side == its_side or (own, root) in joined:
                         continue
@@ -618,22 +654,42 @@ def _joined(
     return _rest(rows, "signature", contents, shared, roots, percent, content)
 
 
+def _placed_sets(
+    placed: DataFrame, documents: DataFrame, texts: DataFrame, words: int
+) -> DataFrame:
+    """Rows of ``placed`` (set_key, cluster, part) with the size and the hashes of the set.
+
+    Every set is read from one text that has it.
+    """
+    keys = ["set_key", "cluster", "part"]
+    one = F.min_by(F.struct("doc_id", "text_hash"), F.coalesce("doc_id", F.lit(0)))
+    holders = materialize(
+        documents.where("n_shingles > 0").join(placed, "set_key").groupBy(*keys)
+        .agg(one.alias("_h"))
+        .select(*keys, F.col("_h.doc_id").alias("_d"), F.col("_h.text_hash").alias("_t")),
+        "set-holders",
+    )
+    # One plan at every size: the wanted texts are found by a shuffle, never by a broadcast.
+    found = texts.join(
+        holders.hint("merge"),
+        (F.col("text_hash") == F.col("_t")) & F.col("doc_id").eqNullSafe(F.col("_d")),
+    ).select(*keys, "text").dropDuplicates(["set_key"])
+    return materialize(found.mapInArrow(_set_rows(words), _SETS), "placed-sets")
+
+
 def _roots_of_sets(
-    buckets: DataFrame, shared: DataFrame, sets: DataFrame, percent: int
+    buckets: DataFrame, shared: DataFrame, points: DataFrame, documents: DataFrame,
+    texts: DataFrame, words: int, percent: int,
 ) -> DataFrame:
     """Connected sets: parts of plausible clusters, representatives of large ones, the rest.
 
     Clusters hold the sets that their count vectors do not tell apart.
     """
-    points = sets.select("set_key", "size", "point")
     members = buckets.select("signature", "set_key")
     clusters = _joined(members, points, shared, None, percent, "point").select(
         F.col("node").alias("set_key"), F.col("root").alias("cluster")
     )
-    placed = materialize(
-        _parts(clusters, "cluster", "hashes").join(sets.select("set_key", "size", "hashes"), "set_key"),
-        "placed-sets",
-    )
+    placed = _placed_sets(_parts(clusters, "cluster", "hashes"), documents, texts, words)
     roots = connected_components(_links(
         placed.withColumns({
             "unit": F.xxhash64("cluster", "part"), "root": F.col("set_key"),
@@ -677,25 +733,19 @@ def components(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
         "distinct-buckets",
     )
     kept = materialize(buckets.join(distinct, "signature", "left_semi"), "kept-buckets")
-    wanted = kept.select("set_key").distinct()
-    holders = scanned.where("n_shingles > 0").join(wanted, "set_key", "left_semi").groupBy(
-        "set_key"
-    ).agg(F.min_by(F.struct("doc_id", "text_hash"), F.coalesce("doc_id", F.lit(0))).alias("_h"))
-    holders = materialize(
-        holders.select(
-            "set_key", F.col("_h.doc_id").alias("_d"), F.col("_h.text_hash").alias("_t")
-        ), "set-holders",
+    # The wide columns have been used: the rest of the work reads the narrow ones.
+    documents = materialize(scanned.drop("point", "signatures"), "scanned-documents")
+    points = materialize(
+        scanned.where("point IS NOT NULL").join(
+            kept.select("set_key").distinct(), "set_key", "left_semi"
+        ).select("set_key", F.col("n_shingles").alias("size"), "point").dropDuplicates(["set_key"]),
+        "points",
     )
-    # One plan at every size: the wanted texts are found by a shuffle, never by a broadcast.
-    sets = materialize(
-        texts.join(
-            holders.hint("merge"),
-            (F.col("text_hash") == F.col("_t")) & F.col("doc_id").eqNullSafe(F.col("_d")),
-        ).select("set_key", "text").dropDuplicates(["set_key"]).mapInArrow(_set_rows(words), _SETS),
-        "sets",
+    discard(scanned)
+    roots = _roots_of_sets(
+        kept, buckets.select("signature", "set_key"), points, documents, texts, words, percent
     )
-    roots = _roots_of_sets(kept, buckets.select("signature", "set_key"), sets, percent)
-    firsts = scanned.where("n_shingles > 0").groupBy("set_key").agg(
+    firsts = documents.where("n_shingles > 0").groupBy("set_key").agg(
         F.min("doc_id").alias("_first")
     )
     labelled = materialize(
@@ -709,7 +759,7 @@ def components(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
         "component-ids",
     )
     own = F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("component_id"))
-    return scanned.drop("signatures").join(
+    return documents.join(
         named, (F.col("set_key") == F.col("_key")) & (F.col("n_shingles") > 0), "left"
     ).select("doc_id", "text_hash", "n_shingles", own.alias("component_id"))
 

@@ -394,6 +394,47 @@ def test_two_groups_agree_in_linked_sets():
             assert np.unique(shared & family, return_counts=True)[1].max() >= 2
 
 
+def _units(sets, percent, visits=None):
+    """One unit of the sets as a batch of points; with ``visits``, who visits it."""
+    points = [jaccard_tree.count_vector(s, jaccard_tree.dimensions(len(s))).tobytes() for s in sets]
+    n = len(sets)
+    columns = {
+        "unit": [1] * n, "root": list(range(n)), "side": list(range(n)),
+        "size": [len(s) for s in sets], "point": points,
+    }
+    run = jaccard_tree._unit_links(percent, "point")
+    if visits is not None:
+        columns["visits"], run = visits, jaccard_tree._visits(percent, "point")
+    return [
+        (r["a"], r["b"]) for out in run(iter([pa.RecordBatch.from_pydict(columns)]))
+        for r in out.to_pylist()
+    ]
+
+
+def test_long_sets_that_share_nothing_are_told_apart_by_their_points():
+    """Else every two long texts of a bucket are plausible and their sets meet in pairs."""
+    rng = np.random.default_rng(3)
+    for size in (900, 4000, 6000, 20_000, 30_000):
+        sets = [np.sort(rng.integers(0, 2**64, size, dtype=np.uint64)) for _ in range(12)]
+        assert _units(sets, 80) == []
+        assert _units(sets, 80, [i >= 6 for i in range(12)]) == []
+
+
+def test_linked_sets_of_unequal_points_are_plausible():
+    """Sizes on both sides of a step in the number of groups."""
+    rng = np.random.default_rng(4)
+    for large in (1025, 1200, 2049, 2500, 9000, 33_000, 40_000):
+        b = np.unique(rng.integers(0, 2**64, large, dtype=np.uint64))
+        a = np.sort(rng.choice(b, -(-large * 8 // 10), replace=False))
+        assert jaccard_tree._linked(a, b, 80)
+        for one, two in ((a, b), (b, a)):
+            assert _units([one, two], 80) == [(0, 1)]
+            assert _units([one, two], 80, [False, True]) == [(1, 0)]
+            assert len(_units([one, one, two, one], 80, [False, False, True, True])) == 4
+    assert jaccard_tree.dimensions(1) == jaccard_tree.dimensions(1024) == 128
+    assert jaccard_tree.dimensions(1025) == 256 and jaccard_tree.dimensions(10**6) == 4096
+
+
 @pytest.mark.parametrize("step", [1, 2, 3, 5, 100])
 def test_each_set_of_a_bucket_is_sent_once(step):
     rows = sorted(
