@@ -22,7 +22,10 @@ DECIMALS = 9
 def gram_counts(texts: DataFrame, gram: int = GRAM) -> DataFrame:
     """``(id, gram, n)``: occurrences of each run of code points in the normal form."""
     grams = F.regexp_extract_all("_normal", F.lit(rf"(?s)(?=(.{{{gram}}}))."), F.lit(1))
-    rows = texts.select("id", normal_form(F.col("text")).alias("_normal"))
+    # Texts are dealt out before they are taken apart: their grams are then counted in place. The
+    # number is given, as few short texts make many grams and small partitions must not merge.
+    parts = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = texts.select("id", normal_form(F.col("text")).alias("_normal")).repartition(parts, "id")
     return rows.select("id", F.explode(grams).alias("gram")).groupBy("id", "gram").agg(
         F.count(F.lit(1)).alias("n")
     )
@@ -34,9 +37,13 @@ def gram_frequencies(counts: DataFrame) -> DataFrame:
 
 
 def gram_weights(counts: DataFrame, n_texts: int) -> DataFrame:
-    """``(id, gram, w)``: TF-IDF scaled to length one per text; zero weights are left out."""
+    """``(id, gram, w)``: TF-IDF scaled to length one per text; zero weights are left out.
+
+    The frequencies are stored first, so that few of them do not shuffle the counts. Runs jobs.
+    """
+    frequencies = materialize(gram_frequencies(counts), "theme-frequencies")
     rarity = F.ln(F.lit(n_texts + 1.0) / (F.col("texts") + 1))
-    weighted = counts.join(gram_frequencies(counts), "gram").select(
+    weighted = counts.join(frequencies, "gram").select(
         "id", "gram", (F.col("n") * rarity).alias("w")
     ).where(F.col("w") > 0)
     return _unit(weighted, "id")
@@ -59,11 +66,11 @@ def first_centres(texts: DataFrame, weights: DataFrame, k: int) -> DataFrame:
 
 
 def nearest_centre(texts: DataFrame, weights: DataFrame, centres: DataFrame, k: int) -> DataFrame:
-    """``(id, theme)``: the most similar centre, the first of equal ones."""
-    beside = centres.groupBy("gram").agg(*[
+    """``(id, theme)``: the most similar centre, the first of equal ones. Runs jobs."""
+    beside = materialize(centres.groupBy("gram").agg(*[
         F.coalesce(F.sum(F.when(F.col("theme") == i, F.col("w"))), F.lit(0.0)).alias(f"_c{i}")
         for i in range(k)
-    ])
+    ]), "theme-centres-beside")
     sums = weights.join(beside, "gram").groupBy("id").agg(*[
         F.round(F.sum(F.col("w") * F.col(f"_c{i}")), DECIMALS).alias(f"_s{i}") for i in range(k)
     ])

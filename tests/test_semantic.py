@@ -88,3 +88,17 @@ def test_themes_are_stable(spark):
     one, two = (theme_assignments(texts, 2).orderBy("id").select("id", "theme").collect() for _ in range(2))
     assert one == two
     assert sorted(r["size"] for r in theme_summary(theme_assignments(texts, 2)).collect()) == [5, 5]
+
+
+def test_only_texts_are_shuffled_to_count_grams(spark):
+    """Not the far more numerous grams; a repeated id is still counted as one text."""
+    from forumtide.operators import themes
+
+    rows = [("a", "abab"), ("a", "abx"), ("b", "ab"), ("c", None)]
+    texts = spark.createDataFrame(rows, "id string, text string")
+    counts = themes.gram_counts(texts)
+    plan = counts._jdf.queryExecution().executedPlan().toString().split("Final Plan")[-1]
+    dealt = [line for line in plan.splitlines() if "Exchange" in line]
+    assert len(dealt) == 1 and "gram#" not in dealt[0]
+    got = sorted(map(tuple, counts.collect()))
+    assert got == [("a", "aba", 1), ("a", "abx", 1), ("a", "bab", 1)]
