@@ -56,34 +56,34 @@ def upsert_posts(existing: DataFrame, batch: DataFrame | None = None) -> DataFra
     )
 
 
-def _snapshots_by_key(rows: DataFrame) -> DataFrame:
-    """One row per snapshot key, with the least and greatest hash of its configurations.
+def _snapshots_by_key(rows: DataFrame) -> tuple[DataFrame, Column]:
+    """One row per snapshot key with ``_version`` and ``_other``, and the list they point into.
 
-    All buffers are fixed-width, so this is a hash aggregate: nothing is sorted.
+    They are the places of the least and greatest configuration of the key. All buffers are
+    fixed-width, so this is a hash aggregate: no row is sorted, and no key is joined back to
+    its rows to learn a name.
     """
-    return rows.withColumn("_version", _version_hash()).groupBy(*SNAPSHOT_KEY).agg(
+    versions = _versions(rows)
+    # A missing configuration has no place, so that minima and maxima pass it over.
+    placed = rows.withColumn("_version", F.array_position(versions, F.col("config_version")))
+    return placed.groupBy(*SNAPSHOT_KEY).agg(
         F.max("observed_at").alias("observed_at"),
         *[F.max(name).alias(name) for name in COUNTERS],
         F.min("_version").alias("_version"), F.max("_version").alias("_other"),
-    )
+    ), versions
 
 
-def _version_hash() -> Column:
-    """Null where there is no configuration, so that minima and maxima pass it over."""
-    return F.when(F.col("config_version").isNotNull(), F.xxhash64("config_version"))
+def _versions(rows: DataFrame) -> Column:
+    """All configurations of the rows in ascending order.
 
+    There is one per release of the settings, so the list is a scalar subquery.
+    """
+    named = rows.where(F.col("config_version").isNotNull()).select("config_version").distinct()
+    return named.agg(F.array_sort(F.collect_list("config_version")).alias("v")).scalar()
 
-def _version_named(rows: DataFrame) -> Column:
-    """The configuration of ``_version``, from one map of all configurations of the rows.
 
-    There is one per release of the settings, so the map is a scalar subquery: the merged
-    rows are not shuffled again to learn a name that nearly all of them share.
-    """
-    pairs = rows.where(F.col("config_version").isNotNull()).select(
-        _version_hash().alias("h"), "config_version"
-    ).distinct()
-    entries = F.map_from_entries(F.collect_list(F.struct("h", "config_version")))
-    return F.try_element_at(pairs.agg(entries.alias("m")).scalar(), F.col("_version"))
+def _named(versions: Column, place: str) -> Column:
+    return F.get(versions, (F.col(place) - 1).cast("int"))
 
 
 def _both(existing: DataFrame, batch: DataFrame | None) -> DataFrame:
@@ -98,26 +98,24 @@ def merge_snapshots(
     Counters and ``observed_at`` keep their greatest value. A key seen under two
     configurations is never merged; it is reported in ``conflicts``.
     """
-    rows = _both(existing, batch)
-    grouped, same = _snapshots_by_key(rows), F.col("_version").eqNullSafe(F.col("_other"))
-    torn = grouped.where(~same).select(*SNAPSHOT_KEY)
-    # Only rows of torn keys are looked at by their text.
-    conflicts = rows.join(torn, list(SNAPSHOT_KEY), "left_semi").groupBy(*SNAPSHOT_KEY).agg(
-        F.min("config_version").alias("config_version"),
-        F.max("config_version").alias("other_version"),
+    grouped, versions = _snapshots_by_key(_both(existing, batch))
+    same = F.col("_version").eqNullSafe(F.col("_other"))
+    conflicts = grouped.where(~same).select(
+        *SNAPSHOT_KEY, _named(versions, "_version").alias("config_version"),
+        _named(versions, "_other").alias("other_version"),
     )
-    merged = grouped.where(same).withColumn("config_version", _version_named(rows))
+    merged = grouped.where(same).withColumn("config_version", _named(versions, "_version"))
     columns = [*SNAPSHOT_KEY, "observed_at", *COUNTERS, "config_version"]
     return merged.select(*columns), conflicts
 
 
 def merge_snapshots_strict(existing: DataFrame, batch: DataFrame | None = None) -> DataFrame:
     """Merged snapshots; the job fails if any key is pinned to another configuration."""
-    rows = _both(existing, batch)
+    grouped, versions = _snapshots_by_key(_both(existing, batch))
     checked = F.when(
-        F.col("_version").eqNullSafe(F.col("_other")), _version_named(rows)
+        F.col("_version").eqNullSafe(F.col("_other")), _named(versions, "_version")
     ).otherwise(F.raise_error(F.lit("snapshot slot belongs to another configuration")))
-    return _snapshots_by_key(rows).withColumn("config_version", checked).select(
+    return grouped.withColumn("config_version", checked).select(
         *SNAPSHOT_KEY, "observed_at", *COUNTERS, "config_version"
     )
 

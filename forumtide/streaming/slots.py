@@ -19,7 +19,6 @@ from forumtide.functions.time import slot_window
 from forumtide.operators.merge import (
     COUNTERS,
     POST_KEY,
-    SNAPSHOT_KEY,
     merge_snapshots,
     merge_snapshots_strict,
     upsert_posts,
@@ -27,6 +26,7 @@ from forumtide.operators.merge import (
 from forumtide.operators.screening import THRESHOLD, scan
 from forumtide.registry import PROMPT_RULES, ScanRule
 from forumtide.schemas import POST, SNAPSHOT
+from forumtide.session import discard, materialize
 
 POST_COLUMNS = [part.split()[0] for part in POST.split(", ")]
 SNAPSHOT_COLUMNS = [part.split()[0] for part in SNAPSHOT.split(", ")]
@@ -114,6 +114,10 @@ class MergeTable:
         folders = [f"{self.root}/base/n={floor}"] if bases else []
         return folders + [f"{self.root}/batch/n={n}" for n in kept("batch") if n > floor]
 
+    def holds(self, before: int | None = None) -> bool:
+        """Whether anything is stored, ahead of the batch ``before`` if one is given."""
+        return bool(self._folders(before))
+
     def rows(self, before: int | None = None) -> DataFrame:
         """Stored rows not yet merged with each other: one scan over all folders."""
         folders = self._folders(before)
@@ -174,13 +178,16 @@ def snapshot_table(spark: SparkSession, root: str) -> MergeTable:
 def refuse_other_configuration(snapshots: MergeTable, fresh: DataFrame, number: int) -> None:
     """Fail if a slot of the batch is stored under another configuration.
 
-    Only the stored months that the batch has slots of are read, and only earlier batches.
+    ``fresh`` agrees with itself. Only the stored months that the batch has slots of are read,
+    and only earlier batches; they agree with each other, so that a slot with two configurations
+    is one of the batch.
     """
+    if not snapshots.holds(number):
+        return
     # The months of a batch are a short list, at most twelve a year of history.
     months = [row[0] for row in fresh.select("slot_month").distinct().collect()]
     stored = snapshots.rows(number).where(F.col("slot_month").isin(months))
-    same_keys = stored.join(fresh.select(*SNAPSHOT_KEY), list(SNAPSHOT_KEY), "left_semi")
-    if merge_snapshots(fresh.unionByName(same_keys).drop("slot_month"))[1].take(1):
+    if merge_snapshots(fresh.unionByName(stored).drop("slot_month"))[1].take(1):
         raise ValueError("snapshot slot belongs to another configuration")
 
 
@@ -189,21 +196,25 @@ def upsert_stream(
 ) -> StreamingQuery:
     """Merge each micro-batch of observations into the post and snapshot tables.
 
-    A batch is first collapsed on its keys. Only the snapshot partitions of the slots it
-    holds are read, to refuse a slot pinned to another configuration before anything of
-    the batch is stored.
+    A batch is first collapsed on its keys, once for all steps that follow. Only the snapshot
+    partitions of the slots it holds are read, to refuse a slot pinned to another configuration
+    before anything of the batch is stored.
     """
 
     def apply(batch: DataFrame, number: int) -> None:
         batch.persist()
         try:
-            fresh = merge_snapshots_strict(batch.select(*SNAPSHOT_COLUMNS)).withColumn(
-                "slot_month", F.trunc("slot", "month")
+            fresh = materialize(
+                merge_snapshots_strict(batch.select(*SNAPSHOT_COLUMNS)).withColumn(
+                    "slot_month", F.trunc("slot", "month")
+                ),
+                "upsert-collapsed",
             )
             refuse_other_configuration(snapshots, fresh, number)
             seen = batch.withColumn("last_seen_at", F.col("observed_at"))
             posts.append(posts.merge(seen.select(*POST_COLUMNS)), number)
             snapshots.append(fresh, number)
+            discard(fresh)
         finally:
             batch.unpersist()
 

@@ -117,6 +117,17 @@ def test_snapshot_merge_and_conflict(spark):
     assert as_set(again) == as_set(merged)
 
 
+def test_conflicts_are_named_without_a_second_look_at_the_rows(spark):
+    """Joining torn keys back sorted all rows of a task, and its memory grew with them."""
+    rows = [snapshot(config=c) for c in ("c" * 64, B, None, A)] + [snapshot(2, config=None)]
+    merged, conflicts = merge.merge_snapshots(spark.createDataFrame(rows, SNAPSHOT))
+    assert as_set(conflicts) == {(2294, 1, T0, A, "c" * 64)}
+    assert [(r["post_id"], r["config_version"]) for r in merged.collect()] == [(2, None)]
+    plan = conflicts._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and "SortAggregate" not in plan
+
+
+
 def test_insert_absent_and_high_water(spark):
     old = spark.createDataFrame([(1, "one")], "id INT, name STRING")
     new = spark.createDataFrame([(1, "uno"), (2, "two")], "id INT, name STRING")

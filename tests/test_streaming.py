@@ -66,6 +66,24 @@ def test_conflicting_configuration_stores_nothing(spark, folder):
     assert snapshots.read().count() == 1 and posts.read().count() == 1
 
 
+def test_a_batch_is_collapsed_once(spark, folder, monkeypatch):
+    """The first batch has nothing stored to be compared with, and its rows are merged once."""
+    rng, calls = random.Random(5), []
+    merge = slots.merge_snapshots
+
+    def counted(*frames):
+        calls.append(1)
+        return merge(*frames)
+
+    monkeypatch.setattr(slots, "merge_snapshots", counted)
+    posts, snapshots = slots.post_table(spark, f"{folder}/posts"), slots.snapshot_table(spark, f"{folder}/shots")
+    for number in range(2):
+        rows = [sighting(rng) for _ in range(20)]
+        spark.createDataFrame(rows, SIGHTING).coalesce(1).write.mode("append").parquet(f"{folder}/in")
+        drive(spark, folder, f"{folder}/in", posts, snapshots, "state")
+        assert len(calls) == number
+
+
 def test_slot_stream_equals_batch(spark, folder):
     rng = random.Random(3)
     rows = [sighting(rng) for _ in range(200)]
