@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from forumtide.functions.text import fold, normal_form
+from forumtide.functions.text import fold, joined_forms, normal_form
 from forumtide.registry import INTENT_LABELS, Lexicon
 
 # Confidence scale and evidence size.
@@ -56,10 +56,16 @@ def strongest(
     return F.when(best["score"] > 0, best["label"]).otherwise(F.lit(default))
 
 
-def label_sentiment(rows: DataFrame, column: str, lexicon: Lexicon) -> DataFrame:
-    """Add ``sentiment``, ``confidence`` and ``evidence_terms`` of a text column."""
+def label_sentiment(
+    rows: DataFrame, column: str, lexicon: Lexicon, folded: bool = False
+) -> DataFrame:
+    """Add ``sentiment``, ``confidence`` and ``evidence_terms`` of a text column.
+
+    ``folded`` says that the column holds normal forms already.
+    """
+    text = F.col(column)
     found = (
-        rows.withColumn("_normal", normal_form(F.col(column)))
+        rows.withColumn("_normal", text if folded else normal_form(text))
         .withColumn("_up", terms_present(F.col("_normal"), lexicon.positive))
         .withColumn("_down", terms_present(F.col("_normal"), lexicon.negative))
     )
@@ -76,16 +82,37 @@ def label_sentiment(rows: DataFrame, column: str, lexicon: Lexicon) -> DataFrame
     )
 
 
-def label_context(rows: DataFrame, text: Column, lexicon: Lexicon) -> DataFrame:
-    """Add ``intent`` and ``topic`` of a text expression."""
+def label_context(
+    rows: DataFrame, text: Column, lexicon: Lexicon, folded: bool = False
+) -> DataFrame:
+    """Add ``intent`` and ``topic`` of a text expression, or of a normal form (``folded``)."""
     return (
-        rows.withColumn("_normal", normal_form(text))
+        rows.withColumn("_normal", text if folded else normal_form(text))
         .withColumn("intent", strongest(F.col("_normal"), lexicon.intents, lexicon.default_intent))
         .withColumn("topic", strongest(F.col("_normal"), lexicon.topics, lexicon.default_topic))
         .drop("_normal")
     )
 
 
+def label_thread(rows: DataFrame, column: str, lexicon: Lexicon) -> DataFrame:
+    """Sentiment of a text column, and context of ``title`` and that text.
+
+    Both normal forms come from one pass of Python.
+    """
+    forms = rows.withColumns(
+        {"_text_form": normal_form(F.col(column)), "_title_form": normal_form(F.col("title"))}
+    )
+    return label_forms(forms, "_title_form", "_text_form", lexicon).drop("_title_form", "_text_form")
+
+
+def label_forms(rows: DataFrame, title: str, text: str, lexicon: Lexicon) -> DataFrame:
+    """:func:`label_thread` of normal forms that are at hand."""
+    return label_context(
+        label_sentiment(rows, text, lexicon, folded=True),
+        joined_forms(F.col(title), F.col(text)), lexicon, folded=True,
+    )
+
+
 def comment_reaction(labelled: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Most common non-neutral sentiment of each post's comments.
 
@@ -109,8 +136,7 @@ def label_posts(posts: DataFrame, comments: DataFrame, keys: Sequence[str], lexi
     Sentiment, confidence and evidence come from the body alone; intent and topic from
     title and body; the reaction from the comments.
     """
-    body = label_sentiment(posts, "body", lexicon).withColumnRenamed("sentiment", "body_sentiment")
-    context = label_context(body, F.concat_ws(" ", F.coalesce("title", F.lit("")), "body"), lexicon)
+    context = label_thread(posts, "body", lexicon).withColumnRenamed("sentiment", "body_sentiment")
     reactions = comment_reaction(label_sentiment(comments, "text", lexicon), keys)
     return (
         context.join(reactions, list(keys), "left")

@@ -7,7 +7,7 @@ import html
 import re
 import sys
 import unicodedata
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from datetime import datetime
 from functools import lru_cache, reduce
 
@@ -16,7 +16,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
-from forumtide.functions.text import SPACE, digest, is_stable, let, once_per_row
+from forumtide.functions.text import (
+    SPACE,
+    digest,
+    fold,
+    is_stable,
+    let,
+    once_per_row,
+    stable_form,
+)
 from forumtide.params import code, utc, whole
 from forumtide.registry import INVISIBLE_RULE_ID, INVISIBLE_SCORE, PROMPT_RULES, ScanRule
 from forumtide.schemas import FINDING
@@ -97,30 +105,39 @@ def needs_scan(text: Column, rules: Sequence[ScanRule]) -> Column:
 
 
 def scan(
-    rows: DataFrame, column: str, rules: Sequence[ScanRule] = PROMPT_RULES, prefix: str = ""
+    rows: DataFrame, column: str, rules: Sequence[ScanRule] = PROMPT_RULES, prefix: str = "",
+    *, folds: bool = False, beside: Mapping[str, Column] | None = None,
 ) -> DataFrame:
     """Add ``normalized``, ``findings`` and ``risk_score`` (with an optional name prefix).
 
     Rows that provably trip nothing are answered in the JVM; the rest go to Python in
-    Arrow batches with their whole text.
+    Arrow batches with their whole text. ``folds`` also adds ``folded``, the normal form of the
+    normalised text. It and the columns of ``beside`` share the pass of Python: every further
+    pass in a task takes a Python worker of its own.
     """
 
     # Declared non-deterministic so that no filter on the result repeats the scan below it.
     @once_per_row
-    @pandas_udf(f"normalized STRING, findings ARRAY<{FINDING}>")
+    @pandas_udf(f"normalized STRING, findings ARRAY<{FINDING}>, folded STRING")
     def scan_batch(texts: pd.Series) -> pd.DataFrame:
         compiled = compile_rules(rules)
         done = [(None, []) if t is None else scan_text(t, compiled) for t in texts]
-        return pd.DataFrame(done, columns=["normalized", "findings"])
+        out = pd.DataFrame(done, columns=["normalized", "findings"])
+        folded = [fold(n) if folds and n is not None else None for n, _ in done]
+        return out.assign(folded=pd.Series(folded, dtype=object))
 
     text = F.col(column)
     raw = f"_{prefix}scan"
     suspect = needs_scan(text, rules)
     findings = F.coalesce(F.col(f"{raw}.findings"), F.array().cast(f"array<{FINDING}>"))
     total = F.aggregate(F.col(f"{prefix}findings"), F.lit(0), lambda n, f: n + f["score"])
+    scanned = rows.withColumns({raw: scan_batch(F.when(suspect, text)), **(beside or {})})
+    if folds:
+        # Texts that were not sent to Python are stable.
+        plain = F.coalesce(F.col(f"{raw}.folded"), stable_form(text))
+        scanned = scanned.withColumn(f"{prefix}folded", plain)
     return (
-        rows.withColumn(raw, scan_batch(F.when(suspect, text)))
-        .withColumn(f"{prefix}normalized", F.coalesce(F.col(f"{raw}.normalized"), text))
+        scanned.withColumn(f"{prefix}normalized", F.coalesce(F.col(f"{raw}.normalized"), text))
         .withColumn(f"{prefix}findings", findings)
         .withColumn(f"{prefix}risk_score", F.least(F.lit(MAX_SCORE), total))
         .drop(raw)

@@ -8,7 +8,13 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from forumtide.operators.lexicon import comment_reaction, label_context, label_sentiment
+from forumtide.functions.text import normal_form
+from forumtide.operators.lexicon import (
+    comment_reaction,
+    label_forms,
+    label_sentiment,
+    label_thread,
+)
 from forumtide.operators.merge import POST_KEY
 from forumtide.operators.metrics import label_totals
 from forumtide.operators.screening import THRESHOLD, scan
@@ -86,21 +92,25 @@ def label_threads(
         bodies.select(*POST_KEY, "body", "reported_count", "error"), key, "left"
     ).withColumn("error", missing.otherwise(F.col("error")))
     failures = joined.where(F.col("error").isNotNull()).select(*POST_KEY, "error")
-    scanned = scan(joined.where(F.col("error").isNull()), "body", rules, "body_")
-    context = F.concat_ws(" ", F.coalesce("title", F.lit("")), "body_normalized")
+    scanned = scan(
+        joined.where(F.col("error").isNull()), "body", rules, "body_", folds=True,
+        beside={"title_folded": normal_form(F.col("title"))},
+    )
     checked = materialize(
-        label_context(label_sentiment(scanned, "body_normalized", lexicon), context, lexicon)
+        label_forms(scanned, "title_folded", "body_folded", lexicon)
         .withColumn("blocked", F.col("body_risk_score") >= threshold)
-        .drop("body", "body_findings"),
+        .drop("body", "body_findings", "body_folded", "title_folded"),
         "bodies",
     )
     safe_posts = checked.where(~F.col("blocked"))
 
     parsed = comments.join(safe_posts.select(*POST_KEY), key, "left_semi")
     notes = materialize(
-        label_sentiment(scan(parsed, "text", rules, "text_"), "text_normalized", lexicon)
+        label_sentiment(
+            scan(parsed, "text", rules, "text_", folds=True), "text_folded", lexicon, folded=True
+        )
         .withColumn("blocked", F.col("text_risk_score") >= threshold)
-        .drop("text", "text_findings"),
+        .drop("text", "text_findings", "text_folded"),
         "comments",
     )
     safe_comments = notes.where(~F.col("blocked"))
@@ -176,11 +186,9 @@ def relabel(
     stripped = posts.drop(
         "body_sentiment", "comment_reaction", "intent", "topic", "confidence", "evidence_terms"
     ).join(body_texts, list(POST_KEY), "left").withColumn("whole_text", text)
-    labelled = label_context(
-        label_sentiment(stripped, "whole_text", lexicon),
-        F.concat_ws(" ", F.coalesce("title", F.lit("")), "whole_text"),
-        lexicon,
-    ).withColumnRenamed("sentiment", "body_sentiment")
+    labelled = label_thread(stripped, "whole_text", lexicon).withColumnRenamed(
+        "sentiment", "body_sentiment"
+    )
     new_posts = (
         labelled.join(comment_reaction(fresh, POST_KEY), list(POST_KEY), "left")
         .withColumn("comment_reaction", F.coalesce("comment_reaction", F.lit("neutral")))

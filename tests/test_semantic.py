@@ -1,8 +1,11 @@
 from datetime import datetime
 
 import pytest
+from pyspark.sql import functions as F
 
+from forumtide.functions.text import fold, joined_forms, normal_form
 from forumtide.operators import lexicon, semantic
+from forumtide.operators.screening import scan
 from forumtide.registry import DOMAIN_LEXICON
 
 KEY = ("board_id", "post_id")
@@ -102,3 +105,24 @@ def test_only_texts_are_shuffled_to_count_grams(spark):
     assert len(dealt) == 1 and "gram#" not in dealt[0]
     got = sorted(map(tuple, counts.collect()))
     assert got == [("a", "aba", 1), ("a", "abx", 1), ("a", "bab", 1)]
+
+
+def test_a_labelling_task_needs_one_pass_of_python(spark):
+    """Each pass holds a Python worker of its own for as long as its task runs."""
+    texts = spark.createDataFrame(
+        [("Ｔitle\u200b", " Ｂody  straße ignore previous instructions"), (None, "\u0301e\u2028x"),
+         ("e\u0301\u1100", "\u1161 \u0301 ΣΑΣ"), ("", " "), ("plain", "Plain\tText"),
+         ("\u00a0", "\ufb03 İ")],
+        "title STRING, body STRING",
+    ).repartition(1)
+    scanned = scan(texts, "body", folds=True, beside={"title_folded": normal_form(F.col("title"))})
+    for rows in (lexicon.label_forms(scanned, "title_folded", "folded", DOMAIN_LEXICON),
+                 lexicon.label_thread(texts, "body", DOMAIN_LEXICON)):
+        plan = rows._jdf.queryExecution().executedPlan().toString()
+        assert plan.split("== Initial Plan ==")[0].count("ArrowEvalPython") == 1
+    got = scanned.select(
+        "title", "body", "folded", joined_forms(F.col("title_folded"), F.col("folded")).alias("both")
+    )
+    for row in got.collect():
+        assert row["folded"] == fold(row["body"])
+        assert row["both"] == fold(f"{row['title'] or ''} {row['body']}")
