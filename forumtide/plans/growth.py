@@ -419,8 +419,8 @@ def comment_mismatch(spark, folder):
     return derived.comment_mismatch(t.latest(spark, folder), rows)
 
 
-# Each step of the clustering in SQL; a round repeats centres and assignment.
-_THEMES, _THEME_ROUNDS = 6, 3
+# The clustering in SQL.
+_THEMES = 6
 _GRAMS = f"""
 texts AS (
   SELECT conv_id || ':' || turn AS id, {t.sql_fold('text')} AS normal FROM conversations),
@@ -440,25 +440,41 @@ seeds AS (
   FROM (SELECT DISTINCT id FROM texts) QUALIFY theme < {_THEMES})"""
 
 
-def _theme_step(place: int) -> str:
-    before, centre = f"assigned{place - 1}", f"centre{place}"
-    if place == 0:
-        centres = "SELECT theme, gram, w FROM weights JOIN seeds USING (id)"
-    else:
-        centres = f"""
-  SELECT theme, gram, w / sqrt(sum(w * w) OVER (PARTITION BY theme)) AS w FROM (
-    SELECT theme, gram, sum(w) AS w FROM weights JOIN {before} USING (id) GROUP BY theme, gram)
-  UNION ALL
-  SELECT * FROM centre{place - 1} WHERE theme NOT IN (
-    SELECT theme FROM {before} WHERE id IN (SELECT id FROM weights))"""
-    return f""",
-{centre} AS MATERIALIZED ({centres}),
-assigned{place} AS MATERIALIZED (
+# Centres by the texts of the least ids, and the nearest of them for each text.
+_FIRST_THEMES = """,
+centre0 AS MATERIALIZED (SELECT theme, gram, w FROM weights JOIN seeds USING (id)),
+assigned0 AS MATERIALIZED (
   SELECT id, CAST(coalesce(theme, 0) AS INTEGER) AS theme
   FROM (SELECT DISTINCT id FROM texts) LEFT JOIN (
-    SELECT v.id, c.theme FROM weights v JOIN {centre} c USING (gram) GROUP BY v.id, c.theme
+    SELECT v.id, c.theme FROM weights v JOIN centre0 c USING (gram) GROUP BY v.id, c.theme
     QUALIFY row_number() OVER (PARTITION BY v.id ORDER BY round(sum(v.w * c.w), 9) DESC, c.theme) = 1)
   USING (id))"""
+# Rounds have rows of texts (id) and of centres (gram); there is none after one without moves.
+_ROUNDS = """,
+rounds AS (
+  SELECT 0 AS place, id, theme, NULL::VARCHAR AS gram, NULL::DOUBLE AS w, true AS moves FROM assigned0
+  UNION ALL
+  SELECT 0, NULL, CAST(theme AS INTEGER), gram, w, true FROM centre0
+  UNION ALL (
+  WITH before AS (SELECT id, theme FROM rounds WHERE gram IS NULL),
+  held AS (SELECT theme, gram, sum(w) AS w FROM weights JOIN before USING (id) GROUP BY ALL),
+  centre AS (
+    SELECT theme, gram, w / sqrt(sum(w * w) OVER (PARTITION BY theme)) AS w FROM held
+    UNION ALL
+    SELECT theme, gram, w FROM rounds
+    WHERE gram IS NOT NULL AND theme NOT IN (SELECT theme FROM held)),
+  nearest AS (
+    SELECT v.id, c.theme FROM weights v JOIN centre c USING (gram) GROUP BY v.id, c.theme
+    QUALIFY row_number() OVER (PARTITION BY v.id ORDER BY round(sum(v.w * c.w), 9) DESC, c.theme) = 1),
+  after AS (
+    SELECT id, b.theme AS before, coalesce(n.theme, 0) AS theme
+    FROM before b LEFT JOIN nearest n USING (id)),
+  found AS (
+    SELECT id, theme, NULL::VARCHAR AS gram, NULL::DOUBLE AS w FROM after
+    UNION ALL SELECT NULL, theme, gram, w FROM centre)
+  SELECT (SELECT max(place) + 1 FROM rounds), id, theme, gram, w,
+         EXISTS (SELECT 1 FROM after WHERE theme <> before)
+  FROM found WHERE (SELECT bool_or(moves) FROM rounds)))"""
 
 
 def _safe_turns(spark, folder):
@@ -480,22 +496,19 @@ def theme_grams(spark, folder):
     return themes.gram_frequencies(counts).select("gram", "texts")
 
 
-@query("CLU-1", f"WITH {_GRAMS}{_theme_step(0)} SELECT id, theme FROM assigned0")
+@query("CLU-1", f"WITH {_GRAMS}{_FIRST_THEMES} SELECT id, theme FROM assigned0")
 def theme_first_assignment(spark, folder):
     """Themes before any centre has moved."""
-    assigned = themes.theme_assignments(_safe_turns(spark, folder), k=_THEMES, rounds=0)
+    assigned = themes.first_assignments(_safe_turns(spark, folder), k=_THEMES)
     return assigned.select("id", "theme")
 
 
 @query(
     "CLU-1",
-    f"""WITH {_GRAMS}{"".join(_theme_step(i) for i in range(_THEME_ROUNDS + 1))}
+    f"""WITH RECURSIVE {_GRAMS}{_FIRST_THEMES}{_ROUNDS}
 SELECT theme, count(*) AS size, list(id ORDER BY id)[1:3] AS representatives
-FROM assigned{_THEME_ROUNDS} GROUP BY theme""",
+FROM rounds WHERE gram IS NULL AND place = (SELECT max(place) FROM rounds) GROUP BY theme""",
 )
 def theme_clusters(spark, folder):
     """Themes of the conversation turns that pass screening."""
-    assigned = themes.theme_assignments(
-        _safe_turns(spark, folder), k=_THEMES, rounds=_THEME_ROUNDS
-    )
-    return themes.theme_summary(assigned)
+    return themes.theme_summary(themes.theme_assignments(_safe_turns(spark, folder), k=_THEMES))

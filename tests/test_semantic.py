@@ -1,5 +1,10 @@
+import hashlib
+import math
+import random
+from collections import Counter
 from datetime import datetime
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
@@ -93,6 +98,64 @@ def test_themes_are_stable(spark):
     assert sorted(r["size"] for r in theme_summary(theme_assignments(texts, 2)).collect()) == [5, 5]
 
 
+def plain_themes(texts, k):
+    """Theme of each text, and the rounds until no text changed its theme."""
+    counts = {i: Counter(t[j:j + 3] for j in range(len(t) - 2)) for i, t in texts.items()}
+    held = Counter(gram for n in counts.values() for gram in n)
+
+    def unit(vector):
+        length = math.sqrt(sum(w * w for w in vector.values()))
+        return {gram: w / length for gram, w in vector.items() if w > 0}
+
+    weights = {
+        i: unit({g: n * math.log((len(texts) + 1) / (held[g] + 1)) for g, n in c.items()}) for i, c in counts.items()
+    }
+    order = sorted(texts, key=lambda i: (hashlib.md5(i.encode()).hexdigest(), i))
+    centres, before, rounds = [weights[i] for i in order[:k]], None, 0
+    while True:
+        alike = {
+            i: [round(sum(w * c.get(g, 0.0) for g, w in v.items()), 9) for c in centres] for i, v in weights.items()
+        }
+        now = {i: s.index(max(s)) for i, s in alike.items()}
+        if now == before:
+            return now, rounds
+        before, rounds = now, rounds + 1
+        for theme in range(k):
+            total = Counter()
+            for i in texts:
+                total.update(weights[i] if now[i] == theme else {})
+            centres[theme] = unit(total) if total else centres[theme]
+
+
+@pytest.mark.parametrize("shrunk", [100, 1])
+def test_themes_go_on_until_no_text_changes(spark, folder, monkeypatch, shrunk):
+    """Not for a given number of rounds; a theme that lost its texts keeps its centre."""
+    from forumtide.operators import themes
+    from forumtide.plans.catalog import load_all
+
+    monkeypatch.setattr(themes, "SHRUNK", shrunk, raising=False)
+    draw = random.Random(370)
+    texts = {}
+    for i in range(40):
+        text = "".join(draw.choice("abc ") for _ in range(draw.randint(3, 12)))
+        texts[f"{i}:0"] = " ".join(text.split()) or "abc"
+    expected, rounds = plain_themes(texts, 6)
+    assert rounds > 3
+    spark.createDataFrame(
+        [(int(i.split(":")[0]), 0, "user", text) for i, text in texts.items()],
+        "conv_id BIGINT, turn INT, role STRING, text STRING",
+    ).coalesce(1).write.parquet(f"{folder}/conversations.parquet")
+    query = load_all()["theme_clusters"]
+    got = {r["theme"]: (r["size"], r["representatives"]) for r in query.run(spark, folder).collect()}
+    assert got == {
+        theme: (size, sorted(i for i in expected if expected[i] == theme)[:3])
+        for theme, size in Counter(expected.values()).items()
+    }
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW conversations AS SELECT * FROM '{folder}/conversations.parquet/part-*.parquet'")
+    assert {theme: (size, ids) for theme, size, ids in con.execute(query.sql).fetchall()} == got
+
+
 def test_only_texts_are_shuffled_to_count_grams(spark):
     """Not the far more numerous grams; a repeated id is still counted as one text."""
     from forumtide.operators import themes
